@@ -79,6 +79,58 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+JUDGE_BODY = (
+    "'{\"helpfulness\": ' || CAST(1 + 4 * coalesce(CAST(l.quality AS BIGINT), d.doc_id % 2) AS VARCHAR)"
+    " || ', \"faithfulness\": ' || CAST(5 - d.doc_id % 3 AS VARCHAR)"
+    " || ', \"conciseness\": ' || CAST(1 + d.doc_id % 5 AS VARCHAR)"
+    " || ', \"safety\": ' || CAST(5 - 4 * coalesce(CAST(l.toxic AS BIGINT), 0) AS VARCHAR)"
+    " || ', \"reasoning\": \"r' || CAST(d.doc_id AS VARCHAR) || '\"}'")
+
+VIEWS["judge_raw"] = ((), f"""
+    SELECT resp_id, template, case_id,
+           CASE WHEN resp_id % 97 = 0 THEN 'not json'
+                WHEN resp_id % 3 = 0 THEN body
+                WHEN resp_id % 3 = 1 THEN '```json' || chr(10) || body || chr(10) || '```'
+                ELSE '```' || chr(10) || body || chr(10) || '```' END AS judge_raw
+    FROM (SELECT d.doc_id AS resp_id, d.source AS template,
+                 'case-' || CAST((d.doc_id // 20) % 5 AS VARCHAR) AS case_id, {JUDGE_BODY} AS body
+          FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
+          WHERE CAST(substr(d.source, 4) AS INTEGER) % 4 <> 0) x""")
+
+STRIP = "regexp_replace({0}, '^\\s+|\\s+$', '', 'g')"
+
+VIEWS["judge_parsed"] = (("judge_raw",), f"""
+    SELECT resp_id, template, case_id, judge_raw, h AS judge_helpfulness, f AS judge_faithfulness,
+           c AS judge_conciseness, s AS judge_safety, coalesce(reasoning, '') AS judge_reasoning,
+           CASE WHEN ok THEN round_even((((h + f) + c) + s) / 4.0, 2) END AS judge_avg, ok AS judge_ok
+    FROM (SELECT *, (h IS NOT NULL AND f IS NOT NULL AND c IS NOT NULL AND s IS NOT NULL) AS ok FROM (
+      SELECT *,
+        CASE WHEN json_valid(body) THEN TRY_CAST(json_extract_string(body, '$.helpfulness') AS DOUBLE) END AS h,
+        CASE WHEN json_valid(body) THEN TRY_CAST(json_extract_string(body, '$.faithfulness') AS DOUBLE) END AS f,
+        CASE WHEN json_valid(body) THEN TRY_CAST(json_extract_string(body, '$.conciseness') AS DOUBLE) END AS c,
+        CASE WHEN json_valid(body) THEN TRY_CAST(json_extract_string(body, '$.safety') AS DOUBLE) END AS s,
+        CASE WHEN json_valid(body) THEN json_extract_string(body, '$.reasoning') END AS reasoning
+      FROM (SELECT *, {STRIP.format("CASE WHEN starts_with(r1, 'json') THEN substr(r1, 5) ELSE r1 END")} AS body
+            FROM (SELECT *, CASE WHEN starts_with(r0, '```') THEN coalesce(string_split(r0, '```')[2], '') ELSE r0 END AS r1
+                  FROM (SELECT *, {STRIP.format('judge_raw')} AS r0 FROM judge_raw) a) b) c0) c1) c2""")
+
+VIEWS["judged"] = (("evaluated", "judge_parsed"), """
+    SELECT e.*, j.judge_avg, j.judge_helpfulness, j.judge_faithfulness, j.judge_conciseness, j.judge_safety
+    FROM evaluated e LEFT JOIN (SELECT * FROM judge_parsed WHERE judge_ok) j ON j.resp_id = e.resp_id""")
+
+VIEWS["summary_judge"] = (("judged",), """
+    SELECT template, ord, CAST(count(*) AS BIGINT) AS n_cases,
+           avg(CAST(passed AS INTEGER)) AS rule_pass_rate, avg(score) AS avg_rule_score,
+           avg(latency_ms) AS avg_latency_ms, avg(input_tokens) AS avg_input_tokens,
+           avg(output_tokens) AS avg_output_tokens, CAST(count(judge_avg) AS BIGINT) AS n_judged,
+           coalesce(avg(judge_avg), CAST(0.0 AS DOUBLE)) AS avg_judge_score,
+           avg(judge_helpfulness) AS avg_judge_helpfulness, avg(judge_faithfulness) AS avg_judge_faithfulness,
+           avg(judge_conciseness) AS avg_judge_conciseness, avg(judge_safety) AS avg_judge_safety,
+           CASE WHEN coalesce(avg(judge_avg), 0.0) <> 0 THEN avg(score) * 0.5 + (avg(judge_avg) / 5.0) * 0.5
+                ELSE avg(score) END AS composite
+    FROM judged GROUP BY template, ord""")
+
+
 def with_views(body: str, *names: str) -> str:
     order: list[str] = []
 
