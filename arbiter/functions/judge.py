@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from arbiter import defaults as D
 from arbiter import schemas as S
+from arbiter.functions.rounding import exact_round
 from arbiter.functions.text import col, strip
 
 
@@ -34,7 +35,7 @@ def parse_judge(df: DataFrame, raw: str = "judge_raw") -> DataFrame:
         *df.columns,
         *[d.alias(f"judge_{n}") for d, n in zip(dims, D.JUDGE_DIMENSIONS)],
         F.coalesce(F.col("_j.reasoning"), F.lit("")).alias("judge_reasoning"),
-        F.when(ok, F.bround(total / F.lit(4.0), D.JUDGE_AVG_DECIMALS)).alias("judge_avg"),
+        F.when(ok, exact_round(total / F.lit(4.0), D.JUDGE_AVG_DECIMALS)).alias("judge_avg"),
         ok.alias("judge_ok"),
     )
 

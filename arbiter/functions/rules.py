@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arbiter import defaults as D
+from arbiter.functions.rounding import exact_round
 from arbiter.functions.text import absent, col, present, word_count
 
 LOWER = "_resp_lower"
@@ -47,7 +48,7 @@ def rule_columns(df: DataFrame, response: str = "response",
         *[c for c in out.columns if c not in (LOWER, "_n_topics", "_score_raw")],
         ((F.col("_score_raw") >= F.lit(D.PASS_SCORE)) &
          (F.size("must_not_violated") == 0)).alias("passed"),
-        F.bround(F.col("_score_raw"), D.RULE_SCORE_DECIMALS).alias("score"),
+        exact_round(F.col("_score_raw"), D.RULE_SCORE_DECIMALS).alias("score"),
     )
     if not keep:
         out = out.drop(response)
@@ -68,7 +69,7 @@ def token_cost(input_tokens, output_tokens, per_1k_in: float = D.PER_1K_INPUT_US
     """in/1000*p_in + out/1000*p_out (stored rounded to 6 decimals)."""
     cost = (col(input_tokens).cast("double") / F.lit(1000.0)) * F.lit(float(per_1k_in)) + \
         (col(output_tokens).cast("double") / F.lit(1000.0)) * F.lit(float(per_1k_out))
-    return F.bround(cost, D.COST_DECIMALS) if rounded else cost
+    return exact_round(cost, D.COST_DECIMALS) if rounded else cost
 
 
 def composite(avg_rule, avg_judge) -> Column:
@@ -76,3 +77,12 @@ def composite(avg_rule, avg_judge) -> Column:
     r, j = col(avg_rule), col(avg_judge)
     return F.when(F.coalesce(j, F.lit(0.0)) != 0.0,
                   r * F.lit(0.5) + (j / F.lit(D.JUDGE_SCALE)) * F.lit(0.5)).otherwise(r)
+
+
+def exact_mean(c, decimals: int) -> Column:
+    """Mean of values stored at ``decimals`` places, as an exact integer sum
+    divided once: the result does not depend on partitioning or summation
+    order (a plain double ``avg`` does, in its last bits)."""
+    scale = 10 ** decimals
+    total = F.sum(F.round(col(c) * F.lit(float(scale))).cast("bigint"))
+    return total.cast("double") / (F.count(col(c)) * F.lit(scale)).cast("double")

@@ -146,10 +146,9 @@ def resolve_versions(requests: DataFrame, aliases: DataFrame) -> DataFrame:
 
     explicit override -> alias -> fallback alias; unresolved rows keep a NULL
     version (the rejects) instead of raising."""
-    a = aliases.select("model", F.col("alias").alias("_a"), F.col("version").alias("_av"))
-    f = aliases.select("model", F.col("alias").alias("_f"), F.col("version").alias("_fv"))
-    j = (requests.join(a, (requests.model == a.model) & (requests.alias == a._a), "left").drop(a.model)
-         .join(f, (requests.model == f.model) & (requests.fallback_alias == f._f), "left").drop(f.model))
+    a = aliases.select("model", F.col("alias").alias("alias"), F.col("version").alias("_av"))
+    f = aliases.select("model", F.col("alias").alias("fallback_alias"), F.col("version").alias("_fv"))
+    j = requests.join(a, ["model", "alias"], "left").join(f, ["model", "fallback_alias"], "left")
     ov = F.nullif(F.col("override"), F.lit(""))
     version = F.coalesce(ov, F.col("_av"), F.col("_fv"))
     via = (F.when(ov.isNotNull(), F.concat(F.lit("explicit:"), ov))

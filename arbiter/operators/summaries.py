@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from arbiter import defaults as D
 from arbiter import schemas as S
-from arbiter.functions.rules import composite
+from arbiter.functions.rules import composite, exact_mean
 from arbiter.operators.common import bounded_broadcast
 
 JUDGE_AVG_COLS = ("judge_helpfulness", "judge_faithfulness", "judge_conciseness",
@@ -27,14 +27,15 @@ def experiment_summary(evaluated: DataFrame, keys=("template", "ord"),
     aggs = [
         F.count(F.lit(1)).alias("n_cases"),
         F.avg(F.col("passed").cast("int")).alias("rule_pass_rate"),
-        F.avg("score").alias("avg_rule_score"),
-        F.avg("latency_ms").alias("avg_latency_ms"),
+        exact_mean("score", D.RULE_SCORE_DECIMALS).alias("avg_rule_score"),
+        exact_mean("latency_ms", 1).alias("avg_latency_ms"),
         F.avg("input_tokens").alias("avg_input_tokens"),
         F.avg("output_tokens").alias("avg_output_tokens"),
     ]
     if with_judge:
         aggs += [F.count("judge_avg").alias("n_judged"),
-                 F.coalesce(F.avg("judge_avg"), F.lit(0.0)).alias("avg_judge_score")]
+                 F.coalesce(exact_mean("judge_avg", D.JUDGE_AVG_DECIMALS), F.lit(0.0))
+                 .alias("avg_judge_score")]
         aggs += [F.avg(c).alias(f"avg_{c}") for c in JUDGE_AVG_COLS]
     out = evaluated.groupBy(*keys).agg(*aggs)
     if not with_judge:
@@ -48,9 +49,9 @@ def ci_summary(evaluated: DataFrame, keys=("template",)) -> DataFrame:
     return evaluated.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_cases"),
         F.avg(F.col("passed").cast("int")).alias("rule_pass_rate"),
-        F.avg("score").alias("avg_rule_score"),
-        F.avg("latency_ms").alias("avg_latency_ms"),
-        F.avg("cost_usd").alias("avg_cost_usd"),
+        exact_mean("score", D.RULE_SCORE_DECIMALS).alias("avg_rule_score"),
+        exact_mean("latency_ms", 1).alias("avg_latency_ms"),
+        exact_mean("cost_usd", D.COST_DECIMALS).alias("avg_cost_usd"),
         F.sum("input_tokens").cast("bigint").alias("total_in_tokens"),
         F.sum("output_tokens").cast("bigint").alias("total_out_tokens"),
     )
@@ -122,6 +123,6 @@ def smoke_summary(checked: DataFrame, keys=("template",)) -> DataFrame:
     return checked.groupBy(*keys).agg(
         (F.coalesce(F.bool_and("passed"), F.lit(False)) & (F.count(F.lit(1)) > 0)).alias("all_passed"),
         F.avg(F.col("passed").cast("int")).alias("smoke_pass_rate"),
-        F.avg("latency_ms").alias("avg_latency_ms"),
+        exact_mean("latency_ms", 1).alias("avg_latency_ms"),
         F.count(F.lit(1)).alias("n_probes"),
     )

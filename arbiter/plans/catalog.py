@@ -51,7 +51,7 @@ def finalize(df: DataFrame, decimals: int = 6) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.bround(F.col(f.name).cast("double"), decimals).alias(f.name))
+            cols.append((F.bround(F.col(f.name).cast("double"), decimals) + F.lit(0.0)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

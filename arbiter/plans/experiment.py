@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from arbiter import defaults as D
 from arbiter.functions import hashing as H
-from arbiter.functions.rules import composite, token_cost
+from arbiter.functions.rules import composite, exact_mean, token_cost
 from arbiter.functions.text import approx_tokens, preview, signed_fixed, snippet, text_clean
 from arbiter.operators import evaluate as EV
 from arbiter.operators import ranking as RK
@@ -70,7 +70,7 @@ def q_leaderboard(spark, sf_dir):
 
 
 @query("summary_union", with_views("""
-    SELECT template, CAST(count(*) AS BIGINT) AS n_cases, round_even(avg(score), 6) AS avg_rule_score
+    SELECT template, CAST(count(*) AS BIGINT) AS n_cases, round_even((CAST(sum(CAST(round(score * 1000) AS BIGINT)) AS DOUBLE) / CAST(1000 * count(score) AS DOUBLE)), 6) AS avg_rule_score
     FROM evaluated GROUP BY template""", "evaluated"))
 def q_summary_union(spark, sf_dir):
     # Bag union of independently computed per-template summaries.  One
@@ -79,7 +79,7 @@ def q_summary_union(spark, sf_dir):
     ev = evaluated(spark, sf_dir)
     parts = [ev.where(F.col("ord") % 2 == r) for r in (0, 1)]
     sums = [p.groupBy("template").agg(F.count(F.lit(1)).alias("n_cases"),
-                                      F.avg("score").alias("avg_rule_score")) for p in parts]
+                                      exact_mean("score", 3).alias("avg_rule_score")) for p in parts]
     return finalize(sums[0].unionByName(sums[1]))
 
 
@@ -154,8 +154,8 @@ def q_approx_tokens(spark, sf_dir):
 
 CI_SUMMARY_SQL = """
     SELECT template, CAST(count(*) AS BIGINT) AS n_cases,
-           avg(CAST(passed AS INTEGER)) AS rule_pass_rate, avg(score) AS avg_rule_score,
-           avg(latency_ms) AS avg_latency_ms, avg(cost_usd) AS avg_cost_usd,
+           avg(CAST(passed AS INTEGER)) AS rule_pass_rate, (CAST(sum(CAST(round(score * 1000) AS BIGINT)) AS DOUBLE) / CAST(1000 * count(score) AS DOUBLE)) AS avg_rule_score,
+           (CAST(sum(CAST(round(latency_ms * 10) AS BIGINT)) AS DOUBLE) / CAST(10 * count(latency_ms) AS DOUBLE)) AS avg_latency_ms, (CAST(sum(CAST(round(cost_usd * 1000000) AS BIGINT)) AS DOUBLE) / CAST(1000000 * count(cost_usd) AS DOUBLE)) AS avg_cost_usd,
            CAST(sum(input_tokens) AS BIGINT) AS total_in_tokens,
            CAST(sum(output_tokens) AS BIGINT) AS total_out_tokens
     FROM evaluated GROUP BY template"""
@@ -209,12 +209,12 @@ def q_quality_gates(spark, sf_dir):
 
 @query("composite_score", with_views("""
     SELECT template, round_even(CASE WHEN j <> 0 THEN r * 0.5 + (j / 5.0) * 0.5 ELSE r END, 6) AS composite
-    FROM (SELECT template, avg(score) AS r,
+    FROM (SELECT template, (CAST(sum(CAST(round(score * 1000) AS BIGINT)) AS DOUBLE) / CAST(1000 * count(score) AS DOUBLE)) AS r,
                  CASE WHEN ord % 3 = 0 THEN CAST(0.0 AS DOUBLE) ELSE CAST(3.5 AS DOUBLE) + ord / 10.0 END AS j
           FROM evaluated GROUP BY template, ord) t""", "evaluated"))
 def q_composite_score(spark, sf_dir):
     # judge sentinel exercised: every third template has no judge mean (0.0)
-    s = evaluated(spark, sf_dir).groupBy("template", "ord").agg(F.avg("score").alias("r"))
+    s = evaluated(spark, sf_dir).groupBy("template", "ord").agg(exact_mean("score", 3).alias("r"))
     j = F.when(F.col("ord") % 3 == 0, F.lit(0.0)).otherwise(F.lit(3.5) + F.col("ord") / F.lit(10.0))
     return finalize(s.select("template", composite("r", j).alias("composite")))
 

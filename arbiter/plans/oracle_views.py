@@ -6,6 +6,7 @@ holding the named views and everything they depend on, in dependency order.
 
 from __future__ import annotations
 
+from arbiter.functions.rounding import exact_round_sql as XR
 from arbiter.sources import fixtures as FX
 
 
@@ -62,19 +63,20 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                   - CAST(len(must_not_violated) AS DOUBLE) * CAST(0.25 AS DOUBLE))
                  + CASE WHEN ends_with_cta THEN CAST(0.1 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END)) AS score_raw
         FROM ruled"""),
-    "evaluated": (("scored",), """
+    "evaluated": (("scored",), f"""
         SELECT *, (score_raw >= 0.6 AND len(must_not_violated) = 0) AS passed,
-               round_even(score_raw, 3) AS score,
+               {XR('score_raw', 3)} AS score,
                word_count <= max_words AS within_word_limit,
-               round_even((CAST(input_tokens AS DOUBLE) / 1000.0) * CAST(0.0025 AS DOUBLE)
-                        + (CAST(output_tokens AS DOUBLE) / 1000.0) * CAST(0.01 AS DOUBLE), 6) AS cost_usd
-        FROM scored"""),
+               {XR('cost_raw', 6)} AS cost_usd
+        FROM (SELECT *, (CAST(input_tokens AS DOUBLE) / 1000.0) * CAST(0.0025 AS DOUBLE)
+                        + (CAST(output_tokens AS DOUBLE) / 1000.0) * CAST(0.01 AS DOUBLE) AS cost_raw
+              FROM scored) sc"""),
     "summary": (("evaluated",), """
         SELECT template, ord, CAST(count(*) AS BIGINT) AS n_cases,
                avg(CAST(passed AS INTEGER)) AS rule_pass_rate,
-               avg(score) AS avg_rule_score, avg(latency_ms) AS avg_latency_ms,
+               (CAST(sum(CAST(round(score * 1000) AS BIGINT)) AS DOUBLE) / CAST(1000 * count(score) AS DOUBLE)) AS avg_rule_score, (CAST(sum(CAST(round(latency_ms * 10) AS BIGINT)) AS DOUBLE) / CAST(10 * count(latency_ms) AS DOUBLE)) AS avg_latency_ms,
                avg(input_tokens) AS avg_input_tokens, avg(output_tokens) AS avg_output_tokens,
-               CAST(0.0 AS DOUBLE) AS avg_judge_score, avg(score) AS composite
+               CAST(0.0 AS DOUBLE) AS avg_judge_score, (CAST(sum(CAST(round(score * 1000) AS BIGINT)) AS DOUBLE) / CAST(1000 * count(score) AS DOUBLE)) AS composite
         FROM evaluated GROUP BY template, ord"""),
 }
 
@@ -102,7 +104,7 @@ STRIP = "regexp_replace({0}, '^\\s+|\\s+$', '', 'g')"
 VIEWS["judge_parsed"] = (("judge_raw",), f"""
     SELECT resp_id, template, case_id, judge_raw, h AS judge_helpfulness, f AS judge_faithfulness,
            c AS judge_conciseness, s AS judge_safety, coalesce(reasoning, '') AS judge_reasoning,
-           CASE WHEN ok THEN round_even((((h + f) + c) + s) / 4.0, 2) END AS judge_avg, ok AS judge_ok
+           CASE WHEN ok THEN {XR('((((h + f) + c) + s) / 4.0)', 2)} END AS judge_avg, ok AS judge_ok
     FROM (SELECT *, (h IS NOT NULL AND f IS NOT NULL AND c IS NOT NULL AND s IS NOT NULL) AS ok FROM (
       SELECT *,
         CASE WHEN json_valid(body) THEN TRY_CAST(json_extract_string(body, '$.helpfulness') AS DOUBLE) END AS h,
@@ -120,14 +122,14 @@ VIEWS["judged"] = (("evaluated", "judge_parsed"), """
 
 VIEWS["summary_judge"] = (("judged",), """
     SELECT template, ord, CAST(count(*) AS BIGINT) AS n_cases,
-           avg(CAST(passed AS INTEGER)) AS rule_pass_rate, avg(score) AS avg_rule_score,
-           avg(latency_ms) AS avg_latency_ms, avg(input_tokens) AS avg_input_tokens,
+           avg(CAST(passed AS INTEGER)) AS rule_pass_rate, (CAST(sum(CAST(round(score * 1000) AS BIGINT)) AS DOUBLE) / CAST(1000 * count(score) AS DOUBLE)) AS avg_rule_score,
+           (CAST(sum(CAST(round(latency_ms * 10) AS BIGINT)) AS DOUBLE) / CAST(10 * count(latency_ms) AS DOUBLE)) AS avg_latency_ms, avg(input_tokens) AS avg_input_tokens,
            avg(output_tokens) AS avg_output_tokens, CAST(count(judge_avg) AS BIGINT) AS n_judged,
-           coalesce(avg(judge_avg), CAST(0.0 AS DOUBLE)) AS avg_judge_score,
+           coalesce((CAST(sum(CAST(round(judge_avg * 100) AS BIGINT)) AS DOUBLE) / CAST(100 * count(judge_avg) AS DOUBLE)), CAST(0.0 AS DOUBLE)) AS avg_judge_score,
            avg(judge_helpfulness) AS avg_judge_helpfulness, avg(judge_faithfulness) AS avg_judge_faithfulness,
            avg(judge_conciseness) AS avg_judge_conciseness, avg(judge_safety) AS avg_judge_safety,
-           CASE WHEN coalesce(avg(judge_avg), 0.0) <> 0 THEN avg(score) * 0.5 + (avg(judge_avg) / 5.0) * 0.5
-                ELSE avg(score) END AS composite
+           CASE WHEN coalesce((CAST(sum(CAST(round(judge_avg * 100) AS BIGINT)) AS DOUBLE) / CAST(100 * count(judge_avg) AS DOUBLE)), 0.0) <> 0 THEN (CAST(sum(CAST(round(score * 1000) AS BIGINT)) AS DOUBLE) / CAST(1000 * count(score) AS DOUBLE)) * 0.5 + ((CAST(sum(CAST(round(judge_avg * 100) AS BIGINT)) AS DOUBLE) / CAST(100 * count(judge_avg) AS DOUBLE)) / 5.0) * 0.5
+                ELSE (CAST(sum(CAST(round(score * 1000) AS BIGINT)) AS DOUBLE) / CAST(1000 * count(score) AS DOUBLE)) END AS composite
     FROM judged GROUP BY template, ord""")
 
 
@@ -154,3 +156,57 @@ def register_view(name: str, deps: tuple[str, ...], sql: str) -> None:
     if name in VIEWS:
         raise ValueError(f"duplicate view {name}")
     VIEWS[name] = (deps, sql)
+
+
+# --- registry events (F5) and registry state ------------------------------------
+_K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+register_view("reg_src", (), f"""
+    SELECT CAST(user_id AS VARCHAR) AS model, event_id AS seq, event_type, {_K} AS k,
+           sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (
+             PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n_reg
+    FROM events""")
+register_view("registry", ("reg_src",), """
+    SELECT model, seq, kind, version, alias, tag_key, tag_value, 'run-' || CAST(seq AS VARCHAR) AS run_id
+    FROM (
+      SELECT model, seq, 'register' AS kind, CAST(n_reg AS VARCHAR) AS version, CAST(NULL AS VARCHAR) AS alias,
+             CAST(NULL AS VARCHAR) AS tag_key, CAST(NULL AS VARCHAR) AS tag_value
+      FROM reg_src WHERE n_reg > 0 AND event_type = 'signup'
+      UNION ALL SELECT model, seq, 'set_alias', CAST(n_reg AS VARCHAR), 'candidate', NULL, NULL
+      FROM reg_src WHERE n_reg > 0 AND event_type = 'view'
+      UNION ALL SELECT model, seq, 'set_alias', CAST(n_reg AS VARCHAR), 'production', NULL, NULL
+      FROM reg_src WHERE n_reg > 0 AND event_type = 'purchase'
+      UNION ALL SELECT model, seq, 'set_tag', CAST(n_reg AS VARCHAR), NULL, 'cd_production', 'deployed'
+      FROM reg_src WHERE n_reg > 0 AND event_type = 'purchase'
+      UNION ALL SELECT model, seq, 'set_alias', CAST(n_reg AS VARCHAR), 'champion', NULL, NULL
+      FROM reg_src WHERE n_reg > 0 AND event_type = 'click' AND k % 2 = 0
+      UNION ALL SELECT model, seq, 'set_tag', CAST(n_reg AS VARCHAR), NULL, 'cd_staging',
+             CASE WHEN k < 70 THEN 'pass' ELSE 'fail' END
+      FROM reg_src WHERE n_reg > 0 AND event_type = 'click' AND k % 2 <> 0
+      UNION ALL SELECT model, seq, 'delete_alias', NULL, 'candidate', NULL, NULL
+      FROM reg_src WHERE n_reg > 0 AND event_type = 'error' AND k < 50
+      UNION ALL SELECT model, seq, 'delete_version', CAST(1 + k % 5 AS VARCHAR), NULL, NULL, NULL
+      FROM reg_src WHERE n_reg > 0 AND event_type = 'error' AND k >= 50) u""")
+register_view("vdel", ("registry",), """
+    SELECT d.model, d.version, min(d.seq) AS del_seq
+    FROM registry d JOIN (SELECT model, version, min(seq) AS reg_seq FROM registry
+                          WHERE kind = 'register' GROUP BY model, version) r
+      ON d.model = r.model AND d.version = r.version
+    WHERE d.kind = 'delete_version' AND d.seq > r.reg_seq GROUP BY d.model, d.version""")
+register_view("alias_state", ("registry", "vdel"), """
+    SELECT model, alias, version, seq AS set_seq FROM (
+      SELECT *, row_number() OVER (PARTITION BY model, alias ORDER BY seq DESC) AS rn FROM (
+        SELECT s.model, s.alias, s.version, s.seq, v.del_seq
+        FROM registry s LEFT JOIN vdel v ON s.model = v.model AND s.version = v.version
+        WHERE s.kind = 'set_alias' AND (v.del_seq IS NULL OR s.seq < v.del_seq)
+        UNION ALL
+        SELECT model, alias, NULL, seq, NULL FROM registry WHERE kind = 'delete_alias') w) t
+    WHERE rn = 1 AND version IS NOT NULL AND del_seq IS NULL
+      AND NOT EXISTS (SELECT 1 FROM registry m WHERE m.kind = 'delete_model' AND m.model = t.model
+                      AND m.seq > t.seq)""")
+register_view("tag_state", ("registry", "vdel"), """
+    SELECT model, version, tag_key, tag_value, seq AS set_seq FROM (
+      SELECT s.model, s.version, s.tag_key, s.tag_value, s.seq,
+             row_number() OVER (PARTITION BY s.model, s.version, s.tag_key ORDER BY s.seq DESC) AS rn
+      FROM registry s LEFT JOIN vdel v ON s.model = v.model AND s.version = v.version
+      WHERE s.kind = 'set_tag' AND v.del_seq IS NULL) t
+    WHERE rn = 1""")
