@@ -52,6 +52,19 @@ def materialize(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def request_payload(df: DataFrame, key: str, cols: list[str], batch_size: int) -> DataFrame:
+    """Split-orient scoring requests: rows grouped into batches of at most
+    ``batch_size`` consecutive keys, each batch one JSON document
+    ``{"dataframe_split": {"columns": [...], "data": [[...], ...]}}``."""
+    b = df.withColumn("batch_id", F.expr(f"{key} div {int(batch_size)}"))
+    rows = F.transform(F.sort_array(F.collect_list(F.struct(*cols))),
+                       lambda s: F.array(*[s[c] for c in cols]))
+    body = F.struct(F.struct(F.array(*[F.lit(c) for c in cols]).alias("columns"),
+                             rows.alias("data")).alias("dataframe_split"))
+    return b.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"),
+                                     F.to_json(body).alias("payload"))
+
+
 # --- SQL-registered vectorised scorer -----------------------------------------
 
 def word_score(texts: pd.Series) -> pd.Series:

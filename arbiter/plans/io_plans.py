@@ -1 +1,232 @@
-"""Queries (see module docstring of catalog)."""
+"""Sources and sinks: config loading, CSV scan, run log, artifacts, JSON
+tables, request payloads, tool-call parsing and small projections."""
+
+from __future__ import annotations
+
+import time
+
+from pyspark.sql import functions as F
+
+from arbiter import schemas as S
+from arbiter.functions.json_fns import tool_args, tool_name
+from arbiter.functions.rounding import exact_round, exact_round_sql as XR
+from arbiter.operators.common import bounded_broadcast
+from arbiter.plans.catalog import finalize, query
+from arbiter.plans.experiment import evaluated, summary
+from arbiter.plans.oracle_views import register_view, with_views
+from arbiter.sources import config_source as CS
+from arbiter.sources import fixtures as FX
+from arbiter.sources import sinks
+from arbiter.sources.tables import read_table
+
+
+@query("case_source", with_views("""
+    SELECT c.case_id, CAST(len(c.expected_topics) AS BIGINT) AS n_topics,
+           CAST(len(c.must_not_contain) AS BIGINT) AS n_must_not, CAST(c.max_words AS INTEGER) AS max_words,
+           CAST(count(r.resp_id) AS BIGINT) AS n_responses
+    FROM cases c LEFT JOIN responses r ON r.case_id = c.case_id
+    GROUP BY c.case_id, c.expected_topics, c.must_not_contain, c.max_words""", "cases", "responses"))
+def q_case_source(spark, sf_dir):
+    path = sinks.fresh_path(spark, "config/cases")
+    CS.write_cases(spark, FX.GOLDEN_CASES, path)
+    cases = CS.require_rows(CS.load_cases(spark, path), "case")
+    counts = FX.responses(spark, sf_dir).groupBy("case_id").agg(F.count(F.lit(1)).alias("n"))
+    j = bounded_broadcast(cases).join(counts, "case_id", "left")
+    return j.select("case_id", F.size("expected_topics").cast("bigint").alias("n_topics"),
+                    F.size("must_not_contain").cast("bigint").alias("n_must_not"), "max_words",
+                    F.coalesce("n", F.lit(0)).cast("bigint").alias("n_responses"))
+
+
+@query("config_required_fields", """
+    SELECT event_id AS call_id, 'k' AS missing FROM events
+    WHERE NOT (event_id % 50 <> 0 AND json_valid(props) AND json_extract(props, '$.k') IS NOT NULL)""")
+def q_config_required_fields(spark, sf_dir):
+    # required argument keys vs the keys present in each call's argument map
+    calls = FX.tool_calls(spark, sf_dir)
+    miss = CS.missing_keys(tool_args("arguments"), ["k"])
+    return calls.select("call_id", F.array_join(miss, ",").alias("missing")).where(
+        F.col("missing") != "")
+
+
+@query("default_fill", """
+    SELECT event_id AS call_id,
+           coalesce(nullif(CASE WHEN user_id % 2 = 0 THEN 's' || CAST(user_id AS VARCHAR) END, ''), 'default-session') AS session_or_default
+    FROM events""")
+def q_default_fill(spark, sf_dir):
+    c = FX.tool_calls(spark, sf_dir)
+    return c.select("call_id", CS.default_fill("custom_session", "default-session")
+                    .alias("session_or_default"))
+
+
+@query("key_set_difference", with_views("""
+    SELECT m.model, r.alias AS missing_alias
+    FROM (SELECT DISTINCT model FROM registry) m
+    CROSS JOIN (VALUES ('candidate'), ('champion'), ('production')) r(alias)
+    WHERE NOT EXISTS (SELECT 1 FROM alias_state a WHERE a.model = m.model AND a.alias = r.alias)""",
+    "registry", "alias_state"))
+def q_key_set_difference(spark, sf_dir):
+    from arbiter.operators import registry as R
+    ev = FX.registry_events(spark, sf_dir)
+    required = F.array(*[F.lit(a) for a in ("candidate", "champion", "production")])
+    want = ev.select("model").distinct().select("model", F.explode(required).alias("alias"))
+    have = R.alias_state(ev).select("model", "alias")
+    return want.join(have, ["model", "alias"], "left_anti").select(
+        "model", F.col("alias").alias("missing_alias"))
+
+
+CSV_COLS = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+
+
+@query("csv_scan", """
+    SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+           CAST(l_quantity AS DOUBLE) AS l_quantity, CAST(l_discount AS DOUBLE) AS l_discount,
+           CAST(l_tax AS DOUBLE) AS l_tax, CAST(l_extendedprice AS DOUBLE) AS l_extendedprice
+    FROM lineitem""")
+def q_csv_scan(spark, sf_dir):
+    path = sinks.fresh_path(spark, "csv/lineitem")
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", *CSV_COLS])
+    li.write.option("header", True).csv(path)
+    # header + inferred types (sampled), then the column subset cast to double
+    df = (spark.read.option("header", True).option("inferSchema", True)
+          .option("samplingRatio", 0.1).csv(path))
+    return df.select(F.col("l_orderkey").cast("bigint"), F.col("l_linenumber").cast("bigint"),
+                     *[F.col(c).cast("double").alias(c) for c in CSV_COLS])
+
+
+@query("labelled_table_scan", """
+    SELECT vec_id, CAST(label AS INTEGER) AS label, CAST(len(embedding) AS INTEGER) AS n_features FROM embeddings""")
+def q_labelled_table_scan(spark, sf_dir):
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    v = FX.vectors(spark, sf_dir).select("vec_id", "label",
+                                         array_to_vector("embedding").alias("features"))
+    return v.select("vec_id", F.col("label").cast("int"),
+                    F.size(vector_to_array("features")).alias("n_features"))
+
+
+RUN_METRICS = [("eval/rule_pass_rate", "rule_pass_rate", 3), ("eval/avg_rule_score", "avg_rule_score", 3),
+               ("perf/avg_latency_ms", "avg_latency_ms", 1),
+               ("perf/avg_input_tokens", "avg_input_tokens", 1),
+               ("perf/avg_output_tokens", "avg_output_tokens", 1)]
+
+
+@query("run_log_sink", with_views(" UNION ALL ".join(
+    f"SELECT template AS run_id, '{k}' AS key, {XR(c, d)} AS value FROM summary"
+    for k, c, d in RUN_METRICS), "summary"))
+def q_run_log_sink(spark, sf_dir):
+    s = summary(spark, sf_dir)
+    wide = s.select(F.col("template").alias("run_id"),
+                    *[exact_round(c, d).alias(k) for k, c, d in RUN_METRICS])
+    long = sinks.numeric_metrics(sinks.unpivot_run(wide, "run_id", [k for k, _, _ in RUN_METRICS]))
+    path = sinks.fresh_path(spark, "runs/metrics")
+    sinks.write_run_log(long, path, "2024-06-01")
+    back = spark.read.parquet(path)
+    return back.select("run_id", "key", "value")
+
+
+@query("artifact_json_sink", with_views("""
+    SELECT template, resp_id, score, passed, array_to_string(topic_misses, ',') AS topic_misses
+    FROM evaluated""", "evaluated"))
+def q_artifact_json_sink(spark, sf_dir):
+    rec = evaluated(spark, sf_dir).select(
+        "template", "resp_id", "score", "passed",
+        F.array_join("topic_misses", ",").alias("topic_misses"))
+    path = sinks.fresh_path(spark, "artifacts/eval_results")
+    sinks.write_artifacts(rec, path, "template")
+    back = sinks.read_artifacts(spark, path, "resp_id BIGINT, score DOUBLE, passed BOOLEAN, "
+                                              "topic_misses STRING, template STRING")
+    return back.select("template", "resp_id", "score", "passed", "topic_misses")
+
+
+@query("artifact_latest_read", with_views("""
+    SELECT template, resp_id, CASE WHEN ord % 2 = 0 THEN 2 ELSE 1 END AS gen FROM evaluated""",
+    "evaluated"))
+def q_artifact_latest_read(spark, sf_dir):
+    rec = evaluated(spark, sf_dir).select("template", "ord", "resp_id")
+    path = sinks.fresh_path(spark, "artifacts/prompt_config")
+    sinks.write_artifacts(rec.withColumn("gen", F.lit(1)), path, "template")
+    time.sleep(1.1)   # the second generation is strictly newer on every file system
+    sinks.write_artifacts(rec.where(F.col("ord") % 2 == 0).withColumn("gen", F.lit(2)), path,
+                          "template")
+    latest = sinks.latest_generation(spark, path, "resp_id BIGINT, gen INT, template STRING",
+                                     "template")
+    return latest.select("template", "resp_id", F.col("gen").cast("int").alias("gen"))
+
+
+@query("table_json_sink", with_views("""
+    SELECT template, round_even(rule_pass_rate, 6) AS rule_pass_rate FROM summary""", "summary"))
+def q_table_json_sink(spark, sf_dir):
+    t = finalize(summary(spark, sf_dir).select("template", "rule_pass_rate"))
+    path = sinks.fresh_path(spark, "tables/leaderboard")
+    sinks.write_json_table(t, path)
+    return spark.read.schema("template STRING, rule_pass_rate DOUBLE").json(path)
+
+
+@query("request_payload", """
+    SELECT resp_id // 100 AS batch_id, CAST(count(*) AS BIGINT) AS n_rows,
+           '{"dataframe_split":{"columns":["resp_id","input_tokens","output_tokens"],"data":['
+           || string_agg('[' || CAST(resp_id AS VARCHAR) || ',' || CAST(input_tokens AS VARCHAR) || ','
+                         || CAST(output_tokens AS VARCHAR) || ']', ',' ORDER BY resp_id) || ']}}' AS payload
+    FROM (SELECT doc_id AS resp_id, CAST(40 + 10 * CAST(substr(source, 4) AS INTEGER) AS BIGINT) AS input_tokens,
+                 CAST(floor(len(regexp_extract_all(text, '\\S+')) * CAST(1.3 AS DOUBLE)) AS BIGINT) AS output_tokens
+          FROM documents) r GROUP BY resp_id // 100""")
+def q_request_payload(spark, sf_dir):
+    from arbiter.operators.scoring import request_payload
+    r = FX.responses(spark, sf_dir).select("resp_id", "input_tokens", "output_tokens")
+    return request_payload(r, "resp_id", ["resp_id", "input_tokens", "output_tokens"], 100)
+
+
+@query("tool_call_parse", """
+    SELECT event_id AS call_id, replace('cat__sch__' || event_type, '__', '.') AS tool,
+           CASE WHEN event_id % 50 = 0 OR NOT json_valid(props) THEN 0 ELSE len(json_keys(props)) END AS n_args,
+           CASE WHEN event_id % 50 = 0 THEN NULL ELSE json_extract_string(props, '$.k') END AS k
+    FROM events""")
+def q_tool_call_parse(spark, sf_dir):
+    c = FX.tool_calls(spark, sf_dir)
+    m = tool_args("arguments")
+    return c.select("call_id", tool_name("name").alias("tool"),
+                    F.size(m).cast("bigint").alias("n_args"), m["k"].alias("k"))
+
+
+@query("session_key", """
+    SELECT event_id AS call_id,
+           coalesce(CASE WHEN user_id % 2 = 0 THEN 's' || CAST(user_id AS VARCHAR) END,
+                    'c' || CAST(user_id AS VARCHAR)) AS session_id
+    FROM events""")
+def q_session_key(spark, sf_dir):
+    c = FX.tool_calls(spark, sf_dir)
+    return c.select("call_id", F.coalesce("custom_session", "context_conversation").alias("session_id"))
+
+
+@query("terminal_event_filter", """
+    SELECT event_id, event_id // 3 AS request_id, user_id FROM events WHERE event_type = 'purchase'""")
+def q_terminal_event_filter(spark, sf_dir):
+    # the terminal event type is a parameter ('response.output_item.done' for
+    # agent streams); on the telemetry fixture it is 'purchase'
+    t = FX.telemetry(spark, sf_dir)
+    return t.where(F.col("event_type") == "purchase").select("event_id", "request_id", "user_id")
+
+
+@query("metric_type_filter", """
+    SELECT event_id AS call_id, round_even(TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE), 6) AS value
+    FROM events WHERE event_id % 40 <> 0 AND TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE) IS NOT NULL""")
+def q_metric_type_filter(spark, sf_dir):
+    c = FX.tool_calls(spark, sf_dir).select("call_id", F.col("metric_value").alias("value"))
+    return finalize(sinks.numeric_metrics(c))
+
+
+TOOLS = [("cat.sch.click", "record a click"), ("cat.sch.view", "record a view"),
+         ("cat.sch.purchase", "record a purchase")]
+
+
+@query("tool_lookup", """
+    SELECT e.event_id AS call_id, replace('cat__sch__' || e.event_type, '__', '.') AS tool,
+           t.description, t.description IS NULL AS unknown_tool
+    FROM events e LEFT JOIN (VALUES ('cat.sch.click', 'record a click'), ('cat.sch.view', 'record a view'),
+                                    ('cat.sch.purchase', 'record a purchase')) t(name, description)
+      ON t.name = replace('cat__sch__' || e.event_type, '__', '.')""")
+def q_tool_lookup(spark, sf_dir):
+    c = FX.tool_calls(spark, sf_dir).select("call_id", tool_name("name").alias("tool"))
+    tools = spark.createDataFrame(TOOLS, S.TOOL).withColumnRenamed("name", "tool")
+    j = c.join(bounded_broadcast(tools), "tool", "left")
+    return j.select("call_id", "tool", "description",
+                    F.col("description").isNull().alias("unknown_tool"))

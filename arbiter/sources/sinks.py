@@ -57,12 +57,18 @@ def write_run_log(long: DataFrame, path: str, run_date: str) -> None:
 
 # --- artifacts ------------------------------------------------------------------------------
 
-def write_artifacts(records: DataFrame, path: str, run_col: str) -> None:
+def write_artifacts(records: DataFrame, path: str, run_col: str,
+                    written_at_ms: int | None = None) -> None:
     """Per-case records of each run as JSON lines under ``<run_col>=<run>/``.
 
     The per-run document is the folder, not one collected array: a run with
-    millions of cases is written by many tasks and never held in one row."""
-    records.write.mode("append").partitionBy(run_col).json(path)
+    millions of cases is written by many tasks and never held in one row.
+    Every write stamps its rows with one ``_written_at`` (ms) so a later
+    read can keep the newest generation of each run exactly."""
+    import time as _t
+    stamp = int(_t.time() * 1000) if written_at_ms is None else written_at_ms
+    records.withColumn("_written_at", F.lit(stamp).cast("bigint")).write.mode(
+        "append").partitionBy(run_col).json(path)
 
 
 def read_artifacts(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -81,5 +87,13 @@ def latest_file_per_folder(spark: SparkSession, path: str, schema, folder_col: s
                    ).drop("_top")
 
 
+def latest_generation(spark: SparkSession, path: str, schema: str, run_col: str) -> DataFrame:
+    """Rows of the newest write of each run folder (max ``_written_at``)."""
+    df = spark.read.schema(f"{schema}, _written_at BIGINT").json(path)
+    newest = df.groupBy(run_col).agg(F.max("_written_at").alias("_newest"))
+    return (df.join(newest, run_col).where(F.col("_written_at") == F.col("_newest"))
+            .drop("_newest", "_written_at"))
+
+
 def write_json_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
