@@ -45,13 +45,17 @@ def _load_all() -> None:
                                streaming_plans, scoring_plans)
 
 
-def finalize(df: DataFrame, decimals: int = 6) -> DataFrame:
+def finalize(df: DataFrame, decimals: int = 6, exact: bool = False) -> DataFrame:
     """Output boundary: half-even rounding of every double column so results
-    compare by value across engines."""
+    compare by value across engines (``exact``: on the binary value, for
+    magnitudes where the decimal representation is too short)."""
+    from arbiter.functions.rounding import exact_round
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append((F.bround(F.col(f.name).cast("double"), decimals) + F.lit(0.0)).alias(f.name))
+            c = F.col(f.name).cast("double")
+            r = exact_round(c, decimals) if exact else F.bround(c, decimals) + F.lit(0.0)
+            cols.append(r.alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

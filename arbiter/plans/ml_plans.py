@@ -1 +1,178 @@
-"""Queries (see module docstring of catalog)."""
+"""Tabular model training/comparison, metrics, splits, vectors."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from arbiter.functions.rounding import exact_round_sql as XR
+from arbiter.operators import ml as ML
+from arbiter.operators import vectors as VX
+from arbiter.plans.catalog import finalize, query
+from arbiter.plans.oracle_views import register_view, with_views
+from arbiter.sources import fixtures as FX
+from arbiter.sources.tables import read_table
+
+register_view("tabular", (), """
+    SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR)
+             || '-' || CAST(l_linenumber AS VARCHAR) AS row_id,
+           CAST(l_quantity AS DOUBLE) AS quantity, CAST(l_discount AS DOUBLE) AS discount,
+           CAST(l_extendedprice AS DOUBLE) AS label,
+           l_quantity * 1500.0 AS p1, l_quantity * 1500.0 * (1.0 - l_discount) AS p2
+    FROM lineitem""")
+register_view("splits", ("tabular",), """
+    SELECT row_id, CASE WHEN b < 60 THEN 'train' WHEN b < 80 THEN 'val' ELSE 'test' END AS split
+    FROM (SELECT row_id, ('0x' || substr(md5('s' || row_id), 1, 8))::BIGINT % 100 AS b FROM tabular) t""")
+MSE_SQL = ("CAST(sum(CAST(round((p - label) * 100) AS HUGEINT) * CAST(round((p - label) * 100) AS HUGEINT)) "
+           "AS DOUBLE) / (CAST(count(*) AS DOUBLE) * 10000.0)")
+register_view("mse", ("tabular",), f"""
+    SELECT model, {MSE_SQL} AS mse, CAST(count(*) AS BIGINT) AS n FROM (
+      SELECT 'p1' AS model, p1 AS p, label FROM tabular UNION ALL SELECT 'p2', p2, label FROM tabular) u
+    GROUP BY model""")
+
+
+def tab(spark, sf_dir):
+    return FX.tabular(spark, sf_dir)
+
+
+def with_split(spark, sf_dir):
+    return tab(spark, sf_dir).withColumn("split", ML.split_label("row_id"))
+
+
+@query("split_partition", with_views("SELECT row_id, split FROM splits", "splits"))
+def q_split_partition(spark, sf_dir):
+    return with_split(spark, sf_dir).select("row_id", "split")
+
+
+@query("positional_align", with_views("""
+    SELECT row_id, round_even(p1, 6) AS p1, round_even(p2, 6) AS p2, round_even(label, 6) AS label FROM tabular""",
+    "tabular"))
+def q_positional_align(spark, sf_dir):
+    t = tab(spark, sf_dir)
+    truth = t.select("row_id", "label")
+    m1 = t.select("row_id", "p1")
+    m2 = t.select("row_id", "p2")
+    # aligned on an explicit row key (never on position)
+    return finalize(truth.join(m1, "row_id").join(m2, "row_id"))
+
+
+@query("prediction_mse", with_views(f"SELECT model, {XR('mse', 6)} AS mse, n FROM mse", "mse"))
+def q_prediction_mse(spark, sf_dir):
+    out = ML.prediction_mse(tab(spark, sf_dir), ["p1", "p2"])
+    return finalize(out.select("model", "mse", F.col("n").cast("bigint")), exact=True)
+
+
+@query("model_compare", with_views(f"""
+    SELECT arg_min(model, mse) AS champion, {XR('min(mse)', 6)} AS champion_mse,
+           {XR('max(mse)', 6)} AS challenger_mse, 'set_alias' AS kind, 'Champion' AS alias FROM mse""",
+    "mse"))
+def q_model_compare(spark, sf_dir):
+    m = ML.prediction_mse(tab(spark, sf_dir), ["p1", "p2"])
+    out = m.agg(F.min_by("model", "mse").alias("champion"), F.min("mse").alias("champion_mse"),
+                F.max("mse").alias("challenger_mse"))
+    return finalize(out.select("*", F.lit("set_alias").alias("kind"), F.lit("Champion").alias("alias")),
+                    exact=True)
+
+
+@query("classification_metrics", """
+    SELECT tp, fp, fn, tn, round_even((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy,
+           round_even(coalesce(tp / nullif(tp + fp, 0), 0.0), 6) AS precision,
+           round_even(coalesce(tp / nullif(tp + fn, 0), 0.0), 6) AS recall,
+           round_even(coalesce(2.0 * (tp / nullif(tp + fp, 0)) * (tp / nullif(tp + fn, 0))
+                      / nullif(tp / nullif(tp + fp, 0) + tp / nullif(tp + fn, 0), 0), 0.0), 6) AS f1
+    FROM (SELECT CAST(count_if(l.quality = 1 AND d.n_chars > 1000) AS BIGINT) AS tp,
+                 CAST(count_if(l.quality = 0 AND d.n_chars > 1000) AS BIGINT) AS fp,
+                 CAST(count_if(l.quality = 1 AND d.n_chars <= 1000) AS BIGINT) AS fn,
+                 CAST(count_if(l.quality = 0 AND d.n_chars <= 1000) AS BIGINT) AS tn
+          FROM labels l JOIN documents d ON d.doc_id = l.doc_id) c""")
+def q_classification_metrics(spark, sf_dir):
+    lab = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
+    d = read_table(spark, sf_dir, "documents", ["doc_id", "n_chars"])
+    j = lab.join(d, "doc_id").select(F.col("quality").alias("label"),
+                                     (F.col("n_chars") > 1000).cast("int").alias("prediction"))
+    m = ML.binary_metrics(j)
+    return finalize(m.select(*[F.col(c).cast("bigint") for c in ("tp", "fp", "fn", "tn")],
+                             "accuracy", "precision", "recall", "f1"))
+
+
+register_view("pool", (), """
+    SELECT label, pos, avg(CAST(v AS DOUBLE)) AS mean
+    FROM (SELECT label, unnest(embedding) AS v, unnest(range(len(embedding))) AS pos FROM embeddings) x
+    GROUP BY label, pos""")
+
+
+@query("mean_pool", with_views("SELECT label, pos, round_even(mean, 6) AS mean FROM pool", "pool"))
+def q_mean_pool(spark, sf_dir):
+    v = FX.vectors(spark, sf_dir)
+    return finalize(VX.mean_pool_long(v, "label", "embedding").select(
+        "label", F.col("pos").cast("bigint").alias("pos"), "mean"))
+
+
+_DOT = "list_reduce(list_transform(list_zip({0}, {1}), lambda p: p[1] * p[2]), lambda x, y: x + y)"
+register_view("topk", ("pool",), f"""
+    SELECT qid, CAST(rank AS INTEGER) AS rank, id, round_even(score, 6) AS score FROM (
+      SELECT q.qid, t.id, {_DOT.format('q.qv', 't.tv')} AS score,
+             row_number() OVER (PARTITION BY q.qid ORDER BY {_DOT.format('q.qv', 't.tv')} DESC, t.id) AS rank
+      FROM (SELECT qid, list_transform(v, lambda x: x / n) AS qv FROM (
+              SELECT qid, v, sqrt({_DOT.format('v', 'v')}) AS n FROM (
+                SELECT label AS qid, list(mean ORDER BY pos) AS v FROM pool GROUP BY label) c) c2) q,
+           (SELECT id, list_transform(v, lambda x: x / n) AS tv FROM (
+              SELECT vec_id AS id, v, sqrt({_DOT.format('v', 'v')}) AS n FROM (
+                SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings) e) e2) t
+    ) s WHERE rank <= 5""")
+
+
+@query("vector_topk", with_views("SELECT qid, rank, id, score FROM topk", "topk"))
+def q_vector_topk(spark, sf_dir):
+    # queries: the label centroids (pooled from the table itself); k = 5
+    v = FX.vectors(spark, sf_dir)
+    cent = VX.mean_pool(v, "label", "embedding")
+    top = VX.cosine_topk(v, "vec_id", "embedding", cent, "label", "pooled", 5)
+    return finalize(top.select(F.col("qid").cast("int").alias("qid"),
+                               F.col("rank").cast("int").alias("rank"), "id", "score"))
+
+
+def _report(spark, sf_dir, kind, **kw):
+    s = with_split(spark, sf_dir)
+    train = s.where(F.col("split") == "train")
+    val = s.where(F.col("split") == "val")
+    model = ML.fit_regressor(train, FX.TABULAR_FEATURES, kind, **kw)
+    return ML.regression_report(model, train, val, kind)
+
+
+@query("train_gbt")
+def q_train_gbt(spark, sf_dir):
+    return _report(spark, sf_dir, "gbt")
+
+
+@query("train_rf")
+def q_train_rf(spark, sf_dir):
+    return _report(spark, sf_dir, "rf", num_trees=300)
+
+
+@query("train_logreg")
+def q_train_logreg(spark, sf_dir):
+    v = FX.vectors(spark, sf_dir).withColumn(
+        "split", F.when(ML.hash_bucket("vec_id") < 80, F.lit("train")).otherwise(F.lit("test")))
+    train = v.where(F.col("split") == "train")
+    test = v.where(F.col("split") == "test")
+    model = ML.fit_logreg(train, "embedding", max_iter=1000)
+    from pyspark.ml.functions import array_to_vector
+    pred = model.transform(test.withColumn("features", array_to_vector("embedding")))
+    return pred.agg(F.count(F.lit(1)).alias("n_test"),
+                    F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"))
+
+
+@query("alias_batch_inference")
+def q_alias_batch_inference(spark, sf_dir):
+    from arbiter.operators import registry as R
+    from arbiter.operators.model_store import ModelStore
+    s = with_split(spark, sf_dir)
+    train = s.where(F.col("split") == "train")
+    store = ModelStore.fresh(spark, "bike_share_like")
+    v1 = store.register(ML.fit_regressor(train, ["quantity"], "linear"))
+    v2 = store.register(ML.fit_regressor(train, FX.TABULAR_FEATURES, "linear"))
+    store.set_alias("Champion", v2)
+    version = store.resolve(alias="Champion")
+    model = store.load(version)
+    test = s.where(F.col("split") == "test")
+    return model.transform(test).select("row_id", F.lit(version).alias("version"), "prediction")
