@@ -101,6 +101,11 @@ def judge_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """request attempts with state and latency, keyed by user session."""
     e = read_events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type", "value"])
+    return telemetry_from(e)
+
+
+def telemetry_from(e: DataFrame) -> DataFrame:
+    """F4 projection of an events frame (batch or streaming)."""
     state = (F.when(F.col("event_type") == "error", "FAILED")
              .when(F.col("event_type") == "view", "RETRYING").otherwise("EXECUTED"))
     return e.select(
@@ -163,6 +168,11 @@ def registry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """conversation turns with token estimates and a reset marker."""
     c = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    return turns_from(c)
+
+
+def turns_from(c: DataFrame) -> DataFrame:
+    """F6 projection of a conversations frame (batch or streaming)."""
     return c.select(
         "conv_id", "turn", "role", "text",
         approx_tokens(word_count("text")).alias("tokens"),
