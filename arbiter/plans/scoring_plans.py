@@ -1 +1,54 @@
-"""Queries (see module docstring of catalog)."""
+"""Python-boundary queries: SQL pandas UDF, batched embeddings, retries."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from arbiter.operators import scoring as SC
+from arbiter.plans.catalog import finalize, query
+from arbiter.plans.oracle_views import with_views
+from arbiter.sources import fixtures as FX
+from arbiter.sources.tables import read_table
+
+
+@query("score_udf_sql", """
+    SELECT doc_id, CAST(len(regexp_extract_all(text, '\\S+')) AS DOUBLE) AS score FROM documents""")
+def q_score_udf_sql(spark, sf_dir):
+    SC.register_score_udf(spark, "score_model")
+    view = f"arbiter_documents_{uuid.uuid4().hex[:8]}"
+    read_table(spark, sf_dir, "documents", ["doc_id", "text"]).createOrReplaceTempView(view)
+    return spark.sql(f"SELECT doc_id, score_model(text) AS score FROM {view}")
+
+
+@query("embed_texts")
+def q_embed_texts(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    e = SC.embed_texts(d, "text", "embedding", dim=64)
+    return e.select("doc_id", F.size("embedding").alias("dim"),
+                    F.sqrt(F.aggregate("embedding", F.lit(0.0),
+                                       lambda a, x: a + x.cast("double") * x.cast("double")))
+                    .alias("norm"))
+
+
+@query("retrying_call", with_views("""
+    , o AS (SELECT request_id, list(state ORDER BY attempt) AS outcomes FROM telemetry GROUP BY request_id),
+    a AS (SELECT o.request_id, CAST(g.range AS BIGINT) AS attempt,
+                 coalesce(o.outcomes[CAST(g.range AS INTEGER) + 1], 'EXECUTED') AS rec
+          FROM o, range(0, 3) g),
+    s AS (SELECT request_id, coalesce(min(CASE WHEN rec <> 'RETRYING' THEN attempt END), 2) AS stop
+          FROM a GROUP BY request_id)
+    SELECT a.request_id, a.attempt,
+           CASE WHEN rec = 'EXECUTED' THEN 'EXECUTED' WHEN rec = 'FAILED' THEN 'FAILED'
+                WHEN a.attempt = 2 THEN 'FAILED' ELSE 'RETRYING' END AS state,
+           CASE WHEN rec = 'FAILED' THEN 'error' WHEN rec = 'RETRYING' THEN 'timeout' END AS error
+    FROM a JOIN s ON s.request_id = a.request_id WHERE a.attempt <= s.stop""", "telemetry"))
+def q_retrying_call(spark, sf_dir):
+    # recorded attempt outcomes are replayed through the retry policy; a group
+    # is one request (at most three attempts), never a hot key
+    t = FX.telemetry(spark, sf_dir)
+    req = t.groupBy("request_id").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("attempt", "state"))), lambda s: s["state"])
+        .alias("outcomes"))
+    return SC.retrying_call(req, SC.replayed_outcomes_call)
