@@ -43,16 +43,24 @@ def q_split_partition(spark, sf_dir):
     return with_split(spark, sf_dir).select("row_id", "split")
 
 
-@query("positional_align", with_views("""
-    SELECT row_id, round_even(p1, 6) AS p1, round_even(p2, 6) AS p2, round_even(label, 6) AS label FROM tabular""",
-    "tabular"))
+@query("positional_align", """
+    SELECT row_uid, round_even(p1, 6) AS p1, round_even(p2, 6) AS p2, round_even(label, 6) AS label FROM (
+      SELECT *, row_id || '#' || CAST(row_number() OVER (PARTITION BY row_id ORDER BY quantity, discount, tax,
+                                      ship_month, ship_year, label) AS VARCHAR) AS row_uid
+      FROM (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR)
+                     || '-' || CAST(l_linenumber AS VARCHAR) AS row_id,
+                   CAST(l_quantity AS DOUBLE) AS quantity, CAST(l_discount AS DOUBLE) AS discount,
+                   CAST(l_tax AS DOUBLE) AS tax, CAST(month(l_shipdate) AS DOUBLE) AS ship_month,
+                   CAST(year(l_shipdate) AS DOUBLE) AS ship_year, CAST(l_extendedprice AS DOUBLE) AS label,
+                   l_quantity * 1500.0 AS p1, l_quantity * 1500.0 * (1.0 - l_discount) AS p2
+            FROM lineitem) t) k""")
 def q_positional_align(spark, sf_dir):
-    t = tab(spark, sf_dir)
-    truth = t.select("row_id", "label")
-    m1 = t.select("row_id", "p1")
-    m2 = t.select("row_id", "p2")
-    # aligned on an explicit row key (never on position)
-    return finalize(truth.join(m1, "row_id").join(m2, "row_id"))
+    t = FX.tabular_keyed(spark, sf_dir)
+    truth = t.select("row_uid", "label")
+    m1 = t.select("row_uid", "p1")
+    m2 = t.select("row_uid", "p2")
+    # aligned on an explicit unique row key (never on position)
+    return finalize(truth.join(m1, "row_uid").join(m2, "row_uid"))
 
 
 @query("prediction_mse", with_views(f"SELECT model, {XR('mse', 6)} AS mse, n FROM mse", "mse"))

@@ -209,6 +209,18 @@ def tabular(spark: SparkSession, sf_dir: str) -> DataFrame:
 TABULAR_FEATURES = ["quantity", "discount", "tax", "ship_month", "ship_year"]
 
 
+def tabular_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8 with a unique ``row_uid``: the row key plus an occurrence number
+    among rows sharing it (the key alone repeats at small scale).  Groups are
+    the duplicates of one key, so the window partitions stay tiny."""
+    from pyspark.sql import Window
+    t = tabular(spark, sf_dir)
+    w = Window.partitionBy("row_id").orderBy("quantity", "discount", "tax", "ship_month",
+                                             "ship_year", "label")
+    return t.withColumn("row_uid", F.concat_ws("#", "row_id",
+                                               F.row_number().over(w).cast("string")))
+
+
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """embedding vectors with their class label."""
     return read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
