@@ -26,16 +26,18 @@ def parse_judge(df: DataFrame, raw: str = "judge_raw") -> DataFrame:
     and ``judge_ok``: false when the text is not JSON or any dim is missing
     or non-numeric (``from_json`` yields a struct of NULLs then)."""
     parsed = df.select("*", F.from_json(judge_body(raw), S.JUDGE_SCORES).alias("_j"))
+    parsed = parsed.select("*", *[F.col(f"_j.{d}").alias(f"_jd_{d}") for d in D.JUDGE_DIMENSIONS])
     dims = [F.col(f"_j.{d}") for d in D.JUDGE_DIMENSIONS]
     ok = dims[0].isNotNull()
     for d in dims[1:]:
         ok = ok & d.isNotNull()
-    total = ((dims[0] + dims[1]) + dims[2]) + dims[3]
     return parsed.select(
         *df.columns,
         *[d.alias(f"judge_{n}") for d, n in zip(dims, D.JUDGE_DIMENSIONS)],
         F.coalesce(F.col("_j.reasoning"), F.lit("")).alias("judge_reasoning"),
-        F.when(ok, exact_round(total / F.lit(4.0), D.JUDGE_AVG_DECIMALS)).alias("judge_avg"),
+        F.when(ok, exact_round("((((`_jd_helpfulness` + `_jd_faithfulness`) + `_jd_conciseness`) + "
+                               "`_jd_safety`) / CAST(4.0 AS DOUBLE))", D.JUDGE_AVG_DECIMALS))
+        .alias("judge_avg"),
         ok.alias("judge_ok"),
     )
 

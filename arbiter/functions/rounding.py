@@ -32,6 +32,10 @@ def _split_const(v: float) -> tuple[float, float]:
 
 
 def exact_round(x, decimals: int) -> Column:
+    """``x``: a column name or SQL expression text (built as one SQL
+    expression, one round trip), or a Column (built operator by operator)."""
+    if isinstance(x, str):
+        return F.expr(exact_round_sql(x if x.startswith("(") else f"`{x}`", decimals))
     s = float(10 ** decimals)
     sh, sl = _split_const(s)
     xv = col(x).cast("double")

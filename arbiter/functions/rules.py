@@ -48,7 +48,7 @@ def rule_columns(df: DataFrame, response: str = "response",
         *[c for c in out.columns if c not in (LOWER, "_n_topics", "_score_raw")],
         ((F.col("_score_raw") >= F.lit(D.PASS_SCORE)) &
          (F.size("must_not_violated") == 0)).alias("passed"),
-        exact_round(F.col("_score_raw"), D.RULE_SCORE_DECIMALS).alias("score"),
+        exact_round("_score_raw", D.RULE_SCORE_DECIMALS).alias("score"),
     )
     if not keep:
         out = out.drop(response)
@@ -67,6 +67,10 @@ def rule_score_raw(hits: Column, n_topics: Column, n_violations: Column, cta: Co
 def token_cost(input_tokens, output_tokens, per_1k_in: float = D.PER_1K_INPUT_USD,
                per_1k_out: float = D.PER_1K_OUTPUT_USD, rounded: bool = True) -> Column:
     """in/1000*p_in + out/1000*p_out (stored rounded to 6 decimals)."""
+    if isinstance(input_tokens, str) and isinstance(output_tokens, str):
+        sql = (f"((CAST(`{input_tokens}` AS DOUBLE) / CAST(1000.0 AS DOUBLE)) * CAST({float(per_1k_in)!r} AS DOUBLE)"
+               f" + (CAST(`{output_tokens}` AS DOUBLE) / CAST(1000.0 AS DOUBLE)) * CAST({float(per_1k_out)!r} AS DOUBLE))")
+        return exact_round(sql, D.COST_DECIMALS) if rounded else F.expr(sql)
     cost = (col(input_tokens).cast("double") / F.lit(1000.0)) * F.lit(float(per_1k_in)) + \
         (col(output_tokens).cast("double") / F.lit(1000.0)) * F.lit(float(per_1k_out))
     return exact_round(cost, D.COST_DECIMALS) if rounded else cost

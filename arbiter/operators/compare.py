@@ -30,7 +30,7 @@ def side_summary(evaluated_judged: DataFrame, keys=("template",)) -> DataFrame:
         F.coalesce(exact_mean("judge_avg", D.JUDGE_AVG_DECIMALS), F.lit(0.0)).alias("_js"),
         exact_mean("latency_ms", 1).alias("_lat"),
         exact_mean("cost_usd", D.COST_DECIMALS).alias("_cost"))
-    comp = F.col("_rs") * F.lit(0.5) + (F.col("_js") / F.lit(D.JUDGE_SCALE)) * F.lit(0.5)
+    comp = f"(`_rs` * CAST(0.5 AS DOUBLE) + (`_js` / CAST({D.JUDGE_SCALE} AS DOUBLE)) * CAST(0.5 AS DOUBLE))"
     return s.select(*keys,
                     exact_round("_pr", 4).alias("rule_pass_rate"),
                     exact_round("_rs", 4).alias("avg_rule_score"),

@@ -118,6 +118,15 @@ def telemetry_from(e: DataFrame) -> DataFrame:
 
 
 def registry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F5 registry log, materialised once per events snapshot (it is an
+    append-only table in the model; every lifecycle query scans it)."""
+    from arbiter.sources.materialize import materialized
+    from arbiter.sources.tables import table_path
+    return materialized(spark, "registry_events", [table_path(sf_dir, "events")],
+                        lambda: derive_registry_events(spark, sf_dir))
+
+
+def derive_registry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """append-only registry log derived from events.
 
     signup -> register; view -> alias candidate; purchase -> alias production
