@@ -40,14 +40,26 @@ def side_summary(evaluated_judged: DataFrame, keys=("template",)) -> DataFrame:
                     exact_round(comp, 4).alias("composite"))
 
 
-def attach_sides(pairs: DataFrame, side_results: DataFrame, key: str = "template") -> DataFrame:
-    """pairs(champ_<key>, chall_<key>) joined with both sides' results
-    (results table is per template: small, checked broadcast)."""
+def attach_sides(pairs: DataFrame, side_results: DataFrame, key: str = "template",
+                 pair_key: str = "model") -> DataFrame:
+    """pairs(champ_<key>, chall_<key>) with both sides' results attached.
+
+    The pair is exploded into its two sides, joined with the results once
+    (per-template results: small, size-checked broadcast) and folded back to
+    one row per pair, so the results pipeline is planned and run once."""
     r = bounded_broadcast(side_results)
-    champ = r.select(*[F.col(c).alias(f"champ_{c}") for c in r.columns])
-    chall = r.select(*[F.col(c).alias(f"chall_{c}") for c in r.columns])
-    return (pairs.join(champ, f"champ_{key}", "inner")
-            .join(chall, f"chall_{key}", "inner"))
+    metrics = [c for c in side_results.columns if c != key]
+    cols = pairs.columns
+    sides = pairs.select(*cols, F.explode(F.array(
+        F.struct(F.lit("champ").alias("_side"), F.col(f"champ_{key}").alias("_k")),
+        F.struct(F.lit("chall").alias("_side"), F.col(f"chall_{key}").alias("_k")))).alias("_s")
+    ).select(*cols, "_s._side", F.col("_s._k").alias(key))
+    j = sides.join(r, key, "inner")
+    folded = j.groupBy(*cols).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.max(F.when(F.col("_side") == side, F.col(m))).alias(f"{side}_{m}")
+          for side in ("champ", "chall") for m in metrics])
+    return folded.where(F.col("_n") == 2).drop("_n")
 
 
 def promotion_decision(sides: DataFrame, min_improvement: float = D.CC_MIN_IMPROVEMENT) -> DataFrame:

@@ -157,6 +157,26 @@ def resolve_versions(requests: DataFrame, aliases: DataFrame) -> DataFrame:
     return j.select(*requests.columns, version.alias("version"), via.alias("resolved_via"))
 
 
+def alias_row(aliases: DataFrame, names=("candidate", "champion", "production")) -> DataFrame:
+    """One row per model with the current holder of each named alias
+    (a pivot with fixed values: one aggregation, no self-joins)."""
+    return aliases.groupBy("model").pivot("alias", list(names)).agg(F.first("version"))
+
+
+def resolve_from_row(models: DataFrame, row: DataFrame, alias: str, fallback: str | None,
+                     override: str = "override") -> DataFrame:
+    """Same resolution as ``resolve_versions`` for requests that all ask for
+    one alias (+ fallback), reading the pivoted alias row."""
+    j = models.join(row, "model", "left")
+    ov = F.nullif(F.col(override), F.lit(""))
+    fb = F.col(fallback) if fallback else F.lit(None).cast("string")
+    version = F.coalesce(ov, F.col(alias), fb)
+    via = (F.when(ov.isNotNull(), F.concat(F.lit("explicit:"), ov))
+           .when(F.col(alias).isNotNull(), F.lit(alias))
+           .when(fb.isNotNull(), F.lit(fallback)))
+    return j.select("*", version.alias("version"), via.alias("resolved_via"))
+
+
 def event_rows(model: Column, version: Column, items: list[tuple]) -> Column:
     """array<struct> of registry writes built from (kind, alias, key, value)."""
     out = []

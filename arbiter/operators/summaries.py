@@ -14,6 +14,7 @@ from arbiter import defaults as D
 from arbiter import schemas as S
 from arbiter.functions.rules import composite, exact_mean
 from arbiter.operators.common import bounded_broadcast
+from arbiter.sources.local import local_table
 
 JUDGE_AVG_COLS = ("judge_helpfulness", "judge_faithfulness", "judge_conciseness",
                   "judge_safety")
@@ -64,7 +65,7 @@ def gate_table(spark: SparkSession, rule_pass_rate: float = D.GATE_RULE_PASS_RAT
     rows = [("rule_pass_rate", "rule_pass_rate", ">=", float(rule_pass_rate), 0),
             ("avg_latency_ms", "avg_latency_ms", "<=", float(avg_latency_ms), 1),
             ("avg_cost_usd", "avg_cost_usd", "<=", float(avg_cost_usd), 2)]
-    return spark.createDataFrame(rows, S.GATE)
+    return local_table(spark, rows, S.GATE)
 
 
 def gate_verdicts(summary: DataFrame, gates: DataFrame, keys=("template",)) -> DataFrame:

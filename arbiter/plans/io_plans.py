@@ -17,6 +17,7 @@ from arbiter.plans.oracle_views import register_view, with_views
 from arbiter.sources import config_source as CS
 from arbiter.sources import fixtures as FX
 from arbiter.sources import sinks
+from arbiter.sources.local import local_table
 from arbiter.sources.tables import read_table
 
 
@@ -226,7 +227,7 @@ TOOLS = [("cat.sch.click", "record a click"), ("cat.sch.view", "record a view"),
       ON t.name = replace('cat__sch__' || e.event_type, '__', '.')""")
 def q_tool_lookup(spark, sf_dir):
     c = FX.tool_calls(spark, sf_dir).select("call_id", tool_name("name").alias("tool"))
-    tools = spark.createDataFrame(TOOLS, S.TOOL).withColumnRenamed("name", "tool")
+    tools = local_table(spark, TOOLS, S.TOOL).withColumnRenamed("name", "tool")
     j = c.join(bounded_broadcast(tools), "tool", "left")
     return j.select("call_id", "tool", "description",
                     F.col("description").isNull().alias("unknown_tool"))

@@ -44,23 +44,35 @@ def resolved(spark, sf_dir):
     return R.resolve_versions(requests(spark, sf_dir), R.alias_state(reg(spark, sf_dir)))
 
 
+def resolved_pivot(spark, sf_dir):
+    row = R.alias_row(R.alias_state(reg(spark, sf_dir)))
+    return R.resolve_from_row(requests(spark, sf_dir), row, "champion", "production")
+
+
 def pairs(spark, sf_dir):
-    champ = resolved(spark, sf_dir).where(F.col("version").isNotNull()).select(
-        "model", F.col("version").alias("champ_version"), F.col("resolved_via").alias("champ_via"))
-    chall = R.alias_state(reg(spark, sf_dir)).where(F.col("alias") == "candidate").select(
-        "model", F.col("version").alias("chall_version"))
-    return champ.join(chall, "model", "inner")
+    """champion (explicit -> champion -> production) and challenger
+    (candidate) per model from one pivoted alias row."""
+    row = R.alias_row(R.alias_state(reg(spark, sf_dir)))
+    r = R.resolve_from_row(requests(spark, sf_dir), row, "champion", "production")
+    return r.where(F.col("version").isNotNull() & F.col("candidate").isNotNull()).select(
+        "model", F.col("version").alias("champ_version"), F.col("resolved_via").alias("champ_via"),
+        F.col("candidate").alias("chall_version"))
 
 
 def compared_pairs(spark, sf_dir):
-    """Pairs with distinct versions, each side mapped to its template."""
+    """Pairs with distinct versions, each side mapped to its template: the
+    two sides go through one join with the lineage and are pivoted back."""
     p = pairs(spark, sf_dir).where(F.col("champ_version") != F.col("chall_version"))
-    lin = lineage(spark, sf_dir)
-    lc = lin.select("model", F.col("version").alias("champ_version"),
-                    F.col("template").alias("champ_template"))
-    lk = lin.select("model", F.col("version").alias("chall_version"),
-                    F.col("template").alias("chall_template"))
-    return p.join(lc, ["model", "champ_version"]).join(lk, ["model", "chall_version"])
+    cols = p.columns
+    sides = p.select(*cols, F.explode(F.array(
+        F.struct(F.lit("champ").alias("side"), F.col("champ_version").alias("v")),
+        F.struct(F.lit("chall").alias("side"), F.col("chall_version").alias("v")))).alias("s")
+    ).select(*cols, "s.side", F.col("s.v").alias("version"))
+    lin = lineage(spark, sf_dir).select("model", "version", "template")
+    t = sides.join(lin, ["model", "version"]).groupBy(*cols).agg(
+        F.max(F.when(F.col("side") == "champ", F.col("template"))).alias("champ_template"),
+        F.max(F.when(F.col("side") == "chall", F.col("template"))).alias("chall_template"))
+    return t.where(F.col("champ_template").isNotNull() & F.col("chall_template").isNotNull())
 
 
 def side_results(spark, sf_dir):
@@ -236,11 +248,15 @@ def q_paired_compare(spark, sf_dir):
     per_case = evaluated(spark, sf_dir).groupBy("template", "case_id").agg(
         exact_mean("score", 3).alias("avg_score"))
     pc = bounded_broadcast(per_case)
-    x = pc.select(F.col("template").alias("champ_template"), "case_id",
-                  F.col("avg_score").alias("champ_avg_score"))
-    y = pc.select(F.col("template").alias("chall_template"), "case_id",
-                  F.col("avg_score").alias("chall_avg_score"))
-    j = compared_pairs(spark, sf_dir).join(x, "champ_template").join(y, ["chall_template", "case_id"])
+    p = compared_pairs(spark, sf_dir).select("model", "champ_template", "chall_template")
+    sides = p.select("model", F.explode(F.array(
+        F.struct(F.lit("champ").alias("side"), F.col("champ_template").alias("template")),
+        F.struct(F.lit("chall").alias("side"), F.col("chall_template").alias("template")))).alias("s")
+    ).select("model", "s.side", "s.template")
+    j = sides.join(pc, "template").groupBy("model", "case_id").agg(
+        F.max(F.when(F.col("side") == "champ", F.col("avg_score"))).alias("champ_avg_score"),
+        F.max(F.when(F.col("side") == "chall", F.col("avg_score"))).alias("chall_avg_score"))
+    j = j.where(F.col("champ_avg_score").isNotNull() & F.col("chall_avg_score").isNotNull())
     return finalize(j.select("model", "case_id", "champ_avg_score", "chall_avg_score",
                              (F.col("chall_avg_score") - F.col("champ_avg_score")).alias("delta_score")))
 

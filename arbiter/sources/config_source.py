@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from arbiter import defaults as D
 from arbiter import schemas as S
+from arbiter.sources.local import local_table
 
 CASE_FILE_SCHEMA = "id STRING, user_message STRING, expected_topics ARRAY<STRING>, " \
                    "must_not_contain ARRAY<STRING>, max_words BIGINT"
@@ -68,7 +69,7 @@ def missing_keys(present_map: Column, required: list[str]) -> Column:
 
 def write_cases(spark: SparkSession, rows: list[tuple], path: str) -> None:
     """Write literal case rows as a JSON-lines config file."""
-    df = spark.createDataFrame(rows, S.GOLDEN_CASE).select(
+    df = local_table(spark, rows, S.GOLDEN_CASE).select(
         F.col("case_id").alias("id"), "user_message", "expected_topics", "must_not_contain",
         "max_words")
     df.coalesce(1).write.mode("overwrite").json(path)

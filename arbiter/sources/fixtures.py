@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from arbiter import defaults as D
 from arbiter import schemas as S
 from arbiter.functions.text import approx_tokens, word_count
+from arbiter.sources.local import local_table
 from arbiter.sources.tables import read_events, read_table
 
 # --- fixed values: golden cases of the test corpus (F2) ------------------------
@@ -50,15 +51,15 @@ PROMPTS = [
 
 
 def golden_cases(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(GOLDEN_CASES, S.GOLDEN_CASE)
+    return local_table(spark, GOLDEN_CASES, S.GOLDEN_CASE)
 
 
 def smoke_probes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SMOKE_PROBES, S.SMOKE_PROBE)
+    return local_table(spark, SMOKE_PROBES, S.SMOKE_PROBE)
 
 
 def prompts(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PROMPTS, S.PROMPT)
+    return local_table(spark, PROMPTS, S.PROMPT)
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
