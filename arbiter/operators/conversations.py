@@ -13,21 +13,21 @@ from pyspark.sql import functions as F
 
 from arbiter import defaults as D
 from arbiter.functions.rules import exact_mean
-from arbiter.operators.windows import running_sum
+from arbiter.operators.windows import previous_value, running_sum
 
 MSG = "struct<role:string,content:string>"
 
 
 def turn_pairs(turns: DataFrame) -> DataFrame:
-    """Each assistant reply with the user message right before it."""
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    x = turns.select("*", F.lag("role").over(w).alias("_prev_role"),
-                     F.lag("text").over(w).alias("_prev_text"),
-                     F.lag("tokens").over(w).alias("_prev_tokens"))
-    return x.where((F.col("role") == "assistant") & (F.col("_prev_role") == "user")).select(
-        "conv_id", "turn", F.col("_prev_text").alias("user_message"),
+    """Each assistant reply with the user message right before it (the
+    previous turn, fetched with the bucketed skew-tolerant lag)."""
+    x = turns.withColumn("_prev_src", F.struct(F.col("role").alias("r"), F.col("text").alias("t"),
+                                               F.col("tokens").alias("k")))
+    x = previous_value(x, ["conv_id"], "turn", "_prev_src", "_prev")
+    return x.where((F.col("role") == "assistant") & (F.col("_prev.r") == "user")).select(
+        "conv_id", "turn", F.col("_prev.t").alias("user_message"),
         F.col("text").alias("assistant_response"), "latency_ms",
-        F.col("_prev_tokens").alias("input_tokens"), F.col("tokens").alias("output_tokens"))
+        F.col("_prev.k").alias("input_tokens"), F.col("tokens").alias("output_tokens"))
 
 
 def step_index(turns: DataFrame) -> DataFrame:

@@ -43,6 +43,9 @@ def seeded_sample(df: DataFrame, key: str, k: int, seed: str = "s",
     choice is stable under repartitioning.  row_number <= k is planned as a
     WindowGroupLimit: each map task ships at most k rows per group."""
     h = F.md5(F.concat(F.lit(seed), F.col(key).cast("string")))
+    if not partition_cols:
+        # one global sample: TakeOrderedAndProject (per-partition top-k, then merge)
+        return df.orderBy(h, F.col(key)).limit(k)
     w = Window.partitionBy(*partition_cols).orderBy(h, F.col(key))
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
 
