@@ -28,8 +28,8 @@ register_view("pairs_t", ("turns",), """
           FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) t
     WHERE role = 'assistant' AND prev_role = 'user'""")
 register_view("segs", ("turns",), """
-    SELECT *, sum(CAST(is_reset AS BIGINT)) OVER (PARTITION BY conv_id ORDER BY turn
-              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS segment FROM turns""")
+    SELECT *, CAST(sum(CAST(is_reset AS BIGINT)) OVER (PARTITION BY conv_id ORDER BY turn
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS segment FROM turns""")
 register_view("hist", ("segs",), """
     SELECT conv_id, turn, segment, text,
            coalesce(len(history), 0) AS n_history,

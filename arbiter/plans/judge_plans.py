@@ -92,4 +92,4 @@ def q_batch_judge(spark, sf_dir):
     out = SC.replay(req, recorded, "resp_id")
     return out.select("resp_id", "case_id", F.col("reply").alias("judge_raw"),
                       "missing_response",
-                      F.length("judge_prompt").alias("prompt_chars"))
+                      F.length("judge_prompt").cast("bigint").alias("prompt_chars"))
