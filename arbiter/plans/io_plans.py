@@ -114,14 +114,28 @@ RUN_METRICS = [("eval/rule_pass_rate", "rule_pass_rate", 3), ("eval/avg_rule_sco
     f"SELECT template AS run_id, '{k}' AS key, {XR(c, d)} AS value FROM summary"
     for k, c, d in RUN_METRICS), "summary"))
 def q_run_log_sink(spark, sf_dir):
+    from arbiter.functions import hashing as H
     s = summary(spark, sf_dir)
-    wide = s.select(F.col("template").alias("run_id"),
-                    *[exact_round(c, d).alias(k) for k, c, d in RUN_METRICS])
-    long = sinks.numeric_metrics(sinks.unpivot_run(wide, "run_id", [k for k, _, _ in RUN_METRICS]))
-    path = sinks.fresh_path(spark, "runs/metrics")
-    sinks.write_run_log(long, path, "2024-06-01")
-    back = spark.read.parquet(path)
-    return back.select("run_id", "key", "value")
+    t = H.corpus_templates(spark, sf_dir)
+    t = t.select(F.col("name").alias("template"), F.col("version").alias("tpl_version"),
+                 H.config_hash(t).alias("tpl_hash"), "model", "temperature", "max_tokens",
+                 F.size("few_shots").alias("few_shot_count"))
+    wide = s.join(bounded_broadcast(t), "template").select(
+        F.col("template").alias("run_id"), F.col("template").alias("tpl_name"), "tpl_version",
+        "tpl_hash", "model", "temperature", "max_tokens", "few_shot_count",
+        F.lit("False").alias("judge_enabled"), F.col("n_cases").cast("string").alias("eval_set_size"),
+        *[exact_round(c, d).alias(c) for _, c, d in RUN_METRICS])
+    root = sinks.fresh_path(spark, "runs")
+    paths = sinks.log_runs(
+        wide, root, "2024-06-01", "run_id",
+        params=[("tpl_name", "template.name"), ("tpl_version", "template.version"),
+                ("tpl_hash", "template.config_hash"), "model", "temperature", "max_tokens",
+                "few_shot_count"],
+        metrics=[(c, k) for k, c, _ in RUN_METRICS],
+        tags=[("tpl_name", "template.name"), ("tpl_version", "template.version"),
+              "eval_set_size", "judge_enabled"])
+    back = spark.read.parquet(paths["metrics"])
+    return back.select("run_id", "key", F.col("value").cast("double").alias("value"))
 
 
 @query("artifact_json_sink", with_views("""

@@ -85,7 +85,9 @@ def q_best_candidate_judge(spark, sf_dir):
     FROM evaluated e LEFT JOIN judge_raw j ON j.resp_id = e.resp_id""", "evaluated", "judge_raw"))
 def q_batch_judge(spark, sf_dir):
     from arbiter.functions.judge import judge_prompt
-    ev = evaluated(spark, sf_dir).select("resp_id", "case_id", "user_message", "response")
+    from arbiter.operators.evaluate import attach_cases
+    ev = attach_cases(FX.responses(spark, sf_dir), FX.golden_cases(spark)).select(
+        "resp_id", "case_id", "user_message", "response")
     req = ev.select("resp_id", "case_id",
                     judge_prompt("user_message", "response").alias("judge_prompt"))
     recorded = FX.judge_raw(spark, sf_dir).select("resp_id", F.col("judge_raw").alias("reply"))

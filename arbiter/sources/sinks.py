@@ -34,11 +34,17 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
 
 # --- run log (params / metrics / tags as long tables) ------------------------------
 
-def unpivot_run(wide: DataFrame, run_id: str, keys: list[str], value_type: str = "double",
+def unpivot_run(wide: DataFrame, run_id: str, keys, value_type: str = "double",
                 key_prefix: str = "") -> DataFrame:
-    """One row per (run_id, key, value) from a wide run row."""
-    long = wide.select(run_id, *[F.col(k).cast(value_type).alias(k) for k in keys]).unpivot(
-        [run_id], keys, "key", "value")
+    """One row per (run_id, key, value) from a wide run row.  ``keys`` are
+    column names or (column, logged key) pairs."""
+    pairs = [k if isinstance(k, tuple) else (k, k) for k in keys]
+    cols = [f"_k{i}" for i in range(len(pairs))]
+    long = wide.select(run_id, *[F.col(f"`{c}`").cast(value_type).alias(a)
+                                 for (c, _), a in zip(pairs, cols)]).unpivot(
+        [run_id], cols, "key", "value")
+    names = F.create_map(*[x for (_, k), a in zip(pairs, cols) for x in (F.lit(a), F.lit(k))])
+    long = long.withColumn("key", names[F.col("key")])
     if key_prefix:
         long = long.withColumn("key", F.concat(F.lit(key_prefix), F.col("key")))
     return long
@@ -55,6 +61,22 @@ def write_run_log(long: DataFrame, path: str, run_date: str) -> None:
         "run_date").parquet(path)
 
 
+def log_runs(wide: DataFrame, root: str, run_date: str, run_id: str, params: list[str],
+             metrics: list[str], tags: list[str]) -> dict[str, str]:
+    """Persist one row per run as three long tables under ``root``:
+    params and tags as strings, metrics as numbers (non-numeric values are
+    dropped, as metric logging does).  Appends, partitioned by run date."""
+    paths = {k: f"{root.rstrip('/')}/{k}" for k in ("params", "metrics", "tags")}
+    if params:
+        write_run_log(unpivot_run(wide, run_id, params, "string"), paths["params"], run_date)
+    if metrics:
+        write_run_log(numeric_metrics(unpivot_run(wide, run_id, metrics, "string")),
+                      paths["metrics"], run_date)
+    if tags:
+        write_run_log(unpivot_run(wide, run_id, tags, "string"), paths["tags"], run_date)
+    return paths
+
+
 # --- artifacts ------------------------------------------------------------------------------
 
 def write_artifacts(records: DataFrame, path: str, run_col: str,
