@@ -16,6 +16,28 @@ def traffic_arm(key, share_pct: int = D.TRAFFIC_SHARE_PCT, seed: str = "arm") ->
     return F.when(hash_bucket(key, seed) < share_pct, F.lit("challenger")).otherwise(F.lit("champion"))
 
 
+def _percentile_aggs(value: str, ps: dict[str, float]) -> list:
+    aggs = []
+    for name, p in ps.items():
+        pos = F.lit(float(p)) * (F.col("_n") - F.lit(1)).cast("double")
+        lo, hi = F.floor(pos), F.ceil(pos)
+        aggs += [F.min(F.when(F.col("_cum") > lo, F.col(value))).alias(f"_{name}_lo"),
+                 F.min(F.when(F.col("_cum") > hi, F.col(value))).alias(f"_{name}_hi"),
+                 F.max(pos - lo).alias(f"_{name}_frac")]
+    return aggs
+
+
+def _percentile_cols(ps: dict[str, float]) -> list:
+    return [(F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_frac")).alias(n)
+            for n in ps]
+
+
+def _cumulate(hist: DataFrame, keys: list[str], value: str) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return hist.select("*", F.sum("_c").over(w).alias("_cum"),
+                       F.sum("_c").over(Window.partitionBy(*keys)).alias("_n"))
+
+
 def exact_percentiles(df: DataFrame, keys: list[str], value: str,
                       ps: dict[str, float]) -> DataFrame:
     """Exact linear-interpolation percentiles (percentile_cont) per group.
@@ -25,34 +47,31 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str,
     read off the cumulative counts of that histogram with a window whose
     partitions hold one row per distinct value."""
     hist = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    h = hist.select(*keys, value, F.sum("_c").over(w).alias("_cum"),
-                    F.sum("_c").over(Window.partitionBy(*keys)).alias("_n"))
-    aggs = []
-    for name, p in ps.items():
-        pos = F.lit(float(p)) * (F.col("_n") - F.lit(1)).cast("double")
-        lo, hi = F.floor(pos), F.ceil(pos)
-        aggs += [F.min(F.when(F.col("_cum") > lo, F.col(value))).alias(f"_{name}_lo"),
-                 F.min(F.when(F.col("_cum") > hi, F.col(value))).alias(f"_{name}_hi"),
-                 F.max(pos - lo).alias(f"_{name}_frac")]
-    g = h.groupBy(*keys).agg(*aggs)
-    return g.select(*keys, *[
-        (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_frac")).alias(n)
-        for n in ps])
+    g = _cumulate(hist, keys, value).groupBy(*keys).agg(*_percentile_aggs(value, ps))
+    return g.select(*keys, *_percentile_cols(ps))
 
 
 def ops_metrics(t: DataFrame) -> DataFrame:
     """Per day and event type: count, error share, retry share, mean latency,
-    exact p50/p95 latency."""
+    exact p50/p95 latency — one scan: a (day, type, latency) histogram that
+    also carries the state counts, one window over it, one final aggregate."""
     day = t.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    base = day.groupBy("day", "event_type").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg((F.col("state") == "FAILED").cast("double")).alias("error_share"),
-        F.avg((F.col("state") == "RETRYING").cast("double")).alias("retry_share"),
-        exact_mean("latency_ms", 1).alias("avg_latency_ms"))
-    pct = exact_percentiles(day, ["day", "event_type"], "latency_ms",
-                            {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95})
-    return base.join(pct, ["day", "event_type"])
+    keys = ["day", "event_type"]
+    hist = day.groupBy(*keys, "latency_ms").agg(
+        F.count(F.lit(1)).alias("_c"),
+        F.count_if(F.col("state") == "FAILED").alias("_f"),
+        F.count_if(F.col("state") == "RETRYING").alias("_r"),
+        F.sum(F.round(F.col("latency_ms") * F.lit(10.0)).cast("bigint")).alias("_l10"))
+    ps = {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95}
+    g = _cumulate(hist, keys, "latency_ms").groupBy(*keys).agg(
+        F.sum("_c").alias("n"), F.sum("_f").alias("_fs"), F.sum("_r").alias("_rs"),
+        F.sum("_l10").alias("_ls"), *_percentile_aggs("latency_ms", ps))
+    return g.select(*keys, "n",
+                    (F.col("_fs") / F.col("n")).alias("error_share"),
+                    (F.col("_rs") / F.col("n")).alias("retry_share"),
+                    (F.col("_ls").cast("double") / (F.col("n") * F.lit(10)).cast("double"))
+                    .alias("avg_latency_ms"),
+                    *_percentile_cols(ps))
 
 
 def psi_bins(latency, width: float, n_bins: int) -> Column:
@@ -70,21 +89,23 @@ def drift_report(t: DataFrame, metric: str = "latency_ms", width: float = 1000.0
                          F.lit(period_days * 86400 * 1_000_000)).cast("int").alias("period"),
                  psi_bins(F.col(metric), width, n_bins).alias("bin")))
     counts = x.groupBy("event_type", "period", "bin").agg(F.count(F.lit(1)).alias("c"))
-    totals = counts.groupBy("event_type", "period").agg(F.sum("c").alias("tot"))
-    shares = counts.join(totals, ["event_type", "period"]).select(
-        "event_type", "period", "bin", (F.col("c") / F.col("tot")).alias("share"))
-    grid = totals.select("event_type", "period",
-                         F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))).alias("bin"))
-    full = grid.join(shares, ["event_type", "period", "bin"], "left").select(
-        "event_type", "period", "bin", F.greatest(F.coalesce("share", F.lit(0.0)), F.lit(floor))
-        .alias("p"))
-    ref = full.where(F.col("period") == 0).select("event_type", "bin", F.col("p").alias("q"))
-    cur = full.where(F.col("period") > 0).join(ref, ["event_type", "bin"])
-    term = (F.col("p") - F.col("q")) * F.log(F.col("p") / F.col("q"))
-    per = cur.groupBy("event_type", "period").agg(
-        F.sort_array(F.collect_list(F.struct("bin", term.alias("t")))).alias("_terms"))
-    psi = F.aggregate(per["_terms"], F.lit(0.0), lambda a, s: a + s["t"])
-    return per.select("event_type", "period", psi.alias("psi"), (psi > F.lit(alert)).alias("alert"))
+    # one row per (type, period): bin -> count map and total; shares for all
+    # bins (floored) as an array ordered by bin
+    per = counts.groupBy("event_type", "period").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "c"))).alias("_m"),
+        F.sum("c").alias("_tot"))
+    shares = F.transform(F.sequence(F.lit(0), F.lit(n_bins - 1)), lambda b: F.greatest(
+        F.coalesce(F.try_element_at(F.col("_m"), b).cast("double") / F.col("_tot").cast("double"),
+                   F.lit(0.0)), F.lit(float(floor))))
+    per = per.select("event_type", "period", shares.alias("p"))
+    # the reference (first) period's distribution, fetched per type by a window
+    ref = F.first(F.when(F.col("period") == 0, F.col("p")), ignorenulls=True).over(
+        Window.partitionBy("event_type"))
+    cur = per.select("event_type", "period", "p", ref.alias("q")).where(
+        (F.col("period") > 0) & F.col("q").isNotNull())
+    terms = F.zip_with("p", "q", lambda a, b: (a - b) * F.log(a / b))
+    psi = F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
+    return cur.select("event_type", "period", psi.alias("psi"), (psi > F.lit(alert)).alias("alert"))
 
 
 def ab_metrics(t: DataFrame, key: str = "request_id") -> DataFrame:
