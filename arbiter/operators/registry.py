@@ -145,16 +145,23 @@ def resolve_versions(requests: DataFrame, aliases: DataFrame) -> DataFrame:
     """requests(model, override, alias, fallback_alias) -> version + resolved_via.
 
     explicit override -> alias -> fallback alias; unresolved rows keep a NULL
-    version (the rejects) instead of raising."""
-    a = aliases.select("model", F.col("alias").alias("alias"), F.col("version").alias("_av"))
-    f = aliases.select("model", F.col("alias").alias("fallback_alias"), F.col("version").alias("_fv"))
-    j = requests.join(a, ["model", "alias"], "left").join(f, ["model", "fallback_alias"], "left")
+    version (the rejects) instead of raising.  Both alias lookups go through
+    one join: each request is expanded to its (rank, alias) candidates, joined
+    with the alias state once, and the best rank is kept per request."""
+    cols = requests.columns
+    cand = requests.select(*cols, F.explode(F.array(
+        F.struct(F.lit(1).alias("rk"), F.col("alias").alias("a")),
+        F.struct(F.lit(2).alias("rk"), F.col("fallback_alias").alias("a")))).alias("_c")
+    ).select(*cols, "_c.rk", F.col("_c.a").alias("_a"))
+    st = aliases.select("model", F.col("alias").alias("_a"), F.col("version").alias("_v"))
+    j = cand.join(st, ["model", "_a"], "left")
+    best = j.groupBy(*cols).agg(F.min_by(F.struct("_v", "_a"), F.when(
+        F.col("_v").isNotNull(), F.col("rk"))).alias("_b"))
     ov = F.nullif(F.col("override"), F.lit(""))
-    version = F.coalesce(ov, F.col("_av"), F.col("_fv"))
+    version = F.coalesce(ov, F.col("_b._v"))
     via = (F.when(ov.isNotNull(), F.concat(F.lit("explicit:"), ov))
-           .when(F.col("_av").isNotNull(), F.col("alias"))
-           .when(F.col("_fv").isNotNull(), F.col("fallback_alias")))
-    return j.select(*requests.columns, version.alias("version"), via.alias("resolved_via"))
+           .when(F.col("_b._v").isNotNull(), F.col("_b._a")))
+    return best.select(*cols, version.alias("version"), via.alias("resolved_via"))
 
 
 def alias_row(aliases: DataFrame, names=("candidate", "champion", "production")) -> DataFrame:

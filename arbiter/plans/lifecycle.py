@@ -230,10 +230,10 @@ def q_registry_lineage_join(spark, sf_dir):
     SELECT model, champ_version AS version, champ_via FROM pairs WHERE champ_version = chall_version""",
     "pairs"))
 def q_same_version_guard(spark, sf_dir):
+    # pairs whose champion and challenger resolve to one version are skipped
     p = pairs(spark, sf_dir)
-    kept = p.where(F.col("champ_version") != F.col("chall_version")).select("model")
-    skipped = p.join(kept, "model", "left_anti")
-    return skipped.select("model", F.col("champ_version").alias("version"), "champ_via")
+    return p.where(F.col("champ_version") == F.col("chall_version")).select(
+        "model", F.col("champ_version").alias("version"), "champ_via")
 
 
 @query("paired_compare", with_views("""
@@ -296,16 +296,18 @@ def q_promotion_events(spark, sf_dir):
 
 
 def deploy_candidates(spark, sf_dir):
+    """Current candidates that passed staging, with the production holder
+    they replace (both read from one pivoted alias row)."""
     ev = reg(spark, sf_dir)
-    al = R.alias_state(ev)
-    cands = R.staging_gate(al.where(F.col("alias") == "candidate").select("model", "version"),
+    row = R.alias_row(R.alias_state(ev), ("candidate", "production")).where(
+        F.col("candidate").isNotNull())
+    cands = R.staging_gate(row.select("model", F.col("candidate").alias("version"),
+                                      F.col("production").alias("prev_version")),
                            R.tag_state(ev)).where("staging_ok")
-    prev = al.where(F.col("alias") == "production").select("model", F.col("version").alias("prev_version"))
     t = H.corpus_templates(spark, sf_dir).select(
         F.col("name").alias("template"), F.col("name").alias("template_name"),
         F.col("version").alias("template_version"), F.col("model").alias("llm_model"))
-    j = (cands.join(prev, "model", "left").join(lineage(spark, sf_dir), ["model", "version"])
-         .join(bounded_broadcast(t), "template"))
+    j = cands.join(lineage(spark, sf_dir), ["model", "version"]).join(bounded_broadcast(t), "template")
     return j.select("model", "version", "prev_version",
                     F.substring(F.md5("model"), 1, 12).alias("git_sha"),
                     "template_name", "template_version", "llm_model")

@@ -43,8 +43,35 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``arbiter`` importable in Python workers (pandas UDFs,
+    mapInPandas, stateful processors) on every executor: the package is
+    zipped once on the driver and distributed with ``addPyFile``."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="arbiter-pyfiles-"), "arbiter.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            if "__pycache__" in root:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Runtime SQL settings that are safe to set on an existing session."""
+    ship_package(spark)
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.skewJoin.enabled"):
         try:
