@@ -172,7 +172,6 @@ def q_train_logreg(spark, sf_dir):
 
 @query("alias_batch_inference")
 def q_alias_batch_inference(spark, sf_dir):
-    from arbiter.operators import registry as R
     from arbiter.operators.model_store import ModelStore
     s = with_split(spark, sf_dir)
     train = s.where(F.col("split") == "train")

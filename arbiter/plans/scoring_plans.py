@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from arbiter.operators import scoring as SC
-from arbiter.plans.catalog import finalize, query
+from arbiter.plans.catalog import query
 from arbiter.plans.oracle_views import with_views
 from arbiter.sources import fixtures as FX
 from arbiter.sources.tables import read_table

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from arbiter.plans.catalog import finalize, query
 from arbiter.plans.oracle_views import with_views
 from arbiter.sources import fixtures as FX

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbiter import defaults as D
 from arbiter import schemas as S
 from arbiter.functions.text import approx_tokens, word_count
 from arbiter.sources.local import local_table
