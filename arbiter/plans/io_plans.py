@@ -84,9 +84,12 @@ CSV_COLS = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
            CAST(l_tax AS DOUBLE) AS l_tax, CAST(l_extendedprice AS DOUBLE) AS l_extendedprice
     FROM lineitem""")
 def q_csv_scan(spark, sf_dir):
-    path = sinks.fresh_path(spark, "csv/lineitem")
+    from arbiter.sources.materialize import materialized_path
+    from arbiter.sources.tables import table_path
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", *CSV_COLS])
-    li.write.option("header", True).csv(path)
+    # the CSV input is written once per lineitem snapshot, then scanned
+    path = materialized_path(spark, "lineitem_csv", [table_path(sf_dir, "lineitem")],
+                             lambda p: li.write.option("header", True).csv(p))
     # header + inferred types (sampled), then the column subset cast to double
     df = (spark.read.option("header", True).option("inferSchema", True)
           .option("samplingRatio", 0.1).csv(path))

@@ -50,8 +50,11 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``arbiter`` importable in Python workers (pandas UDFs,
     mapInPandas, stateful processors) on every executor: the package is
     zipped once on the driver and distributed with ``addPyFile``."""
-    sc = spark.sparkContext
-    key = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        key = sc.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect: ship with addArtifacts instead
+        return
     if key in _SHIPPED:
         return
     import zipfile

@@ -30,6 +30,21 @@ def _mtime(spark: SparkSession, path: str) -> int:
     return int(fs.getFileStatus(p).getModificationTime())
 
 
+def materialized_path(spark: SparkSession, name: str, inputs: list[str],
+                      write: Callable[[str], None]) -> str:
+    """Like ``materialized`` for any file format: ``write(path)`` runs once
+    per input snapshot; the folder is returned."""
+    key = (spark.sparkContext.applicationId, "path:" + name,
+           tuple((p, _mtime(spark, p)) for p in inputs))
+    with _LOCK:
+        path = _TABLES.get(key)
+        if path is None:
+            path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex[:12]}")
+            write(path)
+            _TABLES[key] = path
+    return path
+
+
 def materialized(spark: SparkSession, name: str, inputs: list[str],
                  build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
     key = (spark.sparkContext.applicationId, name,
