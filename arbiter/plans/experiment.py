@@ -208,15 +208,18 @@ def q_quality_gates(spark, sf_dir):
 
 
 @query("composite_score", with_views("""
-    SELECT template, round_even(CASE WHEN j <> 0 THEN r * 0.5 + (j / 5.0) * 0.5 ELSE r END, 6) AS composite
-    FROM (SELECT template, (CAST(sum(CAST(round(score * 1000) AS BIGINT)) AS DOUBLE) / CAST(1000 * count(score) AS DOUBLE)) AS r,
-                 CASE WHEN ord % 3 = 0 THEN CAST(0.0 AS DOUBLE) ELSE CAST(3.5 AS DOUBLE) + ord / 10.0 END AS j
-          FROM evaluated GROUP BY template, ord) t""", "evaluated"))
+    SELECT template, round_even(avg_rule_score, 6) AS avg_rule_score,
+           round_even(avg_judge_score, 6) AS avg_judge_score, round_even(composite, 6) AS composite
+    FROM summary_judge""", "summary_judge"))
 def q_composite_score(spark, sf_dir):
-    # judge sentinel exercised: every third template has no judge mean (0.0)
-    s = evaluated(spark, sf_dir).groupBy("template", "ord").agg(exact_mean("score", 3).alias("r"))
-    j = F.when(F.col("ord") % 3 == 0, F.lit(0.0)).otherwise(F.lit(3.5) + F.col("ord") / F.lit(10.0))
-    return finalize(s.select("template", composite("r", j).alias("composite")))
+    # rule mean and parsed-judge mean per template; templates without judged
+    # rows carry the 0.0 sentinel and fall back to the rule score
+    from arbiter.plans.judge_plans import judged
+    s = judged(spark, sf_dir).groupBy("template").agg(
+        exact_mean("score", 3).alias("avg_rule_score"),
+        F.coalesce(exact_mean("judge_avg", 2), F.lit(0.0)).alias("avg_judge_score"))
+    return finalize(s.select("template", "avg_rule_score", "avg_judge_score",
+                             composite("avg_rule_score", "avg_judge_score").alias("composite")))
 
 
 @query("case_sample", """
