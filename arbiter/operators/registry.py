@@ -33,14 +33,17 @@ def register_version(events: DataFrame) -> DataFrame:
 
 
 def version_deletions(events: DataFrame) -> DataFrame:
-    """(model, version, del_seq): first delete that follows the registration."""
-    reg = events.where(F.col("kind") == "register").groupBy("model", "version").agg(
-        F.min("seq").alias("reg_seq"))
-    dels = events.where(F.col("kind") == "delete_version").select(
-        "model", "version", F.col("seq").alias("d_seq"))
-    return (dels.join(reg, ["model", "version"], "inner")
-            .where(F.col("d_seq") > F.col("reg_seq"))
-            .groupBy("model", "version").agg(F.min("d_seq").alias("del_seq")))
+    """(model, version, del_seq): first delete that follows the registration.
+
+    One pass: registrations and deletes of a version are grouped together
+    (the delete list of one version is tiny), no self-join."""
+    ev = events.where(F.col("kind").isin("register", "delete_version"))
+    g = ev.groupBy("model", "version").agg(
+        F.min(F.when(F.col("kind") == "register", F.col("seq"))).alias("_reg"),
+        F.collect_list(F.when(F.col("kind") == "delete_version", F.col("seq"))).alias("_dels"))
+    del_seq = F.array_min(F.filter("_dels", lambda d: d > F.col("_reg")))
+    return g.where(F.col("_reg").isNotNull()).select(
+        "model", "version", del_seq.alias("del_seq")).where(F.col("del_seq").isNotNull())
 
 
 def model_deletions(events: DataFrame) -> DataFrame:
