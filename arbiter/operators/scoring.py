@@ -52,15 +52,25 @@ def materialize(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def request_payload(df: DataFrame, key: str, cols: list[str], batch_size: int) -> DataFrame:
-    """Split-orient scoring requests: rows grouped into batches of at most
-    ``batch_size`` consecutive keys, each batch one JSON document
-    ``{"dataframe_split": {"columns": [...], "data": [[...], ...]}}``."""
+def request_payload(df: DataFrame, key: str, cols: list[str], batch_size: int,
+                    orient: str = "split") -> DataFrame:
+    """Scoring requests: rows grouped into batches of at most ``batch_size``
+    consecutive keys, each batch one JSON document, either split-oriented
+    ``{"dataframe_split": {"columns": [...], "data": [[...], ...]}}`` or
+    columnar ``{"inputs": {"col": [...], ...}}`` (rows in key order)."""
     b = df.withColumn("batch_id", F.expr(f"{key} div {int(batch_size)}"))
-    rows = F.transform(F.sort_array(F.collect_list(F.struct(*cols))),
-                       lambda s: F.array(*[s[c] for c in cols]))
-    body = F.struct(F.struct(F.array(*[F.lit(c) for c in cols]).alias("columns"),
-                             rows.alias("data")).alias("dataframe_split"))
+    ordered = F.sort_array(F.collect_list(F.struct(*cols)))
+    if orient == "split":
+        rows = F.transform(ordered, lambda s: F.array(*[s[c] for c in cols]))
+        body = F.struct(F.struct(F.array(*[F.lit(c) for c in cols]).alias("columns"),
+                                 rows.alias("data")).alias("dataframe_split"))
+    elif orient == "inputs":
+        def field(c):
+            return lambda s: s[c]
+        body = F.struct(F.struct(*[F.transform(ordered, field(c)).alias(c)
+                                   for c in cols]).alias("inputs"))
+    else:
+        raise ValueError(f"unknown orient {orient!r}")
     return b.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"),
                                      F.to_json(body).alias("payload"))
 

@@ -72,3 +72,13 @@ def test_materialize_and_sql_udf(spark):
     SC.register_score_udf(spark, "score_model_t")
     m.createOrReplaceTempView("t_udf")
     assert {r.id: r.s for r in spark.sql("SELECT id, score_model_t(text) AS s FROM t_udf").collect()} == {1: 2.0, 2: 1.0}
+
+
+def test_request_payload_orientations(spark):
+    import json
+    df = spark.createDataFrame([(i, i * 10) for i in range(5)], "id long, v long")
+    split = {r.batch_id: json.loads(r.payload) for r in SC.request_payload(df, "id", ["id", "v"], 2).collect()}
+    assert split[0] == {"dataframe_split": {"columns": ["id", "v"], "data": [[0, 0], [1, 10]]}}
+    cols = {r.batch_id: json.loads(r.payload) for r in
+            SC.request_payload(df, "id", ["id", "v"], 2, orient="inputs").collect()}
+    assert cols[2] == {"inputs": {"id": [4], "v": [40]}}
