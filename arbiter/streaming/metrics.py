@@ -107,19 +107,21 @@ def _history_processor():
 
     class HistoryProcessor(StatefulProcessor):
         """Keyed by conversation.  List state = messages of the current
-        segment; value state = assistant steps so far.  A reset command clears
-        the history and keeps the step counter."""
+        segment; value state = (assistant steps so far, history length).  A
+        reset command clears the history and keeps the step counter."""
 
         def init(self, handle):
             self.history = handle.getListState(
                 "history", T.StructType([T.StructField("role", T.StringType()),
                                          T.StructField("content", T.StringType())]))
-            self.steps = handle.getValueState("steps", T.StructType([T.StructField("n", T.LongType())]))
+            self.counters = handle.getValueState(
+                "counters", T.StructType([T.StructField("steps", T.LongType()),
+                                          T.StructField("n_history", T.LongType())]))
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
             batch = pd.concat(list(rows), ignore_index=True).sort_values("turn")
-            n_hist = sum(1 for _ in self.history.get()) if self.history.exists() else 0
-            steps = self.steps.get()[0] if self.steps.exists() else 0
+            # counters live in value state: no scan of the history list per batch
+            steps, n_hist = self.counters.get() if self.counters.exists() else (0, 0)
             new_msgs, out = [], []
             for r in batch.itertuples(index=False):
                 if r.is_reset:
@@ -135,7 +137,7 @@ def _history_processor():
                     steps += 1
             if new_msgs:
                 self.history.appendList(new_msgs)
-            self.steps.update((steps,))
+            self.counters.update((steps, n_hist))
             yield pd.DataFrame(out, columns=["conv_id", "turn", "n_history", "step"])
 
         def close(self):
