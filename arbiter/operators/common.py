@@ -49,9 +49,3 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES,
     if _driver_local(df) and df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
-
-
-def round_cols(df: DataFrame, decimals: dict[str, int]) -> DataFrame:
-    """Half-even rounding of double columns at the output boundary."""
-    return df.select(*[F.bround(F.col(c), decimals[c]).alias(c) if c in decimals else F.col(c)
-                       for c in df.columns])

@@ -185,15 +185,3 @@ def resolve_from_row(models: DataFrame, row: DataFrame, alias: str, fallback: st
            .when(F.col(alias).isNotNull(), F.lit(alias))
            .when(fb.isNotNull(), F.lit(fallback)))
     return j.select("*", version.alias("version"), via.alias("resolved_via"))
-
-
-def event_rows(model: Column, version: Column, items: list[tuple]) -> Column:
-    """array<struct> of registry writes built from (kind, alias, key, value)."""
-    out = []
-    for kind, alias, key, value in items:
-        out.append(F.struct(
-            F.lit(kind).alias("kind"), version.cast("string").alias("version"),
-            (alias if isinstance(alias, Column) else F.lit(alias)).cast("string").alias("alias"),
-            (key if isinstance(key, Column) else F.lit(key)).cast("string").alias("tag_key"),
-            (value if isinstance(value, Column) else F.lit(value)).cast("string").alias("tag_value")))
-    return F.array(*out)

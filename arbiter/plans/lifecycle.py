@@ -44,10 +44,6 @@ def resolved(spark, sf_dir):
     return R.resolve_versions(requests(spark, sf_dir), R.alias_state(reg(spark, sf_dir)))
 
 
-def resolved_pivot(spark, sf_dir):
-    row = R.alias_row(R.alias_state(reg(spark, sf_dir)))
-    return R.resolve_from_row(requests(spark, sf_dir), row, "champion", "production")
-
 
 def pairs(spark, sf_dir):
     """champion (explicit -> champion -> production) and challenger

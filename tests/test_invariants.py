@@ -47,3 +47,13 @@ def test_promotion_boundary_is_strict(spark):
     got = {r.model: r.promote for r in CP.promotion_decision(sides).collect()}
     # 0.52 - 0.50 > 0.02 is true in binary floating point, as in the reference
     assert got == {"m": (0.52 - 0.50) > 0.02, "n": True, "o": False}
+
+
+def test_latest_file_per_folder(spark):
+    import time
+    path = sinks.fresh_path(spark, "latest-test")
+    spark.createDataFrame([("a", 1), ("b", 1)], "run string, gen int").write.partitionBy("run").json(path)
+    time.sleep(1.1)
+    spark.createDataFrame([("a", 2)], "run string, gen int").write.mode("append").partitionBy("run").json(path)
+    got = {(r.run, r.gen) for r in sinks.latest_file_per_folder(spark, path, "gen int, run string", "run").collect()}
+    assert got == {("a", 2), ("b", 1)}

@@ -101,3 +101,13 @@ def test_resolve_versions_fallback_and_rejects(spark):
            for r in R.resolve_versions(req, R.alias_state(df)).collect()}
     assert got == {("m1", ""): ("1", "production"), ("m2", ""): ("1", "champion"), ("m3", ""): (None, None),
                    ("m3", "7"): ("7", "explicit:7")}
+
+
+def test_tag_maps(spark):
+    events = random_log(21)
+    _, exp_tags = replay(events)
+    got = {(r.model, r.version): dict(r.tags) for r in R.tag_maps(R.tag_state(to_df(spark, events))).collect()}
+    exp = {}
+    for (m, v, k), val in exp_tags.items():
+        exp.setdefault((m, v), {})[k] = val
+    assert got == exp
