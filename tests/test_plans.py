@@ -38,3 +38,21 @@ def test_no_python_in_sql_expressible_queries(spark):
     for name in ("rule_score", "experiment_summary", "alias_state", "session_totals", "ops_metrics"):
         p = plan_of(registry()[name].build(spark, SF_MID))
         assert "EvalPython" not in p, name
+
+
+def _executed(df):
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_single_pass_metric_plans(spark):
+    """Two views of one relation are built in one pass, not by self-joins."""
+    for name in ("drift_report", "ops_metrics"):
+        p = _executed(registry()[name].build(spark, SF_MID))
+        assert p.count("Scan parquet") == 1, name
+
+
+def test_champion_challenger_plan_stays_bounded(spark):
+    p = _executed(registry()["promotion_decision"].build(spark, SF_MID))
+    assert p.count("Scan parquet") <= 12
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
