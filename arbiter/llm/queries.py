@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbiter.llm import license_scan, packing, url_filter
+from arbiter.llm import license_scan, merkle, mixing, packing, url_filter
 from arbiter.llm.common import table
 
 QUERIES: dict = {}
@@ -64,3 +64,14 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_license_scan")
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op4_mixing")
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.mix(table(spark, sf_dir, "documents"))).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op8_merkle")
+def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edit_likeness(table(spark, sf_dir, "documents"))
