@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbiter.llm import license_scan, merkle, mixing, packing, url_filter
+from arbiter.llm import license_scan, merkle, mixing, packing, simhash, url_filter
 from arbiter.llm.common import table
 
 QUERIES: dict = {}
@@ -75,3 +75,8 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_merkle")
 def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edit_likeness(table(spark, sf_dir, "documents"))
+
+
+@query("op5_simhash")
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
