@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbiter.llm import license_scan, merkle, mixing, packing, simhash, url_filter
+from arbiter.llm import embedding_dedup, license_scan, merkle, mixing, packing, simhash, url_filter
 from arbiter.llm.common import table
 
 QUERIES: dict = {}
@@ -80,3 +80,8 @@ def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_simhash")
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+@query("op2_embedding_dedup")
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
