@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbiter.llm import embedding_dedup, license_scan, merkle, mixing, packing, simhash, url_filter
+from arbiter.llm import (embedding_dedup, language_id, license_scan, merkle, mixing, packing, simhash,
+                         url_filter)
 from arbiter.llm.common import table
 
 QUERIES: dict = {}
@@ -85,3 +86,8 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_embedding_dedup")
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
