@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arbiter.llm import (embedding_dedup, language_id, license_scan, merkle, mixing, packing, simhash,
-                         url_filter)
+                         substring_dedup, url_filter)
 from arbiter.llm.common import table
 
 QUERIES: dict = {}
@@ -91,3 +91,8 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_language_id")
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op9_substring_dedup")
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=35)
