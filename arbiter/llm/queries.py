@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arbiter.llm import (embedding_dedup, language_id, license_scan, merkle, mixing, packing, simhash,
-                         substring_dedup, url_filter)
+                         substring_dedup, suffix_dedup, url_filter)
 from arbiter.llm.common import table
 
 QUERIES: dict = {}
@@ -96,3 +96,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_substring_dedup")
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+
+
+@query("op10_suffix_dedup")
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=100)
