@@ -26,6 +26,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SEGMENT = "seg long, doc_ids array<long>, sizes array<int>, blob binary"
 KEYS = "seg long, shard int, high binary, low binary, tie binary, many binary"
@@ -35,38 +36,51 @@ LEAST_SHARDS = 24
 
 
 def segments(docs: DataFrame, ordered: bool, clean: Callable[[bytes], bytes] | None = None,
-             segment_bytes: int = 1 << 20) -> DataFrame:
+             carry: bool = False, segment_bytes: int = 1 << 20) -> DataFrame:
     """Rows of :data:`SEGMENT`.  ``ordered``: segments follow each other by
-    document id (equal ids: by a hash of the text), numbers ascending."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    document id (equal ids: by a hash of the text), numbers ascending.
+    ``carry`` adds ``rest``, the other columns of every document."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                       *([F.struct(*[c for c in docs.columns if c != "text"]).alias("rest")] if carry else []))
+    schema = T._parse_datatype_string(SEGMENT)
+    if carry:
+        schema.add("rest", T.ArrayType(rows.schema["rest"].dataType))
     if ordered:
         rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         seg, packer = TaskContext.get().partitionId() << 32, zstandard.ZstdCompressor(3)
-        ids, texts, size = [], [], 0
+        ids, texts, rest, size = [], [], [], 0
 
         def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([seg], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-                 pa.array([[len(t) for t in texts]], pa.list_(pa.int32())),
-                 pa.array([packer.compress(b"".join(texts))], pa.binary())],
-                ["seg", "doc_ids", "sizes", "blob"])
+            cols = [pa.array([seg], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
+                    pa.array([[len(t) for t in texts]], pa.list_(pa.int32())),
+                    pa.array([packer.compress(b"".join(texts))], pa.binary())]
+            if carry:
+                values = pa.concat_arrays(rest)
+                cols.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
+            return pa.RecordBatch.from_arrays(cols, schema.names)
 
         for batch in batches:
-            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
+            taken = 0  # rows of this batch whose other columns are in ``rest``
+            for i, (doc, value) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()))):
                 text = value.as_py() or b""
                 ids.append(doc)
                 texts.append(clean(text) if clean else text)
                 size += len(texts[-1])
                 if size >= segment_bytes:
+                    if carry:
+                        rest.append(batch.column(2).slice(taken, i + 1 - taken))
+                    taken = i + 1
                     yield row()
-                    seg, ids, texts, size = seg + 1, [], [], 0
+                    seg, ids, texts, rest, size = seg + 1, [], [], [], 0
+            if carry and taken < batch.num_rows:
+                rest.append(batch.column(2).slice(taken))
         if ids:
             yield row()
 
-    return rows.mapInArrow(gather, SEGMENT)
+    return rows.mapInArrow(gather, schema)
 
 
 class Segment:

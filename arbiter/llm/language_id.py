@@ -25,6 +25,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,7 +71,7 @@ class ByteCnn:
 
 
 def train(texts: list[str], labels: list[str], window: int = 256, dim: int = 8, widths=(2, 3, 4), count: int = 16,
-          epochs: int = 6, batch: int = 64, rate: float = 4e-3, seed: int = 11) -> ByteCnn:
+          steps: int = 750, batch: int = 64, rate: float = 4e-3, seed: int = 11) -> ByteCnn:
     """Adam on the cross-entropy; the gradient of a max-pool goes to the
     patch that was largest.  Windows are cut to a random length now and then,
     since short documents are mostly padding."""
@@ -90,7 +91,7 @@ def train(texts: list[str], labels: list[str], window: int = 256, dim: int = 8,
     weight = (len(y) / (len(languages) * share))[y]
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in params.items()}
     step = 0
-    for _ in range(epochs):
+    while step < steps:
         order = rng.permutation(len(y))
         for a in range(0, len(order), batch):
             pick = order[a:a + batch]
@@ -207,6 +208,21 @@ def identify(docs: DataFrame, sample_rows: int = 8000) -> DataFrame:
     return predict(docs, net)
 
 
+def keep_identified(docs: DataFrame, sample_rows: int = 8000) -> DataFrame:
+    """The rows of ``docs`` whose text has a language, all columns as they are."""
+    prepare(docs.sparkSession)
+    rows = training_windows(docs, sample_rows)
+    model = docs.sparkSession.sparkContext.broadcast(train([r[2] for r in rows], [r[1] for r in rows]) if rows else None)
+
+    @F.pandas_udf("string")
+    def language(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        predictor = Predictor(model.value) if model.value else None
+        for texts in parts:
+            yield pd.Series([predictor.predict(t)[0] if predictor else UNDETERMINED for t in texts], dtype="str")
+
+    return docs.where(language("text") != UNDETERMINED)
+
+
 def predict(docs: DataFrame, net: ByteCnn | None) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(net)
 

@@ -39,22 +39,23 @@ def word_count(text: str = "text") -> Column:
 
 
 def sized(docs: DataFrame, rows_per_bucket: int = 4096, seed: int = 7) -> DataFrame:
-    """doc_id, source, size and ``start``: the words of its source before it.
+    """doc_id, source, text_hash, size and ``start``: the words of its source
+    before it.
 
     The bucket of a document is a hash of its id, so a hot source spreads
     over all buckets; documents of a source are laid out bucket by bucket."""
-    base = docs.select("doc_id", "source", word_count().alias("size"))
+    base = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), word_count().alias("size"))
     n = parts_for(docs.count(), rows_per_bucket, 64)
     base = written(base.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(n))), "sizes")
     totals = base.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     before = totals.select(
         F.col("source").alias("t_source"), F.col("bucket").alias("t_bucket"),
         (F.sum("words").over(Window.partitionBy("source").orderBy("bucket")) - F.col("words")).alias("before"))
-    inside = Window.partitionBy("source", "bucket").orderBy("doc_id", "size").rowsBetween(
+    inside = Window.partitionBy("source", "bucket").orderBy("doc_id", "text_hash").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     rows = base.withColumn("upto", F.sum("size").over(inside))
     return (rows.join(before, F.col("source").eqNullSafe(F.col("t_source")) & (F.col("bucket") == F.col("t_bucket")))
-            .select("doc_id", "source", "size", (F.col("before") + F.col("upto") - F.col("size")).alias("start")))
+            .select("doc_id", "source", "text_hash", "size", (F.col("before") + F.col("upto") - F.col("size")).alias("start")))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
@@ -141,7 +142,7 @@ def slots(quota: DataFrame, block: int, seed: int, slots_per_shard: int, chunk:
         F.sequence(F.lit(1), F.lit(64)), step(F.col("i")),
         lambda at, _: F.when(at < F.col("full"), at).otherwise(step(at)))
     return out.withColumn("blk", F.when(F.col("i") < F.col("full"), blk).otherwise(F.col("full"))).select(
-        "shard", "source", "slot", "blk", "may")
+        "shard", "source", "slot", "pass", "blk", "may")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, max_repeat: int = 2,
@@ -182,14 +183,31 @@ def taken(mixed: dict[str, DataFrame]) -> DataFrame:
                     F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
 
-def mixed_texts(docs: DataFrame, mixed: dict[str, DataFrame]) -> DataFrame:
-    """The mix itself: shard, source, slot, doc_id, part of its words.  Joins
-    on the place of a document in its source, so ``docs`` must be the rows
-    that :func:`mix` got and their ids unique."""
-    words = docs.select("doc_id", F.expr(f"regexp_extract_all(text, r'({WORD_PATTERN})')").alias("words"))
+def mixed_documents(docs: DataFrame, mixed: dict[str, DataFrame]) -> DataFrame:
+    """The mix as rows with the columns of ``docs``: a document appears once
+    for every pass over its source that takes of it; text that is taken in
+    part is cut to the words taken (joined by one space), and ``n_chars``
+    counted anew.  Rows of equal id, source and text have the other columns
+    of one of them."""
     take = F.least(F.col("b") - F.col("a"), F.col("may") - F.col("at"))
-    s = mixed["slots"].select("shard", F.col("source").alias("s_source"), "slot", F.col("blk").alias("s_blk"), "may")
-    return (mixed["pieces"].join(s, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("blk") == F.col("s_blk")))
-            .where(take > 0).join(words, "doc_id")
-            .select("shard", "source", "slot", "at", "doc_id", F.array_join(
-                F.slice("words", (F.col("a") + 1).cast("int"), take.cast("int")), " ").alias("text")))
+    s = mixed["slots"].select(F.col("source").alias("s_source"), F.col("blk").alias("s_blk"), "pass", "may")
+    # a document's pieces in one pass: as many as its blocks
+    parts = (mixed["pieces"].join(s, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("blk") == F.col("s_blk")))
+             .where(take > 0).groupBy("doc_id", "source", "text_hash", "size", "start", "pass")
+             .agg(F.sum(take).alias("words"),
+                  F.sort_array(F.collect_list(F.struct("a", take.alias("n")))).alias("parts"))
+             .withColumn("parts", F.when(F.col("words") < F.col("size"), F.col("parts"))))
+    parts = parts.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
+                         F.col("text_hash").alias("_of"), "parts")
+    keys = ["doc_id", "source", "_hash"]
+    texts = docs.withColumn("_hash", F.xxhash64("text")).dropDuplicates(keys)
+    joined = texts.join(parts, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
+                        & (F.col("_hash") == F.col("_of")))
+    words = F.regexp_extract_all("text", F.lit(f"({WORD_PATTERN})"))
+    cut = F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(
+        F.col("_words"), (p["a"] + 1).cast("int"), p["n"].cast("int")))), " ")
+    out = (joined.withColumn("_words", F.when(F.col("parts").isNotNull(), words))
+           .withColumn("text", F.when(F.col("parts").isNull(), F.col("text")).otherwise(cut)))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)

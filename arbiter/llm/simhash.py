@@ -73,15 +73,17 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+    """doc_id, text_hash, fp (the 64 bits as a signed long)."""
     prepare(docs.sparkSession)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            fps = [fingerprint(t.as_py(), shingle) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())],
+                                             ["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(compute, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
+                       "text").mapInArrow(compute, "doc_id long, text_hash long, fp long")
 
 
 def block_masks(blocks: int, max_bits: int) -> list[int]:
@@ -145,12 +147,29 @@ def links(distinct: DataFrame, max_bits: int = 2, blocks: int = 4, cell_rows: in
     return dealt.mapInArrow(verify, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, blocks: int = 4) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id."""
+def grouped(docs: DataFrame, shingle: int = 3, max_bits: int = 2, blocks: int = 4) -> DataFrame:
+    """doc_id, text_hash, fp, component_id of every row."""
     prints = written(fingerprints(docs, shingle), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct-fingerprints")
     groups = connected_components(links(distinct, max_bits, blocks))
     labels = distinct.join(groups, F.col("rep") == F.col("node"), "left").select(
         "fp", F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(labels, "fp").select(
+    return prints.join(labels, "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, blocks: int = 4) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id."""
+    return grouped(docs, shingle, max_bits, blocks).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """One row of ``docs`` of each group of near duplicates, all columns as
+    they are: the smallest id, of equal ids the smallest hash of the text, of
+    equal rows any one."""
+    first = (grouped(docs, shingle, max_bits).groupBy("component_id")
+             .agg(F.min(F.struct("doc_id", "text_hash")).alias("k"))
+             .select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash")))
+    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
+    return (hashed.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
+            .dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash"))

@@ -40,12 +40,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arbiter.llm import exchange as X
 from arbiter.llm.common import drop_written, prepare, written
 
 SAMPLE_SEED, ORDER_SEED, TIE_SEED = 5, 6, 7
-CANDIDATES = X.SEGMENT + ", runs binary, n_candidates long, splits array<long>"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 SIGN = np.uint64(1 << 63)
 
@@ -140,10 +140,12 @@ def _runs(batch: pa.RecordBatch, i: int) -> np.ndarray:
     return np.frombuffer(batch.column("runs")[i].as_py(), "<i4").reshape(-1, 2).astype(np.int64)
 
 
-def find_candidates(docs: DataFrame, length: int) -> DataFrame:
+def find_candidates(docs: DataFrame, length: int, carry: bool = False) -> DataFrame:
     """Segments with their candidate runs, and every 1024th candidate's order
     (for the splitters)."""
-    segs = written(X.segments(docs, ordered=True), "byte-segments")
+    segs = written(X.segments(docs, ordered=True, carry=carry), "byte-segments")
+    schema = T.StructType([*segs.schema.fields]).add("runs", "binary").add("n_candidates", "long").add(
+        "splits", T.ArrayType(T.LongType()))
     total = segs.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b))).first()[0] or 0
     cover = Cover(length)
     bits = X.shard_bits(int(total * cover.period.mean()))
@@ -157,19 +159,18 @@ def find_candidates(docs: DataFrame, length: int) -> DataFrame:
     ranks = written(X.answers(segs.mapInArrow(sample, X.KEYS), X.repeated_cells), "sample-answers")
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in CANDIDATES.split(", ")]
         for batch in batches:
             for i in range(batch.num_rows):
                 s = X.Segment(batch, i)
                 runs = cover.candidates(s, bits, batch.column("ranks")[i].as_py())
                 some = Suffixes(s, runs, length).order[::1024] ^ SIGN
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(i, 1) for c in names[:4]),
+                    [*(batch.column(c).slice(i, 1) for c in schema.names[:-3]),
                      pa.array([runs.astype("<i4").tobytes()], pa.binary()),
                      pa.array([int((runs[:, 1] - runs[:, 0]).sum())], pa.int64()),
-                     pa.array([some.view(np.int64)], pa.list_(pa.int64()))], names)
+                     pa.array([some.view(np.int64)], pa.list_(pa.int64()))], schema.names)
 
-    out = written(X.attach(segs, ranks, "ranks").mapInArrow(mark, CANDIDATES), "candidates")
+    out = written(X.attach(segs, ranks, "ranks").mapInArrow(mark, schema), "candidates")
     drop_written(segs)
     drop_written(ranks)
     return out
@@ -187,10 +188,10 @@ def splitters(segs: DataFrame, buckets: int) -> tuple[np.ndarray, int]:
     return np.unique(np.array(found, np.int64)).view(np.uint64) ^ SIGN, per_bucket
 
 
-def repeated_bytes(docs: DataFrame, length: int, buckets: int) -> tuple[DataFrame, np.ndarray]:
+def repeated_bytes(docs: DataFrame, length: int, buckets: int, carry: bool) -> tuple[DataFrame, np.ndarray]:
     """Segments with ``earlier``: answers for their candidates, and the splitters."""
     prepare(docs.sparkSession)
-    segs = find_candidates(docs, length)
+    segs = find_candidates(docs, length, carry)
     splits, per_bucket = splitters(segs, buckets)
     found = None
     for bucket in range(0, len(splits) // per_bucket + 1):
@@ -218,11 +219,13 @@ def repeated_bytes(docs: DataFrame, length: int, buckets: int) -> tuple[DataFram
 
 def remove_repeats(docs: DataFrame, length: int = 100, buckets: int = 8, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document.
-    ``with_text`` adds ``kept``: the remaining bytes as text, less what is
-    left of a character that a removed span cuts through."""
-    rows, splits = repeated_bytes(docs, length, buckets)
-    schema = RESULT + (", kept string" if with_text else "")
-    names = [c.split()[0] for c in schema.split(", ")]
+    ``with_text`` adds ``kept``, the remaining bytes as text less what is
+    left of a character that a removed span cuts through, and ``rest``, a
+    struct of the other columns of ``docs``."""
+    rows, splits = repeated_bytes(docs, length, buckets, with_text)
+    schema = T._parse_datatype_string(RESULT)
+    if with_text:
+        schema.add("kept", "string").add("rest", rows.schema["rest"].dataType.elementType)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,7 +256,18 @@ def remove_repeats(docs: DataFrame, length: int = 100, buckets: int = 8, with_te
                 cols = [pa.array(s.doc_ids, pa.int64()), pa.array(s.sizes), pa.array(n_removed.astype(np.int64)),
                         pa.array(n_spans.astype(np.int64)), pa.array([hashlib.sha256(k).hexdigest() for k in kept])]
                 if with_text:
-                    cols.append(pa.array([k.decode(errors="ignore") for k in kept], pa.string()))
-                yield pa.RecordBatch.from_arrays(cols, names)
+                    cols += [pa.array([k.decode(errors="ignore") for k in kept], pa.string()),
+                             batch.column("rest")[i].values]
+                yield pa.RecordBatch.from_arrays(cols, schema.names)
 
     return rows.mapInArrow(cut, schema)
+
+
+def cut_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
+    """``docs`` with the repeated bytes cut from ``text`` (and ``n_chars``
+    counted anew, where there is one); documents of which nothing is left go."""
+    found = remove_repeats(docs, length, with_text=True)
+    columns = {c: F.col("rest")[c] for c in docs.columns if c != "text"} | {"text": F.col("kept")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.length("kept").cast(docs.schema["n_chars"].dataType)
+    return found.where("n_removed < n_bytes or n_bytes = 0").select(*[columns[c].alias(c) for c in docs.columns])
