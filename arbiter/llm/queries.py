@@ -83,7 +83,20 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
-@query("op2_embedding_dedup")
+@query("op2_embedding_dedup", sql="""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+edges AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+          ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+             AND list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(a, b) AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM edges GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(low.b, vec_id)) AS component_id,
+       least(vec_id, coalesce(low.b, vec_id)) = vec_id AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN low ON low.a = vec_id""")
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
@@ -93,11 +106,37 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
-@query("op9_substring_dedup")
+@query("op9_substring_dedup", sql=r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS words
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+repeats AS (SELECT doc_id, i FROM windows
+            QUALIFY count(*) OVER (PARTITION BY words) > 1),
+gone AS (SELECT DISTINCT doc_id, j FROM (SELECT doc_id, unnest(range(i, i + 35)) AS j FROM repeats)),
+words AS (SELECT doc_id, j, w[j] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS j FROM d)),
+cut AS (SELECT words.doc_id, count(gone.j) AS n_removed,
+               string_agg(word, ' ' ORDER BY words.j) FILTER (gone.j IS NULL) AS kept
+        FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.j = words.j GROUP BY words.doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)""")
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=35)
 
 
-@query("op10_suffix_dedup")
+@query("op10_suffix_dedup", sql="""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+suffixes AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s
+             FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS i FROM d)),
+repeats AS (SELECT doc_id, i FROM suffixes QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, j FROM (SELECT doc_id, unnest(range(i, i + 100)) AS j FROM repeats)),
+spans AS (SELECT doc_id, count(*) AS n_removed, count(DISTINCT j - no) AS n_spans
+          FROM (SELECT doc_id, j, row_number() OVER (PARTITION BY doc_id ORDER BY j) AS no FROM gone) GROUP BY doc_id),
+bytes AS (SELECT doc_id, j, substr(h, 2 * j + 1, 2) AS b
+          FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS j FROM d)),
+kept AS (SELECT bytes.doc_id, string_agg(b, '' ORDER BY bytes.j) AS k
+         FROM bytes ANTI JOIN gone ON gone.doc_id = bytes.doc_id AND gone.j = bytes.j GROUP BY bytes.doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k, ''))) AS kept_sha256
+FROM d LEFT JOIN spans USING (doc_id) LEFT JOIN kept USING (doc_id)""")
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=100)
