@@ -9,11 +9,10 @@
    plus part of one.  Its slots are thrown on the output shards independently
    and uniformly, which draws the multinomial counts (shard, source) given
    the quotas; each shard then owns consecutive slot numbers of each source.
-4. A slot number becomes a pass and an index inside the pass, and a keyed
-   permutation of the source's full blocks (four Feistel rounds on the next
-   power of four, walking on while outside) turns the index into a block;
-   the tail comes last in a pass.  Slots and blocks are joined by
-   (source, block), document pieces hang on blocks.
+4. A slot number becomes a pass and an index inside the pass.  The source's
+   full blocks are permuted by ranking them by a keyed hash, the tail comes
+   last; a block's rank is its index, and slots are joined to blocks by
+   (source, index).  Document pieces hang on their blocks.
 
 No window or group holds a whole source: prefix sums run inside buckets of
 documents and over the bucket totals.  Everything is a function of the rows
@@ -29,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arbiter.llm.common import WORD_PATTERN, parts_for, prepare, written
+from arbiter.llm.common import WORD_PATTERN, parts_for, prepare, shuffle_partitions, written
 
 WEIGHTS = (5, 2, 1)
 
@@ -47,17 +46,22 @@ def sized(docs: DataFrame, rows_per_bucket: int = 4096, seed: int = 7) -> DataFr
     base = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), word_count().alias("size"))
     n = parts_for(docs.count(), rows_per_bucket, 64)
     base = written(base.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(n))), "sizes")
-    totals = base.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    before = totals.select(
-        F.col("source").alias("t_source"), F.col("bucket").alias("t_bucket"),
-        (F.sum("words").over(Window.partitionBy("source").orderBy("bucket")) - F.col("words")).alias("before"))
     inside = Window.partitionBy("source", "bucket").orderBy("doc_id", "text_hash").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     rows = base.withColumn("upto", F.sum("size").over(inside))
-    return (rows.join(before, F.col("source").eqNullSafe(F.col("t_source")) & (F.col("bucket") == F.col("t_bucket")))
+    return (_after_buckets(rows, base.groupBy("source", "bucket").agg(F.sum("size").alias("amount")))
             .select("doc_id", "source", "text_hash", "size", (F.col("before") + F.col("upto") - F.col("size")).alias("start")))
 
 
+def _after_buckets(rows: DataFrame, amounts: DataFrame) -> DataFrame:
+    """Adds ``before``: the amount in a source's buckets before a row's own."""
+    before = amounts.select(
+        F.col("source").alias("t_source"), F.col("bucket").alias("t_bucket"),
+        (F.sum("amount").over(Window.partitionBy("source").orderBy("bucket")) - F.col("amount")).alias("before"))
+    return rows.join(before, F.col("source").eqNullSafe(F.col("t_source")) & (F.col("bucket") == F.col("t_bucket"))
+                     ).drop("t_source", "t_bucket")
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
             max_repeat: int = 2) -> DataFrame:
     """source, source_size, weight, target: water-filling over the sources.
@@ -88,89 +92,87 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
         F.when(F.col("full"), cap.cast("double")).otherwise(F.col("weight") * F.col("water")).alias("target"))
 
 
-def _feistel(index: Column, half_bits: Column, key: Column, rounds: int = 4) -> Column:
-    """Keyed permutation of [0, 4 ** half_bits)."""
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), half_bits) - 1
-    left, right = F.call_function("shiftright", index, half_bits), index.bitwiseAND(mask)
-    for i in range(rounds):
-        left, right = right, left.bitwiseXOR(F.xxhash64(right, key, F.lit(i)).bitwiseAND(mask))
-    return F.call_function("shiftleft", left, half_bits).bitwiseOR(right)
+def pieces(laid: DataFrame, goals: DataFrame, block: int, seed: int, blocks_per_bucket: int = 4096) -> DataFrame:
+    """The words [a, b) of a document that stand in a block, from ``at`` in
+    the block, and the block's ``index`` in the permutation of its source."""
+    total = goals.agg(F.sum("source_size")).first()[0] or 0
+    n = parts_for(total // block, blocks_per_bucket, 64)
+    sources = goals.select(F.col("source").alias("g_source"), F.expr(f"source_size div {block}").alias("full"))
+    blk = F.col("blk")
+    rows = (laid.where("size > 0").join(sources, F.col("source").eqNullSafe(F.col("g_source"))).drop("g_source")
+            .withColumn("blk", F.explode(F.sequence(
+                F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))))
+            .withColumn("a", F.greatest(F.col("start"), blk * block) - F.col("start"))
+            .withColumn("b", F.least(F.col("start") + F.col("size"), (blk + 1) * block) - F.col("start"))
+            .withColumn("at", F.col("start") + F.col("a") - blk * block)
+            .withColumn("draw", F.xxhash64("source", "blk", F.lit(seed)))
+            # the tail stands alone behind all buckets
+            .withColumn("bucket", F.when(blk < F.col("full"), F.pmod("draw", F.lit(n))).otherwise(F.lit(n))))
+    inside = Window.partitionBy("source", "bucket").orderBy("draw", "blk")
+    rows = written(rows.withColumn("rank", F.dense_rank().over(inside)), "pieces")
+    return (_after_buckets(rows, rows.groupBy("source", "bucket").agg(F.max("rank").cast("long").alias("amount")))
+            .withColumn("index", F.col("before") + F.col("rank") - 1)
+            .drop("draw", "bucket", "rank", "before", "full", "blk"))
 
 
 def slots(quota: DataFrame, block: int, seed: int, slots_per_shard: int, chunk: int = 4096) -> DataFrame:
-    """Output slots: shard, source, slot, blk (block index), words it may take.
+    """Output slots: shard, source, slot, pass, index, ``may`` (the words it
+    may take of its block).
 
     ``quota``: source, source_size, quota (words).  The counts per (shard,
     source) are drawn slot by slot and pre-aggregated; slot numbers follow
     from their running sum."""
+    spark = quota.sparkSession
     q = (quota.where("quota > 0")
-         .withColumn("full", F.expr(f"source_size div {block}"))
-         .withColumn("tail", F.col("source_size") % block)
-         .withColumn("per_pass", F.col("full") + (F.col("tail") > 0).cast("long"))
+         .withColumn("per_pass", F.ceil(F.col("source_size") / block))
          .withColumn("passes", F.expr("quota div source_size"))
          .withColumn("rest", F.col("quota") % F.col("source_size"))
          .withColumn("n_slots", F.col("passes") * F.col("per_pass") + F.ceil(F.col("rest") / block)))
     q = written(q, "quota")
     shards = parts_for(q.agg(F.sum("n_slots")).first()[0] or 1, slots_per_shard)
-    key = F.xxhash64("source", F.lit(seed))
-    chunks = q.select("source", F.col("n_slots"), F.explode(F.sequence(
+    dealt = lambda df, *keys: df.repartition(shuffle_partitions(spark), *keys)
+    chunks = q.select("source", "n_slots", F.explode(F.sequence(
         F.lit(0).cast("long"), F.expr(f"(n_slots - 1) div {chunk}"))).alias("c"))
-    numbered = (chunks.repartition(F.xxhash64("source", "c"))
-                .select("source", F.explode(F.sequence(
-                    F.col("c") * chunk, F.least((F.col("c") + 1) * chunk, F.col("n_slots")) - 1)).alias("throw")))
-    counts = (numbered.select("source", F.pmod(F.xxhash64(key, "throw"), F.lit(shards)).alias("shard"))
+    throws = (dealt(chunks, "source", "c")
+              .select("source", F.explode(F.sequence(
+                  F.col("c") * chunk, F.least((F.col("c") + 1) * chunk, F.col("n_slots")) - 1)).alias("throw")))
+    counts = (throws.select("source", F.pmod(F.xxhash64("source", "throw", F.lit(seed)), F.lit(shards)).alias("shard"))
               .groupBy("shard", "source").agg(F.count(F.lit(1)).alias("n")))
     counts = counts.withColumn("upto", F.sum("n").over(
         Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    q2 = q.select(F.col("source").alias("q_source"), "full", "tail", "per_pass", "passes", "rest")
-    parts = (counts.join(q2, F.col("source").eqNullSafe(F.col("q_source"))).drop("q_source")
-             .withColumn("from", F.explode(F.sequence(F.col("upto") - F.col("n"), F.col("upto") - 1, F.lit(chunk))))
-             .repartition(F.xxhash64("source", "from")))
-    out = (parts.withColumn("slot", F.explode(F.sequence(
-                "from", F.least(F.col("from") + chunk, F.col("upto")) - 1)))
-           .withColumn("pass", F.expr("slot div per_pass"))
-           .withColumn("i", F.col("slot") % F.col("per_pass"))
-           # the last slot of the broken pass is cut where the quota ends
-           .withColumn("may", F.when(F.col("pass") < F.col("passes"), F.lit(block).cast("long"))
-                       .otherwise(F.least(F.lit(block).cast("long"), F.col("rest") - F.col("i") * block)))
-           .withColumn("half", F.greatest(F.ceil(F.log2(F.greatest("full", F.lit(2))) / 2), F.lit(1)).cast("int")))
-    walk = F.xxhash64(key, "pass")
-    # walk on while outside [0, full): the cycle comes back inside, and each
-    # step leaves with a probability of at least a quarter
-    step = lambda x: _feistel(x, F.col("half"), walk)
-    blk = F.aggregate(
-        F.sequence(F.lit(1), F.lit(64)), step(F.col("i")),
-        lambda at, _: F.when(at < F.col("full"), at).otherwise(step(at)))
-    return out.withColumn("blk", F.when(F.col("i") < F.col("full"), blk).otherwise(F.col("full"))).select(
-        "shard", "source", "slot", "pass", "blk", "may")
+    q = q.select(F.col("source").alias("q_source"), "per_pass", "passes", "rest")
+    parts = (counts.join(q, F.col("source").eqNullSafe(F.col("q_source"))).drop("q_source")
+             .withColumn("from", F.explode(F.sequence(F.col("upto") - F.col("n"), F.col("upto") - 1, F.lit(chunk)))))
+    whole = F.lit(block).cast("long")
+    return (dealt(parts, "source", "from")
+            .withColumn("slot", F.explode(F.sequence("from", F.least(F.col("from") + chunk, F.col("upto")) - 1)))
+            .withColumn("pass", F.expr("slot div per_pass"))
+            .withColumn("index", F.col("slot") % F.col("per_pass"))
+            # the last slot of the broken pass is cut where the quota ends
+            .withColumn("may", F.when(F.col("pass") < F.col("passes"), whole)
+                        .otherwise(F.least(whole, F.col("rest") - F.col("index") * block)))
+            .select("shard", "source", "slot", "pass", "index", "may"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, max_repeat: int = 2,
         block: int = 64, seed: int = 20, slots_per_shard: int = 16_384) -> dict[str, DataFrame]:
     """``documents`` (doc_id, source, size, start), ``targets``, ``slots`` and
-    ``pieces``: the words [a, b) of a document that stand in a block, from
-    ``at`` in the block.  A slot takes a block's words before ``may``."""
+    ``pieces``.  A slot takes a block's words before ``may``."""
     prepare(docs.sparkSession)
     laid = written(sized(docs), "laid")
     goals = written(targets(laid, weights, share, max_repeat).withColumn("quota", F.round("target").cast("long")),
                     "targets")
-    last = F.expr(f"(start + size - 1) div {block}")
-    pieces = (laid.where("size > 0")
-              .withColumn("blk", F.explode(F.sequence(F.expr(f"start div {block}"), last)))
-              .withColumn("a", F.greatest(F.col("start"), F.col("blk") * block) - F.col("start"))
-              .withColumn("b", F.least(F.col("start") + F.col("size"), (F.col("blk") + 1) * block) - F.col("start"))
-              .withColumn("at", F.col("start") + F.col("a") - F.col("blk") * block))
     return {"documents": laid, "targets": goals, "slots": slots(goals, block, seed, slots_per_shard),
-            "pieces": pieces}
+            "pieces": pieces(laid, goals, block, seed)}
 
 
 def taken(mixed: dict[str, DataFrame]) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, taken."""
-    grouped = mixed["slots"].groupBy("source", "blk").agg(F.collect_list("may").alias("takes"))
+    grouped = mixed["slots"].groupBy("source", "index").agg(F.collect_list("may").alias("takes"))
     # a block is in at most one slot a pass, so its list is as long as the passes
     hits = mixed["pieces"].join(
-        grouped.select(F.col("source").alias("s_source"), F.col("blk").alias("s_blk"), "takes"),
-        F.col("source").eqNullSafe(F.col("s_source")) & (F.col("blk") == F.col("s_blk")))
+        grouped.select(F.col("source").alias("s_source"), F.col("index").alias("s_index"), "takes"),
+        F.col("source").eqNullSafe(F.col("s_source")) & (F.col("index") == F.col("s_index")))
     words = F.aggregate("takes", F.lit(0).cast("long"), lambda total, may: total + F.greatest(
         F.lit(0).cast("long"), F.least(F.col("b") - F.col("a"), may - F.col("at"))))
     per_doc = hits.groupBy("source", "start").agg(F.sum(words).alias("taken")).select(
@@ -190,9 +192,9 @@ def mixed_documents(docs: DataFrame, mixed: dict[str, DataFrame]) -> DataFrame:
     counted anew.  Rows of equal id, source and text have the other columns
     of one of them."""
     take = F.least(F.col("b") - F.col("a"), F.col("may") - F.col("at"))
-    s = mixed["slots"].select(F.col("source").alias("s_source"), F.col("blk").alias("s_blk"), "pass", "may")
+    s = mixed["slots"].select(F.col("source").alias("s_source"), F.col("index").alias("s_index"), "pass", "may")
     # a document's pieces in one pass: as many as its blocks
-    parts = (mixed["pieces"].join(s, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("blk") == F.col("s_blk")))
+    parts = (mixed["pieces"].join(s, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("index") == F.col("s_index")))
              .where(take > 0).groupBy("doc_id", "source", "text_hash", "size", "start", "pass")
              .agg(F.sum(take).alias("words"),
                   F.sort_array(F.collect_list(F.struct("a", take.alias("n")))).alias("parts"))
