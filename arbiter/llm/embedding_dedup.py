@@ -13,7 +13,9 @@ bisector between the cells is no further from x than r.  Asymmetric table
 look-ups give the distance to the decoded member; a pair is dropped only if
 that exceeds ``r`` plus the member's own quantisation error.  Both bounds are
 exact, so no link is lost; the cosine of what is left is computed in double
-precision.
+precision.  In many dimensions a partner hardly ever lies straight towards a
+bisector; ``margin`` below 1 shrinks the radius of that test (and only of
+that), which cuts probes at a small, measurable loss.  The query keeps 1.
 
 Equal vectors are collapsed before the search.  Lists and probes are cut into
 blocks of bounded size; a block returns link counts per vector and a spanning
@@ -132,11 +134,13 @@ def _matrix(column, width: int) -> np.ndarray:
     return out
 
 
-def fit_index(distinct: DataFrame, sample_rows: int = 8192, rows_per_cell: int = 256, max_cells: int = 1024,
+def fit_index(distinct: DataFrame, sample_rows: int = 8192, rows_per_cell: int = 1024, max_cells: int = 1024,
               subspaces: int = 8) -> tuple[ProductQuantiser, int] | None:
     """Quantiser from at most about ``sample_rows`` vectors (chosen by a hash
-    of the id), and the padded width; None if there are no vectors."""
-    n, widest = distinct.agg(F.count(F.lit(1)), F.max("dim")).first()
+    of the id), and the padded width; None if there are no vectors.  Lists
+    are kept per label, so the largest label sets the number of cells."""
+    by_label = distinct.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.max("dim").alias("dim"))
+    n, largest, widest = by_label.agg(F.sum("n"), F.max("n"), F.max("dim")).first()
     if not n:
         return None
     width = -(-widest // subspaces) * subspaces
@@ -145,11 +149,11 @@ def fit_index(distinct: DataFrame, sample_rows: int = 8192, rows_per_cell: int =
     if not rows.num_rows:
         rows = distinct.select("rep", "vec").limit(1).toArrow()
     x = _matrix(rows.sort_by("rep").column("vec"), width)
-    return ProductQuantiser.fit(x, min(max_cells, parts_for(n, rows_per_cell)), subspaces), width
+    return ProductQuantiser.fit(x, min(max_cells, parts_for(largest, rows_per_cell)), subspaces), width
 
 
 def link_blocks(distinct: DataFrame, index: ProductQuantiser, width: int, threshold: float,
-                block_rows: int = 1024) -> DataFrame:
+                block_rows: int = 1024, margin: float = 1.0) -> DataFrame:
     """(rep, links, root): link counts of vectors and forests, block by block."""
     radius = math.sqrt(2 - 2 * threshold) + 1e-9
     model = distinct.sparkSession.sparkContext.broadcast(index)
@@ -162,7 +166,7 @@ def link_blocks(distinct: DataFrame, index: ProductQuantiser, width: int, thresh
             x = _matrix(batch.column("vec"), width)
             cell, code, miss, d = model.value.encode(x)
             member = np.arange(len(x))
-            row, probe = model.value.probes(cell, d, radius)
+            row, probe = model.value.probes(cell, d, margin * radius)
             at = np.concatenate((member, row))
             query = np.concatenate((np.zeros(len(x), bool), np.ones(len(row), bool)))
             codes = pa.array([None if q else code[i].tobytes() for i, q in zip(at, query)], pa.binary())
@@ -211,7 +215,7 @@ def link_blocks(distinct: DataFrame, index: ProductQuantiser, width: int, thresh
     return dealt.groupBy(*key, "q_part", "m_part").applyInArrow(search, "rep long, links long, root long")
 
 
-def near_duplicates(df: DataFrame, threshold: float = 0.98, sample_rows: int = 8192) -> DataFrame:
+def near_duplicates(df: DataFrame, threshold: float = 0.98, sample_rows: int = 8192, margin: float = 1.0) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of ``df``
     (vec_id, label, embedding)."""
     prepare(df.sparkSession)
@@ -224,7 +228,7 @@ def near_duplicates(df: DataFrame, threshold: float = 0.98, sample_rows: int = 8
     if fitted is None:
         return everything.select("vec_id", F.lit(0).cast("long").alias("n_links"),
                                  F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    found = written(link_blocks(distinct, *fitted, threshold), "links")
+    found = written(link_blocks(distinct, *fitted, threshold, margin=margin), "links")
     n_links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     groups = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     per_rep = (distinct.join(n_links, "rep", "left")
