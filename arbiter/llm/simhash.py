@@ -97,6 +97,7 @@ def block_masks(blocks: int, max_bits: int) -> list[int]:
 def cell_links(key: np.ndarray, value: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs with equal keys (``key`` is sorted) and close values."""
     left, right = [], []
+    value = value.view(np.uint64)  # bitwise_count takes the absolute value of signed numbers
     alive = np.arange(len(key))
     for lag in range(1, len(key)):
         alive = alive[alive + lag < len(key)]
