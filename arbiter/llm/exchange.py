@@ -36,7 +36,7 @@ LEAST_SHARDS = 24
 
 
 def segments(docs: DataFrame, ordered: bool, clean: Callable[[bytes], bytes] | None = None,
-             carry: bool = False, segment_bytes: int = 1 << 20) -> DataFrame:
+             carry: bool = False, segment_bytes: int = 900_000) -> DataFrame:
     """Rows of :data:`SEGMENT`.  ``ordered``: segments follow each other by
     document id (equal ids: by a hash of the text), numbers ascending.
     ``carry`` adds ``rest``, the other columns of every document."""

@@ -123,7 +123,7 @@ class Suffixes:
         text = s.bytes[np.arange(int(wide.sum())) + np.repeat(runs[:, 0] - (np.cumsum(wide) - wide), wide)]
         self.local, self.text = self.at + shift, text
         lead = np.zeros(len(self.at), np.uint64)
-        for k in range(4):
+        for k in range(min(4, length)):
             lead = lead << np.uint64(8) | text[self.local + k]
         rest = X.RollingHash(text, ORDER_SEED)(self.local, self.local + length)
         self.order = lead << np.uint64(32) | rest >> np.uint64(32)
