@@ -92,7 +92,7 @@ def id_buckets(docs: DataFrame, rows_per_bucket: int = 64, max_cells: int = 1 <<
     cells make a bucket of about ``rows_per_bucket`` rows."""
     low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
     low, high = low or 0, high or 0
-    cells = min(max_cells, parts_for(n, 16, 1024))
+    cells = min(max_cells, parts_for(n, 64, 1024))
     width = (high - low) // cells + 1
     cell = F.coalesce(F.expr(f"(doc_id - {low}L) div {width}L"), F.lit(-1).cast("long"))
     counts = docs.select("doc_id", cell.alias("cell")).groupBy("cell").agg(
