@@ -32,6 +32,7 @@ SEGMENT = "seg long, doc_ids array<long>, sizes array<int>, blob binary"
 KEYS = "seg long, shard int, high binary, low binary, tie binary, many binary"
 BITS = "seg long, shard int, bits binary"
 KEYS_PER_SHARD = 4 << 20
+NAMES_PER_SHARD = 2 << 20
 LEAST_SHARDS = 24
 
 
@@ -114,28 +115,33 @@ class RollingHash:
 
     def __init__(self, raw: np.ndarray, seed: int):
         values, up, self.down = _powers(seed, 1 << max(16, int(len(raw)).bit_length()))
-        self.prefix = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(values[raw] * up[:len(raw)], out=self.prefix[1:])
+        self.prefix = np.empty(len(raw) + 1, np.uint64)
+        self.prefix[0] = 0
+        term = self.prefix[1:]  # in place: fresh arrays of this size cost more than the arithmetic
+        np.take(values, raw, mode="clip", out=term)
+        term *= up[:len(raw)]
+        np.cumsum(term, out=term)
 
     def __call__(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        h = (self.prefix[end] - self.prefix[begin]) * self.down[begin]
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(0x94D049BB133111EB)
+        h = self.prefix.take(end)
+        h -= self.prefix.take(begin)
+        h *= self.down.take(begin)
+        for shift, factor in ((31, 0xBF58476D1CE4E5B9), (29, 0x94D049BB133111EB)):
+            h ^= h >> np.uint64(shift)
+            h *= np.uint64(factor)
         h ^= h >> np.uint64(32)
         return h
 
 
 def group(order: np.ndarray, tie: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(permutation that sorts by order, then tie, then place; starts of the
-    groups of equal keys in it)."""
-    at = np.argsort(order, kind="stable")
-    key = order[at]
+    """(permutation that sorts by order, then tie; starts of the groups of
+    equal keys in it).  Inside a group the permutation is in no order."""
+    at = np.argsort(order)
+    key = order.take(at)
     fresh = np.ones(len(at), bool)
-    fresh[1:] = key[1:] != key[:-1]
+    np.not_equal(key[1:], key[:-1], out=fresh[1:])
     if tie is not None and len(at):
-        second = tie[at]
+        second = tie.take(at)
         mixed = ~fresh
         mixed[1:] &= second[1:] != second[:-1]
         if mixed.any():  # equal order, other tie: sort those few groups fully
@@ -143,8 +149,8 @@ def group(order: np.ndarray, tie: np.ndarray | None = None) -> tuple[np.ndarray,
             odd = np.zeros(number[-1] + 1, bool)
             odd[number[mixed]] = True
             place = np.flatnonzero(odd[number])
-            at[place] = at[place][np.lexsort((at[place], second[place], number[place]))]
-            second = tie[at]
+            at[place] = at[place][np.lexsort((second[place], number[place]))]
+            second = tie.take(at)
             fresh[1:] |= second[1:] != second[:-1]
     return at, np.flatnonzero(fresh)
 
@@ -265,9 +271,9 @@ def earlier_names(table: pa.Table) -> pa.Table:
     """Names of a shard that a segment with a smaller number holds too."""
     table = table.sort_by("seg")
     order, tie, counts = _names(table)
-    at, first = group(order, tie)  # rows came by segment: the first of a group is the earliest
+    at, first = group(order, tie)
     flags = np.ones(len(at), bool)
-    flags[at[first]] = False
+    flags[np.minimum.reduceat(at, first)] = False  # rows came by segment: the smallest place is the earliest
     return _bits_table(table, flags, counts)
 
 

@@ -116,8 +116,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, with_text: bool = False) -
                 flags = X.flags_of(batch.column("exact")[i].as_py(), _shard_of(order[at][first], bits))
                 repeat = windows[at[np.repeat(flags, np.diff(first, append=len(at)))]]
                 depth = np.zeros(len(w.begin) + 1, np.int64)
-                np.add.at(depth, repeat, 1)
-                np.add.at(depth, repeat + window, -1)
+                depth[repeat] += 1
+                depth[repeat + window] -= 1
                 gone = np.cumsum(depth)[:-1] > 0
                 edge = np.searchsorted(w.doc, np.arange(len(s.sizes) + 1))
                 kept, removed = [], []

@@ -99,10 +99,10 @@ class Cover:
         tied = X.flags_of(answer, (cell >> np.uint64(32)).astype(np.int64))
         hit = at[order[np.repeat(tied, np.diff(first, append=len(order)))]]
         n = len(s.bytes)
-        depth = np.zeros(n + 1, np.int32)
-        np.add.at(depth, np.maximum(hit - self.v + 1, 0), 1)
-        np.add.at(depth, hit + 1, -1)
-        may = np.cumsum(depth[:-1]) > 0
+        seen = np.zeros(n + self.v + 1, np.int32)
+        seen[hit + 1] = 1
+        np.cumsum(seen, out=seen)
+        may = seen[self.v:n + self.v] > seen[:n]  # one of the next v positions is a tied sample
         for a, b in zip(np.maximum(s.ends - self.length + 1, s.starts).tolist(), s.ends.tolist()):
             may[a:b] = False  # too close to the end of its document
         edge = np.flatnonzero(np.diff(may, prepend=False, append=False))
@@ -180,7 +180,7 @@ def splitters(segs: DataFrame, buckets: int) -> tuple[np.ndarray, int]:
     """(ascending splitters between shards, shards per bucket): quantiles of
     the candidates' order, as many as shards of bounded size need."""
     total = segs.agg(F.sum("n_candidates")).first()[0] or 0
-    per_bucket = max(X.LEAST_SHARDS, -(-total // (buckets * X.KEYS_PER_SHARD)))
+    per_bucket = max(X.LEAST_SHARDS, -(-total // (buckets * X.NAMES_PER_SHARD)))
     shards = buckets * per_bucket
     cuts = [i / shards for i in range(1, shards)]
     found = segs.select(F.explode("splits").alias("x")).agg(
@@ -217,7 +217,7 @@ def repeated_bytes(docs: DataFrame, length: int, buckets: int, carry: bool) -> t
     return X.attach(segs, found, "earlier"), splits
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, buckets: int = 8, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 100, buckets: int = 4, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document.
     ``with_text`` adds ``kept``, the remaining bytes as text less what is
     left of a character that a removed span cuts through, and ``rest``, a
@@ -236,13 +236,14 @@ def remove_repeats(docs: DataFrame, length: int = 100, buckets: int = 8, with_te
                 at, first = X.group(order, tie)
                 shard = np.searchsorted(splits, order[at][first], side="right")
                 earlier = X.flags_of(batch.column("earlier")[i].as_py(), shard)
-                # the group is in text order: all but its first place, and that too if an earlier segment has it
+                # all but the first place of a group, and that too if an earlier segment has it
                 gone = np.ones(len(at), bool)
-                gone[first] = earlier
-                begin = suffixes.at[at[gone]]
+                if len(at):
+                    gone[np.minimum.reduceat(at, first)] = earlier
+                begin = suffixes.at[gone]
                 depth = np.zeros(len(s.bytes) + 1, np.int32)
-                np.add.at(depth, begin, 1)
-                np.add.at(depth, begin + length, -1)
+                depth[begin] += 1
+                depth[begin + length] -= 1
                 covered = np.cumsum(depth[:-1]) > 0
                 total = np.concatenate(([0], np.cumsum(covered)))
                 opens = covered.copy()
