@@ -9,9 +9,48 @@ from arbiter import defaults as D
 from arbiter.functions.text import col
 
 
+def _json_char(ch: Column) -> Column:
+    """One character as Python's ``json`` writes it with ASCII output."""
+    code = F.ascii(ch)
+    u = lambda n: F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(n)), 4, "0"))
+    high = F.shiftright(code - 0x10000, 10) + 0xD800
+    low = (code - 0x10000).bitwiseAND(F.lit(0x3FF)) + 0xDC00
+    short = F.create_map(*[F.lit(x) for pair in (
+        ('"', '\\"'), ("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\f", "\\f"), ("\b", "\\b"))
+        for x in pair])
+    return (F.when(F.try_element_at(short, ch).isNotNull(), F.try_element_at(short, ch))
+            .when((code >= 32) & (code < 128), ch)
+            .when(code < 0x10000, u(code))
+            .otherwise(F.concat(u(high), u(low))))
+
+
 def json_str(c) -> Column:
-    """A JSON string literal (quoted, escaped) of a string column."""
-    return F.regexp_extract(F.to_json(F.struct(col(c).alias("v"))), r'^\{"v":(.*)\}$', 1)
+    """A string column as Python's ``json.dumps`` writes it: quoted, escaped
+    to ASCII, NULL as ``null``."""
+    text = col(c)
+    escaped = F.array_join(F.transform(F.split(text, ""), _json_char), "")
+    plain = text.rlike(r"^[ !#-\[\]-~]*$")
+    return F.when(text.isNull(), F.lit("null")).otherwise(
+        F.concat(F.lit('"'), F.when(plain, text).otherwise(escaped), F.lit('"')))
+
+
+def json_float(c) -> Column:
+    """A double as Python's ``repr`` writes it (positional from 1e-4 up to
+    1e16, else with a two-digit exponent); NULL as ``null``."""
+    s = col(c).cast("double").cast("string")
+    sign = F.when(F.startswith(s, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+    mantissa = F.regexp_extract(s, r"^-?([0-9.]+)E", 1)
+    e = F.regexp_extract(s, r"E(-?[0-9]+)$", 1).cast("int")
+    digits = F.regexp_replace(F.replace(mantissa, F.lit("."), F.lit("")), r"(?<=.)0+$", "")
+    whole = F.concat(F.substring(F.rpad(digits, 17, "0"), F.lit(1), e + 1), F.lit("."),
+                     F.when(F.length(digits) > e + 1, F.substring(digits, e + 2, F.lit(17))).otherwise(F.lit("0")))
+    science = F.concat(F.regexp_replace(mantissa, r"\.0$", ""), F.lit("e"),
+                       F.when(e < 0, F.lit("-")).otherwise(F.lit("+")),
+                       F.regexp_replace(F.abs(e).cast("string"), r"^(\d)$", "0$1"))
+    return (F.when(s.isNull(), F.lit("null")).when(~F.contains(s, F.lit("E")), s)
+            .when(e == -4, F.concat(sign, F.lit("0.000"), digits))
+            .when((e >= 0) & (e < 16), F.concat(sign, whole))
+            .otherwise(F.concat(sign, science)))
 
 
 def canonical_config(df: DataFrame) -> Column:
@@ -23,11 +62,11 @@ def canonical_config(df: DataFrame) -> Column:
                            F.lit(', "role": '), json_str(m["role"]), F.lit("}"))), ", "), F.lit("]"))
     return F.concat(
         F.lit('{"few_shots": '), shots,
-        F.lit(', "max_tokens": '), F.col("max_tokens").cast("string"),
+        F.lit(', "max_tokens": '), F.coalesce(F.col("max_tokens").cast("string"), F.lit("null")),
         F.lit(', "model": '), json_str("model"),
         F.lit(', "name": '), json_str("name"),
         F.lit(', "system": '), json_str("system"),
-        F.lit(', "temperature": '), F.col("temperature").cast("string"),
+        F.lit(', "temperature": '), json_float("temperature"),
         F.lit(', "version": '), json_str("version"),
         F.lit("}"))
 

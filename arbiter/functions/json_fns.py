@@ -10,20 +10,32 @@ from arbiter.functions.text import col
 
 
 def is_json(text) -> Column:
-    """True iff the text parses as JSON."""
-    return F.try_parse_json(col(text)).isNotNull()
+    """True iff the whole text is one JSON document; NULL is not.
+
+    The JVM parser stops after the first document, so the text is parsed as
+    an element and as a member: text after the document, or a list of
+    documents, fails one of the two."""
+    t = col(text)
+    as_item = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))
+    as_member = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}")))
+    return as_item.isNotNull() & as_member.isNotNull()
+
+
+def strict_json(text) -> Column:
+    """The text where it is one JSON document, else NULL."""
+    return F.when(is_json(text), col(text))
 
 
 def min_items(text, field: str = "skills", bound: int = D.MIN_SKILLS) -> Column:
     """JSON field present as a list with more than ``bound`` items (strict >);
     anything unparsable is False."""
-    parsed = F.from_json(col(text), f"`{field}` ARRAY<STRING>")
+    parsed = F.from_json(strict_json(text), f"`{field}` ARRAY<STRING>")
     return F.coalesce(F.size(parsed[field]) > F.lit(bound), F.lit(False))
 
 
 def tool_args(arguments) -> Column:
     """Tool arguments as map<string,string>; malformed JSON -> empty map."""
-    parsed = F.from_json(col(arguments), "MAP<STRING,STRING>")
+    parsed = F.from_json(strict_json(arguments), "MAP<STRING,STRING>")
     return F.coalesce(parsed, F.create_map().cast("map<string,string>"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from arbiter import defaults as D
 from arbiter import schemas as S
+from arbiter.functions.json_fns import strict_json
 from arbiter.functions.rounding import exact_round
 from arbiter.functions.text import col, strip
 
@@ -23,9 +24,11 @@ def judge_body(raw) -> Column:
 
 def parse_judge(df: DataFrame, raw: str = "judge_raw") -> DataFrame:
     """Add judge dims (DOUBLE), reasoning ('' when absent), avg_score (2 dec)
-    and ``judge_ok``: false when the text is not JSON or any dim is missing
-    or non-numeric (``from_json`` yields a struct of NULLs then)."""
-    parsed = df.select("*", F.from_json(judge_body(raw), S.JUDGE_SCORES).alias("_j"))
+    and ``judge_ok``: false when there is no reply, the text is not one JSON
+    document (text before or after it counts), or any dim is missing or
+    non-numeric."""
+    parsed = df.select("*", judge_body(raw).alias("_body")).select(
+        "*", F.from_json(strict_json("_body"), S.JUDGE_SCORES).alias("_j")).drop("_body")
     parsed = parsed.select("*", *[F.col(f"_j.{d}").alias(f"_jd_{d}") for d in D.JUDGE_DIMENSIONS])
     dims = [F.col(f"_j.{d}") for d in D.JUDGE_DIMENSIONS]
     ok = dims[0].isNotNull()

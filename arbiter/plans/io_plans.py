@@ -18,7 +18,7 @@ from arbiter.sources import config_source as CS
 from arbiter.sources import fixtures as FX
 from arbiter.sources import sinks
 from arbiter.sources.local import local_table
-from arbiter.sources.tables import read_table
+from arbiter.sources.tables import read_table, typed_csv
 
 
 @query("case_source", with_views("""
@@ -40,7 +40,8 @@ def q_case_source(spark, sf_dir):
 
 @query("config_required_fields", """
     SELECT event_id AS call_id, 'k' AS missing FROM events
-    WHERE NOT (event_id % 50 <> 0 AND json_valid(props) AND json_extract(props, '$.k') IS NOT NULL)""")
+    WHERE NOT (event_id % 50 <> 0 AND event_id % 70 <> 0 AND json_valid(props)
+               AND json_extract(props, '$.k') IS NOT NULL)""")
 def q_config_required_fields(spark, sf_dir):
     # required argument keys vs the keys present in each call's argument map
     calls = FX.tool_calls(spark, sf_dir)
@@ -90,11 +91,9 @@ def q_csv_scan(spark, sf_dir):
     # the CSV input is written once per lineitem snapshot, then scanned
     path = materialized_path(spark, "lineitem_csv", [table_path(sf_dir, "lineitem")],
                              lambda p: li.write.option("header", True).csv(p))
-    # header + inferred types (sampled), then the column subset cast to double
-    df = (spark.read.option("header", True).option("inferSchema", True)
-          .option("samplingRatio", 0.1).csv(path))
-    return df.select(F.col("l_orderkey").cast("bigint"), F.col("l_linenumber").cast("bigint"),
-                     *[F.col(c).cast("double").alias(c) for c in CSV_COLS])
+    df = typed_csv(spark, path, {"l_orderkey": "bigint", "l_linenumber": "bigint",
+                                 **{c: "double" for c in CSV_COLS}})
+    return df.where(F.size("rejected") == 0).drop("rejected")
 
 
 @query("labelled_table_scan", """
@@ -195,9 +194,10 @@ def q_request_payload(spark, sf_dir):
 
 @query("tool_call_parse", """
     SELECT event_id AS call_id, replace('cat__sch__' || event_type, '__', '.') AS tool,
-           CASE WHEN event_id % 50 = 0 OR NOT json_valid(props) THEN 0 ELSE len(json_keys(props)) END AS n_args,
-           CASE WHEN event_id % 50 = 0 THEN NULL ELSE json_extract_string(props, '$.k') END AS k
-    FROM events""")
+           CASE WHEN json_valid(args) THEN len(json_keys(args)) ELSE 0 END AS n_args,
+           CASE WHEN json_valid(args) THEN json_extract_string(args, '$.k') END AS k
+    FROM (SELECT *, CASE WHEN event_id % 50 = 0 THEN '{bad' WHEN event_id % 70 = 0 THEN props || ' junk'
+                         ELSE props END AS args FROM events) e""")
 def q_tool_call_parse(spark, sf_dir):
     c = FX.tool_calls(spark, sf_dir)
     m = tool_args("arguments")

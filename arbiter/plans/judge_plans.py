@@ -41,16 +41,17 @@ def q_judge_parse(spark, sf_dir):
 
 
 @query("judge_quarantine", with_views("""
-    SELECT resp_id, template, judge_raw FROM judge_parsed WHERE NOT judge_ok""", "judge_parsed"))
+    SELECT resp_id, template, judge_raw FROM judge_parsed WHERE NOT judge_ok AND judge_raw IS NOT NULL""", "judge_parsed"))
 def q_judge_quarantine(spark, sf_dir):
-    return parsed(spark, sf_dir).where(~F.col("judge_ok")).select("resp_id", "template", "judge_raw")
+    return parsed(spark, sf_dir).where(~F.col("judge_ok") & F.col("judge_raw").isNotNull()).select(
+        "resp_id", "template", "judge_raw")
 
 
 @query("scorer_is_json", with_views("""
-    SELECT resp_id, json_valid(judge_raw) AS raw_is_json FROM judge_raw""", "judge_raw"))
+    SELECT resp_id, coalesce(json_valid(judge_raw), false) AS raw_is_json FROM judge_raw""", "judge_raw"))
 def q_scorer_is_json(spark, sf_dir):
     from arbiter.functions.json_fns import is_json
-    return FX.judge_raw(spark, sf_dir).select("resp_id", is_json("judge_raw").alias("raw_is_json"))
+    return FX.judge_raw(spark, sf_dir).select("resp_id", F.coalesce(is_json("judge_raw"), F.lit(False)).alias("raw_is_json"))
 
 
 SUMJ_COLS = ["template", "ord", "n_cases", "n_judged", "rule_pass_rate", "avg_rule_score",
@@ -88,10 +89,9 @@ def q_batch_judge(spark, sf_dir):
     from arbiter.operators.evaluate import attach_cases
     ev = attach_cases(FX.responses(spark, sf_dir), FX.golden_cases(spark)).select(
         "resp_id", "case_id", "user_message", "response")
-    req = ev.select("resp_id", "case_id",
-                    judge_prompt("user_message", "response").alias("judge_prompt"))
+    req = ev.select("resp_id", "case_id",  # the join carries the prompt's length, not its text
+                    F.length(judge_prompt("user_message", "response")).cast("bigint").alias("prompt_chars"))
     recorded = FX.judge_raw(spark, sf_dir).select("resp_id", F.col("judge_raw").alias("reply"))
     out = SC.replay(req, recorded, "resp_id")
     return out.select("resp_id", "case_id", F.col("reply").alias("judge_raw"),
-                      "missing_response",
-                      F.length("judge_prompt").cast("bigint").alias("prompt_chars"))
+                      "missing_response", "prompt_chars")

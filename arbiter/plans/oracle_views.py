@@ -90,14 +90,15 @@ JUDGE_BODY = (
 
 VIEWS["judge_raw"] = ((), f"""
     SELECT resp_id, template, case_id,
-           CASE WHEN resp_id % 97 = 0 THEN 'not json'
+           CASE WHEN CAST(substr(template, 4) AS INTEGER) % 4 = 0 THEN NULL
+                WHEN resp_id % 97 = 0 THEN 'not json'
+                WHEN resp_id % 89 = 0 THEN body || ' Hope this helps!'
                 WHEN resp_id % 3 = 0 THEN body
                 WHEN resp_id % 3 = 1 THEN '```json' || chr(10) || body || chr(10) || '```'
                 ELSE '```' || chr(10) || body || chr(10) || '```' END AS judge_raw
     FROM (SELECT d.doc_id AS resp_id, d.source AS template,
                  'case-' || CAST((d.doc_id // 20) % 5 AS VARCHAR) AS case_id, {JUDGE_BODY} AS body
-          FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
-          WHERE CAST(substr(d.source, 4) AS INTEGER) % 4 <> 0) x""")
+          FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id) x""")
 
 STRIP = "regexp_replace({0}, '^\\s+|\\s+$', '', 'g')"
 
@@ -105,7 +106,7 @@ VIEWS["judge_parsed"] = (("judge_raw",), f"""
     SELECT resp_id, template, case_id, judge_raw, h AS judge_helpfulness, f AS judge_faithfulness,
            c AS judge_conciseness, s AS judge_safety, coalesce(reasoning, '') AS judge_reasoning,
            CASE WHEN ok THEN {XR('((((h + f) + c) + s) / 4.0)', 2)} END AS judge_avg, ok AS judge_ok
-    FROM (SELECT *, (h IS NOT NULL AND f IS NOT NULL AND c IS NOT NULL AND s IS NOT NULL) AS ok FROM (
+    FROM (SELECT *, coalesce(h IS NOT NULL AND f IS NOT NULL AND c IS NOT NULL AND s IS NOT NULL, false) AS ok FROM (
       SELECT *,
         CASE WHEN json_valid(body) THEN TRY_CAST(json_extract_string(body, '$.helpfulness') AS DOUBLE) END AS h,
         CASE WHEN json_valid(body) THEN TRY_CAST(json_extract_string(body, '$.faithfulness') AS DOUBLE) END AS f,

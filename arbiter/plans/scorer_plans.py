@@ -49,27 +49,26 @@ def q_prompt_render(spark, sf_dir):
                     F.md5("r").alias("digest"), unresolved("r").alias("unresolved"))
 
 
-@query("scorer_exact_match", """
-    SELECT item_id, CAST(split_part(text, chr(10), 1) IS NOT DISTINCT FROM text AS INTEGER) AS exact_match
+@query("scorer_exact_match", r"""
+    SELECT item_id, CAST(regexp_replace(text, '[.!?]\s+', '. ', 'g') IS NOT DISTINCT FROM text AS INTEGER) AS exact_match
     FROM benchmark""")
 def q_scorer_exact_match(spark, sf_dir):
     b = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
-    out = b.select("item_id", F.substring_index("text", "\n", 1).alias("output"),
+    out = b.select("item_id", F.regexp_replace("text", r"[.!?]\s+", ". ").alias("output"),
                    F.col("text").alias("expected"))
     return out.select("item_id", SC.exact_match("output", "expected").alias("exact_match"))
 
 
 def skills_rows(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    n = (F.col("doc_id") % 9).cast("int")
-    js = F.to_json(F.struct(F.slice(F.split("text", " "), F.lit(1), n).alias("skills")))
+    js = F.to_json(F.struct(F.split("text", "\n").alias("skills")))  # the whole text, line by line
     out = F.when(F.col("doc_id") % 13 == 0, F.lit('{"skills": [')).otherwise(js)
     return d.select("doc_id", out.alias("output"), F.lit('{"skills": []}').alias("expected"))
 
 
 SKILLS_SQL = """
     SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN '{"skills": ['
-                        ELSE CAST(to_json(struct_pack(skills := list_slice(string_split(text, ' '), 1, CAST(doc_id % 9 AS INTEGER)))) AS VARCHAR)
+                        ELSE CAST(to_json(struct_pack(skills := string_split(text, chr(10)))) AS VARCHAR)
                    END AS output, '{"skills": []}' AS expected FROM documents"""
 register_view("skills", (), SKILLS_SQL)
 MIN_ITEMS_SQL = ("coalesce(json_array_length(CASE WHEN json_valid(output) THEN output END, '$.skills') > 5, "

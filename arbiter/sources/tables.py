@@ -36,3 +36,15 @@ def read_events(spark: SparkSession, sf_dir: str,
     if "ts" in df.columns:
         df = df.withColumn("ts", F.col("ts").cast("timestamp"))
     return df
+
+
+def typed_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """CSV with a header, read as text and cast column by column, so no type
+    is guessed from a sample.  ``rejected`` names the columns whose text does
+    not fit their type (they are NULL); callers keep, count or drop such rows."""
+    header = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    raw = header.select(*[F.col(c) for c in columns])
+    bad = F.filter(F.array(*[
+        F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c)) for c, t in columns.items()]),
+        lambda c: c.isNotNull())
+    return raw.select(*[F.col(c).try_cast(t).alias(c) for c, t in columns.items()], bad.alias("rejected"))
