@@ -19,7 +19,7 @@ def _json_char(ch: Column) -> Column:
         ('"', '\\"'), ("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\f", "\\f"), ("\b", "\\b"))
         for x in pair])
     return (F.when(F.try_element_at(short, ch).isNotNull(), F.try_element_at(short, ch))
-            .when((code >= 32) & (code < 128), ch)
+            .when((code >= 32) & (code < 127), ch)
             .when(code < 0x10000, u(code))
             .otherwise(F.concat(u(high), u(low))))
 
@@ -36,7 +36,8 @@ def json_str(c) -> Column:
 
 def json_float(c) -> Column:
     """A double as Python's ``repr`` writes it (positional from 1e-4 up to
-    1e16, else with a two-digit exponent); NULL as ``null``."""
+    1e16, else with a two-digit exponent); NULL as ``null``.  The digits are
+    the JVM's, which before JDK 19 are not the shortest for a few huge values."""
     s = col(c).cast("double").cast("string")
     sign = F.when(F.startswith(s, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
     mantissa = F.regexp_extract(s, r"^-?([0-9.]+)E", 1)

@@ -42,8 +42,8 @@ class ModelStore:
             self.events_path)
 
     def register(self, model: PipelineModel) -> str:
-        latest = R.latest_version(self.events()).where(F.col("model") == self.name).first()
-        version = str((latest["latest_version"] if latest else 0) + 1)
+        latest = R.highest_version(self.events()).where(F.col("model") == self.name).first()
+        version = str((latest["highest_version"] if latest else 0) + 1)
         model.write().overwrite().save(f"{self.root}/versions/{version}")
         self._append("register", version=version)
         return version

@@ -9,8 +9,7 @@ map task instead of a single sorted window partition.
 Semantics of deletes: a version counts as deleted when a delete_version
 event for it follows its registration.  Writes aimed at a version after its
 deletion are rejected (the alias keeps its earlier holder); a deletion after
-a write removes that alias or tag.  A model delete clears everything set
-before it.
+a write removes that alias or tag.  A model delete deletes all its versions.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arbiter import defaults as D
-from arbiter.operators.windows import previous_value, running_sum
+from arbiter.operators.windows import next_min, previous_value, range_width, running_sum
 
 
 def register_version(events: DataFrame) -> DataFrame:
@@ -33,22 +32,21 @@ def register_version(events: DataFrame) -> DataFrame:
 
 
 def version_deletions(events: DataFrame) -> DataFrame:
-    """(model, version, del_seq): first delete that follows the registration.
-
-    One pass: registrations and deletes of a version are grouped together
-    (the delete list of one version is tiny), no self-join."""
-    ev = events.where(F.col("kind").isin("register", "delete_version"))
-    g = ev.groupBy("model", "version").agg(
-        F.min(F.when(F.col("kind") == "register", F.col("seq"))).alias("_reg"),
-        F.collect_list(F.when(F.col("kind") == "delete_version", F.col("seq"))).alias("_dels"))
-    del_seq = F.array_min(F.filter("_dels", lambda d: d > F.col("_reg")))
-    return g.where(F.col("_reg").isNotNull()).select(
-        "model", "version", del_seq.alias("del_seq")).where(F.col("del_seq").isNotNull())
-
-
-def model_deletions(events: DataFrame) -> DataFrame:
-    return events.where(F.col("kind") == "delete_model").groupBy("model").agg(
-        F.max("seq").alias("model_del_seq"))
+    """(model, version, del_seq): first deletion after the registration, of
+    the version itself or of its whole model.
+
+    Smallest later deletion by skew-tolerant windows: deletes are never
+    listed, however often one version or model is deleted."""
+    ev = events.where(F.col("kind").isin("register", "delete_version", "delete_model")).select(
+        "model", "version", "seq", "kind",
+        F.when(F.col("kind") == "delete_version", F.col("seq")).alias("_v"),
+        F.when(F.col("kind") == "delete_model", F.col("seq")).alias("_m"))
+    width = range_width(ev, "seq")
+    whole = next_min(ev, ["model"], "seq", "_m", "_next_m", width).where(F.col("kind") != "delete_model")
+    each = next_min(whole, ["model", "version"], "seq", "_v", "_next_v", width)
+    first = each.where(F.col("kind") == "register").groupBy("model", "version").agg(
+        F.min_by(F.struct(F.least("_next_m", "_next_v").alias("d")), "seq").alias("r"))
+    return first.select("model", "version", F.col("r.d").alias("del_seq")).where(F.col("del_seq").isNotNull())
 
 
 def _valid_writes(events: DataFrame, kind: str, dels: DataFrame) -> DataFrame:
@@ -69,24 +67,16 @@ def alias_state(events: DataFrame) -> DataFrame:
     last = both.groupBy("model", "alias").agg(
         F.max_by(F.struct("version", "del_seq"), "seq").alias("w"),
         F.max("seq").alias("set_seq"))
-    cur = last.where(F.col("w.version").isNotNull() & F.col("w.del_seq").isNull()).select(
+    return last.where(F.col("w.version").isNotNull() & F.col("w.del_seq").isNull()).select(
         "model", "alias", F.col("w.version").alias("version"), "set_seq")
-    md = model_deletions(events)
-    return (cur.join(md, "model", "left")
-            .where(F.col("model_del_seq").isNull() | (F.col("set_seq") > F.col("model_del_seq")))
-            .drop("model_del_seq"))
 
 
 def tag_state(events: DataFrame) -> DataFrame:
     """Current tag (model, version, key) -> value (upsert; last write wins)."""
     dels = version_deletions(events)
     sets = _valid_writes(events, "set_tag", dels).where(F.col("del_seq").isNull())
-    last = sets.groupBy("model", "version", "tag_key").agg(
+    return sets.groupBy("model", "version", "tag_key").agg(
         F.max_by("tag_value", "seq").alias("tag_value"), F.max("seq").alias("set_seq"))
-    md = model_deletions(events)
-    return (last.join(md, "model", "left")
-            .where(F.col("model_del_seq").isNull() | (F.col("set_seq") > F.col("model_del_seq")))
-            .drop("model_del_seq"))
 
 
 def tag_maps(tags: DataFrame) -> DataFrame:
@@ -104,21 +94,32 @@ def live_versions(events: DataFrame) -> DataFrame:
 
 
 def latest_version(events: DataFrame) -> DataFrame:
-    """Highest registered version number per model, compared as integers."""
-    reg = events.where(F.col("kind") == "register")
-    return reg.groupBy("model").agg(F.max(F.col("version").cast("bigint")).alias("latest_version"))
+    """Highest version number per model that still exists, as an integer; a
+    model without one has no row."""
+    return live_versions(events).groupBy("model").agg(
+        F.max(F.col("version").cast("bigint")).alias("latest_version"))
+
+
+def highest_version(events: DataFrame) -> DataFrame:
+    """Highest number ever given per model, deleted or not (for numbering)."""
+    return events.where(F.col("kind") == "register").groupBy("model").agg(
+        F.max(F.col("version").cast("bigint")).alias("highest_version"))
 
 
 def previous_alias_version(events: DataFrame) -> DataFrame:
-    """For every alias write: the version that held the alias just before it
-    ('none' when the alias was unset).  Skew-tolerant lag over (model, alias)."""
-    ev = events.where(F.col("kind").isin("set_alias", "delete_alias")).select(
-        "model", "alias", "seq", "kind",
-        F.when(F.col("kind") == "set_alias", F.col("version")).alias("holder"))
-    out = previous_value(ev, ["model", "alias"], "seq", "holder", "prev_holder")
+    """For every accepted alias write: the version that held the alias just
+    before it, 'none' when it was unset: never set, removed, or its holder
+    (or the model) deleted since.  Skew-tolerant lag over (model, alias)."""
+    sets = _valid_writes(events, "set_alias", version_deletions(events)).select(
+        "model", "alias", "seq", "kind", F.struct("version", "del_seq").alias("holder"))
+    unsets = events.where(F.col("kind") == "delete_alias").select(
+        "model", "alias", "seq", "kind", F.lit(None).cast("struct<version:string,del_seq:bigint>").alias("holder"))
+    out = previous_value(sets.unionByName(unsets), ["model", "alias"], "seq", "holder", "prev")
+    gone = F.col("prev.del_seq") < F.col("seq")
     return out.where(F.col("kind") == "set_alias").select(
-        "model", "alias", "seq", F.col("holder").alias("version"),
-        F.coalesce(F.col("prev_holder"), F.lit("none")).alias("prev_version"))
+        "model", "alias", "seq", F.col("holder.version").alias("version"),
+        F.coalesce(F.when(F.coalesce(gone, F.lit(False)), F.lit(None)).otherwise(F.col("prev.version")),
+                   F.lit("none")).alias("prev_version"))
 
 
 def gate_on_tag(candidates: DataFrame, tags: DataFrame, tag: str, accepted: str,

@@ -2,33 +2,43 @@
 
 A plain ``Window.partitionBy(key).orderBy(seq)`` puts every row of a key in
 one task; a model or user that holds a third of the log would then be sorted
-and scanned by a single core.  The helpers below split each key's ordered
-stream into fixed-width ranges of the ordering column (``bucket = seq div
-width``), do the row-level window inside each (key, bucket) — bounded by
-``width`` rows — and carry the per-bucket totals across buckets with a window
-over the bucket summary, which has one row per (key, bucket).
+and scanned by a single core.  The helpers below split the ordering column
+into ranges (integer division, so exact for any 64-bit value), do the
+row-level window inside each (key, range), and carry the per-range totals
+across ranges with a window over the summary, which has one row per (key,
+range).  The width of a range is taken from the data (count, smallest and
+largest value), so that a range holds about ``ROWS_PER_RANGE`` rows of the
+whole table however sparse the column is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_WIDTH = 1 << 20
+ROWS_PER_RANGE = 1 << 20
 
 
-def _bucket(order: str, width: int):
-    return F.floor(F.col(order) / F.lit(width)).cast("bigint")
+def range_width(df: DataFrame, order: str, rows: int = ROWS_PER_RANGE) -> int:
+    """Width of the ranges of ``order``; reads three numbers."""
+    n, low, high = df.agg(F.count(order), F.min(order), F.max(order)).first()
+    if not n:
+        return 1
+    return max(1, (int(high) - int(low) + 1) * rows // n)
+
+
+def _bucket(order: str, width: int) -> Column:
+    return F.expr(f"`{order}` div {width}L")
 
 
 def running_sum(df: DataFrame, keys: list[str], order: str, value: str, out: str,
-                width: int = DEFAULT_WIDTH) -> DataFrame:
+                width: int | None = None) -> DataFrame:
     """``sum(value) over (partition by keys order by order rows unbounded..current)``.
 
-    ``order`` must be numeric and unique within a key.
+    ``order`` must be an integer and unique within a key.
     """
     b = "_rs_bucket"
-    x = df.withColumn(b, _bucket(order, width))
+    x = df.withColumn(b, _bucket(order, width or range_width(df, order)))
     local = x.withColumn(
         "_rs_local",
         F.sum(value).over(Window.partitionBy(*keys, b).orderBy(order)
@@ -45,10 +55,10 @@ def running_sum(df: DataFrame, keys: list[str], order: str, value: str, out: str
 
 
 def previous_value(df: DataFrame, keys: list[str], order: str, value: str, out: str,
-                   width: int = DEFAULT_WIDTH) -> DataFrame:
+                   width: int | None = None) -> DataFrame:
     """``lag(value) over (partition by keys order by order)``, skew-tolerant."""
     b = "_pv_bucket"
-    x = df.withColumn(b, _bucket(order, width))
+    x = df.withColumn(b, _bucket(order, width or range_width(df, order)))
     local = x.withColumn("_pv_local",
                          F.lag(value).over(Window.partitionBy(*keys, b).orderBy(order)))
     local = local.withColumn(
@@ -60,3 +70,17 @@ def previous_value(df: DataFrame, keys: list[str], order: str, value: str, out:
     return j.withColumn(out, F.when(F.col("_pv_first"), F.col("_pv_carry"))
                         .otherwise(F.col("_pv_local"))).drop(
         b, "_pv_local", "_pv_first", "_pv_carry")
+
+
+def next_min(df: DataFrame, keys: list[str], order: str, value: str, out: str,
+             width: int | None = None) -> DataFrame:
+    """Smallest ``value`` among the later rows of the key, NULL if none has one."""
+    b = "_nm_bucket"
+    x = df.withColumn(b, _bucket(order, width or range_width(df, order)))
+    later = Window.partitionBy(*keys, b).orderBy(order).rowsBetween(1, Window.unboundedFollowing)
+    local = x.withColumn("_nm_local", F.min(value).over(later))
+    carry = x.groupBy(*keys, b).agg(F.min(value).alias("_nm_min")).select(
+        *keys, b, F.min("_nm_min").over(Window.partitionBy(*keys).orderBy(b).rowsBetween(
+            1, Window.unboundedFollowing)).alias("_nm_carry"))
+    return (local.join(carry, [*keys, b]).withColumn(out, F.least("_nm_local", "_nm_carry"))
+            .drop(b, "_nm_local", "_nm_carry"))

@@ -160,17 +160,28 @@ def q_tag_state(spark, sf_dir):
 
 @query("latest_version", with_views("""
     SELECT model, CAST(max(CAST(version AS BIGINT)) AS BIGINT) AS latest_version
-    FROM registry WHERE kind = 'register' GROUP BY model""", "registry"))
+    FROM registry r WHERE kind = 'register' AND NOT EXISTS (
+      SELECT 1 FROM registry d WHERE d.model = r.model AND d.seq > r.seq
+        AND (d.kind = 'delete_model' OR d.kind = 'delete_version' AND d.version = r.version))
+    GROUP BY model""", "registry"))
 def q_latest_version(spark, sf_dir):
     return R.latest_version(reg(spark, sf_dir))
 
 
 @query("previous_alias_version", with_views("""
-    SELECT model, alias, seq, version, coalesce(prev, 'none') AS prev_version FROM (
-      SELECT model, alias, seq, kind, CASE WHEN kind = 'set_alias' THEN version END AS version,
-             lag(CASE WHEN kind = 'set_alias' THEN version END) OVER (PARTITION BY model, alias ORDER BY seq) AS prev
-      FROM registry WHERE kind IN ('set_alias', 'delete_alias')) t
-    WHERE kind = 'set_alias'""", "registry"))
+    , writes AS (
+      SELECT s.model, s.alias, s.seq, s.version, v.del_seq FROM registry s LEFT JOIN vdel v USING (model, version)
+      WHERE s.kind = 'set_alias' AND (v.del_seq IS NULL OR v.del_seq > s.seq)),
+    last AS (
+      SELECT w.model, w.alias, w.seq, w.version, max(p.seq) AS held_since
+      FROM writes w LEFT JOIN (SELECT model, alias, seq FROM writes
+                               UNION ALL SELECT model, alias, seq FROM registry WHERE kind = 'delete_alias') p
+        ON p.model = w.model AND p.alias = w.alias AND p.seq < w.seq
+      GROUP BY ALL)
+    SELECT l.model, l.alias, l.seq, l.version,
+           CASE WHEN h.version IS NULL OR h.del_seq < l.seq THEN 'none' ELSE h.version END AS prev_version
+    FROM last l LEFT JOIN writes h ON h.model = l.model AND h.alias = l.alias AND h.seq = l.held_since""",
+    "registry", "vdel"))
 def q_previous_alias_version(spark, sf_dir):
     return R.previous_alias_version(reg(spark, sf_dir))
 

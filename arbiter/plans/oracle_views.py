@@ -186,13 +186,16 @@ register_view("registry", ("reg_src",), """
       UNION ALL SELECT model, seq, 'delete_alias', NULL, 'candidate', NULL, NULL
       FROM reg_src WHERE n_reg > 0 AND event_type = 'error' AND k < 50
       UNION ALL SELECT model, seq, 'delete_version', CAST(1 + k % 5 AS VARCHAR), NULL, NULL, NULL
-      FROM reg_src WHERE n_reg > 0 AND event_type = 'error' AND k >= 50) u""")
+      FROM reg_src WHERE n_reg > 0 AND event_type = 'error' AND k >= 50 AND k <> 99
+      UNION ALL SELECT model, seq, 'delete_model', NULL, NULL, NULL, NULL
+      FROM reg_src WHERE n_reg > 0 AND event_type = 'error' AND k = 99) u""")
 register_view("vdel", ("registry",), """
-    SELECT d.model, d.version, min(d.seq) AS del_seq
+    SELECT r.model, r.version, min(d.seq) AS del_seq
     FROM registry d JOIN (SELECT model, version, min(seq) AS reg_seq FROM registry
                           WHERE kind = 'register' GROUP BY model, version) r
-      ON d.model = r.model AND d.version = r.version
-    WHERE d.kind = 'delete_version' AND d.seq > r.reg_seq GROUP BY d.model, d.version""")
+      ON d.model = r.model AND d.seq > r.reg_seq
+     AND (d.kind = 'delete_model' OR d.kind = 'delete_version' AND d.version = r.version)
+    GROUP BY r.model, r.version""")
 register_view("alias_state", ("registry", "vdel"), """
     SELECT model, alias, version, seq AS set_seq FROM (
       SELECT *, row_number() OVER (PARTITION BY model, alias ORDER BY seq DESC) AS rn FROM (

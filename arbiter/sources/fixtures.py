@@ -131,8 +131,8 @@ def derive_registry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     signup -> register; view -> alias candidate; purchase -> alias production
     + tag cd_production=deployed; click -> alias champion (k even) or tag
-    cd_staging pass/fail; error -> delete alias candidate (k < 50) or delete
-    version 1 + k % 5.  Writes target the newest version registered so far.
+    cd_staging pass/fail; error -> delete alias candidate (k < 50), the model
+    (k = 99) or version 1 + k % 5.  Writes target the newest version registered so far.
     """
     from arbiter.operators.windows import running_sum
     e = read_events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type", "props"])
@@ -166,6 +166,7 @@ def derive_registry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                               value=F.when(k < 70, F.lit("pass")).otherwise(F.lit("fail")))))
              .when((F.col("event_type") == "error") & (k < 50),
                    F.array(mk("delete_alias", alias="candidate")))
+             .when((F.col("event_type") == "error") & (k == 99), F.array(mk("delete_model")))
              .when(F.col("event_type") == "error",
                    F.array(mk("delete_version", (F.lit(1) + k % 5).cast("string")))))
     x = e.select("model", "seq", "ts", F.explode(items).alias("x"))

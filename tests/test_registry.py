@@ -29,6 +29,7 @@ def replay(events):
             if (m, v) not in deleted:
                 tags[(m, v, e["tag_key"])] = e["tag_value"]
         elif kind == "delete_model":
+            deleted |= {k for k in versions if k[0] == m}
             aliases = {k: x for k, x in aliases.items() if k[0] != m}
             tags = {k: x for k, x in tags.items() if k[0] != m}
     return aliases, tags
