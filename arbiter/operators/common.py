@@ -5,23 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Config-side tables (cases, templates, probes, gates, tools, per-template
-# results) are broadcast only when their planned size is below this bound.
-MAX_BROADCAST_BYTES = 64 << 20
-
-
-MAX_LOCAL_ROWS = 100_000
-
-
-def planned_size(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan (for scans of files the non-CBO
-    estimate does not shrink below the bytes read)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect: no JVM handle
-        return None
-
-
 def _driver_local(df: DataFrame) -> bool:
     """True when every leaf of the plan is data created on the driver."""
     try:
@@ -33,19 +16,9 @@ def _driver_local(df: DataFrame) -> bool:
                                for n in names)
 
 
-def bounded_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES,
-                      max_rows: int = MAX_LOCAL_ROWS) -> DataFrame:
-    """Broadcast hint behind a size check.
-
-    * planned size within ``max_bytes`` -> broadcast (no job);
-    * config built on the driver -> its row count is checked (cheap: the rows
-      are local) and it is broadcast when within ``max_rows``;
-    * otherwise no hint: the side stays a shuffled join input and AQE converts
-      it at run time only if the measured shuffle output is small
-      (``spark.sql.adaptive.autoBroadcastJoinThreshold``)."""
-    size = planned_size(df)
-    if size is not None and size <= max_bytes:
-        return F.broadcast(df)
-    if _driver_local(df) and df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def bounded_broadcast(df: DataFrame) -> DataFrame:
+    """Broadcast hint for config built on the driver (cases, templates,
+    probes, gates, tools): its size is bounded by what the driver already
+    holds.  Everything read or computed gets no hint: it stays a shuffled
+    join input, at every scale, and AQE converts it only from measured sizes."""
+    return F.broadcast(df) if _driver_local(df) else df

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
@@ -64,8 +64,12 @@ def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction"
     return out.withColumn("f1", f1)
 
 
-def assembler(features: list[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
+def feature_stages(features: list[str]) -> list:
+    """Impute (training mean; NULL and NaN alike), then assemble: every input
+    row has an output row, in training and in inference."""
+    filled = [f"_filled_{c}" for c in features]
+    return [Imputer(inputCols=features, outputCols=filled, strategy="mean"),
+            VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="error")]
 
 
 def fit_regressor(train: DataFrame, features: list[str], kind: str = "gbt", label: str = "label",
@@ -78,7 +82,8 @@ def fit_regressor(train: DataFrame, features: list[str], kind: str = "gbt", labe
         est = LinearRegression(labelCol=label)
     else:
         raise ValueError(kind)
-    return Pipeline(stages=[assembler(features), est]).fit(train)
+    # a row without a label can't train; regression_report counts those left out
+    return Pipeline(stages=[*feature_stages(features), est]).fit(train.where(F.col(label).isNotNull()))
 
 
 def fit_logreg(train: DataFrame, vector_col: str, label: str = "label",
@@ -91,11 +96,14 @@ def fit_logreg(train: DataFrame, vector_col: str, label: str = "label",
 
 def regression_report(model: PipelineModel, train: DataFrame, val: DataFrame,
                       name: str, label: str = "label") -> DataFrame:
-    """Validation MSE of the model next to the mean predictor's (from train)."""
+    """Validation MSE of the model next to the mean predictor's (from train),
+    and the training rows with and without a label."""
     pv = model.transform(val).select(F.col(label), F.col("prediction"))
-    m = train.agg(F.avg(label)).first()[0]   # one scalar: the mean predictor
+    m, n_train, n_all = train.agg(F.avg(label), F.count(label), F.count(F.lit(1))).first()
     return pv.agg(
         F.lit(name).alias("model"),
+        F.lit(n_train).cast("bigint").alias("n_train"),
+        F.lit(n_all - n_train).cast("bigint").alias("n_unlabelled"),
         F.count(F.lit(1)).alias("n_val"),
         F.avg(F.pow(F.col("prediction") - F.col(label), 2)).alias("val_mse"),
         F.avg(F.pow(F.lit(float(m)) - F.col(label), 2)).alias("baseline_mse"))

@@ -16,7 +16,7 @@ from typing import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,27 +52,43 @@ def materialize(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def batch_part(cols: list[str], parts: int):
+    """Hash part of a row (md5 of its values), as any engine can repeat it."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % F.lit(parts)
+
+
 def request_payload(df: DataFrame, key: str, cols: list[str], batch_size: int,
-                    orient: str = "split") -> DataFrame:
-    """Scoring requests: rows grouped into batches of at most ``batch_size``
-    consecutive keys, each batch one JSON document, either split-oriented
+                    orient: str = "split", rows_per_part: int = 10_000) -> DataFrame:
+    """Scoring requests: batches of ``batch_size`` rows (the last of a hash
+    part may be smaller), each one JSON document, either split-oriented
     ``{"dataframe_split": {"columns": [...], "data": [[...], ...]}}`` or
-    columnar ``{"inputs": {"col": [...], ...}}`` (rows in key order)."""
-    b = df.withColumn("batch_id", F.expr(f"{key} div {int(batch_size)}"))
-    ordered = F.sort_array(F.collect_list(F.struct(*cols)))
+    columnar ``{"inputs": {"col": [...], ...}}`` (rows in key order).
+
+    Rows are numbered inside a hash part, so sparse and repeated keys fill
+    their batches; values are written column by column, so types may differ."""
+    parts = max(1, -(-df.count() // rows_per_part))
+    w = Window.partitionBy("part").orderBy(key, *[c for c in cols if c != key])
+    b = (df.withColumn("part", batch_part(cols, parts)).withColumn("_rn", F.row_number().over(w))
+         .withColumn("batch_id", F.expr(f"(_rn - 1) div {int(batch_size)}")))
+
+    def piece(c):  # JSON of one value, whatever its type
+        one = F.to_json(F.array(F.col(c)))
+        return F.substring(one, F.lit(2), F.length(one) - 2)
+
+    names = F.to_json(F.array(*[F.lit(c) for c in cols]))
+    listed = lambda v: F.array_join(F.transform(
+        F.sort_array(F.collect_list(F.struct("_rn", v.alias("v")))), lambda s: s["v"]), ",")
     if orient == "split":
-        rows = F.transform(ordered, lambda s: F.array(*[s[c] for c in cols]))
-        body = F.struct(F.struct(F.array(*[F.lit(c) for c in cols]).alias("columns"),
-                                 rows.alias("data")).alias("dataframe_split"))
+        row = F.concat(F.lit("["), F.concat_ws(",", *[piece(c) for c in cols]), F.lit("]"))
+        body = F.concat(F.lit('{"dataframe_split":{"columns":'), names, F.lit(',"data":['), listed(row), F.lit("]}}"))
     elif orient == "inputs":
-        def field(c):
-            return lambda s: s[c]
-        body = F.struct(F.struct(*[F.transform(ordered, field(c)).alias(c)
-                                   for c in cols]).alias("inputs"))
+        fields = [F.concat(F.to_json(F.array(F.lit(c))).substr(F.lit(2), F.length(F.to_json(F.array(F.lit(c)))) - 2),
+                           F.lit(":["), listed(piece(c)), F.lit("]")) for c in cols]
+        body = F.concat(F.lit('{"inputs":{'), F.concat_ws(",", *fields), F.lit("}}"))
     else:
         raise ValueError(f"unknown orient {orient!r}")
-    return b.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"),
-                                     F.to_json(body).alias("payload"))
+    return b.groupBy("part", "batch_id").agg(F.count(F.lit(1)).alias("n_rows"), body.alias("payload"))
 
 
 # --- SQL-registered vectorised scorer -----------------------------------------
@@ -115,17 +131,22 @@ _EMBEDDERS: dict = {}
 
 
 def embed_texts(df: DataFrame, text: str = "text", out: str = "embedding",
-                dim: int = 64, factory: Callable[[], Callable] | None = None) -> DataFrame:
-    """Iterator pandas UDF: the model loads once per Python worker and embeds
-    Arrow batches.  Pad positions never enter the mean (no padding here)."""
+                dim: int = 64, factory: Callable[[], Callable] | None = None,
+                model_key: str | None = None) -> DataFrame:
+    """Iterator pandas UDF: embeds Arrow batches.  The model is built once per
+    task, or, with a ``model_key`` that names it, once per Python worker (a
+    worker keeps the last model only)."""
     make = factory or (lambda: HashingEmbedder(dim))
+    named = model_key or (None if factory else f"hashing-{dim}")
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        key = id(make)
-        model = _EMBEDDERS.get(key)
+        model = _EMBEDDERS.get(named) if named else None
         if model is None:
-            model = _EMBEDDERS[key] = make()
+            model = make()
+            _EMBEDDERS.clear()
+            if named:
+                _EMBEDDERS[named] = model
         for s in batches:
             yield pd.Series([list(map(float, v)) for v in model(s)])
     return df.withColumn(out, embed(F.col(text)))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from arbiter.operators.evaluate import config_array
+from pyspark.sql import types as T
 
 
 def mean_pool_long(df: DataFrame, key: str, vec: str, mask: str | None = None) -> DataFrame:
@@ -37,19 +38,44 @@ def normalize(v: Column) -> Column:
 
 
 def cosine_topk(table: DataFrame, id_col: str, vec: str, queries: DataFrame, qid: str,
-                qvec: str, k: int, max_queries: int = 10_000) -> DataFrame:
+                qvec: str, k: int, block_queries: int = 1024, block_rows: int = 8192) -> DataFrame:
     """Exact cosine top-k of every query vector against the table.
 
-    The query set is size-checked and carried as a literal array; each table
-    row scores all queries in one pass (``transform``), rows are exploded to
-    (query, score) and ``row_number <= k`` per query is planned as a
-    WindowGroupLimit, so each map task forwards at most k rows per query to
-    the shuffle.  Ties break on the row id."""
-    qs = config_array(queries.select(F.col(qid).alias("qid"),
-                                     normalize(F.col(qvec)).alias("qv")), max_queries)
-    t = table.select(F.col(id_col).alias("id"), normalize(F.col(vec)).alias("tv"))
-    scored = t.select("id", F.explode(F.transform(
-        qs, lambda q: F.struct(q["qid"].alias("qid"), dot(q["qv"], F.col("tv")).alias("score"))))
-        .alias("s")).select("id", "s.qid", "s.score")
+    Queries and rows are dealt into blocks of bounded size by a hash of their
+    id; a task scores one block of rows against one block of queries with a
+    matrix product and returns at most k rows per query, and the best k of
+    those are ranked (``row_number <= k``, a WindowGroupLimit).  Any number of
+    queries works: more of them make more blocks.  Ties break on the row id."""
+    n_rows, n_queries = table.count(), queries.count()
+    row_blocks, query_blocks = max(1, -(-n_rows // block_rows)), max(1, -(-n_queries // block_queries))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
+    rows = table.select(F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("v"),
+                        F.pmod(F.xxhash64(id_col), F.lit(row_blocks)).alias("r_block"), every(query_blocks).alias("q_block"))
+    asked = queries.select(F.col(qid).alias("qid"), F.col(qvec).cast("array<double>").alias("v"),
+                           F.pmod(F.xxhash64(qid), F.lit(query_blocks)).alias("q_block"), every(row_blocks).alias("r_block"))
+    schema = T.StructType([T.StructField("qid", asked.schema["qid"].dataType),
+                           T.StructField("id", rows.schema["id"].dataType), T.StructField("score", T.DoubleType())])
+
+    def unit(column: pa.ChunkedArray) -> np.ndarray:
+        x = np.array([np.asarray(v, float) for v in column.to_pylist()])
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return x / np.sqrt((x * x).sum(1))[:, None]
+
+    def best(block: pa.Table, q: pa.Table) -> pa.Table:
+        out: dict[str, list] = {"qid": [], "id": [], "score": []}
+        if block.num_rows and q.num_rows:
+            block = block.sort_by("id")  # a stable sort by score then breaks ties on the id
+            score = unit(q.column("v")) @ unit(block.column("v")).T
+            top = np.argsort(-score, axis=1, kind="stable")[:, :k]
+            at = top.ravel()
+            out = {"qid": q.column("qid").take(pa.array(np.repeat(np.arange(q.num_rows), top.shape[1]))),
+                   "id": block.column("id").take(pa.array(at)),
+                   "score": np.take_along_axis(score, top, 1).ravel()}
+        return pa.table(out, schema=arrow)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    arrow = to_arrow_schema(schema)
+    scored = (rows.groupBy("r_block", "q_block").cogroup(asked.groupBy("r_block", "q_block"))
+              .applyInArrow(best, schema))
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("id").asc())
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

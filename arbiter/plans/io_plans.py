@@ -179,13 +179,16 @@ def q_table_json_sink(spark, sf_dir):
 
 
 @query("request_payload", """
-    SELECT resp_id // 100 AS batch_id, CAST(count(*) AS BIGINT) AS n_rows,
+    SELECT part, (rn - 1) // 100 AS batch_id, CAST(count(*) AS BIGINT) AS n_rows,
            '{"dataframe_split":{"columns":["resp_id","input_tokens","output_tokens"],"data":['
            || string_agg('[' || CAST(resp_id AS VARCHAR) || ',' || CAST(input_tokens AS VARCHAR) || ','
                          || CAST(output_tokens AS VARCHAR) || ']', ',' ORDER BY resp_id) || ']}}' AS payload
+    FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY resp_id, input_tokens, output_tokens) AS rn FROM (
+      SELECT *, CAST('0x' || substr(md5(concat_ws('|', resp_id, input_tokens, output_tokens)), 1, 8) AS BIGINT)
+             % (SELECT greatest(1, (count(*) + 9999) // 10000) FROM documents) AS part
     FROM (SELECT doc_id AS resp_id, CAST(40 + 10 * CAST(substr(source, 4) AS INTEGER) AS BIGINT) AS input_tokens,
                  CAST(floor(len(regexp_extract_all(text, '\\S+')) * CAST(1.3 AS DOUBLE)) AS BIGINT) AS output_tokens
-          FROM documents) r GROUP BY resp_id // 100""")
+          FROM documents) r0) r1) r GROUP BY part, (rn - 1) // 100""")
 def q_request_payload(spark, sf_dir):
     from arbiter.operators.scoring import request_payload
     r = FX.responses(spark, sf_dir).select("resp_id", "input_tokens", "output_tokens")

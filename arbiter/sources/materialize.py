@@ -6,11 +6,12 @@ built from the events table) is written as parquet under
 snapshot, then scanned like any table.  This cuts the lineage (an executor
 loss re-reads files instead of recomputing the derivation) and replaces N
 recomputations by one write and N cheap scans.  The snapshot key is the
-input files' modification times, so changed inputs give a new table.
+listing of the input files (paths, sizes, times), so changed inputs give a new table.
 """
 
 from __future__ import annotations
 
+import hashlib
 import threading
 import uuid
 from typing import Callable
@@ -23,11 +24,18 @@ _LOCK = threading.Lock()
 _TABLES: dict[tuple, str] = {}
 
 
-def _mtime(spark: SparkSession, path: str) -> int:
+def _listing(spark: SparkSession, path: str) -> str:
+    """Digest of the files below ``path``: names, sizes and times.  A folder's
+    own time would miss files added to a folder inside it, and object stores
+    may have none."""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return int(fs.getFileStatus(p).getModificationTime())
+    files = p.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(p, True)
+    seen = []
+    while files.hasNext():
+        f = files.next()
+        seen.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hashlib.md5(repr(sorted(seen)).encode()).hexdigest()
 
 
 def materialized_path(spark: SparkSession, name: str, inputs: list[str],
@@ -35,7 +43,7 @@ def materialized_path(spark: SparkSession, name: str, inputs: list[str],
     """Like ``materialized`` for any file format: ``write(path)`` runs once
     per input snapshot; the folder is returned."""
     key = (spark.sparkContext.applicationId, "path:" + name,
-           tuple((p, _mtime(spark, p)) for p in inputs))
+           tuple((p, _listing(spark, p)) for p in inputs))
     with _LOCK:
         path = _TABLES.get(key)
         if path is None:
@@ -48,7 +56,7 @@ def materialized_path(spark: SparkSession, name: str, inputs: list[str],
 def materialized(spark: SparkSession, name: str, inputs: list[str],
                  build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
     key = (spark.sparkContext.applicationId, name,
-           tuple((p, _mtime(spark, p)) for p in inputs))
+           tuple((p, _listing(spark, p)) for p in inputs))
     with _LOCK:
         path = _TABLES.get(key)
         if path is None:
