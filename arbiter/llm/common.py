@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import uuid
 
@@ -24,6 +25,30 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
+def lean(work):
+    """A function for ``mapInArrow`` that hands its memory back at the end: an
+    idle Python worker otherwise keeps what its last task needed."""
+    @functools.wraps(work)
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            release_memory()
+    return run
+
+
+def release_memory() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

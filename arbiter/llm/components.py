@@ -6,7 +6,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbiter.llm.common import drop_written, written
+from arbiter.llm.common import drop_written, parts_for, written
+
+EDGES_PER_FILE = 20_000
 
 
 def local_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -49,7 +51,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
                  .select(F.explode(F.array(F.struct("hi", F.col("m").alias("lo")),
                                            F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e"))
                  .select("e.hi", "e.lo").where("hi <> lo").distinct())
-        after = written(small, "edges")
+        # a round has no more edges than twice the last one: few files for few edges
+        after = written(small.coalesce(parts_for(seen[0], EDGES_PER_FILE)), "edges")
         drop_written(now)
         now, before, seen = after, seen, state(after)
         if seen == before:

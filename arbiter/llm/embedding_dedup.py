@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbiter.llm.common import parts_for, prepare, written
+from arbiter.llm.common import lean, parts_for, prepare, written
 from arbiter.llm.components import connected_components, local_labels
 
 VECTOR = "vec_id long, label long, dim int, vec binary"
@@ -122,7 +122,7 @@ def vectors(df: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
                                              ["vec_id", "label", "dim", "vec"])
 
-    return df.select(F.col("vec_id").cast("long"), F.col("label").cast("long"), "embedding").mapInArrow(unit, VECTOR)
+    return df.select(F.col("vec_id").cast("long"), F.col("label").cast("long"), "embedding").mapInArrow(lean(unit), VECTOR)
 
 
 def _matrix(column, width: int) -> np.ndarray:
@@ -177,7 +177,7 @@ def link_blocks(distinct: DataFrame, index: ProductQuantiser, width: int, thresh
                 [c.split()[0] for c in placed.split(", ")])
 
     key = ["label", "dim", "cell"]
-    rows = written(distinct.select("rep", "copies", "label", "dim", "vec").mapInArrow(place, placed), "placed")
+    rows = written(distinct.select("rep", "copies", "label", "dim", "vec").mapInArrow(lean(place), placed), "placed")
     sizes = rows.groupBy(*key).agg(
         F.ceil(F.sum(F.col("query").cast("long")) / block_rows).cast("int").alias("q_parts"),
         F.ceil(F.sum((~F.col("query")).cast("long")) / block_rows).cast("int").alias("m_parts")).where("m_parts > 0")

@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arbiter.llm.common import lean, release_memory
+
 SEGMENT = "seg long, doc_ids array<long>, sizes array<int>, blob binary"
 KEYS = "seg long, shard int, high binary, low binary, tie binary, many binary"
 BITS = "seg long, shard int, bits binary"
@@ -81,7 +83,7 @@ def segments(docs: DataFrame, ordered: bool, clean: Callable[[bytes], bytes] | N
         if ids:
             yield row()
 
-    return rows.mapInArrow(gather, schema)
+    return rows.mapInArrow(lean(gather), schema)
 
 
 class Segment:
@@ -278,7 +280,12 @@ def earlier_names(table: pa.Table) -> pa.Table:
 
 
 def answers(keys: DataFrame, reducer: Callable[[pa.Table], pa.Table]) -> DataFrame:
-    return keys.groupBy("shard").applyInArrow(reducer, BITS)
+    def reduce(table: pa.Table) -> pa.Table:
+        try:
+            return reducer(table)
+        finally:
+            release_memory()
+    return keys.groupBy("shard").applyInArrow(reduce, BITS)
 
 
 def attach(segs: DataFrame, bits: DataFrame, name: str) -> DataFrame:

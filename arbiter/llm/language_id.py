@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arbiter.llm.common import prepare
+from arbiter.llm.common import lean, prepare
 
 LETTER = re.compile(r"[^\W\d_]")
 PAD = 0
@@ -235,4 +235,4 @@ def predict(docs: DataFrame, net: ByteCnn | None) -> DataFrame:
                  pa.array([f[1] for f in found], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"),
-                       "text").mapInArrow(apply, "doc_id long, held_out boolean, lang_pred string, score double")
+                       "text").mapInArrow(lean(apply), "doc_id long, held_out boolean, lang_pred string, score double")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbiter.llm.common import prepare
+from arbiter.llm.common import lean, prepare
 
 # The base phrases and their labels.
 BASE_PHRASES = {"gnu general public license": "gpl", "apache license": "apache",
@@ -235,4 +235,4 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None,
                 cols[8] = [[dict(zip(("label", "begin", "end"), d)) for d in ds] for ds in cols[8]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names[:len(types)])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(scan), schema)

@@ -37,20 +37,21 @@ def word_count(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
-def sized(docs: DataFrame, rows_per_bucket: int = 4096, seed: int = 7) -> DataFrame:
-    """doc_id, source, text_hash, size and ``start``: the words of its source
-    before it.
+def sized(docs: DataFrame, row: str | None = None, rows_per_bucket: int = 4096, seed: int = 7) -> DataFrame:
+    """doc_id, source, row (a column that numbers the rows, or a hash of the
+    text), size and ``start``: the words of its source before it.
 
     The bucket of a document is a hash of its id, so a hot source spreads
     over all buckets; documents of a source are laid out bucket by bucket."""
-    base = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), word_count().alias("size"))
+    base = docs.select("doc_id", "source", (F.col(row) if row else F.xxhash64("text")).alias("row"),
+                       word_count().alias("size"))
     n = parts_for(docs.count(), rows_per_bucket, 64)
     base = written(base.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(n))), "sizes")
-    inside = Window.partitionBy("source", "bucket").orderBy("doc_id", "text_hash").rowsBetween(
+    inside = Window.partitionBy("source", "bucket").orderBy("doc_id", "row").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     rows = base.withColumn("upto", F.sum("size").over(inside))
     return (_after_buckets(rows, base.groupBy("source", "bucket").agg(F.sum("size").alias("amount")))
-            .select("doc_id", "source", "text_hash", "size", (F.col("before") + F.col("upto") - F.col("size")).alias("start")))
+            .select("doc_id", "source", "row", "size", (F.col("before") + F.col("upto") - F.col("size")).alias("start")))
 
 
 def _after_buckets(rows: DataFrame, amounts: DataFrame) -> DataFrame:
@@ -155,11 +156,11 @@ def slots(quota: DataFrame, block: int, seed: int, slots_per_shard: int, chunk:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, max_repeat: int = 2,
-        block: int = 64, seed: int = 20, slots_per_shard: int = 16_384) -> dict[str, DataFrame]:
+        block: int = 64, seed: int = 20, slots_per_shard: int = 16_384, row: str | None = None) -> dict[str, DataFrame]:
     """``documents`` (doc_id, source, size, start), ``targets``, ``slots`` and
     ``pieces``.  A slot takes a block's words before ``may``."""
     prepare(docs.sparkSession)
-    laid = written(sized(docs), "laid")
+    laid = written(sized(docs, row), "laid")
     goals = written(targets(laid, weights, share, max_repeat).withColumn("quota", F.round("target").cast("long")),
                     "targets")
     return {"documents": laid, "targets": goals, "slots": slots(goals, block, seed, slots_per_shard),
@@ -171,7 +172,8 @@ def taken(mixed: dict[str, DataFrame]) -> DataFrame:
     grouped = mixed["slots"].groupBy("source", "index").agg(F.collect_list("may").alias("takes"))
     # a block is in at most one slot a pass, so its list is as long as the passes
     hits = mixed["pieces"].join(
-        grouped.select(F.col("source").alias("s_source"), F.col("index").alias("s_index"), "takes"),
+        # (the planner can't see how many slots the small quota table unfolds into)
+        grouped.select(F.col("source").alias("s_source"), F.col("index").alias("s_index"), "takes").hint("merge"),
         F.col("source").eqNullSafe(F.col("s_source")) & (F.col("index") == F.col("s_index")))
     words = F.aggregate("takes", F.lit(0).cast("long"), lambda total, may: total + F.greatest(
         F.lit(0).cast("long"), F.least(F.col("b") - F.col("a"), may - F.col("at"))))
@@ -185,31 +187,35 @@ def taken(mixed: dict[str, DataFrame]) -> DataFrame:
                     F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
 
-def mixed_documents(docs: DataFrame, mixed: dict[str, DataFrame]) -> DataFrame:
-    """The mix as rows with the columns of ``docs``: a document appears once
-    for every pass over its source that takes of it; text that is taken in
-    part is cut to the words taken (joined by one space), and ``n_chars``
-    counted anew.  Rows of equal id, source and text have the other columns
-    of one of them."""
+def mixed_documents(docs: DataFrame, mixed: dict[str, DataFrame], row: str) -> DataFrame:
+    """The mix as rows with the columns of ``docs``, which :func:`mix` got
+    with ``row``, a number of the row: a document appears once for every pass
+    over its source that takes of it; text that is taken in part is cut to
+    the words taken (joined by one space), and ``n_chars`` counted anew."""
     take = F.least(F.col("b") - F.col("a"), F.col("may") - F.col("at"))
-    s = mixed["slots"].select(F.col("source").alias("s_source"), F.col("index").alias("s_index"), "pass", "may")
+    s = mixed["slots"].select(F.col("source").alias("s_source"), F.col("index").alias("s_index"), "pass", "may").hint("merge")
     # a document's pieces in one pass: as many as its blocks
     parts = (mixed["pieces"].join(s, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("index") == F.col("s_index")))
-             .where(take > 0).groupBy("doc_id", "source", "text_hash", "size", "start", "pass")
+             .where(take > 0).groupBy("row", "size", "pass")
              .agg(F.sum(take).alias("words"),
                   F.sort_array(F.collect_list(F.struct("a", take.alias("n")))).alias("parts"))
              .withColumn("parts", F.when(F.col("words") < F.col("size"), F.col("parts"))))
-    parts = parts.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
-                         F.col("text_hash").alias("_of"), "parts")
-    keys = ["doc_id", "source", "_hash"]
-    texts = docs.withColumn("_hash", F.xxhash64("text")).dropDuplicates(keys)
-    joined = texts.join(parts, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-                        & (F.col("_hash") == F.col("_of")))
+    parts = parts.select(F.col("row").alias("_of"), "parts")
+    joined = docs.join(parts.hint("merge"), F.col(row) == F.col("_of"))
     words = F.regexp_extract_all("text", F.lit(f"({WORD_PATTERN})"))
     cut = F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(
         F.col("_words"), (p["a"] + 1).cast("int"), p["n"].cast("int")))), " ")
     out = (joined.withColumn("_words", F.when(F.col("parts").isNotNull(), words))
-           .withColumn("text", F.when(F.col("parts").isNull(), F.col("text")).otherwise(cut)))
+           .withColumn("text", F.when(F.col("parts").isNull(), F.col("text")).otherwise(cut)).drop(row))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out.select(*[c for c in docs.columns if c != row])
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` mixed to the target weights.  The rows are written once with a
+    number, on which their texts are found again."""
+    prepare(docs.sparkSession)
+    row = "_mixing_row"
+    held = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    return mixed_documents(held, mix(held, row=row, **options), row)

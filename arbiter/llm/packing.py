@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbiter.llm.common import parts_for, prepare, shuffle_partitions
+from arbiter.llm.common import lean, parts_for, prepare, shuffle_partitions
 
 SPECIAL = "<|endoftext|>"
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -81,7 +81,7 @@ def pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: s
                     cols = [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(cut, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(lean(cut), schema)
 
 
 class CapacityTree:
@@ -149,7 +149,7 @@ def pack(piece_rows: DataFrame, window: int = 1024, shards: int | None = None) -
 
     dealt = piece_rows.repartition(shards, F.xxhash64("doc_id", "start", "ids_crc32"))
     order = [F.desc("length"), "doc_id", "start", "ids_crc32"]
-    return dealt.sortWithinPartitions(*order).mapInArrow(fit, out)
+    return dealt.sortWithinPartitions(*order).mapInArrow(lean(fit), out)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None,

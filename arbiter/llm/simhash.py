@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbiter.llm.common import prepare, shuffle_partitions, written
+from arbiter.llm.common import lean, prepare, shuffle_partitions, written
 from arbiter.llm.components import connected_components, local_labels
 
 SEED = 42
@@ -83,7 +83,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
                                              ["doc_id", "text_hash", "fp"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
-                       "text").mapInArrow(compute, "doc_id long, text_hash long, fp long")
+                       "text").mapInArrow(lean(compute), "doc_id long, text_hash long, fp long")
 
 
 def block_masks(blocks: int, max_bits: int) -> list[int]:
@@ -145,7 +145,7 @@ def links(distinct: DataFrame, max_bits: int = 2, blocks: int = 4, cell_rows: in
             yield forest(*(c[:whole] for c in cols))
         yield forest(*kept)
 
-    return dealt.mapInArrow(verify, "a long, b long")
+    return dealt.mapInArrow(lean(verify), "a long, b long")
 
 
 def grouped(docs: DataFrame, shingle: int = 3, max_bits: int = 2, blocks: int = 4) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arbiter.llm import exchange as X
-from arbiter.llm.common import prepare, written
+from arbiter.llm.common import lean, prepare, written
 
 SKETCH_SEED, TIE_SEED = 3, 4
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -81,7 +81,7 @@ def repeated_words(docs: DataFrame, window: int = 35) -> tuple[DataFrame, int]:
             for s in [X.Segment(batch, i)]
             for row in X.cell_rows(s.seg, WordWindows(s, window).hashes(SKETCH_SEED), bits))
 
-    estimate = written(X.answers(segs.mapInArrow(sketch, X.KEYS), X.repeated_cells), "sketch-answers")
+    estimate = written(X.answers(segs.mapInArrow(lean(sketch), X.KEYS), X.repeated_cells), "sketch-answers")
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
@@ -94,7 +94,7 @@ def repeated_words(docs: DataFrame, window: int = 35) -> tuple[DataFrame, int]:
                                            np.diff(first, append=len(at)) > 1)
         yield from X.key_batches(rows())
 
-    exact = written(X.answers(X.attach(segs, estimate, "sketch").mapInArrow(names, X.KEYS), X.repeated_names),
+    exact = written(X.answers(X.attach(segs, estimate, "sketch").mapInArrow(lean(names), X.KEYS), X.repeated_names),
                     "exact-answers")
     return X.attach(X.attach(segs, estimate, "sketch"), exact, "exact"), bits
 
@@ -131,4 +131,4 @@ def remove_repeats(docs: DataFrame, window: int = 35, with_text: bool = False) -
                     cols.append(pa.array([k.decode() for k in kept], pa.string()))
                 yield pa.RecordBatch.from_arrays(cols, names)
 
-    return rows.mapInArrow(cut, schema)
+    return rows.mapInArrow(lean(cut), schema)

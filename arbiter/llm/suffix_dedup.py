@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arbiter.llm import exchange as X
-from arbiter.llm.common import drop_written, prepare, written
+from arbiter.llm.common import drop_written, lean, prepare, written
 
 SAMPLE_SEED, ORDER_SEED, TIE_SEED = 5, 6, 7
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -156,7 +156,7 @@ def find_candidates(docs: DataFrame, length: int, carry: bool = False) -> DataFr
             for s in [X.Segment(batch, i)]
             for row in X.cell_rows(s.seg, cover.hashes(s, cover.sample(s)), bits))
 
-    ranks = written(X.answers(segs.mapInArrow(sample, X.KEYS), X.repeated_cells), "sample-answers")
+    ranks = written(X.answers(segs.mapInArrow(lean(sample), X.KEYS), X.repeated_cells), "sample-answers")
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,7 +170,7 @@ def find_candidates(docs: DataFrame, length: int, carry: bool = False) -> DataFr
                      pa.array([int((runs[:, 1] - runs[:, 0]).sum())], pa.int64()),
                      pa.array([some.view(np.int64)], pa.list_(pa.int64()))], schema.names)
 
-    out = written(X.attach(segs, ranks, "ranks").mapInArrow(mark, schema), "candidates")
+    out = written(X.attach(segs, ranks, "ranks").mapInArrow(lean(mark), schema), "candidates")
     drop_written(segs)
     drop_written(ranks)
     return out
@@ -211,7 +211,7 @@ def repeated_bytes(docs: DataFrame, length: int, buckets: int, carry: bool) -> t
                         yield from X.name_rows(s.seg, order[one], tie[one], shard[some][one], None)
             yield from X.key_batches(rows())
 
-        part = segs.where("n_candidates > 0").mapInArrow(gather, X.KEYS)
+        part = segs.where("n_candidates > 0").mapInArrow(lean(gather), X.KEYS)
         part = written(X.answers(part, X.earlier_names), f"bucket-{bucket}")
         found = part if found is None else found.union(part)
     return X.attach(segs, found, "earlier"), splits
@@ -261,7 +261,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, buckets: int = 4, with_te
                              batch.column("rest")[i].values]
                 yield pa.RecordBatch.from_arrays(cols, schema.names)
 
-    return rows.mapInArrow(cut, schema)
+    return rows.mapInArrow(lean(cut), schema)
 
 
 def cut_repeats(docs: DataFrame, length: int = 100) -> DataFrame:

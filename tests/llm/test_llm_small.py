@@ -249,7 +249,8 @@ def test_mixing_all_empty_texts(spark):
 
 def test_mix_slots_shards_and_texts(docs):
     unique = docs.dropDuplicates(["doc_id"])
-    mixed = mixing.mix(unique, block=16, slots_per_shard=100)
+    unique = unique.withColumn("row_no", F.col("doc_id") + 1)
+    mixed = mixing.mix(unique, block=16, slots_per_shard=100, row="row_no")
     slots = mixed["slots"].collect()
     by_source = defaultdict(list)
     for s in slots:
@@ -259,7 +260,7 @@ def test_mix_slots_shards_and_texts(docs):
     per_doc = {r.doc_id: r.taken for r in mixing.taken(mixed).collect()}
     texts = Counter()
     original = {r.doc_id: r.text for r in unique.collect()}
-    for r in mixing.mixed_documents(unique, mixed).collect():
+    for r in mixing.mixed_documents(unique, mixed, "row_no").collect():
         texts[r.doc_id] += len(tokens(r.text))
         it = iter(tokens(original[r.doc_id]))
         assert all(w in it for w in tokens(r.text))  # a subsequence of its document
@@ -267,6 +268,13 @@ def test_mix_slots_shards_and_texts(docs):
     assert {k: v for k, v in per_doc.items() if v} == dict(texts)
 
 
+def test_mixed_rows_keep_repeated_rows_apart(docs, rows):
+    got = Counter(r.source for r in mixing.mixed(docs).collect() for _ in tokens(r.text))
+    want = water_fill(Counter(s for r in rows for s in [r[3]] * len(tokens(r[1]))))
+    assert all(abs(got[s] - want[s]) <= 0.5 for s in want)
+    assert mixing.mixed(docs).columns == docs.columns
+
+
 # ---------------------------------------------------------------- merkle
 
 def test_merkle_edits(docs, rows, empty):
