@@ -1,4 +1,4 @@
-"""Streaming queries, each compared with its batch twin over closed windows."""
+"""Streaming queries, each compared with its full batch twin."""
 
 from __future__ import annotations
 
@@ -9,18 +9,16 @@ from arbiter.streaming import metrics as SM
 
 MEAN_LAT = ("CAST(sum(CAST(round(latency_ms * 10) AS BIGINT)) AS DOUBLE) / "
             "CAST(10 * count(latency_ms) AS DOUBLE)")
-# watermark after the last micro-batch: max event time (ms) minus the delay
-WM = "(SELECT max(ts) - INTERVAL 1 HOUR FROM telemetry)"
 
 
 @query("stream_turn_metrics", with_views(f"""
     SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type,
            CAST(count(*) AS BIGINT) AS n, round_even({MEAN_LAT}, 6) AS avg_latency_ms,
            round_even(max(latency_ms), 6) AS max_latency_ms
-    FROM telemetry GROUP BY time_bucket(INTERVAL 1 HOUR, ts), event_type
-    HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= {WM}""", "telemetry"))
+    FROM telemetry GROUP BY time_bucket(INTERVAL 1 HOUR, ts), event_type""", "telemetry"))
 def q_stream_turn_metrics(spark, sf_dir):
-    out = SM.run_available(SM.turn_metrics(SM.telemetry_stream(spark, sf_dir)), spark, "turn_metrics")
+    out = SM.run_available(SM.turn_metrics(SM.telemetry_stream(spark, sf_dir)), spark, "turn_metrics",
+                           open_rows=SM.open_turn_metrics)
     return finalize(out)
 
 
@@ -28,11 +26,10 @@ def q_stream_turn_metrics(spark, sf_dir):
     SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, state,
            CAST(count(*) AS BIGINT) AS n
     FROM (SELECT DISTINCT ON (request_id, attempt) * FROM telemetry ORDER BY request_id, attempt, ts) t
-    GROUP BY time_bucket(INTERVAL 1 HOUR, ts), state
-    HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= {WM}""", "telemetry"))
+    GROUP BY time_bucket(INTERVAL 1 HOUR, ts), state""", "telemetry"))
 def q_stream_attempt_outcomes(spark, sf_dir):
     return SM.run_available(SM.attempt_outcomes(SM.telemetry_stream(spark, sf_dir)), spark,
-                            "attempt_outcomes")
+                            "attempt_outcomes", open_rows=SM.open_attempt_outcomes)
 
 
 @query("stream_session_totals", with_views(f"""
@@ -45,11 +42,10 @@ def q_stream_attempt_outcomes(spark, sf_dir):
            strftime(max(ts) + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S.%f') AS session_end,
            CAST(count(*) AS BIGINT) AS n_events,
            round_even(CAST(sum(CAST(round(latency_ms * 10) AS BIGINT)) AS DOUBLE) / 10.0, 6) AS total_latency_ms
-    FROM sess GROUP BY user_id, sid
-    HAVING max(ts) + INTERVAL 30 MINUTE <= {WM}""", "telemetry"))
+    FROM sess GROUP BY user_id, sid""", "telemetry"))
 def q_stream_session_totals(spark, sf_dir):
     out = SM.run_available(SM.session_totals(SM.telemetry_stream(spark, sf_dir)), spark,
-                           "session_totals")
+                           "session_totals", open_rows=SM.open_session_totals)
     return finalize(out)
 
 

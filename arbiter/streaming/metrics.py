@@ -1,7 +1,8 @@
 """Structured Streaming over telemetry and conversation turns.
 
-Sources are file streams over the table folders; every stateful query has a
-watermark so state is bounded, and runs to a parquet sink with its
+Sources are file streams over the table folders; state is bounded by a
+watermark (windows, sessions, deduplication) or a time to live (history), and
+queries run to a parquet sink with their
 checkpoint in the shared checkpoint folder (restartable after executor or
 driver loss).  ``run_available`` processes what is there now
 (``trigger(availableNow=True)``) and returns the sink as a batch DataFrame.
@@ -42,8 +43,14 @@ def telemetry_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_available(df: DataFrame, spark: SparkSession, name: str, mode: str = "append",
-                  foreach_batch: Callable | None = None) -> DataFrame:
-    """Run the stream over all currently available input, then read the sink."""
+                  foreach_batch: Callable | None = None,
+                  open_rows: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Run the stream over all currently available input, then read the sink.
+
+    In append mode a window reaches the sink once the watermark has passed
+    it.  ``open_rows`` turns the state that is left in the checkpoint (the
+    windows still open) into rows of the sink; a window is in one of the two,
+    since it leaves the state when it is emitted."""
     out, ckpt = fresh_path(spark, f"stream/{name}/out"), fresh_path(spark, f"stream/{name}/ckpt")
     w = df.writeStream.outputMode(mode).option("checkpointLocation", ckpt).trigger(availableNow=True)
     if foreach_batch is not None:
@@ -51,24 +58,46 @@ def run_available(df: DataFrame, spark: SparkSession, name: str, mode: str = "ap
     else:
         w = w.format("parquet").option("path", out)
     w.start().awaitTermination()
-    return spark.read.parquet(out)
+    return with_open(spark, out, ckpt, open_rows)
+
+
+def with_open(spark: SparkSession, out: str, ckpt: str,
+              open_rows: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    closed = spark.read.parquet(out)
+    if open_rows is None:
+        return closed
+    return closed.unionByName(open_rows(spark.read.format("statestore").load(ckpt)))
 
 
 def _tenths_sum(c: str):
     return F.sum(F.round(F.col(c) * F.lit(10.0)).cast("bigint"))
 
 
+def _turn_rows(g: DataFrame) -> DataFrame:
+    return g.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                    "event_type", "n",
+                    (F.col("lat10").cast("double") / (F.col("n") * F.lit(10)).cast("double"))
+                    .alias("avg_latency_ms"), "max_latency_ms")
+
+
 def turn_metrics(t: DataFrame, window: str = "1 hour", delay: str = "1 hour") -> DataFrame:
-    """Per event-time window and event type: count, mean and max latency.
-    Append mode: a window is emitted once the watermark passes its end."""
+    """Per event-time window and event type: count, mean and max latency."""
     g = (t.withWatermark("ts", delay)
          .groupBy(F.window("ts", window).alias("w"), "event_type")
-         .agg(F.count(F.lit(1)).alias("n"), _tenths_sum("latency_ms").alias("_lat10"),
+         .agg(F.count(F.lit(1)).alias("n"), _tenths_sum("latency_ms").alias("lat10"),
               F.max("latency_ms").alias("max_latency_ms")))
-    return g.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                    "event_type", "n",
-                    (F.col("_lat10").cast("double") / (F.col("n") * F.lit(10)).cast("double"))
-                    .alias("avg_latency_ms"), "max_latency_ms")
+    return _turn_rows(g)
+
+
+def open_turn_metrics(state: DataFrame) -> DataFrame:
+    """Rows of :func:`turn_metrics` for the windows still in state."""
+    return _turn_rows(state.select(
+        F.col("key.window").alias("w"), "key.event_type", F.col("value.count").alias("n"),
+        F.col("value.sum").alias("lat10"), F.col("value.max").alias("max_latency_ms")))
+
+
+def _outcome_rows(g: DataFrame) -> DataFrame:
+    return g.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "state", "n")
 
 
 def attempt_outcomes(t: DataFrame, window: str = "1 hour", delay: str = "1 hour") -> DataFrame:
@@ -76,20 +105,34 @@ def attempt_outcomes(t: DataFrame, window: str = "1 hour", delay: str = "1 hour"
     (a retried delivery is counted once), counted per window and state."""
     d = (t.withWatermark("ts", delay)
          .dropDuplicatesWithinWatermark(["request_id", "attempt"]))
-    g = d.groupBy(F.window("ts", window).alias("w"), "state").agg(F.count(F.lit(1)).alias("n"))
-    return g.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                    "state", "n")
+    return _outcome_rows(d.groupBy(F.window("ts", window).alias("w"), "state").agg(F.count(F.lit(1)).alias("n")))
+
+
+def open_attempt_outcomes(state: DataFrame) -> DataFrame:
+    """Rows of :func:`attempt_outcomes` for the windows still in state."""
+    return _outcome_rows(state.select(F.col("key.window").alias("w"), "key.state", F.col("value.count").alias("n")))
+
+
+def _session_rows(g: DataFrame) -> DataFrame:
+    return g.select("user_id",
+                    F.date_format("s.start", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("session_start"),
+                    F.date_format("s.end", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("session_end"),
+                    "n_events", (F.col("lat10").cast("double") / F.lit(10.0)).alias("total_latency_ms"))
 
 
 def session_totals(t: DataFrame, gap: str = "30 minutes", delay: str = "1 hour") -> DataFrame:
     """Per user session (gap-separated): events and total latency."""
     g = (t.withWatermark("ts", delay)
          .groupBy(F.session_window("ts", gap).alias("s"), "user_id")
-         .agg(F.count(F.lit(1)).alias("n_events"), _tenths_sum("latency_ms").alias("_lat10")))
-    return g.select("user_id",
-                    F.date_format("s.start", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("session_start"),
-                    F.date_format("s.end", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("session_end"),
-                    "n_events", (F.col("_lat10").cast("double") / F.lit(10.0)).alias("total_latency_ms"))
+         .agg(F.count(F.lit(1)).alias("n_events"), _tenths_sum("latency_ms").alias("lat10")))
+    return _session_rows(g)
+
+
+def open_session_totals(state: DataFrame) -> DataFrame:
+    """Rows of :func:`session_totals` for the sessions still in state."""
+    return _session_rows(state.select(
+        "key.user_id", F.col("value.session_window").alias("s"), F.col("value.count").alias("n_events"),
+        F.col("value.sum").alias("lat10")))
 
 
 # --- custom state: conversation history with resets -------------------------------
@@ -102,42 +145,50 @@ HISTORY_OUT = T.StructType([
 ])
 
 
-def _history_processor():
+COUNTERS = T.StructType([T.StructField("next_turn", T.LongType()), T.StructField("steps", T.LongType()),
+                         T.StructField("n_history", T.LongType())])
+WAITING = T.StructType([T.StructField("turn", T.LongType()), T.StructField("role", T.StringType()),
+                        T.StructField("is_reset", T.BooleanType())])
+
+
+def _history_processor(ttl_ms: int | None):
     from pyspark.sql.streaming import StatefulProcessor
 
     class HistoryProcessor(StatefulProcessor):
-        """Keyed by conversation.  List state = messages of the current
-        segment; value state = (assistant steps so far, history length).  A
-        reset command clears the history and keeps the step counter."""
+        """Keyed by conversation.  Value state: the next turn to fold, the
+        assistant steps and the history length so far.  List state: turns that
+        came before an earlier one (their number and role only, no text);
+        they are folded when the gap has closed, so counters do not depend on
+        the order of arrival.  With ``ttl_ms`` both expire that long after the
+        last write."""
 
         def init(self, handle):
-            self.history = handle.getListState(
-                "history", T.StructType([T.StructField("role", T.StringType()),
-                                         T.StructField("content", T.StringType())]))
-            self.counters = handle.getValueState(
-                "counters", T.StructType([T.StructField("steps", T.LongType()),
-                                          T.StructField("n_history", T.LongType())]))
+            self.counters = handle.getValueState("counters", COUNTERS, ttl_ms)
+            self.waiting = handle.getListState("waiting", WAITING, ttl_ms)
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            batch = pd.concat(list(rows), ignore_index=True).sort_values("turn")
-            # counters live in value state: no scan of the history list per batch
-            steps, n_hist = self.counters.get() if self.counters.exists() else (0, 0)
-            new_msgs, out = [], []
-            for r in batch.itertuples(index=False):
-                if r.is_reset:
-                    self.history.clear()
-                    n_hist, new_msgs = 0, []
-                    continue
-                if r.role == "user":
-                    out.append((int(key[0]), int(r.turn), n_hist, steps))
-                if r.role in ("user", "assistant"):
-                    new_msgs.append((r.role, r.text))
-                    n_hist += 1
-                if r.role == "assistant":
-                    steps += 1
-            if new_msgs:
-                self.history.appendList(new_msgs)
-            self.counters.update((steps, n_hist))
+            turn, steps, n_hist = self.counters.get() if self.counters.exists() else (0, 0, 0)
+            early = {int(t): (role, reset) for t, role, reset in self.waiting.get()} if self.waiting.exists() else {}
+            for chunk in rows:
+                for t, role, reset in zip(chunk["turn"], chunk["role"], chunk["is_reset"]):
+                    if t >= turn:  # an earlier one was folded already: a repeated delivery
+                        early[int(t)] = (role, bool(reset))
+            out = []
+            while turn in early:
+                role, reset = early.pop(turn)
+                if reset:
+                    n_hist = 0
+                else:
+                    if role == "user":
+                        out.append((int(key[0]), turn, n_hist, steps))
+                    n_hist += role in ("user", "assistant")
+                    steps += role == "assistant"
+                turn += 1
+            self.counters.update((turn, steps, n_hist))
+            if early:
+                self.waiting.put([(t, *early[t]) for t in sorted(early)])
+            else:
+                self.waiting.clear()
             yield pd.DataFrame(out, columns=["conv_id", "turn", "n_history", "step"])
 
         def close(self):
@@ -146,12 +197,20 @@ def _history_processor():
     return HistoryProcessor()
 
 
-def history_state(turns: DataFrame) -> DataFrame:
-    return (turns.select("conv_id", "turn", "role", "text", "is_reset")
+def history_state(turns: DataFrame, ttl: str | None = None) -> DataFrame:
+    """History length and step of every user turn; turns are numbered from 0
+    without gaps.  The text never enters the state: three numbers a
+    conversation, and the turns that wait for an earlier one.
+
+    Turns carry no event time, so expiry goes by processing time: give a
+    ``ttl`` ("7 days") to a stream that runs on.  A run over the available
+    input must not have one (in that mode Spark never runs out of batches)."""
+    ttl_ms = int(pd.Timedelta(ttl).total_seconds() * 1000) if ttl else None
+    return (turns.select("conv_id", "turn", "role", F.coalesce("is_reset", F.lit(False)).alias("is_reset"))
             .groupBy("conv_id")
-            .transformWithStateInPandas(statefulProcessor=_history_processor(),
+            .transformWithStateInPandas(statefulProcessor=_history_processor(ttl_ms),
                                         outputStructType=HISTORY_OUT, outputMode="Append",
-                                        timeMode="None"))
+                                        timeMode="ProcessingTime" if ttl else "None"))
 
 
 # --- gate check per micro-batch -------------------------------------------------------

@@ -76,9 +76,13 @@ def test_materialize_and_sql_udf(spark):
 
 def test_request_payload_orientations(spark):
     import json
-    df = spark.createDataFrame([(i, i * 10) for i in range(5)], "id long, v long")
+    df = spark.createDataFrame([(i * 1000, i * 10) for i in range(5)], "id long, v long")
     split = {r.batch_id: json.loads(r.payload) for r in SC.request_payload(df, "id", ["id", "v"], 2).collect()}
-    assert split[0] == {"dataframe_split": {"columns": ["id", "v"], "data": [[0, 0], [1, 10]]}}
+    assert split[0] == {"dataframe_split": {"columns": ["id", "v"], "data": [[0, 0], [1000, 10]]}}
     cols = {r.batch_id: json.loads(r.payload) for r in
             SC.request_payload(df, "id", ["id", "v"], 2, orient="inputs").collect()}
-    assert cols[2] == {"inputs": {"id": [4], "v": [40]}}
+    assert cols[2] == {"inputs": {"id": [4000], "v": [40]}}
+    mixed = spark.createDataFrame([(7, 'a"b', 1.5, None)] * 5, "id long, s string, x double, n int")
+    docs = [json.loads(r.payload) for r in SC.request_payload(mixed, "id", ["id", "s", "x", "n"], 2).collect()]
+    assert sorted(len(p["dataframe_split"]["data"]) for p in docs) == [1, 2, 2]
+    assert docs[0]["dataframe_split"]["data"][0] == [7, 'a"b', 1.5, None]
