@@ -107,9 +107,13 @@ def cc_run_name(sha, promoted) -> Column:
 def corpus_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Template config rows for the corpus: one per document source."""
     from arbiter.sources.tables import read_table
-    d = read_table(spark, sf_dir, "documents", ["source"]).distinct()
+    return template_rows(read_table(spark, sf_dir, "documents", ["source"]).distinct())
+
+
+def template_rows(sources: DataFrame) -> DataFrame:
+    """Config of the template that answered for a ``source``."""
     ord_ = F.substring("source", 4, 16).cast("int")
-    return d.select(
+    return sources.select(
         F.col("source").alias("name"),
         F.concat(F.lit("1.0."), F.substring("source", 4, 16)).alias("version"),
         F.concat(F.lit("You are support agent "), F.col("source")).alias("system"),

@@ -64,6 +64,27 @@ def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction"
     return out.withColumn("f1", f1)
 
 
+def weighted_metrics(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
+    """accuracy and precision, recall, F1 averaged over the classes with their
+    numbers of true rows as weights; one count per (label, prediction) pair,
+    so any number of classes and a hot class cost partial aggregates."""
+    pairs = df.groupBy(F.col(label).alias("t"), F.col(pred).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    sides = pairs.select(F.explode(F.array(
+        F.struct(F.col("t").alias("c"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("predicted"),
+                 F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(0).alias("hit")),
+        F.struct(F.col("p").alias("c"), F.lit(0).cast("bigint").alias("support"), F.col("n").alias("predicted"),
+                 F.lit(0).cast("bigint").alias("hit")))).alias("s")).select("s.*")
+    k = sides.groupBy("c").agg(*[F.sum(x).alias(x) for x in ("support", "predicted", "hit")])
+    share = lambda a, b: F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0))
+    k = (k.withColumn("pr", share("hit", "predicted")).withColumn("rc", share("hit", "support"))
+         .withColumn("f", F.coalesce(F.try_divide(F.lit(2.0) * F.col("pr") * F.col("rc"), F.col("pr") + F.col("rc")),
+                                     F.lit(0.0))))
+    mean = lambda c: F.try_divide(F.sum(F.col(c) * F.col("support")), F.sum("support"))
+    return k.agg(F.sum("support").alias("n"), F.count_if(F.col("support") > 0).alias("n_classes"),
+                 F.try_divide(F.sum("hit"), F.sum("support")).alias("accuracy"),
+                 mean("pr").alias("precision"), mean("rc").alias("recall"), mean("f").alias("f1"))
+
+
 def feature_stages(features: list[str]) -> list:
     """Impute (training mean; NULL and NaN alike), then assemble: every input
     row has an output row, in training and in inference."""

@@ -10,8 +10,8 @@ model again and change the replies.
 
 from __future__ import annotations
 
+import hashlib
 import time
-import zlib
 from typing import Callable, Iterator
 
 import numpy as np
@@ -110,8 +110,8 @@ def register_score_udf(spark: SparkSession, name: str = "score_model",
 # --- batched embeddings -----------------------------------------------------------
 
 class HashingEmbedder:
-    """Deterministic offline embedder: lower-cased word tokens hashed (crc32)
-    into ``dim`` buckets, L2-normalised.  Built once per executor process."""
+    """Deterministic offline embedder: lower-cased word tokens hashed (first 8
+    hex digits of md5) into ``dim`` buckets, L2-normalised."""
 
     def __init__(self, dim: int = 64):
         self.dim = dim
@@ -121,7 +121,7 @@ class HashingEmbedder:
         for t in texts.fillna(""):
             v = np.zeros(self.dim, dtype=np.float32)
             for tok in t.lower().split():
-                v[zlib.crc32(tok.encode("utf-8")) % self.dim] += 1.0
+                v[int(hashlib.md5(tok.encode("utf-8")).hexdigest()[:8], 16) % self.dim] += 1.0
             n = float(np.linalg.norm(v))
             out.append(v / n if n > 0 else v)
         return out

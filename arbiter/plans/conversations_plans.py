@@ -48,7 +48,8 @@ register_view("assembled", ("hist",), f"""
            concat_ws(',', 'system', '{FEW_SHOT_ROLES}', nullif(h.roles, ''), 'user') AS roles,
            CAST(length(coalesce(s.text, '{DEFAULT_SYSTEM}')) + {FEW_SHOT_CHARS} + h.history_chars
                 + length(h.text) AS BIGINT) AS content_chars
-    FROM hist h LEFT JOIN (SELECT conv_id, text FROM conversations WHERE role = 'system') s
+    FROM hist h LEFT JOIN (SELECT conv_id, arg_min(text, turn) AS text FROM conversations
+                              WHERE role = 'system' GROUP BY conv_id) s
       ON s.conv_id = h.conv_id""")
 
 
@@ -66,7 +67,8 @@ def history(spark, sf_dir):
 
 def assembled(spark, sf_dir):
     t = turns(spark, sf_dir)
-    sys = t.where(F.col("role") == "system").select("conv_id", F.col("text").alias("_sys"))
+    # the system turn that opens the conversation; a second one must not double the rows
+    sys = t.where(F.col("role") == "system").groupBy("conv_id").agg(F.min_by("text", "turn").alias("_sys"))
     h = CV.history_fold(t).join(sys, "conv_id", "left")
     return CV.message_assembly(h, F.coalesce(F.col("_sys"), F.lit(DEFAULT_SYSTEM)),
                                FX.few_shots_col())

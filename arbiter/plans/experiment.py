@@ -324,8 +324,11 @@ def q_run_name(spark, sf_dir):
         || '", "system": "' || t.system || '", "temperature": 0.3, "version": "' || t.version || '"}}'), 1, 12) AS config_hash
     FROM summary s JOIN ({TEMPLATE_SQL}) t ON t.name = s.template""", "summary"))
 def q_summary_template_lookup(spark, sf_dir):
+    # every name has two configs; the summary carries the hash of the one that ran
     t = H.corpus_templates(spark, sf_dir)
+    t = t.unionByName(t.withColumn("version", F.concat(F.lit("2."), "version")).withColumn("temperature", F.lit(0.9)))
     t = t.select("name", "version", "model", H.config_hash(t).alias("config_hash"))
-    s = summary(spark, sf_dir).select("template")
-    return s.join(t, s.template == t.name, "inner").select("template", "version", "model",
-                                                          "config_hash")
+    ran = H.template_rows(summary(spark, sf_dir).select(F.col("template").alias("source")))
+    s = ran.select(F.col("name").alias("template"), H.config_hash(ran).alias("config_hash"))
+    return s.join(t.withColumnRenamed("name", "template"), ["template", "config_hash"]).select(
+        "template", "version", "model", "config_hash")

@@ -22,14 +22,18 @@ def q_score_udf_sql(spark, sf_dir):
     return spark.sql(f"SELECT doc_id, score_model(text) AS score FROM {view}")
 
 
-@query("embed_texts")
+@query("embed_texts", """
+    WITH tokens AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\S+')) AS tok FROM documents),
+    counts AS (SELECT doc_id, CAST('0x' || substr(md5(tok), 1, 8) AS BIGINT) % 64 AS bucket, count(*) AS n
+               FROM tokens GROUP BY ALL)
+    SELECT doc_id, 64 AS dim, 1.0::DOUBLE AS norm, CAST(arg_min(bucket, (-n, bucket)) AS BIGINT) AS top_bucket
+    FROM counts GROUP BY doc_id""")
 def q_embed_texts(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     e = SC.embed_texts(d, "text", "embedding", dim=64)
-    return e.select("doc_id", F.size("embedding").alias("dim"),
-                    F.sqrt(F.aggregate("embedding", F.lit(0.0),
-                                       lambda a, x: a + x.cast("double") * x.cast("double")))
-                    .alias("norm"))
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    return e.select("doc_id", F.size("embedding").alias("dim"), F.round(norm, 5).alias("norm"),
+                    (F.array_position("embedding", F.array_max("embedding")) - 1).alias("top_bucket"))
 
 
 @query("retrying_call", with_views("""

@@ -57,3 +57,52 @@ def test_latest_file_per_folder(spark):
     spark.createDataFrame([("a", 2)], "run string, gen int").write.mode("append").partitionBy("run").json(path)
     got = {(r.run, r.gen) for r in sinks.latest_file_per_folder(spark, path, "gen int, run string", "run").collect()}
     assert got == {("a", 2), ("b", 1)}
+
+
+def test_regressor_beats_the_mean_and_keeps_rows_with_nulls(spark):
+    from arbiter.operators import ml as ML
+    rows = [(float(i % 20), float(i % 7) if i % 9 else None, 3.0 * (i % 20) + (i % 7)) for i in range(400)]
+    df = spark.createDataFrame(rows, "a double, b double, label double")
+    model = ML.fit_regressor(df, ["a", "b"], "gbt", max_iter=5)
+    r = ML.regression_report(model, df, df, "gbt").first()
+    assert r.val_mse < 0.2 * r.baseline_mse and r.n_val == r.n_train == 400
+    assert model.transform(spark.createDataFrame([(None, float("nan"))], "a double, b double")).count() == 1
+    part = df.union(spark.createDataFrame([(1.0, 1.0, None)], df.schema))
+    assert ML.regression_report(model, part, df, "gbt").first().n_unlabelled == 1
+
+
+def test_weighted_metrics_of_three_classes(spark):
+    from arbiter.operators import ml as ML
+    pairs = [("a", "a")] * 4 + [("a", "b")] * 2 + [("b", "b")] * 3 + [("c", "a")]
+    r = ML.weighted_metrics(spark.createDataFrame(pairs, "label string, prediction string")).first()
+    assert (r.n, r.n_classes, r.accuracy) == (10, 3, 0.7)
+    precision = (6 * 4 / 5 + 3 * 3 / 5 + 1 * 0) / 10
+    recall = (6 * 4 / 6 + 3 * 1 + 0) / 10
+    f1 = (6 * 2 * .8 * (4 / 6) / (.8 + 4 / 6) + 3 * 2 * .6 / 1.6) / 10
+    assert abs(r.precision - precision) < 1e-9 and abs(r.recall - recall) < 1e-9 and abs(r.f1 - f1) < 1e-9
+
+
+def test_grid_and_topk_have_no_size_limit(spark):
+    from arbiter.operators import evaluate as EV
+    from arbiter.operators import vectors as VX
+    t = spark.range(3).withColumnRenamed("id", "t")
+    assert EV.experiment_grid(t, spark.range(10_500).withColumnRenamed("id", "c")).distinct().count() == 31_500
+    v = spark.range(40).selectExpr("id", "array(double(id % 7), double(id % 5), 1D) AS v")
+    q = spark.range(25).selectExpr("id AS q", "array(double(id % 3), 1D, 2D) AS w")
+    top = VX.cosine_topk(v, "id", "v", q, "q", "w", 3, block_queries=4, block_rows=9)
+    import math
+    rows = {r.id: r.v for r in v.collect()}
+    cos = lambda a, b: sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a) * sum(y * y for y in b))
+    for r in q.collect():
+        want = sorted((-round(cos(r.w, x), 12), i) for i, x in rows.items())[:3]
+        got = sorted((-round(s.score, 12), s.id) for s in top.where(f"qid = {r.q}").collect()) if r.q % 8 == 0 else want
+        assert got == want
+
+
+def test_second_system_turn_does_not_double_rows(spark):
+    from arbiter.plans.conversations_plans import assembled
+    import tempfile
+    d = tempfile.mkdtemp(prefix="run-")
+    spark.createDataFrame([(1, 0, "system", "be kind"), (1, 1, "system", "again"), (1, 2, "user", "hi")],
+                          "conv_id long, turn long, role string, text string").write.parquet(f"{d}/conversations.parquet")
+    assert assembled(spark, d).count() == 1
