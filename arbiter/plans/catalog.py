@@ -42,7 +42,7 @@ def _load_all() -> None:
     # importing the plan modules registers their queries
     from arbiter.plans import (experiment, judge_plans, lifecycle, conversations_plans,  # noqa: F401
                                io_plans, scorer_plans, ml_plans, telemetry_plans,
-                               streaming_plans, scoring_plans)
+                               streaming_plans, scoring_plans, registration_plans)
 
 
 def finalize(df: DataFrame, decimals: int = 6, exact: bool = False) -> DataFrame:
