@@ -3,7 +3,6 @@ tables, request payloads, tool-call parsing and small projections."""
 
 from __future__ import annotations
 
-import time
 
 from pyspark.sql import functions as F
 
@@ -158,14 +157,13 @@ def q_artifact_json_sink(spark, sf_dir):
     SELECT template, resp_id, CASE WHEN ord % 2 = 0 THEN 2 ELSE 1 END AS gen FROM evaluated""",
     "evaluated"))
 def q_artifact_latest_read(spark, sf_dir):
-    rec = evaluated(spark, sf_dir).select("template", "ord", "resp_id")
+    rec = evaluated(spark, sf_dir).select("template", "ord", "resp_id", F.lit(1).alias("gen")).repartition("template")
     path = sinks.fresh_path(spark, "artifacts/prompt_config")
-    sinks.write_artifacts(rec.withColumn("gen", F.lit(1)), path, "template")
-    time.sleep(1.1)   # the second generation is strictly newer on every file system
-    sinks.write_artifacts(rec.where(F.col("ord") % 2 == 0).withColumn("gen", F.lit(2)), path,
-                          "template")
-    latest = sinks.latest_generation(spark, path, "resp_id BIGINT, gen INT, template STRING",
-                                     "template")
+    sinks.write_artifacts(rec, path, "template")       # one file per run folder
+    first = sinks.read_newest(spark, path, "resp_id BIGINT, ord INT, gen INT, template STRING")
+    again = first.where(F.col("ord") % 2 == 0).withColumn("gen", F.lit(2)).repartition("template")
+    sinks.write_artifacts(again, path, "template")
+    latest = sinks.read_newest(spark, path, "resp_id BIGINT, gen INT, template STRING")
     return latest.select("template", "resp_id", F.col("gen").cast("int").alias("gen"))
 
 
@@ -251,3 +249,38 @@ def q_tool_lookup(spark, sf_dir):
     j = c.join(bounded_broadcast(tools), "tool", "left")
     return j.select("call_id", "tool", "description",
                     F.col("description").isNull().alias("unknown_tool"))
+
+
+@query("template_source", """
+    SELECT name, CASE WHEN ord % 5 = 0 THEN '1.0.0' ELSE '2.' || ord END AS version,
+           CASE WHEN ord % 3 = 0 THEN 0.3 ELSE 0.7 END::DOUBLE AS temperature,
+           CAST(CASE WHEN ord % 4 = 0 THEN 1024 ELSE 256 END AS INTEGER) AS max_tokens, CAST(0 AS BIGINT) AS n_shots
+    FROM (SELECT DISTINCT source AS name, CAST(substr(source, 4) AS INTEGER) AS ord FROM documents) t""")
+def q_template_source(spark, sf_dir):
+    # a template file in which some fields are absent, loaded with the defaults
+    d = read_table(spark, sf_dir, "documents", ["source"]).distinct()
+    ord_ = F.substring("source", 4, 16).cast("int")
+    path = sinks.fresh_path(spark, "config/templates")
+    d.select(F.col("source").alias("name"), F.when(ord_ % 5 != 0, F.concat(F.lit("2."), ord_)).alias("version"),
+             F.lit("sys").alias("system"), F.when(ord_ % 3 != 0, F.lit(0.7)).alias("temperature"),
+             F.when(ord_ % 4 != 0, F.lit(256)).alias("max_tokens")).write.json(path)
+    t = CS.require_rows(CS.load_templates(spark, path), "template")
+    return t.select("name", "version", "temperature", "max_tokens", F.size("few_shots").cast("bigint").alias("n_shots"))
+
+
+@query("probe_source", """
+    SELECT 'smoke-' || (doc_id % 3) AS probe_id, 8000.0::DOUBLE AS max_latency_ms, CAST(count(*) AS BIGINT) AS n_responses,
+           CAST(count(*) FILTER (CASE doc_id % 3 WHEN 0 THEN contains(lower(text), 'the') AND contains(lower(text), 'tion')
+                                 WHEN 1 THEN contains(lower(text), 'est') ELSE true END) AS BIGINT) AS n_contains_ok
+    FROM documents GROUP BY doc_id % 3""")
+def q_probe_source(spark, sf_dir):
+    from arbiter.operators import summaries as SM
+    path = sinks.fresh_path(spark, "config/probes")
+    FX.smoke_probes(spark).select(F.col("probe_id").alias("id"), "user_message", F.expr(
+        "nullif(must_contain, cast(array() as array<string>))").alias("must_contain"), "must_not_contain",
+        "max_latency_ms").write.json(path)   # an empty list and a NULL limit are left out of the file
+    probes = CS.require_rows(CS.load_probes(spark, path), "probe")
+    r = FX.responses(spark, sf_dir).withColumn("probe_id", F.concat(F.lit("smoke-"), F.col("resp_id") % 3))
+    checked = SM.probe_checks(r, probes).groupBy("probe_id").agg(
+        F.count(F.lit(1)).alias("n_responses"), F.count_if("contains_ok").alias("n_contains_ok"))
+    return probes.select("probe_id", "max_latency_ms").join(checked, "probe_id")

@@ -56,3 +56,25 @@ def q_retrying_call(spark, sf_dir):
         F.sort_array(F.collect_list(F.struct("attempt", "state"))), lambda s: s["state"])
         .alias("outcomes"))
     return SC.retrying_call(req, SC.replayed_outcomes_call)
+
+
+@query("live_generate", """
+    SELECT doc_id AS resp_id, 'reply ' || length(text) || ' ' || md5(text) AS reply FROM documents""")
+def q_live_generate(spark, sf_dir):
+    # a live responder (here a deterministic one): called once per request,
+    # written, and read back, so a retried task never asks again
+    from pyspark.sql import types as T
+    req = FX.responses(spark, sf_dir).select("resp_id", F.col("response").alias("prompt"))
+
+    def responder():
+        import hashlib
+
+        import pandas as pd
+
+        def answer(batch):
+            reply = [f"reply {len(p)} {hashlib.md5(p.encode()).hexdigest()}" for p in batch["prompt"]]
+            return pd.DataFrame({"resp_id": batch["resp_id"], "reply": reply})
+        return answer
+
+    schema = T.StructType().add("resp_id", "long").add("reply", "string")
+    return SC.materialize(SC.apply_responder(req, responder, schema), spark, "live_generate")

@@ -55,6 +55,23 @@ def load_templates(spark: SparkSession, path: str) -> DataFrame:
         .alias("few_shots"))
 
 
+PROBE_FILE_SCHEMA = ("id STRING, user_message STRING, must_contain ARRAY<STRING>, "
+                     "must_not_contain ARRAY<STRING>, max_latency_ms DOUBLE")
+
+
+def load_probes(spark: SparkSession, path: str) -> DataFrame:
+    """Smoke probes from JSON lines: absent lists -> [], an absent latency
+    limit -> the default, typed as ``schemas.SMOKE_PROBE``."""
+    raw = spark.read.schema(PROBE_FILE_SCHEMA).json(path)
+    empty = F.array().cast("array<string>")
+    probes = raw.select(
+        F.col("id").alias("probe_id"), default_fill("user_message", "").alias("user_message"),
+        F.coalesce("must_contain", empty).alias("must_contain"),
+        F.coalesce("must_not_contain", empty).alias("must_not_contain"),
+        F.coalesce("max_latency_ms", F.lit(float(D.PROBE_MAX_LATENCY_MS))).alias("max_latency_ms"))
+    return probes.select(*[F.col(f.name).cast(f.dataType) for f in S.SMOKE_PROBE.fields])
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """Reject an empty config set (reads at most one row)."""
     if df.isEmpty():

@@ -97,24 +97,29 @@ def read_artifacts(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def latest_file_per_folder(spark: SparkSession, path: str, schema, folder_col: str) -> DataFrame:
-    """Read JSON docs of a folder tree and keep, per folder, the rows of the
-    newest file by modification time (ties broken by path)."""
-    df = spark.read.schema(schema).json(path).select(
-        "*", F.col("_metadata.file_modification_time").alias("_mtime"),
-        F.col("_metadata.file_path").alias("_path"))
-    newest = df.groupBy(folder_col).agg(F.max(F.struct("_mtime", "_path")).alias("_top"))
-    j = df.join(newest, folder_col)
-    return j.where((F.col("_mtime") == F.col("_top._mtime")) & (F.col("_path") == F.col("_top._path"))
-                   ).drop("_top")
-
-
-def latest_generation(spark: SparkSession, path: str, schema: str, run_col: str) -> DataFrame:
-    """Rows of the newest write of each run folder (max ``_written_at``)."""
-    df = spark.read.schema(f"{schema}, _written_at BIGINT").json(path)
-    newest = df.groupBy(run_col).agg(F.max("_written_at").alias("_newest"))
-    return (df.join(newest, run_col).where(F.col("_written_at") == F.col("_newest"))
-            .drop("_newest", "_written_at"))
+def newest_files(spark: SparkSession, path: str) -> list[str]:
+    """The newest data file of every folder below ``path`` by modification
+    time (ties: by name), from the listing: nothing is opened."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+    newest: dict[str, tuple[int, str]] = {}
+    while files.hasNext():
+        f = files.next()
+        name = f.getPath().getName()
+        if not name.startswith(("_", ".")):
+            folder = f.getPath().getParent().toString()
+            newest[folder] = max(newest.get(folder, (-1, "")), (f.getModificationTime(), f.getPath().toString()))
+    return sorted(p for _, p in newest.values())
+
+
+def read_newest(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Records of the newest artifact of every run folder (one file is one
+    artifact); older files are not read."""
+    files = newest_files(spark, path)
+    if not files:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).json(files)
 
 
 def write_json_table(df: DataFrame, path: str) -> None:

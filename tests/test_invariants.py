@@ -55,7 +55,7 @@ def test_latest_file_per_folder(spark):
     spark.createDataFrame([("a", 1), ("b", 1)], "run string, gen int").write.partitionBy("run").json(path)
     time.sleep(1.1)
     spark.createDataFrame([("a", 2)], "run string, gen int").write.mode("append").partitionBy("run").json(path)
-    got = {(r.run, r.gen) for r in sinks.latest_file_per_folder(spark, path, "gen int, run string", "run").collect()}
+    got = {(r.run, r.gen) for r in sinks.read_newest(spark, path, "gen int, run string").collect()}
     assert got == {("a", 2), ("b", 1)}
 
 
