@@ -18,16 +18,27 @@ from arbiter.operators.windows import previous_value, running_sum
 MSG = "struct<role:string,content:string>"
 
 
+def turn_links(turns: DataFrame) -> DataFrame:
+    """Every turn with the role, tokens and number of the turn before it
+    (bucketed skew-tolerant lag); texts do not travel."""
+    x = turns.select("conv_id", "turn", "role", "tokens", "latency_ms",
+                     F.struct(F.col("role").alias("r"), F.col("tokens").alias("k"), F.col("turn").alias("t")).alias("_src"))
+    return previous_value(x, ["conv_id"], "turn", "_src", "prev").drop("_src")
+
+
+IS_PAIR = (F.col("role") == "assistant") & F.coalesce(F.col("prev.r") == "user", F.lit(False))
+
+
 def turn_pairs(turns: DataFrame) -> DataFrame:
-    """Each assistant reply with the user message right before it (the
-    previous turn, fetched with the bucketed skew-tolerant lag)."""
-    x = turns.withColumn("_prev_src", F.struct(F.col("role").alias("r"), F.col("text").alias("t"),
-                                               F.col("tokens").alias("k")))
-    x = previous_value(x, ["conv_id"], "turn", "_prev_src", "_prev")
-    return x.where((F.col("role") == "assistant") & (F.col("_prev.r") == "user")).select(
-        "conv_id", "turn", F.col("_prev.t").alias("user_message"),
-        F.col("text").alias("assistant_response"), "latency_ms",
-        F.col("_prev.k").alias("input_tokens"), F.col("tokens").alias("output_tokens"))
+    """Each assistant reply with the user message right before it; the two
+    texts are fetched by (conv_id, turn) once the pairs are known."""
+    pairs = turn_links(turns).where(IS_PAIR).select(
+        "conv_id", "turn", F.col("prev.t").alias("user_turn"), "latency_ms",
+        F.col("prev.k").alias("input_tokens"), F.col("tokens").alias("output_tokens"))
+    said = turns.select("conv_id", F.col("turn").alias("user_turn"), F.col("text").alias("user_message"))
+    reply = turns.select("conv_id", "turn", F.col("text").alias("assistant_response"))
+    return pairs.join(said, ["conv_id", "user_turn"]).join(reply, ["conv_id", "turn"]).select(
+        "conv_id", "turn", "user_message", "assistant_response", "latency_ms", "input_tokens", "output_tokens")
 
 
 def step_index(turns: DataFrame) -> DataFrame:
@@ -65,23 +76,21 @@ def message_assembly(history: DataFrame, system: Column, few_shots: Column) -> D
     return history.withColumn("messages", F.concat(sys_msg, few_shots, F.col("history"), user_msg))
 
 
-def session_totals(sessions: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Per conversation: turns, input/output/total tokens, mean latency; a
-    conversation without completed turns gets zeros (mean latency 0.0)."""
-    agg = pairs.groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("n_turns"),
-        F.sum("input_tokens").alias("input_tokens"),
-        F.sum("output_tokens").alias("output_tokens"),
-        exact_mean("latency_ms", 1).alias("avg_latency_ms"))
-    j = sessions.join(agg, "conv_id", "left")
-    return j.select(
-        "conv_id",
-        F.coalesce("n_turns", F.lit(0)).cast("bigint").alias("n_turns"),
-        F.coalesce("input_tokens", F.lit(0)).cast("bigint").alias("input_tokens"),
-        F.coalesce("output_tokens", F.lit(0)).cast("bigint").alias("output_tokens"),
-        (F.coalesce("input_tokens", F.lit(0)) + F.coalesce("output_tokens", F.lit(0)))
-        .cast("bigint").alias("total_tokens"),
-        F.coalesce("avg_latency_ms", F.lit(0.0)).alias("avg_latency_ms"))
+def session_totals(turns: DataFrame) -> DataFrame:
+    """Per conversation: completed turns, input/output/total tokens, mean
+    latency; zeros (mean latency 0.0) without a completed turn.  One pass: the
+    links are aggregated, turns that end no pair count nothing."""
+    x = turn_links(turns).select(
+        "conv_id", F.when(IS_PAIR, F.col("prev.k")).alias("input_tokens"),
+        F.when(IS_PAIR, F.col("tokens")).alias("output_tokens"),
+        F.when(IS_PAIR, F.col("latency_ms")).alias("latency_ms"), IS_PAIR.cast("bigint").alias("pair"))
+    g = x.groupBy("conv_id").agg(
+        F.sum("pair").alias("n_turns"),
+        F.coalesce(F.sum("input_tokens"), F.lit(0)).cast("bigint").alias("input_tokens"),
+        F.coalesce(F.sum("output_tokens"), F.lit(0)).cast("bigint").alias("output_tokens"),
+        F.coalesce(exact_mean("latency_ms", 1), F.lit(0.0)).alias("avg_latency_ms"))
+    return g.select("conv_id", "n_turns", "input_tokens", "output_tokens",
+                    (F.col("input_tokens") + F.col("output_tokens")).alias("total_tokens"), "avg_latency_ms")
 
 
 def ordered_concat(parts: DataFrame, key: str, order: str, text: str,

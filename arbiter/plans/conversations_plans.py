@@ -139,8 +139,7 @@ def q_message_assembly(spark, sf_dir):
                       sum(output_tokens) AS output_tokens, {EXACT_MEAN_LAT} AS avg_latency_ms
                FROM pairs_t GROUP BY conv_id) a ON a.conv_id = s.conv_id""", "pairs_t"))
 def q_session_totals(spark, sf_dir):
-    t = turns(spark, sf_dir)
-    return finalize(CV.session_totals(t.select("conv_id").distinct(), CV.turn_pairs(t)))
+    return finalize(CV.session_totals(turns(spark, sf_dir)))
 
 
 @query("ordered_concat", """

@@ -67,6 +67,10 @@ def log_runs(wide: DataFrame, root: str, run_date: str, run_id: str, params: lis
     params and tags as strings, metrics as numbers (non-numeric values are
     dropped, as metric logging does).  Appends, partitioned by run date."""
     paths = {k: f"{root.rstrip('/')}/{k}" for k in ("params", "metrics", "tags")}
+    # the wide rows are computed once; the three long tables come from the file
+    rows = f"{root.rstrip('/')}/rows-{uuid.uuid4().hex[:12]}"
+    wide.write.parquet(rows)
+    wide = wide.sparkSession.read.schema(wide.schema).parquet(rows)
     if params:
         write_run_log(unpivot_run(wide, run_id, params, "string"), paths["params"], run_date)
     if metrics:

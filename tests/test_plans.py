@@ -47,7 +47,7 @@ def _executed(df):
 
 def test_single_pass_metric_plans(spark):
     """Two views of one relation are built in one pass, not by self-joins."""
-    for name in ("drift_report", "ops_metrics"):
+    for name in ("drift_report", "ops_metrics", "ab_metrics_by_arm", "summary_union"):
         p = _executed(registry()[name].build(spark, SF_MID))
         assert p.count("Scan parquet") == 1, name
 
@@ -56,3 +56,11 @@ def test_champion_challenger_plan_stays_bounded(spark):
     p = _executed(registry()["promotion_decision"].build(spark, SF_MID))
     assert p.count("Scan parquet") <= 12
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_session_totals_reads_roles_and_tokens_without_texts_in_the_window(spark):
+    from arbiter.operators import conversations as CV
+    from arbiter.sources import fixtures as FX
+    p = _executed(CV.session_totals(FX.turns(spark, SF_MID)))
+    assert "BroadcastNestedLoopJoin" not in p
+    assert all("text#" not in line for line in p.splitlines() if "Window" in line or "Exchange" in line)
