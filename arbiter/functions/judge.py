@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from arbiter import defaults as D
 from arbiter import schemas as S
-from arbiter.functions.json_fns import strict_json
+from arbiter.functions.json_fns import is_json
 from arbiter.functions.rounding import exact_round
 from arbiter.functions.text import col, strip
 
@@ -27,13 +27,21 @@ def parse_judge(df: DataFrame, raw: str = "judge_raw") -> DataFrame:
     and ``judge_ok``: false when there is no reply, the text is not one JSON
     document (text before or after it counts), or any dim is missing or
     non-numeric."""
-    parsed = df.select("*", judge_body(raw).alias("_body")).select(
-        "*", F.from_json(strict_json("_body"), S.JUDGE_SCORES).alias("_j")).drop("_body")
+    # lambdas bind the body and the parsed reply once: a plain expression would
+    # be copied into every column and filter that uses it
+    bodies = F.array(judge_body(raw))
+    replies = F.transform(bodies, lambda b: F.from_json(F.when(is_json(b), b), S.JUDGE_SCORES))
+
+    def complete(j: Column) -> Column:
+        ok = j[D.JUDGE_DIMENSIONS[0]].isNotNull()
+        for d in D.JUDGE_DIMENSIONS[1:]:
+            ok = ok & j[d].isNotNull()
+        return F.when(ok, j)
+
+    parsed = df.select("*", F.get(F.transform(replies, complete), F.lit(0)).alias("_j"))
     parsed = parsed.select("*", *[F.col(f"_j.{d}").alias(f"_jd_{d}") for d in D.JUDGE_DIMENSIONS])
     dims = [F.col(f"_j.{d}") for d in D.JUDGE_DIMENSIONS]
-    ok = dims[0].isNotNull()
-    for d in dims[1:]:
-        ok = ok & d.isNotNull()
+    ok = F.col("_j").isNotNull()
     return parsed.select(
         *df.columns,
         *[d.alias(f"judge_{n}") for d, n in zip(dims, D.JUDGE_DIMENSIONS)],
