@@ -26,13 +26,15 @@ def turn_links(turns: DataFrame) -> DataFrame:
     return previous_value(x, ["conv_id"], "turn", "_src", "prev").drop("_src")
 
 
-IS_PAIR = (F.col("role") == "assistant") & F.coalesce(F.col("prev.r") == "user", F.lit(False))
+def is_pair() -> Column:
+    """The turn is a reply to the user message right before it."""
+    return (F.col("role") == "assistant") & F.coalesce(F.col("prev.r") == "user", F.lit(False))
 
 
 def turn_pairs(turns: DataFrame) -> DataFrame:
     """Each assistant reply with the user message right before it; the two
     texts are fetched by (conv_id, turn) once the pairs are known."""
-    pairs = turn_links(turns).where(IS_PAIR).select(
+    pairs = turn_links(turns).where(is_pair()).select(
         "conv_id", "turn", F.col("prev.t").alias("user_turn"), "latency_ms",
         F.col("prev.k").alias("input_tokens"), F.col("tokens").alias("output_tokens"))
     said = turns.select("conv_id", F.col("turn").alias("user_turn"), F.col("text").alias("user_message"))
@@ -81,9 +83,9 @@ def session_totals(turns: DataFrame) -> DataFrame:
     latency; zeros (mean latency 0.0) without a completed turn.  One pass: the
     links are aggregated, turns that end no pair count nothing."""
     x = turn_links(turns).select(
-        "conv_id", F.when(IS_PAIR, F.col("prev.k")).alias("input_tokens"),
-        F.when(IS_PAIR, F.col("tokens")).alias("output_tokens"),
-        F.when(IS_PAIR, F.col("latency_ms")).alias("latency_ms"), IS_PAIR.cast("bigint").alias("pair"))
+        "conv_id", F.when(is_pair(), F.col("prev.k")).alias("input_tokens"),
+        F.when(is_pair(), F.col("tokens")).alias("output_tokens"),
+        F.when(is_pair(), F.col("latency_ms")).alias("latency_ms"), is_pair().cast("bigint").alias("pair"))
     g = x.groupBy("conv_id").agg(
         F.sum("pair").alias("n_turns"),
         F.coalesce(F.sum("input_tokens"), F.lit(0)).cast("bigint").alias("input_tokens"),
