@@ -44,6 +44,20 @@ def prediction_mse(preds: DataFrame, model_cols: list[str], label: str = "label"
                                      F.count(F.lit(1)).alias("n"))
 
 
+def align(key: str, tables: list[DataFrame]) -> DataFrame:
+    """One row per key that is in all of ``tables`` (key, one value column of
+    doubles): a union and one aggregate instead of a chain of joins.  A key is
+    unique within a table."""
+    names = [next(c for c in t.columns if c != key) for t in tables]
+    long = None
+    for n, t in zip(names, tables):
+        part = t.select(key, F.lit(n).alias("_name"), F.col(n).cast("double").alias("_value"))
+        long = part if long is None else long.unionByName(part)
+    wide = long.groupBy(key).agg(*[F.max(F.when(F.col("_name") == n, F.col("_value"))).alias(n) for n in names],
+                                 F.count(F.lit(1)).alias("_n"))
+    return wide.where(F.col("_n") == len(names)).drop("_n")
+
+
 def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     """accuracy, precision, recall, F1 of the positive class from one pass of
     conditional counts."""

@@ -55,12 +55,11 @@ def q_split_partition(spark, sf_dir):
                    l_quantity * 1500.0 AS p1, l_quantity * 1500.0 * (1.0 - l_discount) AS p2
             FROM lineitem) t) k""")
 def q_positional_align(spark, sf_dir):
-    t = FX.tabular_keyed(spark, sf_dir)
-    truth = t.select("row_uid", "label")
-    m1 = t.select("row_uid", "p1")
-    m2 = t.select("row_uid", "p2")
-    # aligned on an explicit unique row key (never on position)
-    return finalize(truth.join(m1, "row_uid").join(m2, "row_uid"))
+    from arbiter.operators.scoring import materialize
+    # labels and the predictions of two models are separate results; they are
+    # written once and aligned on an explicit unique row key (never on position)
+    t = materialize(FX.tabular_keyed(spark, sf_dir).select("row_uid", "label", "p1", "p2"), spark, "predictions")
+    return finalize(ML.align("row_uid", [t.select("row_uid", c) for c in ("label", "p1", "p2")]))
 
 
 @query("prediction_mse", with_views(f"SELECT model, {XR('mse', 6)} AS mse, n FROM mse", "mse"))
