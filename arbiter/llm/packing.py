@@ -35,7 +35,9 @@ class Encoder:
     ``tokenizer`` is a ``tokenizers`` JSON file.  ``ranks`` optionally names
     the same vocabulary as a rank file with its split pattern: ``tiktoken``
     gives the same ids from it about four times as fast.  Texts that hold the
-    special token's own string are always left to ``tokenizers``.
+    special token's own string are always left to ``tokenizers``, and so are
+    those on which ``tiktoken`` gives up (its split pattern runs out of stack
+    on some very long runs of white space).
     """
 
     def __init__(self, tokenizer: str, ranks: str | None = None, pattern: str | None = None):
@@ -52,9 +54,12 @@ class Encoder:
             self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
     def ids(self, text: str) -> np.ndarray:
-        if self.fast is None or SPECIAL in text:
-            return np.array(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        return self.fast.encode_to_numpy(text).astype("<u4", copy=False)
+        if self.fast is not None and SPECIAL not in text:
+            try:
+                return self.fast.encode_to_numpy(text).astype("<u4", copy=False)
+            except ValueError:
+                pass
+        return np.array(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
 def pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None,

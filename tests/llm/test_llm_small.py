@@ -100,6 +100,14 @@ def test_packing_special_token_and_both_encoders():
         assert fast.ids(text).tolist() == full.ids(text).tolist()
 
 
+@pytest.mark.parametrize("space", [" ", "\n"])
+def test_packing_very_long_white_space(space):
+    files = bpe_50k()
+    fast, full = packing.Encoder(**files), packing.Encoder(files["tokenizer"])
+    text = "a" + space * 1_200_000 + "b"
+    assert fast.ids(text).tolist() == full.ids(text).tolist()
+
+
 def test_capacity_tree_is_best_fit():
     rng, tree, plain = random.Random(3), packing.CapacityTree(64), Counter()
     for no in range(2000):
