@@ -7,7 +7,8 @@ Two layers:
 * signature rules: some hundred regular expressions, generated from families
   of licenses, their versions and the usual ways of naming them.  They are
   ordered: a smaller priority number is more specific.  A rule runs only on a
-  text that holds one of its keywords (prefilter, one Aho-Corasick pass), and
+  text that holds all its key words, wherever they stand (prefilter, one
+  Aho-Corasick pass; every match holds each of them as it is written), and
   a detection whose interval lies inside one that ranks before it (priority,
   then length, then start) is suppressed.
 
@@ -47,11 +48,11 @@ _WORD = r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]"
 class Rule:
     label: str
     priority: int
-    keyword: str
+    keyword: str  # one or more words, each a literal part of every match
     pattern: str
 
 
-# Families: label stem, keyword, names as regular expressions, versions.
+# Families: label stem, key words, names as regular expressions, versions.
 FAMILIES = [
     ("gpl", "gnu", [r"gnu general public licen[cs]e", r"gnu gpl"], ["1.0", "2.0", "3.0"]),
     ("lgpl", "gnu", [r"gnu (?:lesser|library) general public licen[cs]e", r"gnu lgpl"], ["2.0", "2.1", "3.0"]),
@@ -77,28 +78,30 @@ CC_KINDS = {"by": "attribution", "by-sa": "attribution share ?alike", "by-nc": "
             "by-nd": "attribution no ?deriv(?:ative)?s", "by-nc-sa": "attribution non ?commercial share ?alike",
             "by-nc-nd": "attribution non ?commercial no ?deriv(?:ative)?s"}
 CC_VERSIONS = ["1.0", "2.0", "2.5", "3.0", "4.0"]
-# Names and sentences that have no version: label, keyword, expression.
+# Names and sentences that have no version: label, key words, expression.
 PLAIN = [
-    ("mit", "mit license", r"(?:the )?mit licen[cs]e"),
-    ("mit", "permission is hereby granted", r"permission is hereby granted,? free of charge"),
+    ("mit", "mit licen", r"(?:the )?mit licen[cs]e"),
+    ("mit", "permission hereby granted", r"permission is hereby granted,? free of charge"),
     ("mit", "expat", r"expat licen[cs]e"),
-    ("isc", "isc license", r"isc licen[cs]e"),
-    ("isc", "to use, copy, modify", r"permission to use,? copy,? modify,? and(?:/or)? distribute this software"),
+    ("isc", "isc licen", r"isc licen[cs]e"),
+    ("isc", "permission copy modify distribute", r"permission to use,? copy,? modify,? and(?:/or)? distribute this software"),
     ("bsd", "bsd", r"bsd licen[cs]e"),
     ("bsd-2-clause", "bsd", r"(?:2|two)-clause bsd licen[cs]e|simplified bsd licen[cs]e"),
     ("bsd-3-clause", "bsd", r"(?:3|three)-clause bsd licen[cs]e|(?:new|modified|revised) bsd licen[cs]e"),
     ("bsd-4-clause", "bsd", r"(?:4|four)-clause bsd licen[cs]e|original bsd licen[cs]e"),
-    ("bsd", "redistributions of source", r"redistributions? of source code must retain"),
+    ("bsd", "redistribution source retain", r"redistributions? of source code must retain"),
     ("zlib", "zlib", r"zlib(?:/libpng)? licen[cs]e"),
     ("unlicense", "unlicense", r"(?:the )?unlicense\b"),
     ("unlicense", "unencumbered", r"free and unencumbered software released into the public domain"),
     ("public-domain", "public domain", r"(?:released |dedicated )?(?:in)?to the public domain"),
-    ("wtfpl", "what the", r"do what the f\w+ you want to public licen[cs]e"),
+    ("wtfpl", "what want public", r"do what the f\w+ you want to public licen[cs]e"),
     ("cc0-1.0", "cc0", r"cc0(?: 1\.0)?(?: universal)?"),
     ("proprietary", "all rights reserved", r"all rights reserved"),
     ("proprietary", "proprietary", r"proprietary (?:and confidential|licen[cs]e)"),
     ("copyright-notice", "copyright", r"copyright (?:\(c\) |© )?(?:19|20)\d\d"),
 ]
+# Labels of PLAIN that are identifiers as well.
+IDENTIFIERS = ["mit", "isc", "bsd-2-clause", "bsd-3-clause", "bsd-4-clause", "zlib", "unlicense", "wtfpl", "cc0-1.0"]
 
 
 def build_rules() -> list[Rule]:
@@ -129,6 +132,8 @@ def build_rules() -> list[Rule]:
                               rf"creative\s+commons\s+{long.replace(' ', '[ -]?')}{number}"))
         rules.append(Rule(f"cc-{kind}", 4, "cc", rf"\bcc[\s-]{short}\b"))
         rules.append(Rule(f"cc-{kind}", 4, "creative commons", rf"creative\s+commons\s+{long.replace(' ', '[ -]?')}\b"))
+    for label in IDENTIFIERS:
+        rules.append(Rule(label, 0, "spdx-license-identifier", rf"spdx-license-identifier:\s*{re.escape(label)}(?![\w.-])"))
     for label, key, expression in PLAIN:
         rules.append(Rule(label, 3, key, rf"(?<!\w){joined(expression)}"))
     return sorted(rules, key=lambda r: r.priority)
@@ -137,12 +142,13 @@ def build_rules() -> list[Rule]:
 class Scanner:
     def __init__(self, phrases: dict[str, str] | None = None, rules: list[Rule] | None = None):
         import ahocorasick
-        self.rules = [(r, re.compile(r.pattern)) for r in (build_rules() if rules is None else rules)]
+        self.rules = [(r, frozenset(r.keyword.split()), re.compile(r.pattern))
+                      for r in (build_rules() if rules is None else rules)]
         self.phrases = [(p.split()[0], label, len(p.split()),
                          re.compile(rf"(?<!{_WORD}){_NON_WORD.join(map(re.escape, p.split()))}(?!{_WORD})"))
                         for p, label in (phrases or BASE_PHRASES).items()]
         self.keys = ahocorasick.Automaton()
-        for key in {r.keyword for r, _ in self.rules} | {first for first, *_ in self.phrases}:
+        for key in {key for _, keys, _ in self.rules for key in keys} | {first for first, *_ in self.phrases}:
             self.keys.add_word(key, key)
         self.keys.make_automaton()
 
@@ -160,7 +166,7 @@ class Scanner:
     def detections(self, text: str, present: set[str]) -> list[tuple[str, int, int]]:
         """Signature detections that no better one contains."""
         hits = [(r.priority, m.start() - m.end(), m.start(), m.end(), r.label)
-                for r, pattern in self.rules if r.keyword in present for m in pattern.finditer(text)]
+                for r, keys, pattern in self.rules if keys <= present for m in pattern.finditer(text)]
         kept: list[tuple[str, int, int]] = []
         starts: list[int] = []   # kept intervals by start; ends run with them
         ends: list[int] = []     # (none contains another, so both ascend)

@@ -208,6 +208,57 @@ def test_license_rules_and_containment():
     assert license_scan.Scanner({}, rules).detections(text, {"a"}) == [(k[4], k[2], k[3]) for k in kept]
 
 
+def sampled(rng, parsed):
+    """A text that the parsed expression matches, white space and choices at random."""
+    out = ""
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "IN":
+            kind, value = rng.choice([a for a in arg if str(a[0]) != "NEGATE"])
+            if str(kind) == "LITERAL":
+                out += chr(value)
+            elif str(kind) == "RANGE":
+                out += chr(rng.randint(*value))
+            else:
+                out += {"CATEGORY_SPACE": rng.choice(" \n\t"), "CATEGORY_DIGIT": "7", "CATEGORY_WORD": "x"}[str(value)]
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            low, high, inner = arg
+            out += "".join(sampled(rng, inner) for _ in range(rng.randint(low, min(int(high), low + 2))))
+        elif op == "SUBPATTERN":
+            out += sampled(rng, arg[-1])
+        elif op == "BRANCH":
+            out += sampled(rng, rng.choice(arg[1]))
+        else:
+            assert op in ("AT", "ASSERT", "ASSERT_NOT"), op
+    return out
+
+
+def test_license_prefilter_loses_no_detection():
+    rng, s = random.Random(8), license_scan.Scanner()
+    every = {k for r in license_scan.build_rules() for k in r.keyword.split()}
+    texts = ["permission is hereby\ngranted, free of charge", "redistributions of\nsource code must retain",
+             "redistribution of source code must retain", "all rights\nreserved", "creative\ncommons attribution 4.0",
+             "open\nsoftware license", "mit licence", "the mit\nlicense", "isc licence",
+             "permission to use copy modify and distribute this software", "released into the public\ndomain",
+             "do what\nthe fxxx you want to public license", "common\ndevelopment and distribution licence 1.0"]
+    for t in texts:
+        assert s.scan(t)[7] == s.detections(t, every) != [], t
+    for rule in license_scan.build_rules():
+        for _ in range(5):
+            t = f"x {sampled(rng, re._parser.parse(rule.pattern))} "
+            assert re.search(rule.pattern, t), (rule, t)
+            assert s.scan(t)[7] == s.detections(t, every) != [], (rule, t)
+
+
+def test_license_identifiers():
+    s = license_scan.Scanner()
+    for name in ("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "Zlib", "Unlicense", "WTFPL", "CC0-1.0"):
+        assert s.scan(f"// SPDX-License-Identifier: {name}\n")[5] == name.lower()
+    assert s.scan("SPDX-License-Identifier: MIT-0")[5] == ""
+
+
 # ---------------------------------------------------------------- mixing
 
 def water_fill(sizes):
