@@ -10,7 +10,9 @@ spanning forest of its links, never all its pairs.
 
 Defined results: a null, empty or word-less text has fingerprint 0; documents
 with equal fingerprints are linked; repeated rows get one row each; an empty
-table gives no rows; extra columns are ignored.
+table gives no rows; extra columns are ignored.  A row without id is grouped by
+its fingerprint like any other; null ids rank behind all others, so only a
+group that has no id at all has a null ``component_id``.
 """
 
 from __future__ import annotations
@@ -148,28 +150,35 @@ def links(distinct: DataFrame, max_bits: int = 2, blocks: int = 4, cell_rows: in
     return dealt.mapInArrow(lean(verify), "a long, b long")
 
 
-def grouped(docs: DataFrame, shingle: int = 3, max_bits: int = 2, blocks: int = 4) -> DataFrame:
-    """doc_id, text_hash, fp, component_id of every row."""
+def grouped(docs: DataFrame, shingle: int = 3, max_bits: int = 2, blocks: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, text_hash, fp) and fingerprints (fp, low: its smallest
+    doc_id, group: the smallest fingerprint linked to it)."""
     prints = written(fingerprints(docs, shingle), "fingerprints")
-    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct-fingerprints")
-    groups = connected_components(links(distinct, max_bits, blocks))
-    labels = distinct.join(groups, F.col("rep") == F.col("node"), "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(labels, "fp")
+    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
+    # fingerprints are the nodes: ids may be null or stand for several texts
+    nodes = connected_components(links(distinct.select("fp", F.col("fp").alias("rep")), max_bits, blocks))
+    return prints, distinct.join(nodes, F.col("fp") == F.col("node"), "left").select(
+        "fp", "low", F.coalesce("component", "fp").alias("group"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, blocks: int = 4) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id."""
-    return grouped(docs, shingle, max_bits, blocks).select(
+    """doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id of
+    the group)."""
+    prints, groups = grouped(docs, shingle, max_bits, blocks)
+    groups = written(groups, "fingerprint-groups")
+    lowest = groups.groupBy("group").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    labels = groups.join(lowest, "group", "left").select("fp", F.least("low", "component_id").alias("component_id"))
+    return prints.join(labels, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """One row of ``docs`` of each group of near duplicates, all columns as
-    they are: the smallest id, of equal ids the smallest hash of the text, of
-    equal rows any one."""
-    first = (grouped(docs, shingle, max_bits).groupBy("component_id")
-             .agg(F.min(F.struct("doc_id", "text_hash")).alias("k"))
+    they are: the smallest id (a null one last), of equal ids the smallest hash
+    of the text, of equal rows any one."""
+    prints, groups = grouped(docs, shingle, max_bits)
+    first = (prints.join(groups, "fp").groupBy("group")
+             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("k"))
              .select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash")))
     hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
     return (hashed.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")

@@ -429,6 +429,27 @@ def test_simhash_keeps_one_of_each_group(docs, rows):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in groups})
 
 
+def test_simhash_rows_without_id(spark):
+    near = " ".join(f"w{i}" for i in range(3000))
+    base = brute_fingerprint(near)
+    close = next(t for t in (f"{near} end{i}" for i in range(1000)) if 0 < (base ^ brute_fingerprint(t)).bit_count() <= 2)
+    texts = [(None, near), (None, close), (None, near), (None, "quite another text"), (None, "and one more of them"),
+             (7, "here is some row with an id"), (None, "here is some row with an id"), (3, "shared id, first text"),
+             (3, "second text of that id")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    fps = [brute_fingerprint(t) for _, t in texts]
+    edges = [(a, b) for a, b in itertools.combinations(range(len(fps)), 2) if (fps[a] ^ fps[b]).bit_count() <= 2]
+    group = smallest_reachable(range(len(fps)), edges)
+    low = {g: min((texts[n][0] for n in group if group[n] == g and texts[n][0] is not None), default=None)
+           for g in group.values()}
+    got = simhash.near_duplicates(df).collect()
+    assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in got) == Counter(
+        (texts[n][0], f"{fps[n]:016x}", low[group[n]]) for n in group)
+    kept = simhash.keep_one(df).collect()
+    assert len(kept) == len(set(group.values())) == 6
+    assert Counter(r.doc_id for r in kept) == Counter([None, None, None, 7, 3, 3])
+
+
 def test_simhash_crowded_blocks_lose_nothing(spark):
     rng = random.Random(9)
     base = rng.getrandbits(64)
