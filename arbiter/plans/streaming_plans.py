@@ -57,7 +57,8 @@ def q_stream_session_totals(spark, sf_dir):
 def q_stream_history_state(spark, sf_dir):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", SM.ROCKSDB)
     turns = FX.turns_from(SM.stream_table(spark, sf_dir, "conversations"))
-    return SM.run_available(SM.history_state(turns), spark, "history_state")
+    return SM.run_available(SM.history_state(turns), spark, "history_state",
+                            open_rows=SM.open_history, state_vars=("waiting", "counters"))
 
 
 @query("stream_gate_alerts", with_views(f"""

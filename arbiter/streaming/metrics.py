@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arbiter import defaults as D
+from arbiter.operators import windows as W
 from arbiter.sources import fixtures as FX
 from arbiter.sources.sinks import fresh_path
 from arbiter.sources.tables import table_path
@@ -44,13 +45,15 @@ def telemetry_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_available(df: DataFrame, spark: SparkSession, name: str, mode: str = "append",
                   foreach_batch: Callable | None = None,
-                  open_rows: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                  open_rows: Callable[..., DataFrame] | None = None,
+                  state_vars: tuple[str, ...] = ()) -> DataFrame:
     """Run the stream over all currently available input, then read the sink.
 
     In append mode a window reaches the sink once the watermark has passed
     it.  ``open_rows`` turns the state that is left in the checkpoint (the
     windows still open) into rows of the sink; a window is in one of the two,
-    since it leaves the state when it is emitted."""
+    since it leaves the state when it is emitted.  A query with custom state
+    names the ``state_vars`` that ``open_rows`` takes, one table each."""
     out, ckpt = fresh_path(spark, f"stream/{name}/out"), fresh_path(spark, f"stream/{name}/ckpt")
     w = df.writeStream.outputMode(mode).option("checkpointLocation", ckpt).trigger(availableNow=True)
     if foreach_batch is not None:
@@ -58,15 +61,18 @@ def run_available(df: DataFrame, spark: SparkSession, name: str, mode: str = "ap
     else:
         w = w.format("parquet").option("path", out)
     w.start().awaitTermination()
-    return with_open(spark, out, ckpt, open_rows)
+    return with_open(spark, out, ckpt, open_rows, state_vars)
 
 
 def with_open(spark: SparkSession, out: str, ckpt: str,
-              open_rows: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+              open_rows: Callable[..., DataFrame] | None = None,
+              state_vars: tuple[str, ...] = ()) -> DataFrame:
     closed = spark.read.parquet(out)
     if open_rows is None:
         return closed
-    return closed.unionByName(open_rows(spark.read.format("statestore").load(ckpt)))
+    read = lambda: spark.read.format("statestore")
+    states = [read().option("stateVarName", v).load(ckpt) for v in state_vars] or [read().load(ckpt)]
+    return closed.unionByName(open_rows(*states))
 
 
 def _tenths_sum(c: str):
@@ -168,12 +174,20 @@ def _history_processor(ttl_ms: int | None):
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
             turn, steps, n_hist = self.counters.get() if self.counters.exists() else (0, 0, 0)
-            early = {int(t): (role, reset) for t, role, reset in self.waiting.get()} if self.waiting.exists() else {}
+            fresh = {}
             for chunk in rows:
                 for t, role, reset in zip(chunk["turn"], chunk["role"], chunk["is_reset"]):
                     if t >= turn:  # an earlier one was folded already: a repeated delivery
-                        early[int(t)] = (role, bool(reset))
-            out = []
+                        fresh[int(t)] = (role, bool(reset))
+            out: list[tuple] = []
+            if turn not in fresh and ttl_ms is None:  # nothing to fold: the list is added to, not rewritten
+                if fresh:
+                    self.waiting.appendList([(t, *fresh[t]) for t in sorted(fresh)])
+                self.counters.update((turn, steps, n_hist))
+                yield pd.DataFrame(out, columns=["conv_id", "turn", "n_history", "step"])
+                return
+            early = {int(t): (role, reset) for t, role, reset in self.waiting.get()} if self.waiting.exists() else {}
+            early.update(fresh)
             while turn in early:
                 role, reset = early.pop(turn)
                 if reset:
@@ -198,9 +212,11 @@ def _history_processor(ttl_ms: int | None):
 
 
 def history_state(turns: DataFrame, ttl: str | None = None) -> DataFrame:
-    """History length and step of every user turn; turns are numbered from 0
-    without gaps.  The text never enters the state: three numbers a
-    conversation, and the turns that wait for an earlier one.
+    """History length and step of every user turn; turns are numbered from 0.
+    A turn behind a gap waits for the missing one: what still waits when the
+    available input has ended comes from :func:`open_history`.  The text never
+    enters the state: three numbers a conversation, and the turns that wait
+    for an earlier one.
 
     Turns carry no event time, so expiry goes by processing time: give a
     ``ttl`` ("7 days") to a stream that runs on.  A run over the available
@@ -213,6 +229,26 @@ def history_state(turns: DataFrame, ttl: str | None = None) -> DataFrame:
                                         timeMode="ProcessingTime" if ttl else "None"))
 
 
+def open_history(waiting: DataFrame, counters: DataFrame) -> DataFrame:
+    """Rows of :func:`history_state` for the turns that still wait in state (a
+    turn before them is missing), folded in turn order on from the counters."""
+    reset = F.col("t.is_reset").cast("bigint")
+    one = lambda *roles: F.coalesce(F.col("t.role").isin(*roles).cast("bigint"), F.lit(0)) * (1 - reset)
+    turns = (waiting.select("key.conv_id", F.col("list_element").alias("t"))
+             .select("conv_id", "t.turn", "t.role", reset.alias("reset"), one("user", "assistant").alias("message"),
+                     one("assistant").alias("reply"))
+             .dropDuplicates(["conv_id", "turn"]))
+    width = W.range_width(turns, "turn")
+    x = W.running_sum(turns, ["conv_id"], "turn", "reset", "segment", width)
+    x = W.running_sum(x, ["conv_id"], "turn", "reply", "replies", width)
+    x = W.running_sum(x, ["conv_id", "segment"], "turn", "message", "messages", width)
+    before = counters.select("key.conv_id", "value.steps", F.col("value.n_history").alias("held"))
+    return (x.where((F.col("role") == "user") & (F.col("reset") == 0)).join(before, "conv_id")
+            .select("conv_id", "turn",
+                    (F.col("messages") - 1 + F.when(F.col("segment") == 0, F.col("held")).otherwise(0)).alias("n_history"),
+                    (F.col("steps") + F.col("replies")).alias("step")))
+
+
 # --- gate check per micro-batch -------------------------------------------------------
 
 def gate_alert_writer(latency_max: float = D.GATE_AVG_LATENCY_MS, error_max: float = 0.25):

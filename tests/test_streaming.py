@@ -71,3 +71,22 @@ def test_history_state_across_micro_batches(spark):
     got = {(r.conv_id, r.turn): r.n_history for r in spark.read.parquet(out).collect()}
     exp = {(r.conv_id, r.turn): len(r.history) for r in CV.history_fold(FX.turns(spark, SF_SMALL)).collect()}
     assert got == exp and len(got) > 0
+
+
+def test_history_state_returns_turns_behind_a_gap(spark):
+    """Conversations that lack a turn or start above 0, in two batches."""
+    from arbiter.operators import conversations as CV
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", SM.ROCKSDB)
+    d = tempfile.mkdtemp(prefix="arbiter-gap-")
+    schema = "conv_id long, turn long, role string, text string, is_reset boolean"
+    rows = [(c, t, "assistant" if t % 2 else "user", f"text {t}", c == 4 and t == 6) for c in range(1, 7) for t in range(12)
+            if not (c == 1 and t == 3 or c == 2 and t < 4 or c == 3 and t in (0, 5, 6) or c == 4 and t == 1)]
+    turns = spark.createDataFrame(rows, schema)
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(d, "*"))
+    turns.where("turn >= 8").coalesce(1).write.parquet(os.path.join(d, "b1"))
+    turns.where("turn < 8 or turn = 9").coalesce(1).write.parquet(os.path.join(d, "b2"))   # turn 9: delivered again
+    got = SM.run_available(SM.history_state(src), spark, "t_gap", open_rows=SM.open_history,
+                           state_vars=("waiting", "counters")).collect()
+    steps = {(c, t): sum(a == c and b < t and r == "assistant" for a, b, r, *_ in rows) for c, t, *_ in rows}
+    want = [(r.conv_id, r.turn, len(r.history), steps[r.conv_id, r.turn]) for r in CV.history_fold(turns).collect()]
+    assert sorted(map(tuple, got)) == sorted(want) and len({c for c, *_ in want}) == 6
