@@ -209,7 +209,8 @@ def identify(docs: DataFrame, sample_rows: int = 8000) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, sample_rows: int = 8000) -> DataFrame:
-    """The rows of ``docs`` whose text has a language, all columns as they are."""
+    """The rows of ``docs`` whose text has a language, all columns as they are.
+    Without a labelled row to learn from these are the texts with a letter."""
     prepare(docs.sparkSession)
     rows = training_windows(docs, sample_rows)
     model = docs.sparkSession.sparkContext.broadcast(train([r[2] for r in rows], [r[1] for r in rows]) if rows else None)
@@ -217,8 +218,9 @@ def keep_identified(docs: DataFrame, sample_rows: int = 8000) -> DataFrame:
     @F.pandas_udf("string")
     def language(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predictor = Predictor(model.value) if model.value else None
+        named = lambda t: predictor.predict(t)[0] if predictor else "" if t and LETTER.search(t) else UNDETERMINED
         for texts in parts:
-            yield pd.Series([predictor.predict(t)[0] if predictor else UNDETERMINED for t in texts], dtype="str")
+            yield pd.Series([named(t) for t in texts], dtype="str")
 
     return docs.where(language("text") != UNDETERMINED)
 

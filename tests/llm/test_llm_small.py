@@ -550,6 +550,12 @@ def test_language_predictions_ignore_labels_of_the_held_out_fold(docs):
     assert {(r.doc_id, r.lang_pred, r.score) for r in language_id.identify(spoiled).collect()} == base
 
 
+def test_keep_identified_without_labels(docs, rows):
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    want = [r[0] for r in rows if r[1] and re.search(r"[^\W\d_]", r[1])]
+    assert sorted(r.doc_id for r in language_id.keep_identified(bare).collect()) == sorted(want)
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language_id.identify(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").where("lang is not null")
