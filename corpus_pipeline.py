@@ -8,16 +8,17 @@ last return the columns of ``docs``:
 2. of each group of near duplicates one document stays;
 3. byte strings that an earlier document holds are cut out;
 4. sources are mixed to their target weights;
-5. what is left is tokenised and packed into windows.
+5. what is left is tokenised and packed into windows; the token ids are in
+   the rows, and ``packing.sequences`` joins them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arbiter.llm import language_id, mixing, simhash, suffix_dedup
+from arbiter.llm import language_id, mixing, packing, simhash, suffix_dedup
 from arbiter.llm.common import drop_written, prepare, written
-from arbiter.llm.queries import packed
+from arbiter.llm.queries import bpe_50k
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return packed(docs)
+    return packing.pack_documents(docs, **bpe_50k(), with_ids=True)
 
 
 STAGES = [

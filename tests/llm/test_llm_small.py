@@ -681,6 +681,20 @@ def test_pipeline_stages(spark, docs, rows, tmp_path):
     assert {r.doc_id for r in packed} == {r.doc_id for r in mixed}
 
 
+def test_pipeline_writes_token_ids(spark, docs, tmp_path):
+    few = docs.where("doc_id < 20")
+    out = corpus_pipeline.STAGES[-1][1](spark, few, str(tmp_path)).cache()
+    pieces = out.collect()
+    assert all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in pieces)
+    got = {r.sequence_id: bytes(r.ids) for r in packing.sequences(out).collect()}
+    out.unpersist()
+    from tokenizers import Tokenizer
+    tok, texts = Tokenizer.from_file(bpe_50k()["tokenizer"]), {r.doc_id: r.text for r in few.collect()}
+    for r in pieces:
+        ids = np.frombuffer(got[r.sequence_id], "<u4")[r.offset:r.offset + r.length].tolist()
+        assert ids == (tok.encode(texts[r.doc_id] or "", add_special_tokens=False).ids + [0])[r.start:r.start + r.length]
+
+
 def test_pipeline_of_an_empty_table(spark, empty, tmp_path):
     empty.write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
