@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbiter.llm import (embedding_dedup, language_id, license_scan, merkle, mixing, packing, simhash,
-                         substring_dedup, suffix_dedup, url_filter)
+from arbiter.llm import (alignment, decontamination, embedding_dedup, language_id, license_scan, merkle, mixing,
+                         packing, simhash, spelling, substring_dedup, suffix_dedup, url_filter)
 from arbiter.llm.common import table
 
 QUERIES: dict = {}
@@ -140,3 +140,50 @@ SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed,
 FROM d LEFT JOIN spans USING (doc_id) LEFT JOIN kept USING (doc_id)""")
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+
+
+@query("op11_decontamination", sql=r"""
+WITH low AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS up, 'abcdefghijklmnopqrstuvwxyz' AS down,
+                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+' AS word),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), up, down), word) AS w FROM documents, low),
+b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), up, down), word) AS w
+      FROM benchmark, low),
+windows AS (
+  SELECT item, 10 AS n, array_to_string(w[i:i + 9], ' ') AS words
+  FROM (SELECT item, w, unnest(range(1, len(w) - 8)) AS i FROM b WHERE len(w) >= 10)
+  UNION ALL SELECT item, len(w), array_to_string(w, ' ') FROM b WHERE len(w) BETWEEN 1 AND 9),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS words
+           FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes)),
+found AS (SELECT doc_id, i, places.n, item FROM places JOIN windows ON places.n = windows.n AND places.words = windows.words),
+hits AS (SELECT doc_id, count(DISTINCT j) AS n_hit
+         FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM (SELECT DISTINCT doc_id, i, n FROM found)) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+          FROM (SELECT DISTINCT doc_id, item FROM found WHERE item IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""")
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.match_benchmark(docs, table(spark, sf_dir, "benchmark"), window=10)
+    c = F.col("contamination")
+    return found.select("doc_id", c["n_words"].alias("n_words"), c["n_hit"].alias("n_hit"),
+                        F.size(c["items"]).cast("long").alias("n_items"),
+                        F.sha2(F.array_join(c["items"], ","), 256).alias("items_sha256"),
+                        (c["n_hit"] > 0).alias("contaminated"))
+
+
+@query("op12_spelling_variants")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(table(spark, sf_dir, "documents"), shortest=7, least=2, ratio=10, noise=31)
+
+
+def piece_32k() -> dict[str, str]:
+    """Files of both sides of the alignment."""
+    import public_tokenizers
+    return bpe_50k() | {"model": public_tokenizers.path("piece_bpe_32k.model")}
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"), **piece_32k()).drop("groups")
