@@ -11,13 +11,14 @@ from arbiter.functions.json_fns import tool_args, tool_name
 from arbiter.functions.rounding import exact_round, exact_round_sql as XR
 from arbiter.operators.common import bounded_broadcast
 from arbiter.plans.catalog import finalize, query
-from arbiter.plans.experiment import evaluated, summary
+from arbiter.plans.experiment import TEMPLATE_SQL, evaluated, summary
 from arbiter.plans.oracle_views import with_views
 from arbiter.sources import config_source as CS
+from arbiter.sources import commits
 from arbiter.sources import fixtures as FX
 from arbiter.sources import sinks
 from arbiter.sources.local import local_table
-from arbiter.sources.tables import read_table, typed_csv
+from arbiter.sources.tables import read_table
 
 
 @query("case_source", with_views("""
@@ -66,33 +67,73 @@ def q_default_fill(spark, sf_dir):
     WHERE NOT EXISTS (SELECT 1 FROM alias_state a WHERE a.model = m.model AND a.alias = r.alias)""",
     "registry", "alias_state"))
 def q_key_set_difference(spark, sf_dir):
-    from arbiter.operators import registry as R
-    ev = FX.registry_events(spark, sf_dir)
+    st = FX.registry_state(spark, sf_dir)
     required = F.array(*[F.lit(a) for a in ("candidate", "champion", "production")])
-    want = ev.select("model").distinct().select("model", F.explode(required).alias("alias"))
-    have = R.alias_state(ev).select("model", "alias")
+    want = st.versions.select("model").distinct().select("model", F.explode(required).alias("alias"))
+    have = st.aliases.select("model", "alias")
     return want.join(have, ["model", "alias"], "left_anti").select(
         "model", F.col("alias").alias("missing_alias"))
 
 
 CSV_COLS = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+# Cells of the CSV file: quantities are written as whole numbers except where
+# the order key is high (so floats come late), some discounts are no numbers.
+LATE_FLOAT = "l_orderkey > {0}"
+BAD_DISCOUNT = "l_orderkey % 97 = 5 AND l_linenumber = 2"
+_BAD_TEXT = "CASE WHEN l_orderkey % 2 = 0 THEN 'n/a' ELSE '0,05' END"
+_MANY = "(SELECT max(l_orderkey) * 9 // 10 FROM lineitem)"
 
 
-@query("csv_scan", """
+def lineitem_csv(spark, sf_dir):
+    """The CSV input, written once per lineitem snapshot, and its scan."""
+    from arbiter.sources.csv_scan import scan_csv
+    from arbiter.sources.materialize import materialized_path
+    from arbiter.sources.tables import table_path
+
+    def write(path):
+        li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate", *CSV_COLS])
+        late = LATE_FLOAT.format(li.agg(F.expr("max(l_orderkey) * 9 div 10")).first()[0])
+        li.select("l_orderkey", "l_linenumber", "l_shipdate",
+                  F.expr(f"CASE WHEN {late} THEN CAST(l_quantity + 0.5 AS STRING) "
+                         "ELSE CAST(CAST(l_quantity AS BIGINT) AS STRING) END AS l_quantity"),
+                  F.expr(f"CASE WHEN {BAD_DISCOUNT} THEN {_BAD_TEXT} ELSE CAST(l_discount AS STRING) END AS l_discount"),
+                  "l_tax", "l_extendedprice").write.option("header", True).csv(path)
+
+    path = materialized_path(spark, "lineitem_csv", [table_path(sf_dir, "lineitem")], write)
+    return scan_csv(spark, path, tolerance=0.02)
+
+
+@query("csv_scan", f"""
     SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
-           CAST(l_quantity AS DOUBLE) AS l_quantity, CAST(l_discount AS DOUBLE) AS l_discount,
+           CAST(l_quantity AS DOUBLE) + CASE WHEN {LATE_FLOAT.format(_MANY)} THEN 0.5 ELSE 0 END AS l_quantity,
+           CASE WHEN NOT ({BAD_DISCOUNT}) THEN CAST(l_discount AS DOUBLE) END AS l_discount,
            CAST(l_tax AS DOUBLE) AS l_tax, CAST(l_extendedprice AS DOUBLE) AS l_extendedprice
     FROM lineitem""")
 def q_csv_scan(spark, sf_dir):
-    from arbiter.sources.materialize import materialized_path
-    from arbiter.sources.tables import table_path
-    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", *CSV_COLS])
-    # the CSV input is written once per lineitem snapshot, then scanned
-    path = materialized_path(spark, "lineitem_csv", [table_path(sf_dir, "lineitem")],
-                             lambda p: li.write.option("header", True).csv(p))
-    df = typed_csv(spark, path, {"l_orderkey": "bigint", "l_linenumber": "bigint",
-                                 **{c: "double" for c in CSV_COLS}})
-    return df.where(F.size("rejected") == 0).drop("rejected")
+    rows = lineitem_csv(spark, sf_dir).rows
+    return rows.select("l_orderkey", "l_linenumber", *[F.col(c).cast("double").alias(c) for c in CSV_COLS])
+
+
+@query("csv_rejects", f"""
+    SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+           'l_discount' AS column_name, {_BAD_TEXT} AS cell, 'double' AS expected
+    FROM lineitem WHERE {BAD_DISCOUNT}""")
+def q_csv_rejects(spark, sf_dir):
+    scan = lineitem_csv(spark, sf_dir)
+    keys = scan.rows.select("file", "line", "l_orderkey", "l_linenumber")
+    return scan.rejects.join(keys, ["file", "line"]).select("l_orderkey", "l_linenumber", "column_name", "cell", "expected")
+
+
+@query("csv_types", f"""
+    SELECT column_name, data_type, CAST(n_misfit AS BIGINT) AS n_misfit FROM (VALUES
+      ('l_orderkey', 'bigint', 0), ('l_linenumber', 'bigint', 0), ('l_shipdate', 'timestamp', 0), ('l_quantity', 'double', 0),
+      ('l_discount', 'double', (SELECT count(*) FROM lineitem WHERE {BAD_DISCOUNT})), ('l_tax', 'double', 0),
+      ('l_extendedprice', 'double', 0)) t(column_name, data_type, n_misfit)""")
+def q_csv_types(spark, sf_dir):
+    from arbiter.sources.csv_scan import join_kinds
+    scan = lineitem_csv(spark, sf_dir)
+    return spark.createDataFrame([(c, t, join_kinds(scan.counts[c], 0.02)[1]) for c, t in scan.types.items()],
+                       "column_name string, data_type string, n_misfit bigint")
 
 
 @query("labelled_table_scan", """
@@ -111,10 +152,8 @@ RUN_METRICS = [("eval/rule_pass_rate", "rule_pass_rate", 3), ("eval/avg_rule_sco
                ("perf/avg_output_tokens", "avg_output_tokens", 1)]
 
 
-@query("run_log_sink", with_views(" UNION ALL ".join(
-    f"SELECT template AS run_id, '{k}' AS key, {XR(c, d)} AS value FROM summary"
-    for k, c, d in RUN_METRICS), "summary"))
-def q_run_log_sink(spark, sf_dir):
+def logged_runs(spark, sf_dir):
+    """The evaluation runs of the corpus, logged and read back."""
     from arbiter.functions import hashing as H
     s = summary(spark, sf_dir)
     t = H.corpus_templates(spark, sf_dir)
@@ -127,16 +166,43 @@ def q_run_log_sink(spark, sf_dir):
         F.lit("False").alias("judge_enabled"), F.col("n_cases").cast("string").alias("eval_set_size"),
         *[exact_round(c, d).alias(c) for _, c, d in RUN_METRICS])
     root = sinks.fresh_path(spark, "runs")
-    paths = sinks.log_runs(
-        wide, root, "2024-06-01", "run_id",
+    job = dict(
+        run_date="2024-06-01", run_id="run_id",
         params=[("tpl_name", "template.name"), ("tpl_version", "template.version"),
                 ("tpl_hash", "template.config_hash"), "model", "temperature", "max_tokens",
                 "few_shot_count"],
         metrics=[(c, k) for k, c, _ in RUN_METRICS],
         tags=[("tpl_name", "template.name"), ("tpl_version", "template.version"),
-              "eval_set_size", "judge_enabled"])
-    back = spark.read.parquet(paths["metrics"])
-    return back.select("run_id", "key", F.col("value").cast("double").alias("value"))
+              "eval_set_size", "judge_enabled"], key="corpus-evaluation-2024-06-01")
+    sinks.log_runs(wide, root, **job)
+    sinks.log_runs(wide, root, **job)  # the same job once more leaves one set of rows
+    return sinks.read_run_log(spark, root)
+
+
+@query("run_log_sink", with_views(" UNION ALL ".join(
+    f"SELECT template AS run_id, '{k}' AS key, {XR(c, d)} AS value FROM summary"
+    for k, c, d in RUN_METRICS), "summary"))
+def q_run_log_sink(spark, sf_dir):
+    return logged_runs(spark, sf_dir).where(F.col("kind") == "metric").select(
+        "run_id", "key", F.col("number").alias("value"))
+
+
+# (kind, logged key, text) of a run's parameters and tags
+RUN_TEXTS = [("param", "template.name", "s.template"), ("param", "template.version", "t.version"),
+             ("param", "template.config_hash", """substr(sha256(
+        '{"few_shots": [], "max_tokens": 1024, "model": "' || t.model || '", "name": "' || t.name
+        || '", "system": "' || t.system || '", "temperature": 0.3, "version": "' || t.version || '"}'), 1, 12)"""),
+             ("param", "model", "t.model"), ("param", "temperature", "'0.3'"), ("param", "max_tokens", "'1024'"),
+             ("param", "few_shot_count", "'0'"), ("tag", "template.name", "s.template"),
+             ("tag", "template.version", "t.version"), ("tag", "eval_set_size", "CAST(s.n_cases AS VARCHAR)"),
+             ("tag", "judge_enabled", "'False'")]
+
+
+@query("run_log_params_tags", with_views(" UNION ALL ".join(
+    f"SELECT s.template AS run_id, '{kind}' AS kind, '{key}' AS key, {text} AS text "
+    f"FROM summary s JOIN ({TEMPLATE_SQL}) t ON t.name = s.template" for kind, key, text in RUN_TEXTS), "summary"))
+def q_run_log_params_tags(spark, sf_dir):
+    return logged_runs(spark, sf_dir).where(F.col("kind") != "metric").select("run_id", "kind", "key", "text")
 
 
 @query("artifact_json_sink", with_views("""
@@ -157,14 +223,17 @@ def q_artifact_json_sink(spark, sf_dir):
     SELECT template, resp_id, CASE WHEN ord % 2 = 0 THEN 2 ELSE 1 END AS gen FROM evaluated""",
     "evaluated"))
 def q_artifact_latest_read(spark, sf_dir):
-    rec = evaluated(spark, sf_dir).select("template", "ord", "resp_id", F.lit(1).alias("gen")).repartition("template")
+    schema = "resp_id BIGINT, ord INT, gen INT, template STRING"
+    rec = evaluated(spark, sf_dir).select("template", "ord", "resp_id", F.lit(1).alias("gen")).repartition(4, "resp_id")
     path = sinks.fresh_path(spark, "artifacts/prompt_config")
-    sinks.write_artifacts(rec, path, "template")       # one file per run folder
-    first = sinks.read_newest(spark, path, "resp_id BIGINT, ord INT, gen INT, template STRING")
-    again = first.where(F.col("ord") % 2 == 0).withColumn("gen", F.lit(2)).repartition("template")
-    sinks.write_artifacts(again, path, "template")
-    latest = sinks.read_newest(spark, path, "resp_id BIGINT, gen INT, template STRING")
-    return latest.select("template", "resp_id", F.col("gen").cast("int").alias("gen"))
+    sinks.write_artifacts(rec, path, "template", key="first")      # several tasks write every run
+    first = sinks.read_newest_generation(spark, path, schema, "template")
+    again = first.where(F.col("ord") % 2 == 0).withColumn("gen", F.lit(2)).repartition(3, "resp_id")
+    sinks.write_artifacts(again, path, "template", key="second")
+    # a job that died before its commit: its files are there, nobody sees them
+    commits.stage(first.withColumn("gen", F.lit(3)), path, ["template"], "json", ["template"])
+    latest = sinks.read_newest_generation(spark, path, schema, "template")
+    return latest.select("template", "resp_id", "gen")
 
 
 @query("table_json_sink", with_views("""

@@ -2,7 +2,8 @@
 
 All sinks write under a folder of the shared checkpoint/warehouse location
 (``spark.checkpoint.dir`` on a cluster) and never overwrite history: run
-logs and audit records are appends partitioned by run date.
+logs, audit records and artifacts are appends made visible by commit
+(``sources/commits``), idempotent by commit key.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from arbiter import schemas as S
 from arbiter.session import scratch_path
+from arbiter.sources import commits
+from arbiter.sources.commits import commit_write, read_committed
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -22,32 +25,19 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 # --- audit trail ---------------------------------------------------------------------
 
-def append_audit(rows: DataFrame, path: str) -> None:
-    """Append-only: each deployment adds files; nothing is rewritten."""
-    rows.select(*[F.col(f.name).cast("string") for f in S.AUDIT.fields]).write.mode(
-        "append").parquet(path)
+def append_audit(rows: DataFrame, path: str, key: str | None = None) -> bool:
+    """Append-only: each deployment adds files; nothing is rewritten.  A
+    deployment whose ``key`` is committed is not appended again."""
+    return commit_write(rows.select(*[F.col(f.name).cast("string") for f in S.AUDIT.fields]), path, key)
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.AUDIT).parquet(path)
+    return read_committed(spark, path, S.AUDIT)
 
 
-# --- run log (params / metrics / tags as long tables) ------------------------------
+# --- run log (params / metrics / tags as one long table) ----------------------------
 
-def unpivot_run(wide: DataFrame, run_id: str, keys, value_type: str = "double",
-                key_prefix: str = "") -> DataFrame:
-    """One row per (run_id, key, value) from a wide run row.  ``keys`` are
-    column names or (column, logged key) pairs."""
-    pairs = [k if isinstance(k, tuple) else (k, k) for k in keys]
-    cols = [f"_k{i}" for i in range(len(pairs))]
-    long = wide.select(run_id, *[F.col(f"`{c}`").cast(value_type).alias(a)
-                                 for (c, _), a in zip(pairs, cols)]).unpivot(
-        [run_id], cols, "key", "value")
-    names = F.create_map(*[x for (_, k), a in zip(pairs, cols) for x in (F.lit(a), F.lit(k))])
-    long = long.withColumn("key", names[F.col("key")])
-    if key_prefix:
-        long = long.withColumn("key", F.concat(F.lit(key_prefix), F.col("key")))
-    return long
+RUN_LOG = "run_id string, key string, text string, number double, kind string, run_date string"
 
 
 def numeric_metrics(long: DataFrame, value: str = "value") -> DataFrame:
@@ -56,49 +46,58 @@ def numeric_metrics(long: DataFrame, value: str = "value") -> DataFrame:
     return long.withColumn(value, v).where(F.col(value).isNotNull())
 
 
-def write_run_log(long: DataFrame, path: str, run_date: str) -> None:
-    long.withColumn("run_date", F.lit(run_date)).write.mode("append").partitionBy(
-        "run_date").parquet(path)
+def run_entries(wide: DataFrame, run_id: str, params, metrics, tags) -> DataFrame:
+    """One row per (run_id, kind, key) from wide run rows, in one pass.
+    ``params``, ``metrics`` and ``tags`` are column names or (column, logged
+    key) pairs.  Metrics that are not numeric are dropped, as metric logging
+    does; a NULL parameter or tag is kept."""
+    pairs = [(kind, *(k if isinstance(k, tuple) else (k, k)))
+             for kind, keys in (("param", params), ("metric", metrics), ("tag", tags)) for k in keys]
+    entries = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(key).alias("key"),
+                                 F.col(f"`{c}`").cast("string").alias("text")) for kind, c, key in pairs])
+    long = wide.select(F.col(run_id).cast("string").alias("run_id"), F.explode(entries).alias("e")).select(
+        "run_id", "e.key", "e.text", F.when(F.col("e.kind") == "metric", F.expr("try_cast(e.text AS DOUBLE)"))
+        .alias("number"), "e.kind")
+    return long.where((F.col("kind") != "metric") | F.col("number").isNotNull())
 
 
-def log_runs(wide: DataFrame, root: str, run_date: str, run_id: str, params: list[str],
-             metrics: list[str], tags: list[str]) -> dict[str, str]:
-    """Persist one row per run as three long tables under ``root``:
-    params and tags as strings, metrics as numbers (non-numeric values are
-    dropped, as metric logging does).  Appends, partitioned by run date."""
-    paths = {k: f"{root.rstrip('/')}/{k}" for k in ("params", "metrics", "tags")}
-    # the wide rows are computed once; the three long tables come from the file
-    rows = f"{root.rstrip('/')}/rows-{uuid.uuid4().hex[:12]}"
-    wide.write.parquet(rows)
-    wide = wide.sparkSession.read.schema(wide.schema).parquet(rows)
-    if params:
-        write_run_log(unpivot_run(wide, run_id, params, "string"), paths["params"], run_date)
-    if metrics:
-        write_run_log(numeric_metrics(unpivot_run(wide, run_id, metrics, "string")),
-                      paths["metrics"], run_date)
-    if tags:
-        write_run_log(unpivot_run(wide, run_id, tags, "string"), paths["tags"], run_date)
-    return paths
+def log_runs(wide: DataFrame, root: str, run_date: str, run_id: str, params: list, metrics: list, tags: list,
+             key: str | None = None) -> bool:
+    """Persist one row per run as a long table under ``root``: params and
+    tags as text, metrics as numbers, all visible by one commit.  A job whose
+    ``key`` is committed logs nothing again."""
+    rows = run_entries(wide, run_id, params, metrics, tags).withColumn("run_date", F.lit(run_date))
+    return commit_write(rows, root, key, partition_by=["kind", "run_date"])
+
+
+def read_run_log(spark: SparkSession, root: str, kind: str | None = None) -> DataFrame:
+    """run_id, key, text, number, kind, run_date of all committed runs;
+    ``kind`` (param, metric, tag) prunes to its folders."""
+    rows = read_committed(spark, root, RUN_LOG)
+    return rows.where(F.col("kind") == kind) if kind else rows
 
 
 # --- artifacts ------------------------------------------------------------------------------
 
-def write_artifacts(records: DataFrame, path: str, run_col: str,
-                    written_at_ms: int | None = None) -> None:
+def write_artifacts(records: DataFrame, path: str, run_col: str, key: str | None = None) -> bool:
     """Per-case records of each run as JSON lines under ``<run_col>=<run>/``.
 
-    The per-run document is the folder, not one collected array: a run with
-    millions of cases is written by many tasks and never held in one row.
-    Every write stamps its rows with one ``_written_at`` (ms) so a later
-    read can keep the newest generation of each run exactly."""
-    import time as _t
-    stamp = int(_t.time() * 1000) if written_at_ms is None else written_at_ms
-    records.withColumn("_written_at", F.lit(stamp).cast("bigint")).write.mode(
-        "append").partitionBy(run_col).json(path)
+    The per-run document is a folder of files, not one collected array: a run
+    with millions of cases is written by many tasks and never held in one
+    row.  A write is one generation; its manifest counts the records of every
+    run and its commit makes it visible as a whole."""
+    return commit_write(records.withColumn(run_col, F.col(run_col).cast("string")), path, key, [run_col], "json",
+                        manifest=[run_col])
+
+
+def read_artifacts(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Records of all committed generations."""
+    return read_committed(spark, path, schema, "json")
 
 
-def read_artifacts(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+def read_newest_generation(spark: SparkSession, path: str, schema: str, run_col: str) -> DataFrame:
+    """All records of the newest committed generation of every run."""
+    return commits.read_newest(spark, path, schema, run_col, "json")
 
 
 def newest_files(spark: SparkSession, path: str) -> list[str]:
@@ -118,8 +117,9 @@ def newest_files(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_newest(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Records of the newest artifact of every run folder (one file is one
-    artifact); older files are not read."""
+    """Records of the newest file of every run folder of a plain directory,
+    where one file is one artifact and nothing was committed (as in folders
+    filled by hand); :func:`read_newest_generation` reads what this module wrote."""
     files = newest_files(spark, path)
     if not files:
         return spark.createDataFrame([], schema)
