@@ -59,9 +59,9 @@ def staging_events(candidates: DataFrame, smoke: DataFrame) -> DataFrame:
     return _writes(x, _event("set_tag", key=D.STAGING_TAG, value=value))
 
 
-def append(log: DataFrame, *batches: DataFrame) -> DataFrame:
-    """The log with the writes of each batch behind it, in order.  Numbers are
-    dealt per model (a state query never compares two models)."""
+def number_writes(log: DataFrame, *batches: DataFrame) -> DataFrame:
+    """The writes of each batch, in order, as events behind those of the log.
+    Numbers are dealt per model (a state query never compares two models)."""
     last = log.groupBy("model").agg(F.max("seq").alias("_last"))
     new = None
     for i, batch in enumerate(batches):
@@ -70,5 +70,10 @@ def append(log: DataFrame, *batches: DataFrame) -> DataFrame:
     order = Window.partitionBy("model").orderBy("_batch", "ev_ord")   # a handful of writes per model
     rows = new.join(last, "model", "left").withColumn(
         "seq", F.coalesce("_last", F.lit(-1)) + F.row_number().over(order))
-    shared = [c for c in log.columns if c in (*WRITE, "seq")]
-    return log.select(*shared).unionByName(rows.select(*[F.col(c).cast(log.schema[c].dataType) for c in shared]))
+    return rows.select(*[F.col(c).cast(log.schema[c].dataType) for c in log.columns if c in (*WRITE, "seq")])
+
+
+def append(log: DataFrame, *batches: DataFrame) -> DataFrame:
+    """The log with the writes of each batch behind it."""
+    rows = number_writes(log, *batches)
+    return log.select(*rows.columns).unionByName(rows)

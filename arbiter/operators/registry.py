@@ -14,11 +14,14 @@ a write removes that alias or tag.  A model delete deletes all its versions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arbiter import defaults as D
-from arbiter.operators.windows import next_min, previous_value, range_width, running_sum
+from arbiter.operators.windows import next_min, previous_value, running_sum
 
 
 def register_version(events: DataFrame) -> DataFrame:
@@ -26,57 +29,91 @@ def register_version(events: DataFrame) -> DataFrame:
     registrations of the same model (skew-tolerant running count)."""
     reg = events.where(F.col("kind") == "register").select(
         "model", "seq", "run_id", F.lit(1).cast("bigint").alias("_one"))
-    out = running_sum(reg, ["model"], "seq", "_one", "version_no")
+    out = running_sum(reg, ["model"], "seq", "_one", "version_no", SEQ_RANGE)
     return out.select("model", "seq", "run_id",
                       F.col("version_no").cast("string").alias("version"))
 
 
-def version_deletions(events: DataFrame) -> DataFrame:
-    """(model, version, del_seq): first deletion after the registration, of
-    the version itself or of its whole model.
+# ``seq`` is unique in the log, so a range of this width holds no more events.
+SEQ_RANGE = 1 << 20
+
+
+@dataclass(frozen=True)
+class RegistryState:
+    """What a log says up to an event.
+
+    versions: model, version, reg_seq, run_id, del_seq (first deletion, of the
+    version or its model, after its registration; NULL: it exists);
+    aliases: model, alias, version, set_seq; tags: model, version, tag_key,
+    tag_value, set_seq.  Of both, what holds now."""
+    versions: DataFrame
+    aliases: DataFrame
+    tags: DataFrame
+
+
+def fold_log(events: DataFrame, state: RegistryState | None = None,
+             keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> RegistryState:
+    """The state after ``events`` (all later than ``state``, where one is
+    given).  A state is a log that has been shortened: its live versions are
+    registrations, its aliases and tags are writes, so folding it together
+    with new events gives what a replay of everything would.  ``keep`` may
+    write a table (and read it back) before the next one is built on it."""
+    lives = version_lives(events, state.versions.where("del_seq is null") if state else None)
+    if state:
+        lives = lives.unionByName(state.versions.where("del_seq is not null"))
+    lives = keep(lives, "versions")
+    ends = lives.select("model", "version", "del_seq")
+    writes = events.where(F.col("kind").isin("set_alias", "delete_alias")).select(
+        "model", "alias", F.when(F.col("kind") == "set_alias", F.col("version")).alias("version"), "seq")
+    if state:
+        writes = writes.unionByName(state.aliases.select("model", "alias", "version", F.col("set_seq").alias("seq")))
+    last = accepted(writes, ends).groupBy("model", "alias").agg(
+        F.max_by(F.struct("version", "del_seq"), "seq").alias("w"), F.max("seq").alias("set_seq"))
+    aliases = keep(last.where(F.col("w.version").isNotNull() & F.col("w.del_seq").isNull()).select(
+        "model", "alias", "w.version", "set_seq"), "aliases")
+    tags = events.where(F.col("kind") == "set_tag").select("model", "version", "tag_key", "tag_value", "seq")
+    if state:
+        tags = tags.unionByName(state.tags.withColumnRenamed("set_seq", "seq"))
+    tags = keep(accepted(tags, ends).where("del_seq is null").groupBy("model", "version", "tag_key").agg(
+        F.max_by("tag_value", "seq").alias("tag_value"), F.max("seq").alias("set_seq")), "tags")
+    return RegistryState(lives, aliases, tags)
+
+
+def version_lives(events: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """model, version, reg_seq, run_id, del_seq of every version registered in
+    ``events``, and of those in ``known`` (same columns, still live).
 
     Smallest later deletion by skew-tolerant windows: deletes are never
     listed, however often one version or model is deleted."""
     ev = events.where(F.col("kind").isin("register", "delete_version", "delete_model")).select(
-        "model", "version", "seq", "kind",
-        F.when(F.col("kind") == "delete_version", F.col("seq")).alias("_v"),
-        F.when(F.col("kind") == "delete_model", F.col("seq")).alias("_m"))
-    width = range_width(ev, "seq")
-    whole = next_min(ev, ["model"], "seq", "_m", "_next_m", width).where(F.col("kind") != "delete_model")
-    each = next_min(whole, ["model", "version"], "seq", "_v", "_next_v", width)
+        "model", "version", "seq", "kind", "run_id")
+    if known is not None:
+        ev = ev.unionByName(known.select("model", "version", F.col("reg_seq").alias("seq"),
+                                         F.lit("register").alias("kind"), "run_id"))
+    ev = ev.select("*", F.when(F.col("kind") == "delete_version", F.col("seq")).alias("_v"),
+                   F.when(F.col("kind") == "delete_model", F.col("seq")).alias("_m"))
+    whole = next_min(ev, ["model"], "seq", "_m", "_next_m", SEQ_RANGE).where(F.col("kind") != "delete_model")
+    each = next_min(whole, ["model", "version"], "seq", "_v", "_next_v", SEQ_RANGE)
     first = each.where(F.col("kind") == "register").groupBy("model", "version").agg(
-        F.min_by(F.struct(F.least("_next_m", "_next_v").alias("d")), "seq").alias("r"))
-    return first.select("model", "version", F.col("r.d").alias("del_seq")).where(F.col("del_seq").isNotNull())
+        F.min_by(F.struct("seq", "run_id", F.least("_next_m", "_next_v").alias("d")), "seq").alias("r"))
+    return first.select("model", "version", F.col("r.seq").alias("reg_seq"), "r.run_id", F.col("r.d").alias("del_seq"))
 
 
-def _valid_writes(events: DataFrame, kind: str, dels: DataFrame) -> DataFrame:
-    w = events.where(F.col("kind") == kind)
-    j = w.join(dels, ["model", "version"], "left")
+def accepted(writes: DataFrame, ends: DataFrame) -> DataFrame:
+    """``writes`` that came before their version's deletion, with its
+    ``del_seq``; a removal (NULL version) is always accepted."""
+    j = writes.join(ends, ["model", "version"], "left")
     return j.where(F.col("del_seq").isNull() | (F.col("seq") < F.col("del_seq")))
 
 
 def alias_state(events: DataFrame) -> DataFrame:
     """Current (model, alias) -> version, with the seq of the winning write."""
-    dels = version_deletions(events)
-    sets = _valid_writes(events, "set_alias", dels).select("model", "alias", "version", "seq",
-                                                           "del_seq")
-    unsets = events.where(F.col("kind") == "delete_alias").select(
-        "model", "alias", F.lit(None).cast("string").alias("version"), "seq",
-        F.lit(None).cast("bigint").alias("del_seq"))
-    both = sets.unionByName(unsets)
-    last = both.groupBy("model", "alias").agg(
-        F.max_by(F.struct("version", "del_seq"), "seq").alias("w"),
-        F.max("seq").alias("set_seq"))
-    return last.where(F.col("w.version").isNotNull() & F.col("w.del_seq").isNull()).select(
-        "model", "alias", F.col("w.version").alias("version"), "set_seq")
+    return fold_log(events).aliases
 
 
 def tag_state(events: DataFrame) -> DataFrame:
     """Current tag (model, version, key) -> value (upsert; last write wins)."""
-    dels = version_deletions(events)
-    sets = _valid_writes(events, "set_tag", dels).where(F.col("del_seq").isNull())
-    return sets.groupBy("model", "version", "tag_key").agg(
-        F.max_by("tag_value", "seq").alias("tag_value"), F.max("seq").alias("set_seq"))
+    return fold_log(events).tags
 
 
 def tag_maps(tags: DataFrame) -> DataFrame:
@@ -86,17 +123,12 @@ def tag_maps(tags: DataFrame) -> DataFrame:
         .alias("tags"))
 
 
-def live_versions(events: DataFrame) -> DataFrame:
-    reg = register_version(events) if "version" not in events.columns else \
-        events.where(F.col("kind") == "register").select("model", "seq", "run_id", "version")
-    dels = version_deletions(events)
-    return reg.join(dels, ["model", "version"], "left_anti")
-
-
-def latest_version(events: DataFrame) -> DataFrame:
+def latest_version(versions: DataFrame) -> DataFrame:
     """Highest version number per model that still exists, as an integer; a
-    model without one has no row."""
-    return live_versions(events).groupBy("model").agg(
+    model without one has no row.  ``versions``: of a state, or a log."""
+    if "kind" in versions.columns:
+        versions = version_lives(versions)
+    return versions.where("del_seq is null").groupBy("model").agg(
         F.max(F.col("version").cast("bigint")).alias("latest_version"))
 
 
@@ -106,15 +138,15 @@ def highest_version(events: DataFrame) -> DataFrame:
         F.max(F.col("version").cast("bigint")).alias("highest_version"))
 
 
-def previous_alias_version(events: DataFrame) -> DataFrame:
+def previous_alias_version(events: DataFrame, versions: DataFrame | None = None) -> DataFrame:
     """For every accepted alias write: the version that held the alias just
     before it, 'none' when it was unset: never set, removed, or its holder
     (or the model) deleted since.  Skew-tolerant lag over (model, alias)."""
-    sets = _valid_writes(events, "set_alias", version_deletions(events)).select(
-        "model", "alias", "seq", "kind", F.struct("version", "del_seq").alias("holder"))
-    unsets = events.where(F.col("kind") == "delete_alias").select(
-        "model", "alias", "seq", "kind", F.lit(None).cast("struct<version:string,del_seq:bigint>").alias("holder"))
-    out = previous_value(sets.unionByName(unsets), ["model", "alias"], "seq", "holder", "prev")
+    ends = (version_lives(events) if versions is None else versions).select("model", "version", "del_seq")
+    writes = events.where(F.col("kind").isin("set_alias", "delete_alias")).select(
+        "model", "alias", F.when(F.col("kind") == "set_alias", F.col("version")).alias("version"), "seq", "kind")
+    held = accepted(writes, ends).select("model", "alias", "seq", "kind", F.struct("version", "del_seq").alias("holder"))
+    out = previous_value(held, ["model", "alias"], "seq", "holder", "prev", SEQ_RANGE)
     gone = F.col("prev.del_seq") < F.col("seq")
     return out.where(F.col("kind") == "set_alias").select(
         "model", "alias", "seq", F.col("holder.version").alias("version"),
@@ -174,15 +206,12 @@ def alias_row(aliases: DataFrame, names=("candidate", "champion", "production"))
     return aliases.groupBy("model").pivot("alias", list(names)).agg(F.first("version"))
 
 
-def resolve_from_row(models: DataFrame, row: DataFrame, alias: str, fallback: str | None,
-                     override: str = "override") -> DataFrame:
-    """Same resolution as ``resolve_versions`` for requests that all ask for
-    one alias (+ fallback), reading the pivoted alias row."""
-    j = models.join(row, "model", "left")
+def resolve_row(row: DataFrame, alias: str, fallback: str | None, override: str = "override") -> DataFrame:
+    """Same resolution as ``resolve_versions`` where all ask for one alias (+
+    fallback), on the pivoted alias row with an ``override`` column."""
     ov = F.nullif(F.col(override), F.lit(""))
     fb = F.col(fallback) if fallback else F.lit(None).cast("string")
-    version = F.coalesce(ov, F.col(alias), fb)
     via = (F.when(ov.isNotNull(), F.concat(F.lit("explicit:"), ov))
            .when(F.col(alias).isNotNull(), F.lit(alias))
            .when(fb.isNotNull(), F.lit(fallback)))
-    return j.select("*", version.alias("version"), via.alias("resolved_via"))
+    return row.select("*", F.coalesce(ov, F.col(alias), fb).alias("version"), via.alias("resolved_via"))

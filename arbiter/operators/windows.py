@@ -6,9 +6,10 @@ and scanned by a single core.  The helpers below split the ordering column
 into ranges (integer division, so exact for any 64-bit value), do the
 row-level window inside each (key, range), and carry the per-range totals
 across ranges with a window over the summary, which has one row per (key,
-range).  The width of a range is taken from the data (count, smallest and
-largest value), so that a range holds about ``ROWS_PER_RANGE`` rows of the
-whole table however sparse the column is.
+range).  As the column is unique within a key, a range of width W holds at
+most W rows of a key.  The width is the smallest of a few that leaves ranges
+enough to a task, so dense numbers stay in ranges of ``ROWS_PER_RANGE`` even
+where a few lie far off, and sparse ones are not a range each.
 """
 
 from __future__ import annotations
@@ -20,38 +21,49 @@ ROWS_PER_RANGE = 1 << 20
 
 
 def range_width(df: DataFrame, order: str, rows: int = ROWS_PER_RANGE) -> int:
-    """Width of the ranges of ``order``; reads three numbers."""
-    n, low, high = df.agg(F.count(order), F.min(order), F.max(order)).first()
-    if not n:
-        return 1
-    return max(1, (int(high) - int(low) + 1) * rows // n)
+    """Width of the ranges of ``order``: ``rows`` times the smallest power of
+    64 by which the values fall into no more than 4 n / rows (at least 64)
+    ranges; one aggregate."""
+    widths = [rows * 64 ** i for i in range(8) if rows * 64 ** i < 1 << 62]
+    found = df.agg(F.count(order), *[F.approx_count_distinct(F.expr(f"`{order}` div {w}L")) for w in widths]).first()
+    most = max(64, 4 * found[0] // rows)
+    return next((w for w, n in zip(widths, found[1:]) if n <= most), widths[-1])
 
 
 def _bucket(order: str, width: int) -> Column:
     return F.expr(f"`{order}` div {width}L")
 
 
-def running_sum(df: DataFrame, keys: list[str], order: str, value: str, out: str,
-                width: int | None = None) -> DataFrame:
-    """``sum(value) over (partition by keys order by order rows unbounded..current)``.
+def running_sums(df: DataFrame, keys: list[str], order: str, sums: dict[str, str],
+                 width: int | None = None) -> DataFrame:
+    """For each (out, value) of ``sums``: ``sum(value) over (partition by keys
+    order by order rows unbounded..current)``, all in one pass.
 
     ``order`` must be an integer and unique within a key.
     """
     b = "_rs_bucket"
     x = df.withColumn(b, _bucket(order, width or range_width(df, order)))
-    local = x.withColumn(
-        "_rs_local",
-        F.sum(value).over(Window.partitionBy(*keys, b).orderBy(order)
-                          .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    totals = x.groupBy(*keys, b).agg(F.sum(value).alias("_rs_total"))
-    offsets = totals.select(
-        *keys, b,
-        F.coalesce(F.sum("_rs_total").over(
-            Window.partitionBy(*keys).orderBy(b)
-            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_rs_offset"))
+    inside = (Window.partitionBy(*keys, b).orderBy(order)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = x.select("*", *[F.sum(v).over(inside).alias(f"_rs_local_{out}") for out, v in sums.items()])
+    totals = x.groupBy(*keys, b).agg(*[F.sum(v).alias(f"_rs_total_{out}") for out, v in sums.items()])
+    before = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, b, *[
+        F.coalesce(F.sum(f"_rs_total_{out}").over(before), F.lit(0)).alias(f"_rs_offset_{out}") for out in sums])
     j = local.join(offsets, [*keys, b], "inner")
-    return j.withColumn(out, F.col("_rs_offset") + F.col("_rs_local")).drop(
-        b, "_rs_local", "_rs_offset")
+    for out in sums:
+        j = j.withColumn(out, F.col(f"_rs_offset_{out}") + F.col(f"_rs_local_{out}")).drop(
+            f"_rs_local_{out}", f"_rs_offset_{out}")
+    return j.drop(b)
+
+
+def running_sum(df: DataFrame, keys: list[str], order: str, value: str, out: str,
+                width: int | None = None) -> DataFrame:
+    """``sum(value) over (partition by keys order by order rows unbounded..current)``.
+
+    ``order`` must be an integer and unique within a key.
+    """
+    return running_sums(df, keys, order, {out: value}, width)
 
 
 def previous_value(df: DataFrame, keys: list[str], order: str, value: str, out: str,
@@ -74,13 +86,14 @@ def previous_value(df: DataFrame, keys: list[str], order: str, value: str, out:
 
 def next_min(df: DataFrame, keys: list[str], order: str, value: str, out: str,
              width: int | None = None) -> DataFrame:
-    """Smallest ``value`` among the later rows of the key, NULL if none has one."""
+    """Smallest ``value`` among the later rows of the key, NULL if none has
+    one.  Windows run backwards, so that each frame grows by one row."""
     b = "_nm_bucket"
     x = df.withColumn(b, _bucket(order, width or range_width(df, order)))
-    later = Window.partitionBy(*keys, b).orderBy(order).rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(*keys, b).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
     local = x.withColumn("_nm_local", F.min(value).over(later))
     carry = x.groupBy(*keys, b).agg(F.min(value).alias("_nm_min")).select(
-        *keys, b, F.min("_nm_min").over(Window.partitionBy(*keys).orderBy(b).rowsBetween(
-            1, Window.unboundedFollowing)).alias("_nm_carry"))
+        *keys, b, F.min("_nm_min").over(Window.partitionBy(*keys).orderBy(F.desc(b)).rowsBetween(
+            Window.unboundedPreceding, -1)).alias("_nm_carry"))
     return (local.join(carry, [*keys, b]).withColumn(out, F.least("_nm_local", "_nm_carry"))
             .drop(b, "_nm_local", "_nm_carry"))

@@ -25,31 +25,38 @@ def reg(spark, sf_dir):
     return FX.registry_events(spark, sf_dir)
 
 
+def state(spark, sf_dir):
+    return FX.registry_state(spark, sf_dir)
+
+
 def lineage(spark, sf_dir):
-    """register event -> run -> config artifact (template chosen by the run)."""
-    return reg(spark, sf_dir).where(F.col("kind") == "register").select(
+    """registered version -> run -> config artifact (template chosen by the run)."""
+    return state(spark, sf_dir).versions.select(
         "model", "version", "run_id",
-        F.concat(F.lit("src"), (F.col("seq") % 20).cast("string")).alias("template"))
+        F.concat(F.lit("src"), (F.col("reg_seq") % 20).cast("string")).alias("template"))
+
+
+def override():
+    """Every tenth model is pinned to its first version."""
+    return F.when(F.col("model").cast("bigint") % 10 == 0, F.lit("1")).otherwise(F.lit(""))
 
 
 def requests(spark, sf_dir):
-    m = reg(spark, sf_dir).select("model").distinct()
-    return m.select("model",
-                    F.when(F.col("model").cast("bigint") % 10 == 0, F.lit("1"))
-                    .otherwise(F.lit("")).alias("override"),
+    m = state(spark, sf_dir).versions.select("model").distinct()
+    return m.select("model", override().alias("override"),
                     F.lit("champion").alias("alias"), F.lit("production").alias("fallback_alias"))
 
 
 def resolved(spark, sf_dir):
-    return R.resolve_versions(requests(spark, sf_dir), R.alias_state(reg(spark, sf_dir)))
-
+    return R.resolve_versions(requests(spark, sf_dir), state(spark, sf_dir).aliases)
 
 
 def pairs(spark, sf_dir):
     """champion (explicit -> champion -> production) and challenger
-    (candidate) per model from one pivoted alias row."""
-    row = R.alias_row(R.alias_state(reg(spark, sf_dir)))
-    r = R.resolve_from_row(requests(spark, sf_dir), row, "champion", "production")
+    (candidate) per model from one pivoted alias row (a model without a
+    candidate makes no pair, so the row has every model that counts)."""
+    row = R.alias_row(state(spark, sf_dir).aliases).withColumn("override", override())
+    r = R.resolve_row(row, "champion", "production")
     return r.where(F.col("version").isNotNull() & F.col("candidate").isNotNull()).select(
         "model", F.col("version").alias("champ_version"), F.col("resolved_via").alias("champ_via"),
         F.col("candidate").alias("chall_version"))
@@ -149,13 +156,13 @@ def q_register_version(spark, sf_dir):
 @query("alias_state", with_views("SELECT model, alias, version, set_seq FROM alias_state",
                                  "alias_state"))
 def q_alias_state(spark, sf_dir):
-    return R.alias_state(reg(spark, sf_dir))
+    return state(spark, sf_dir).aliases
 
 
 @query("tag_state", with_views("SELECT model, version, tag_key, tag_value FROM tag_state",
                                "tag_state"))
 def q_tag_state(spark, sf_dir):
-    return R.tag_state(reg(spark, sf_dir)).select("model", "version", "tag_key", "tag_value")
+    return state(spark, sf_dir).tags.select("model", "version", "tag_key", "tag_value")
 
 
 @query("latest_version", with_views("""
@@ -165,7 +172,7 @@ def q_tag_state(spark, sf_dir):
         AND (d.kind = 'delete_model' OR d.kind = 'delete_version' AND d.version = r.version))
     GROUP BY model""", "registry"))
 def q_latest_version(spark, sf_dir):
-    return R.latest_version(reg(spark, sf_dir))
+    return R.latest_version(state(spark, sf_dir).versions)
 
 
 @query("previous_alias_version", with_views("""
@@ -183,7 +190,7 @@ def q_latest_version(spark, sf_dir):
     FROM last l LEFT JOIN writes h ON h.model = l.model AND h.alias = l.alias AND h.seq = l.held_since""",
     "registry", "vdel"))
 def q_previous_alias_version(spark, sf_dir):
-    return R.previous_alias_version(reg(spark, sf_dir))
+    return R.previous_alias_version(reg(spark, sf_dir), state(spark, sf_dir).versions)
 
 
 @query("staging_gate", with_views("""
@@ -192,9 +199,9 @@ def q_previous_alias_version(spark, sf_dir):
       ON t.model = a.model AND t.version = a.version AND t.tag_key = 'cd_staging'
     WHERE a.alias = 'candidate'""", "alias_state", "tag_state"))
 def q_staging_gate(spark, sf_dir):
-    ev = reg(spark, sf_dir)
-    cands = R.alias_state(ev).where(F.col("alias") == "candidate").select("model", "version")
-    return R.staging_gate(cands, R.tag_state(ev)).select("model", "version", "staging_ok")
+    st = state(spark, sf_dir)
+    cands = st.aliases.where(F.col("alias") == "candidate").select("model", "version")
+    return R.staging_gate(cands, st.tags).select("model", "version", "staging_ok")
 
 
 @query("approval_gate", with_views("""
@@ -204,9 +211,9 @@ def q_staging_gate(spark, sf_dir):
     WHERE a.alias = 'champion'""", "alias_state", "tag_state"))
 def q_approval_gate(spark, sf_dir):
     # approval task named after the staging tag; approved value 'PASS' (case-insensitive)
-    ev = reg(spark, sf_dir)
-    cands = R.alias_state(ev).where(F.col("alias") == "champion").select("model", "version")
-    return R.approval_gate(cands, R.tag_state(ev), "cd_staging", "PASS").select(
+    st = state(spark, sf_dir)
+    cands = st.aliases.where(F.col("alias") == "champion").select("model", "version")
+    return R.approval_gate(cands, st.tags, "cd_staging", "PASS").select(
         "model", "version", "approved")
 
 
@@ -223,8 +230,7 @@ def q_alias_fallback_join(spark, sf_dir):
     JOIN ({TEMPLATE_SQL}) t ON t.name = l.template
     WHERE a.alias = 'candidate'""", "alias_state", "lineage"))
 def q_registry_lineage_join(spark, sf_dir):
-    ev = reg(spark, sf_dir)
-    a = R.alias_state(ev).where(F.col("alias") == "candidate").select("model", "version")
+    a = state(spark, sf_dir).aliases.where(F.col("alias") == "candidate").select("model", "version")
     t = H.corpus_templates(spark, sf_dir).select(
         F.col("name").alias("template"), F.col("version").alias("template_version"),
         F.col("model").alias("llm_model"))
@@ -305,12 +311,12 @@ def q_promotion_events(spark, sf_dir):
 def deploy_candidates(spark, sf_dir):
     """Current candidates that passed staging, with the production holder
     they replace (both read from one pivoted alias row)."""
-    ev = reg(spark, sf_dir)
-    row = R.alias_row(R.alias_state(ev), ("candidate", "production")).where(
+    st = state(spark, sf_dir)
+    row = R.alias_row(st.aliases, ("candidate", "production")).where(
         F.col("candidate").isNotNull())
     cands = R.staging_gate(row.select("model", F.col("candidate").alias("version"),
                                       F.col("production").alias("prev_version")),
-                           R.tag_state(ev)).where("staging_ok")
+                           st.tags).where("staging_ok")
     t = H.corpus_templates(spark, sf_dir).select(
         F.col("name").alias("template"), F.col("name").alias("template_name"),
         F.col("version").alias("template_version"), F.col("model").alias("llm_model"))
@@ -344,5 +350,6 @@ def q_audit_sink(spark, sf_dir):
     from arbiter.sources import sinks
     rows = CP.audit_rows(deploy_candidates(spark, sf_dir), DEPLOYED_AT, APPROVER)
     path = sinks.fresh_path(spark, "audit")
-    sinks.append_audit(rows, path)
+    for _ in range(2):  # a rerun of the deployment job appends nothing
+        sinks.append_audit(rows, path, key=f"deployment-{DEPLOYED_AT}")
     return sinks.read_audit(spark, path)

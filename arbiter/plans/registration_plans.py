@@ -10,7 +10,7 @@ from arbiter.operators import registry as R
 from arbiter.operators import summaries as SM
 from arbiter.plans.catalog import query
 from arbiter.plans.experiment import VERDICTS_SQL, ci, gates, summary
-from arbiter.plans.lifecycle import reg
+from arbiter.plans.lifecycle import reg, state
 from arbiter.plans.oracle_views import register_view, with_views
 from arbiter.plans.scorer_plans import probe_checks
 
@@ -87,10 +87,11 @@ def q_staging_events(spark, sf_dir):
 @query("staging_gate_after_events", with_views("""
     SELECT model, version, ok AS staging_ok FROM new_staging""", "new_staging"))
 def q_staging_gate_after_events(spark, sf_dir):
-    # the three phases append to the log; the gate reads the tag they wrote
+    # the three phases write events; folded into the state of the log before
+    # them, the gate reads the tag they wrote
     writes = [q_candidate_events(spark, sf_dir), q_ci_events(spark, sf_dir), q_staging_events(spark, sf_dir)]
-    log = RG.append(reg(spark, sf_dir), *writes)
+    after = R.fold_log(RG.number_writes(reg(spark, sf_dir), *writes), state(spark, sf_dir))
     new = candidates(spark, sf_dir).select("model", "version")
-    held = R.alias_state(log).where(F.col("alias") == "candidate").select("model", "version").join(
+    held = after.aliases.where(F.col("alias") == "candidate").select("model", "version").join(
         new, ["model", "version"], "left_semi")
-    return R.staging_gate(held, R.tag_state(log)).select("model", "version", "staging_ok")
+    return R.staging_gate(held, after.tags).select("model", "version", "staging_ok")

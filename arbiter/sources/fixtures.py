@@ -126,6 +126,26 @@ def registry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                         lambda: derive_registry_events(spark, sf_dir))
 
 
+def registry_state(spark: SparkSession, sf_dir: str):
+    """State of the registry log: a snapshot of its first half, refreshed
+    with the rest; built once per events snapshot."""
+    from arbiter.sources import registry_snapshot as RS
+    from arbiter.sources.materialize import materialized_path
+    from arbiter.sources.tables import table_path
+    events = registry_events(spark, sf_dir)
+
+    def build(path: str) -> None:
+        half = events.agg(F.expr("max(seq) div 2")).first()[0]
+        if half is not None:
+            RS.refresh(spark, path, events.where(F.col("seq") <= half))
+        RS.refresh(spark, path, events)
+
+    path = materialized_path(spark, "registry_state", [table_path(sf_dir, "events")], build)
+    found = RS.newest(spark, path)
+    from arbiter.operators.registry import fold_log
+    return found[0] if found else fold_log(events)
+
+
 def derive_registry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """append-only registry log derived from events.
 
@@ -134,6 +154,7 @@ def derive_registry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     cd_staging pass/fail; error -> delete alias candidate (k < 50), the model
     (k = 99) or version 1 + k % 5.  Writes target the newest version registered so far.
     """
+    from arbiter.operators.registry import SEQ_RANGE
     from arbiter.operators.windows import running_sum
     e = read_events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type", "props"])
     e = e.select(
@@ -141,7 +162,7 @@ def derive_registry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("seq"), "ts", "event_type",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         (F.col("event_type") == "signup").cast("bigint").alias("_is_reg"))
-    e = running_sum(e, ["model"], "seq", "_is_reg", "_n_reg")
+    e = running_sum(e, ["model"], "seq", "_is_reg", "_n_reg", SEQ_RANGE)
     e = e.where(F.col("_n_reg") > 0)
     newest = F.col("_n_reg").cast("string")
     ev = F.struct

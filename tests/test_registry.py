@@ -112,3 +112,35 @@ def test_tag_maps(spark):
     for (m, v, k), val in exp_tags.items():
         exp.setdefault((m, v), {})[k] = val
     assert got == exp
+
+
+def test_snapshot_and_delta_equal_a_full_replay(spark):
+    from pyspark.sql import functions as F
+    from arbiter.sources import registry_snapshot as RS
+    from arbiter.sources.sinks import fresh_path
+    for seed in range(3):
+        events = random_log(seed + 40, 500)
+        df = to_df(spark, events)
+        root = fresh_path(spark, "registry-test")
+        for upto in (120, 121, 333, 333, 499):
+            state = RS.refresh(spark, root, df.where(F.col("seq") <= upto))
+            exp_alias, exp_tags = replay([e for e in events if e["seq"] <= upto])
+            full = R.fold_log(df.where(F.col("seq") <= upto))
+            assert {(r.model, r.alias): r.version for r in state.aliases.collect()} == exp_alias, (seed, upto)
+            assert {(r.model, r.version, r.tag_key): r.tag_value for r in state.tags.collect()} == exp_tags, (seed, upto)
+            for name in ("versions", "aliases", "tags"):
+                a, b = getattr(state, name), getattr(full, name)
+                assert sorted(map(str, a.select(*b.columns).collect())) == sorted(map(str, b.collect())), (name, upto)
+        assert RS.newest(spark, root)[1] == 499
+
+
+def test_registry_queries_scan_the_state_once(spark):
+    from arbiter.plans.catalog import registry
+    from conftest import SF_MID
+    for name, most in (("alias_state", 1), ("tag_state", 1), ("staging_gate", 2), ("promotion_decision", 2)):
+        df = registry()[name].build(spark, SF_MID)
+        df.write.format("noop").mode("overwrite").save()
+        p = df._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in p.splitlines() if "Scan parquet [model#" in line]
+        assert 1 <= len(scans) <= most, (name, scans)
+        assert "kind#" not in p and "seq#" not in p.replace("set_seq#", "").replace("reg_seq#", ""), name
