@@ -67,3 +67,11 @@ def materialized(spark: SparkSession, name: str, inputs: list[str],
             w.parquet(path)
             _TABLES[key] = path
     return spark.read.parquet(path)
+
+
+def checkpointed(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read back: several readers
+    without recomputing, and a lost executor costs no earlier stage."""
+    path = scratch_path(df.sparkSession, f"steps/{name}-{uuid.uuid4().hex[:12]}")
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
