@@ -11,17 +11,22 @@ model again and change the replies.
 from __future__ import annotations
 
 import hashlib
+import queue
+import threading
 import time
+from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arbiter import defaults as D
 from arbiter.session import scratch_path
+from arbiter.sources import commits
+from arbiter.sources.materialize import checkpointed
 
 
 def replay(requests: DataFrame, recorded: DataFrame, key) -> DataFrame:
@@ -52,6 +57,69 @@ def materialize(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# --- ledger of replies -----------------------------------------------------------------
+
+def request_key(cols: list[str]) -> Column:
+    """Digest of what is asked: equal requests are one request."""
+    return F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256)
+
+
+class ReplyLedger:
+    """Replies recorded by request key under a folder of the shared storage.
+
+    Requests that the ledger lacks are asked in chunks of about ``chunk_rows``
+    and each chunk's replies are made visible by a commit of their own
+    (``sources/commits``).  A job that is run again, after it was killed or
+    with more requests, asks only what is not recorded; what was in an
+    unfinished chunk is asked again and its first replies are never seen.
+    Equal requests are asked once and share the reply."""
+
+    def __init__(self, spark: SparkSession, root: str, reply_schema: T.StructType):
+        self.spark, self.root, self.reply_schema = spark, root, reply_schema
+        self.schema = T.StructType([T.StructField("request_key", T.StringType()), *reply_schema.fields])
+
+    def replies(self) -> DataFrame:
+        return commits.read_committed(self.spark, self.root, self.schema)
+
+    def pending(self, keyed: DataFrame) -> DataFrame:
+        """Distinct requests (``request_key`` and their columns) without a reply."""
+        return keyed.join(self.replies().select("request_key"), "request_key", "left_anti").dropDuplicates(["request_key"])
+
+    def ask(self, requests: DataFrame, cols: list[str], responder_factory: Callable[[], Callable],
+            chunk_rows: int = 100_000, max_chunks: int | None = None) -> int:
+        """Ask what is missing; returns the number of requests asked.
+        ``responder_factory()`` gives a callable from a pandas batch of
+        ``cols`` to a frame with the columns of the reply, row by row;
+        ``max_chunks`` ends the job early (the rest stays pending)."""
+        keyed = requests.select(request_key(cols).alias("request_key"), *cols)
+        pending = checkpointed(self.pending(keyed), "pending-requests")
+        n = pending.count()
+        chunks = max(1, -(-n // chunk_rows))
+        chunk = F.pmod(F.xxhash64("request_key"), F.lit(chunks))
+        asked = 0
+        for i in range(min(chunks, max_chunks or chunks) if n else 0):
+            part = pending.where(chunk == i)
+
+            def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                respond = responder_factory()
+                for pdf in batches:
+                    replies = respond(pdf[cols])
+                    replies.insert(0, "request_key", pdf["request_key"].to_numpy())
+                    yield replies
+
+            commits.commit_write(part.mapInPandas(run, self.schema), self.root)
+            asked += part.count()
+        return asked
+
+    def answer(self, requests: DataFrame, cols: list[str]) -> DataFrame:
+        """``requests`` with the recorded replies; ``missing_response`` marks
+        those that have none."""
+        keyed = requests.withColumn("request_key", request_key(cols))
+        marked = self.replies().withColumn("_found", F.lit(True))
+        return keyed.join(marked, "request_key", "left").withColumn(
+            "missing_response", F.col("_found").isNull()).drop("_found", "request_key")
+
+
 def batch_part(cols: list[str], parts: int):
     """Hash part of a row (md5 of its values), as any engine can repeat it."""
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
@@ -166,35 +234,94 @@ ATTEMPT_SCHEMA = T.StructType([
 ])
 
 
+def call_by_deadline(call: Callable, rec: dict, attempt: int, timeout_s: float):
+    """``call(rec, attempt)`` in a thread of its own; :class:`CallTimeout` if
+    it has not returned by then.  A call that hangs can't be ended: its thread
+    is left behind, and whoever calls on has to bound how many there are."""
+    box: queue.SimpleQueue = queue.SimpleQueue()
+
+    def work():
+        try:
+            box.put((True, call(rec, attempt)))
+        except BaseException as e:  # noqa: BLE001 - handed to the caller
+            box.put((False, e))
+
+    thread = threading.Thread(target=work, daemon=True)
+    thread.start()
+    try:
+        ok, value = box.get(timeout=timeout_s)
+    except queue.Empty:
+        raise CallTimeout(f"no reply in {timeout_s:g} s") from None
+    if ok:
+        return value
+    raise value
+
+
 def retrying_call(requests: DataFrame, call_factory: Callable[[], Callable],
                   attempts: int = D.RETRY_ATTEMPTS, backoff_base: float = D.RETRY_BACKOFF_BASE_S,
-                  sleep: Callable[[float], None] | None = None) -> DataFrame:
+                  sleep: Callable[[float], None] | None = None, timeout_s: float | None = D.RETRY_TIMEOUT_S,
+                  in_flight: int = 1, max_hung: int = 64) -> DataFrame:
     """One output row per attempt: up to ``attempts`` tries when the call times
     out (waiting backoff_base * 2**attempt between tries); any other error
     ends the request at once.  ``call(row, attempt)`` returns a reply or
-    raises; ``sleep`` defaults to no wait for replayed calls."""
+    raises; ``sleep`` defaults to no wait for replayed calls.
+
+    A task keeps up to ``in_flight`` requests going, each in a thread with a
+    client of its own (``call_factory`` makes it), so waits for replies and
+    between tries overlap; rows come back in the order of the requests.  An
+    attempt that has no reply after ``timeout_s`` seconds times out, whether
+    or not the callable notices, and its client is not used again; None leaves
+    time to the callable (a replay can't hang).  Calls that hang for ever hold
+    a thread each: with ``max_hung`` of them in a task further attempts fail
+    without a call."""
     wait = sleep or (lambda s: None)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = call_factory()
-        for pdf in batches:
-            rows = []
-            for rec in pdf.to_dict("records"):
-                rid = int(rec["request_id"])
-                for a in range(attempts):
-                    try:
-                        call(rec, a)
-                        rows.append((rid, a, "EXECUTED", None))
-                        break
-                    except CallTimeout as e:
-                        last = a == attempts - 1
-                        rows.append((rid, a, "FAILED" if last else "RETRYING", str(e) or "timeout"))
-                        if not last:
-                            wait(backoff_base * (2 ** a))
-                    except Exception as e:  # noqa: BLE001 - any other error ends the request
-                        rows.append((rid, a, "FAILED", str(e) or type(e).__name__))
-                        break
-            yield pd.DataFrame(rows, columns=["request_id", "attempt", "state", "error"])
+        clients, hung = threading.local(), threading.Semaphore(max_hung)
+
+        def attempt_once(rec: dict, a: int) -> None:
+            if getattr(clients, "call", None) is None:
+                clients.call = call_factory()
+            call = clients.call
+            if timeout_s is None:
+                call(rec, a)
+                return
+            if not hung.acquire(blocking=False):
+                raise RuntimeError(f"{max_hung} calls have not returned")
+
+            def releasing(rec, a):
+                try:
+                    return call(rec, a)
+                finally:
+                    hung.release()
+            try:
+                call_by_deadline(releasing, rec, a, timeout_s)
+            except CallTimeout:
+                clients.call = None  # the late call may still use it
+                raise
+
+        def request(rec: dict) -> list[tuple]:
+            rid, rows = int(rec["request_id"]), []
+            for a in range(attempts):
+                try:
+                    attempt_once(rec, a)
+                    rows.append((rid, a, "EXECUTED", None))
+                    break
+                except CallTimeout as e:
+                    last = a == attempts - 1
+                    rows.append((rid, a, "FAILED" if last else "RETRYING", str(e) or "timeout"))
+                    if not last:
+                        wait(backoff_base * (2 ** a))
+                except Exception as e:  # noqa: BLE001 - any other error ends the request
+                    rows.append((rid, a, "FAILED", str(e) or type(e).__name__))
+                    break
+            return rows
+
+        with ThreadPoolExecutor(in_flight) as pool:
+            for pdf in batches:
+                records = pdf.to_dict("records")
+                done = map(request, records) if in_flight == 1 else pool.map(request, records)
+                yield pd.DataFrame([row for rows in done for row in rows], columns=["request_id", "attempt", "state", "error"])
     return requests.mapInPandas(run, ATTEMPT_SCHEMA)
 
 

@@ -55,15 +55,15 @@ def q_retrying_call(spark, sf_dir):
     req = t.groupBy("request_id").agg(F.transform(
         F.sort_array(F.collect_list(F.struct("attempt", "state"))), lambda s: s["state"])
         .alias("outcomes"))
-    return SC.retrying_call(req, SC.replayed_outcomes_call)
+    return SC.retrying_call(req, SC.replayed_outcomes_call, timeout_s=None)  # a replay can't hang
 
 
-@query("live_generate", """
-    SELECT doc_id AS resp_id, 'reply ' || length(text) || ' ' || md5(text) AS reply FROM documents""")
-def q_live_generate(spark, sf_dir):
-    # a live responder (here a deterministic one): called once per request,
-    # written, and read back, so a retried task never asks again
+def _answered(spark, sf_dir):
+    """A ledger whose first job was ended after one of its chunks and whose
+    second job asked the rest; (ledger, requests, asked by each)."""
     from pyspark.sql import types as T
+
+    from arbiter.sources.sinks import fresh_path
     req = FX.responses(spark, sf_dir).select("resp_id", F.col("response").alias("prompt"))
 
     def responder():
@@ -72,9 +72,32 @@ def q_live_generate(spark, sf_dir):
         import pandas as pd
 
         def answer(batch):
-            reply = [f"reply {len(p)} {hashlib.md5(p.encode()).hexdigest()}" for p in batch["prompt"]]
-            return pd.DataFrame({"resp_id": batch["resp_id"], "reply": reply})
+            return pd.DataFrame({"reply": [f"reply {len(p)} {hashlib.md5(p.encode()).hexdigest()}" for p in batch["prompt"]]})
         return answer
 
-    schema = T.StructType().add("resp_id", "long").add("reply", "string")
-    return SC.materialize(SC.apply_responder(req, responder, schema), spark, "live_generate")
+    ledger = SC.ReplyLedger(spark, fresh_path(spark, "ledger"), T.StructType().add("reply", "string"))
+    half = -(-req.count() // 2)
+    first = ledger.ask(req, ["prompt"], responder, chunk_rows=half, max_chunks=1)
+    second = ledger.ask(req, ["prompt"], responder, chunk_rows=half)
+    return ledger, req, (first, second)
+
+
+@query("live_generate", """
+    SELECT doc_id AS resp_id, 'reply ' || length(text) || ' ' || md5(text) AS reply FROM documents""")
+def q_live_generate(spark, sf_dir):
+    # a live responder (here a deterministic one): a resumed job asks only what
+    # the ledger lacks, and a retried reader never asks again
+    ledger, req, _ = _answered(spark, sf_dir)
+    return ledger.answer(req, ["prompt"]).select("resp_id", "reply")
+
+
+@query("reply_ledger", """
+    SELECT 'reply ' || length(text) || ' ' || md5(text) AS reply, CAST(1 AS BIGINT) AS n_recorded,
+           CAST(count(*) AS BIGINT) AS n_requests, (SELECT CAST(count(DISTINCT text) AS BIGINT) FROM documents) AS n_asked
+    FROM documents GROUP BY text""")
+def q_reply_ledger(spark, sf_dir):
+    # equal prompts are asked once; both jobs together asked every prompt once
+    ledger, req, asked = _answered(spark, sf_dir)
+    recorded = ledger.replies().groupBy("reply").agg(F.count(F.lit(1)).alias("n_recorded"))
+    used = ledger.answer(req, ["prompt"]).groupBy("reply").agg(F.count(F.lit(1)).alias("n_requests"))
+    return recorded.join(used, "reply").withColumn("n_asked", F.lit(sum(asked)).cast("bigint"))

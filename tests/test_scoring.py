@@ -86,3 +86,90 @@ def test_request_payload_orientations(spark):
     docs = [json.loads(r.payload) for r in SC.request_payload(mixed, "id", ["id", "s", "x", "n"], 2).collect()]
     assert sorted(len(p["dataframe_split"]["data"]) for p in docs) == [1, 2, 2]
     assert docs[0]["dataframe_split"]["data"][0] == [7, 'a"b', 1.5, None]
+
+
+def test_a_call_that_hangs_ends_at_the_limit_and_waits_overlap(spark):
+    import time
+
+    def factory():
+        import time
+
+        def call(rec, attempt):
+            if rec["request_id"] == 3:
+                time.sleep(60)
+            time.sleep(0.5)
+            return "ok"
+        return call
+
+    req = spark.range(0, 8, numPartitions=1).withColumnRenamed("id", "request_id")
+    start = time.time()
+    rows = sorted(tuple(r) for r in SC.retrying_call(req, factory, attempts=2, timeout_s=1.5, in_flight=8).collect())
+    took = time.time() - start
+    assert [r for r in rows if r[0] == 3] == [(3, 0, "RETRYING", "no reply in 1.5 s"), (3, 1, "FAILED", "no reply in 1.5 s")]
+    assert [r for r in rows if r[0] != 3] == [(i, 0, "EXECUTED", None) for i in (0, 1, 2, 4, 5, 6, 7)]
+    assert 3.0 <= took < 3.0 + 0.5 * 7  # not one after the other: that alone would be 3.5 s more
+
+
+def test_hung_calls_are_bounded_and_their_clients_are_not_reused():
+    import threading
+    clients, stop = [], threading.Event()
+
+    def factory():
+        seen = []
+        clients.append(seen)
+
+        def call(rec, attempt):
+            seen.append(rec["request_id"])
+            if rec["request_id"] < 2:
+                stop.wait(20)
+            return "ok"
+        return call
+
+    class FakeDF:
+        def mapInPandas(self, fn, schema):
+            return list(fn(iter([pd.DataFrame({"request_id": [0, 1, 2, 3]})])))
+    [out] = SC.retrying_call(FakeDF(), factory, attempts=1, timeout_s=0.2, max_hung=2)
+    stop.set()
+    assert out.state.tolist() == ["FAILED"] * 4 and "no reply" in out.error[0]
+    assert out.error[2] == out.error[3] == "2 calls have not returned"
+    assert clients[:2] == [[0], [1]]
+
+
+def test_ledger_asks_only_what_is_not_recorded(spark, tmp_path):
+    log = tmp_path / "asked"
+    log.mkdir()
+    folder = str(log)
+
+    def factory():
+        def answer(batch):
+            import os
+            import uuid
+            with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
+                f.write("\n".join(map(str, batch["q"])) + "\n")
+            if os.path.exists(os.path.join(folder, "die")) and (batch["q"] == 13).any():
+                raise RuntimeError("killed")
+            return pd.DataFrame({"reply": [f"r{q}" if q == q else None for q in batch["q"]]})
+        return answer
+
+    def asked():
+        return sorted(line for f in log.iterdir() if f.name != "die" for line in f.read_text().split())
+
+    ledger = SC.ReplyLedger(spark, str(tmp_path / "ledger"), T.StructType().add("reply", "string"))
+    req = spark.createDataFrame([(i, i % 40) for i in range(50)], "id long, q long")
+    assert ledger.ask(req, ["q"], factory, chunk_rows=10, max_chunks=2) < 40
+    half = asked()
+    assert len(half) == len(set(half)) == ledger.replies().count()
+    ledger.ask(req, ["q"], factory, chunk_rows=10)
+    assert asked() == sorted(map(str, range(40))) and ledger.pending(req.select(
+        SC.request_key(["q"]).alias("request_key"), "q")).count() == 0
+    # a job that dies leaves what it had committed; more requests ask only the new ones
+    (log / "die").touch()
+    more = spark.createDataFrame([(i, i) for i in range(100, 130)] + [(1, 13_000), (2, None)], "id long, q long")
+    ledger.ask(more, ["q"], factory, chunk_rows=8, max_chunks=1)
+    kept = ledger.replies().count()
+    ledger.ask(more, ["q"], factory, chunk_rows=8)
+    assert ledger.replies().count() == 40 + 32 > kept
+    got = {r.id: r.reply for r in ledger.answer(req, ["q"]).collect()}
+    assert got == {i: f"r{i % 40}" for i in range(50)}
+    lost = ledger.answer(spark.createDataFrame([(1, 777)], "id long, q long"), ["q"]).first()
+    assert lost.missing_response and lost.reply is None
