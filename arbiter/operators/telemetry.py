@@ -78,31 +78,60 @@ def psi_bins(latency, width: float, n_bins: int) -> Column:
     return F.least(F.floor(latency / F.lit(width)), F.lit(n_bins - 1)).cast("int")
 
 
-def drift_report(t: DataFrame, metric: str = "latency_ms", width: float = 1000.0,
-                 n_bins: int = 10, period_days: int = 7, floor: float = D.PSI_FLOOR,
-                 alert: float = D.PSI_ALERT) -> DataFrame:
-    """Population stability index of the metric's fixed-edge histogram, each
-    later period vs the first period, per event type; alert when > 0.2."""
+def with_period(t: DataFrame, period_days: int) -> DataFrame:
+    """``period``: whole periods since the series began."""
     t0 = t.agg(F.min(F.unix_micros("ts"))).first()[0]   # one scalar: the series start
-    x = (t.select("event_type",
-                 F.floor((F.unix_micros("ts") - F.lit(t0)) /
-                         F.lit(period_days * 86400 * 1_000_000)).cast("int").alias("period"),
-                 psi_bins(F.col(metric), width, n_bins).alias("bin")))
-    counts = x.groupBy("event_type", "period", "bin").agg(F.count(F.lit(1)).alias("c"))
+    return t.withColumn("period", F.floor((F.unix_micros("ts") - F.lit(t0)) /
+                                          F.lit(period_days * 86400 * 1_000_000)).cast("int"))
+
+
+def reference_edges(x: DataFrame, metric: str, n_bins: int, accuracy: int) -> DataFrame:
+    """(event_type, edges): quantile edges of the metric in the first period
+    from one mergeable sketch per type: an edge's rank is off by at most a
+    share of 1 / ``accuracy``.  The row without a type holds the edges of all
+    types together, for types that the first period does not have."""
+    ranks = [i / n_bins for i in range(1, n_bins)]
+    first = x.where((F.col("period") == 0) & F.col(metric).isNotNull())
+    both = first.select(metric, F.explode(F.array(F.col("event_type"), F.lit(None).cast("string"))).alias("event_type"))
+    return both.groupBy("event_type").agg(F.percentile_approx(metric, ranks, accuracy).alias("edges"))
+
+
+def drift_report(t: DataFrame, metric: str = "latency_ms", width: float | None = 1000.0,
+                 n_bins: int = 10, period_days: int = 7, floor: float = D.PSI_FLOOR,
+                 alert: float = D.PSI_ALERT, accuracy: int = 10_000) -> DataFrame:
+    """Population stability index of the metric's histogram, each later
+    period vs the first period, per event type; alert when > 0.2.
+
+    Bins have the fixed ``width``, or, where it is None, edges at the first
+    period's quantiles (:func:`reference_edges`; a value equal to an edge is
+    below it).  A type that the first period does not have has reference
+    shares of 0 in every bin, so its index is that of all its rows being new.
+    A NULL metric is in no bin; a type whose period has none but NULLs has
+    shares of 0."""
+    x = with_period(t, period_days)
+    if width is None:
+        edges = reference_edges(x, metric, n_bins, accuracy)
+        every = edges.where("event_type is null").select(F.col("edges").alias("pooled"))
+        x = (x.join(edges.where("event_type is not null"), "event_type", "left").join(F.broadcast(every))
+             .withColumn("bin", F.when(F.col(metric).isNotNull(), F.size(F.filter(
+                 F.coalesce("edges", "pooled"), lambda e: e < F.col(metric))))))
+    else:
+        x = x.withColumn("bin", psi_bins(F.col(metric), width, n_bins))
+    counts = x.groupBy("event_type", "period", "bin").agg(F.count("bin").alias("c"))
     # one row per (type, period): bin -> count map and total; shares for all
     # bins (floored) as an array ordered by bin
     per = counts.groupBy("event_type", "period").agg(
-        F.map_from_entries(F.collect_list(F.struct("bin", "c"))).alias("_m"),
+        F.map_from_entries(F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "c")))).alias("_m"),
         F.sum("c").alias("_tot"))
     shares = F.transform(F.sequence(F.lit(0), F.lit(n_bins - 1)), lambda b: F.greatest(
-        F.coalesce(F.try_element_at(F.col("_m"), b).cast("double") / F.col("_tot").cast("double"),
+        F.coalesce(F.try_divide(F.try_element_at(F.col("_m"), b).cast("double"), F.col("_tot").cast("double")),
                    F.lit(0.0)), F.lit(float(floor))))
     per = per.select("event_type", "period", shares.alias("p"))
     # the reference (first) period's distribution, fetched per type by a window
     ref = F.first(F.when(F.col("period") == 0, F.col("p")), ignorenulls=True).over(
         Window.partitionBy("event_type"))
-    cur = per.select("event_type", "period", "p", ref.alias("q")).where(
-        (F.col("period") > 0) & F.col("q").isNotNull())
+    none = F.array(*[F.lit(float(floor))] * n_bins)
+    cur = per.select("event_type", "period", "p", F.coalesce(ref, none).alias("q")).where(F.col("period") > 0)
     terms = F.zip_with("p", "q", lambda a, b: (a - b) * F.log(a / b))
     psi = F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
     return cur.select("event_type", "period", psi.alias("psi"), (psi > F.lit(alert)).alias("alert"))

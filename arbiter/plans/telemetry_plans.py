@@ -45,11 +45,16 @@ def q_ops_metrics(spark, sf_dir):
     return finalize(TM.ops_metrics(tel(spark, sf_dir)).withColumn("n", F.col("n").cast("bigint")))
 
 
-@query("drift_report", with_views("""
-    , x AS (SELECT event_type,
-                  CAST(floor(CAST(epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM telemetry) AS DOUBLE)
-                             / CAST(604800000000 AS DOUBLE)) AS INTEGER) AS period,
-                  CAST(least(floor(latency_ms / 1000.0), 9) AS INTEGER) AS bin FROM telemetry),
+# A type that begins after the first week: a tenth of the users' views from
+# the ninth day on are previews.
+def _drift_sql(bins: str) -> str:
+    return with_views(f"""
+    , z AS (SELECT CASE WHEN event_type = 'view' AND user_id % 10 = 3 AND
+                             ts >= (SELECT min(ts) FROM telemetry) + INTERVAL 8 DAY THEN 'preview' ELSE event_type END
+                   AS event_type, latency_ms,
+                   CAST(floor(CAST(epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM telemetry) AS DOUBLE)
+                              / CAST(604800000000 AS DOUBLE)) AS INTEGER) AS period FROM telemetry),
+    {bins},
     counts AS (SELECT event_type, period, bin, count(*) AS c FROM x GROUP BY ALL),
     totals AS (SELECT event_type, period, sum(c) AS tot FROM counts GROUP BY ALL),
     grid AS (SELECT t.event_type, t.period, CAST(b.range AS INTEGER) AS bin FROM totals t, range(0, 10) b),
@@ -59,11 +64,37 @@ def q_ops_metrics(spark, sf_dir):
               LEFT JOIN counts c ON c.event_type = g.event_type AND c.period = g.period AND c.bin = g.bin)
     SELECT event_type, period, round_even(psi, 6) AS psi, psi > 0.2 AS alert FROM (
       SELECT cur.event_type, cur.period,
-             list_reduce(list((cur.p - r.p) * ln(cur.p / r.p) ORDER BY cur.bin), lambda a, b: a + b) AS psi
-      FROM full_ cur JOIN full_ r ON r.event_type = cur.event_type AND r.bin = cur.bin AND r.period = 0
-      WHERE cur.period > 0 GROUP BY cur.event_type, cur.period) s""", "telemetry"))
+             list_reduce(list((cur.p - coalesce(r.p, 1e-6)) * ln(cur.p / coalesce(r.p, 1e-6)) ORDER BY cur.bin),
+                         lambda a, b: a + b) AS psi
+      FROM full_ cur LEFT JOIN full_ r ON r.event_type = cur.event_type AND r.bin = cur.bin AND r.period = 0
+      WHERE cur.period > 0 GROUP BY cur.event_type, cur.period) s""", "telemetry")
+
+
+def with_previews(spark, sf_dir):
+    t = tel(spark, sf_dir)
+    t0 = t.agg(F.min("ts")).first()[0]
+    new = (F.col("event_type") == "view") & (F.col("user_id") % 10 == 3) & (
+        F.col("ts") >= F.lit(t0) + F.expr("INTERVAL 8 DAY"))
+    return t.withColumn("event_type", F.when(new, "preview").otherwise(F.col("event_type")))
+
+
+@query("drift_report", _drift_sql("""
+    x AS (SELECT event_type, period, CAST(least(floor(latency_ms / 1000.0), 9) AS INTEGER) AS bin FROM z)"""))
 def q_drift_report(spark, sf_dir):
-    return finalize(TM.drift_report(tel(spark, sf_dir)))
+    return finalize(TM.drift_report(with_previews(spark, sf_dir)))
+
+
+@query("drift_deciles", _drift_sql("""
+    edges AS (SELECT event_type, quantile_disc(latency_ms, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e
+              FROM z WHERE period = 0 GROUP BY event_type),
+    pooled AS (SELECT quantile_disc(latency_ms, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e
+               FROM z WHERE period = 0),
+    x AS (SELECT z.event_type, period, CAST(len(list_filter(coalesce(edges.e, pooled.e), lambda q: q < latency_ms))
+                                            AS INTEGER) AS bin
+          FROM z LEFT JOIN edges ON edges.event_type = z.event_type, pooled)"""))
+def q_drift_deciles(spark, sf_dir):
+    # the accuracy is above the rows of the first period here, which makes the edges exact
+    return finalize(TM.drift_report(with_previews(spark, sf_dir), width=None, accuracy=1_000_000))
 
 
 @query("ab_metrics_by_arm", with_views(f"""
