@@ -1,9 +1,10 @@
 """Conversation folds over the turns table (conv_id, turn, role, text, ...).
 
 Ordered per-conversation work uses windows partitioned by conversation.
-Running counters (step index, reset segments) use the skew-tolerant bucketed
-running sum; the history fold is a per-conversation window because its
-output is, by definition, every earlier message of the conversation.
+Running counters (step index, reset segments, places in the history) use the
+skew-tolerant bucketed running sum.  Histories are pointers into chunks of
+messages; ``history_fold`` and ``expand_history`` build whole arrays, every
+earlier message of every turn, for consumers that need them.
 """
 
 from __future__ import annotations
@@ -13,16 +14,18 @@ from pyspark.sql import functions as F
 
 from arbiter import defaults as D
 from arbiter.functions.rules import exact_mean
-from arbiter.operators.windows import previous_value, running_sum
+from arbiter.operators.windows import previous_value, running_sum, running_sums
 
 MSG = "struct<role:string,content:string>"
 
 
 def turn_links(turns: DataFrame) -> DataFrame:
     """Every turn with the role, tokens and number of the turn before it
-    (bucketed skew-tolerant lag); texts do not travel."""
-    x = turns.select("conv_id", "turn", "role", "tokens", "latency_ms",
-                     F.struct(F.col("role").alias("r"), F.col("tokens").alias("k"), F.col("turn").alias("t")).alias("_src"))
+    (bucketed skew-tolerant lag); texts do not travel.  A turn that was
+    delivered more than once counts once (of different rows, the smallest)."""
+    once = turns.groupBy("conv_id", "turn").agg(F.min(F.struct("role", "tokens", "latency_ms")).alias("_one"))
+    x = once.select("conv_id", "turn", "_one.*").select(
+        "*", F.struct(F.col("role").alias("r"), F.col("tokens").alias("k"), F.col("turn").alias("t")).alias("_src"))
     return previous_value(x, ["conv_id"], "turn", "_src", "prev").drop("_src")
 
 
@@ -37,8 +40,11 @@ def turn_pairs(turns: DataFrame) -> DataFrame:
     pairs = turn_links(turns).where(is_pair()).select(
         "conv_id", "turn", F.col("prev.t").alias("user_turn"), "latency_ms",
         F.col("prev.k").alias("input_tokens"), F.col("tokens").alias("output_tokens"))
-    said = turns.select("conv_id", F.col("turn").alias("user_turn"), F.col("text").alias("user_message"))
-    reply = turns.select("conv_id", "turn", F.col("text").alias("assistant_response"))
+    # one text per turn, from the row that counts
+    texts = turns.groupBy("conv_id", "turn").agg(
+        F.min(F.struct("role", "tokens", "latency_ms", "text"))["text"].alias("text"))
+    said = texts.select("conv_id", F.col("turn").alias("user_turn"), F.col("text").alias("user_message"))
+    reply = texts.select("conv_id", "turn", F.col("text").alias("assistant_response"))
     return pairs.join(said, ["conv_id", "user_turn"]).join(reply, ["conv_id", "turn"]).select(
         "conv_id", "turn", "user_message", "assistant_response", "latency_ms", "input_tokens", "output_tokens")
 
@@ -71,6 +77,56 @@ def history_fold(turns: DataFrame, is_reset: str | None = "is_reset") -> DataFra
     return msgs.select("*", hist.alias("history")).where(F.col("role") == "user")
 
 
+# --- histories that share their prefixes ---------------------------------------------
+#
+# The history of a user turn is a prefix of its segment's messages.  Messages
+# are numbered and kept once, in chunks of bounded size; a turn keeps a pointer:
+# how many messages come before it and in which chunk that place is.  Output
+# is linear in the turns; whole arrays are built only for a consumer.
+
+HISTORY_CHUNK = 1024
+
+
+def numbered_messages(turns: DataFrame, is_reset: str = "is_reset", chunk: int = HISTORY_CHUNK) -> DataFrame:
+    """The user and assistant messages with their place in the segment
+    (``n_history``: messages before it), what came before in characters and
+    user messages, and the chunk that the place is in.  Counted by ranges of
+    the conversation (see ``windows``), so a long one is many tasks."""
+    msgs = reset_segments(turns, is_reset).where(F.col("role").isin("user", "assistant") & ~F.col(is_reset))
+    x = msgs.withColumn("_one", F.lit(1).cast("bigint")).withColumn(
+        "_chars", F.coalesce(F.length("text").cast("bigint"), F.lit(0))).withColumn(
+        "_user", (F.col("role") == "user").cast("bigint"))
+    x = running_sums(x, ["conv_id", "segment"], "turn", {"_n": "_one", "_c": "_chars", "_u": "_user"})
+    return x.withColumn("n_history", F.col("_n") - 1).select(
+        *msgs.columns, "n_history", (F.col("_u") - F.col("_user")).alias("n_user_messages"),
+        (F.col("_c") - F.col("_chars")).alias("history_chars"),
+        F.expr(f"n_history div {int(chunk)}L").alias("chunk"), (F.col("n_history") % chunk).alias("chunk_offset"))
+
+
+def history_pointers(messages: DataFrame) -> DataFrame:
+    """One row per user turn: its history as a pointer into the chunks."""
+    return messages.where(F.col("role") == "user")
+
+
+def history_chunks(messages: DataFrame) -> DataFrame:
+    """conv_id, segment, chunk, messages: at most a chunk's number in order."""
+    listed = F.sort_array(F.collect_list(F.struct("n_history", "role", F.col("text").alias("content"))))
+    return messages.groupBy("conv_id", "segment", "chunk").agg(
+        F.transform(listed, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages"))
+
+
+def expand_history(pointers: DataFrame, chunks: DataFrame) -> DataFrame:
+    """``pointers`` with ``history``, the array of their earlier messages: for
+    a consumer that needs it whole, as large as all prefixes together."""
+    key = ["conv_id", "segment"]
+    got = (pointers.select(*key, "turn", F.col("chunk").alias("_upto")).join(chunks, key)
+           .where(F.col("chunk") <= F.col("_upto")).groupBy(*key, "turn")
+           .agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "messages"))),
+                                      lambda c: c["messages"])).alias("_all")))
+    return pointers.join(got, [*key, "turn"]).withColumn(
+        "history", F.slice("_all", F.lit(1), F.col("n_history").cast("int"))).drop("_all")
+
+
 def message_assembly(history: DataFrame, system: Column, few_shots: Column) -> DataFrame:
     """[system] + few_shots + history + [user] per user turn."""
     sys_msg = F.array(F.struct(F.lit("system").alias("role"), system.alias("content")))

@@ -33,7 +33,7 @@ register_view("segs", ("turns",), """
 register_view("hist", ("segs",), """
     SELECT conv_id, turn, segment, text,
            coalesce(len(history), 0) AS n_history,
-           coalesce(array_to_string(list_transform(history, lambda m: m.role), ','), '') AS roles,
+           coalesce(len(list_filter(history, lambda m: m.role = 'user')), 0) AS n_user_messages,
            coalesce(list_sum(list_transform(history, lambda m: length(m.content))), 0) AS history_chars
     FROM (SELECT *, list(struct_pack(role := role, content := text)) OVER (
                    PARTITION BY conv_id, segment ORDER BY turn
@@ -42,10 +42,11 @@ register_view("hist", ("segs",), """
     WHERE role = 'user'""")
 _FS = FX.FEW_SHOTS
 FEW_SHOT_CHARS = sum(len(c) for _, c in _FS)
-FEW_SHOT_ROLES = ",".join(r for r, _ in _FS)
+FEW_SHOT_USERS = sum(r == "user" for r, _ in _FS)
+CHUNK = 4   # of messages; small, so that most conversations have several
 register_view("assembled", ("hist",), f"""
     SELECT h.conv_id, h.turn, CAST(1 + {len(_FS)} + h.n_history + 1 AS BIGINT) AS n_messages,
-           concat_ws(',', 'system', '{FEW_SHOT_ROLES}', nullif(h.roles, ''), 'user') AS roles,
+           CAST({FEW_SHOT_USERS} + h.n_user_messages + 1 AS BIGINT) AS n_user_messages,
            CAST(length(coalesce(s.text, '{DEFAULT_SYSTEM}')) + {FEW_SHOT_CHARS} + h.history_chars
                 + length(h.text) AS BIGINT) AS content_chars
     FROM hist h LEFT JOIN (SELECT conv_id, arg_min(text, turn) AS text FROM conversations
@@ -61,24 +62,23 @@ def pairs(spark, sf_dir):
     return CV.turn_pairs(turns(spark, sf_dir))
 
 
-def history(spark, sf_dir):
-    return CV.history_fold(turns(spark, sf_dir))
+def messages(spark, sf_dir):
+    return CV.numbered_messages(turns(spark, sf_dir), chunk=CHUNK)
 
 
 def assembled(spark, sf_dir):
+    """Every request as [system] + few shots + pointer to the history + [user]
+    with the number and size of its messages; no history is copied."""
     t = turns(spark, sf_dir)
     # the system turn that opens the conversation; a second one must not double the rows
     sys = t.where(F.col("role") == "system").groupBy("conv_id").agg(F.min_by("text", "turn").alias("_sys"))
-    h = CV.history_fold(t).join(sys, "conv_id", "left")
-    return CV.message_assembly(h, F.coalesce(F.col("_sys"), F.lit(DEFAULT_SYSTEM)),
-                               FX.few_shots_col())
-
-
-def _msg_stats(df, arr):
-    return (F.size(arr).cast("bigint"),
-            F.array_join(F.transform(arr, lambda m: m["role"]), ","),
-            F.aggregate(arr, F.lit(0).cast("bigint"),
-                        lambda a, m: a + F.length(m["content"]).cast("bigint")))
+    h = CV.history_pointers(messages(spark, sf_dir)).join(sys, "conv_id", "left")
+    system = F.coalesce(F.col("_sys"), F.lit(DEFAULT_SYSTEM))
+    return h.select(
+        "conv_id", "turn", "segment", "chunk", "chunk_offset",
+        (F.col("n_history") + 2 + len(_FS)).alias("n_messages"),
+        (F.col("n_user_messages") + 1 + FEW_SHOT_USERS).alias("n_user_messages"),
+        (F.col("history_chars") + F.length(system) + FEW_SHOT_CHARS + F.length("text")).cast("bigint").alias("content_chars"))
 
 
 @query("turn_pair_asof", with_views("""
@@ -109,23 +109,32 @@ def q_reset_segments(spark, sf_dir):
     return CV.reset_segments(turns(spark, sf_dir)).select("conv_id", "turn", "is_reset", "segment")
 
 
-@query("history_fold", with_views("""
-    SELECT conv_id, turn, segment, CAST(n_history AS BIGINT) AS n_history, roles,
-           CAST(history_chars AS BIGINT) AS history_chars FROM hist""", "hist"))
+@query("history_fold", with_views(f"""
+    SELECT conv_id, turn, segment, CAST(n_history AS BIGINT) AS n_history, CAST(n_user_messages AS BIGINT) AS n_user_messages,
+           CAST(history_chars AS BIGINT) AS history_chars, CAST(n_history // {CHUNK} AS BIGINT) AS chunk,
+           CAST(n_history % {CHUNK} AS BIGINT) AS chunk_offset FROM hist""", "hist"))
 def q_history_fold(spark, sf_dir):
-    h = history(spark, sf_dir)
-    n, roles, chars = _msg_stats(h, F.col("history"))
-    return h.select("conv_id", "turn", "segment", n.alias("n_history"), roles.alias("roles"),
-                    chars.alias("history_chars"))
+    return CV.history_pointers(messages(spark, sf_dir)).select(
+        "conv_id", "turn", "segment", "n_history", "n_user_messages", "history_chars", "chunk", "chunk_offset")
+
+
+@query("history_chunks", with_views(f"""
+    SELECT conv_id, segment, CAST(place // {CHUNK} AS BIGINT) AS chunk, CAST(count(*) AS BIGINT) AS n_messages,
+           string_agg(role, ',' ORDER BY place) AS roles, md5(string_agg(text, '' ORDER BY place)) AS content_md5
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, segment ORDER BY turn) - 1 AS place
+          FROM segs WHERE role IN ('user', 'assistant') AND NOT is_reset) m
+    GROUP BY conv_id, segment, place // {CHUNK}""", "segs"))
+def q_history_chunks(spark, sf_dir):
+    c = CV.history_chunks(messages(spark, sf_dir))
+    each = lambda field: F.transform("messages", lambda m: m[field])
+    return c.select("conv_id", "segment", "chunk", F.size("messages").cast("bigint").alias("n_messages"),
+                    F.array_join(each("role"), ",").alias("roles"), F.md5(F.array_join(each("content"), "")).alias("content_md5"))
 
 
-@query("message_assembly", with_views("SELECT conv_id, turn, n_messages, roles, content_chars FROM assembled",
+@query("message_assembly", with_views("SELECT conv_id, turn, n_messages, n_user_messages, content_chars FROM assembled",
                                       "assembled"))
 def q_message_assembly(spark, sf_dir):
-    a = assembled(spark, sf_dir)
-    n, roles, chars = _msg_stats(a, F.col("messages"))
-    return a.select("conv_id", "turn", n.alias("n_messages"), roles.alias("roles"),
-                    chars.alias("content_chars"))
+    return assembled(spark, sf_dir).select("conv_id", "turn", "n_messages", "n_user_messages", "content_chars")
 
 
 @query("session_totals", with_views(f"""
@@ -180,9 +189,7 @@ def q_parent_child_runs(spark, sf_dir):
       ON r.conv_id = a.conv_id AND r.turn = a.turn""", "assembled", "turns"))
 def q_batch_generate(spark, sf_dir):
     # default responder = replay of the recorded assistant turn that follows
-    a = assembled(spark, sf_dir)
-    n, _, _ = _msg_stats(a, F.col("messages"))
-    req = a.select("conv_id", "turn", n.alias("n_messages"))
+    req = assembled(spark, sf_dir).select("conv_id", "turn", "n_messages")
     rec = turns(spark, sf_dir).where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"), "latency_ms")
     out = SC.replay(req, rec, ["conv_id", "turn"])
