@@ -152,58 +152,94 @@ HISTORY_OUT = T.StructType([
 
 
 COUNTERS = T.StructType([T.StructField("next_turn", T.LongType()), T.StructField("steps", T.LongType()),
-                         T.StructField("n_history", T.LongType())])
+                         T.StructField("n_history", T.LongType()), T.StructField("n_waiting", T.LongType())])
 WAITING = T.StructType([T.StructField("turn", T.LongType()), T.StructField("role", T.StringType()),
                         T.StructField("is_reset", T.BooleanType())])
 
 
-def _history_processor(ttl_ms: int | None):
+def _history_processor(ttl_ms: int | None, max_waiting: int):
     from pyspark.sql.streaming import StatefulProcessor
 
     class HistoryProcessor(StatefulProcessor):
         """Keyed by conversation.  Value state: the next turn to fold, the
-        assistant steps and the history length so far.  List state: turns that
-        came before an earlier one (their number and role only, no text);
-        they are folded when the gap has closed, so counters do not depend on
-        the order of arrival.  With ``ttl_ms`` both expire that long after the
-        last write."""
+        assistant steps, the history length so far and how many turns wait.
+        List state: turns that came before an earlier one (their number and
+        role only, no text); they are folded when the gap has closed, so
+        counters do not depend on the order of arrival.
+
+        No turn is lost: a conversation that has been silent for ``ttl_ms``
+        has its waiting turns folded in their order, over the gap, and
+        returned before its state goes; so are they once more than
+        ``max_waiting`` wait."""
 
         def init(self, handle):
-            self.counters = handle.getValueState("counters", COUNTERS, ttl_ms)
-            self.waiting = handle.getListState("waiting", WAITING, ttl_ms)
+            self.handle = handle
+            self.counters = handle.getValueState("counters", COUNTERS)
+            self.waiting = handle.getListState("waiting", WAITING)
 
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            turn, steps, n_hist = self.counters.get() if self.counters.exists() else (0, 0, 0)
-            fresh = {}
-            for chunk in rows:
-                for t, role, reset in zip(chunk["turn"], chunk["role"], chunk["is_reset"]):
-                    if t >= turn:  # an earlier one was folded already: a repeated delivery
-                        fresh[int(t)] = (role, bool(reset))
+        def _load(self) -> tuple[int, int, int, int]:
+            return tuple(self.counters.get()) if self.counters.exists() else (0, 0, 0, 0)
+
+        def _early(self) -> dict:
+            return {int(t): (role, reset) for t, role, reset in self.waiting.get()} if self.waiting.exists() else {}
+
+        @staticmethod
+        def _fold(conv, state, early: dict, over_gaps: bool) -> tuple[tuple, list[tuple]]:
+            """Fold from the next turn on (``over_gaps``: everything that
+            waits); what is folded leaves ``early``."""
+            turn, steps, n_hist, _ = state
             out: list[tuple] = []
-            if turn not in fresh and ttl_ms is None:  # nothing to fold: the list is added to, not rewritten
-                if fresh:
-                    self.waiting.appendList([(t, *fresh[t]) for t in sorted(fresh)])
-                self.counters.update((turn, steps, n_hist))
-                yield pd.DataFrame(out, columns=["conv_id", "turn", "n_history", "step"])
-                return
-            early = {int(t): (role, reset) for t, role, reset in self.waiting.get()} if self.waiting.exists() else {}
-            early.update(fresh)
-            while turn in early:
+            while early:
+                if turn not in early:
+                    if not over_gaps:
+                        break
+                    turn = min(early)
                 role, reset = early.pop(turn)
                 if reset:
                     n_hist = 0
                 else:
                     if role == "user":
-                        out.append((int(key[0]), turn, n_hist, steps))
+                        out.append((conv, turn, n_hist, steps))
                     n_hist += role in ("user", "assistant")
                     steps += role == "assistant"
                 turn += 1
-            self.counters.update((turn, steps, n_hist))
+            return (turn, steps, n_hist, len(early)), out
+
+        def _expire_later(self, timers) -> None:
+            if ttl_ms is not None:
+                for old in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(old)
+                self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + ttl_ms)
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            turn, steps, n_hist, n_waiting = self._load()
+            fresh = {}
+            for chunk in rows:
+                for t, role, reset in zip(chunk["turn"], chunk["role"], chunk["is_reset"]):
+                    if t >= turn:  # an earlier one was folded already: a repeated delivery
+                        fresh[int(t)] = (role, bool(reset))
+            self._expire_later(timerValues)
+            n_waiting += len(fresh)
+            if turn not in fresh and n_waiting <= max_waiting:  # nothing to fold: the list is added to, not rewritten
+                if fresh:
+                    self.waiting.appendList([(t, *fresh[t]) for t in sorted(fresh)])
+                self.counters.update((turn, steps, n_hist, n_waiting))
+                yield _history_rows([])
+                return
+            early = self._early() | fresh
+            state, out = self._fold(int(key[0]), (turn, steps, n_hist, 0), early, over_gaps=len(early) > max_waiting)
+            self.counters.update(state)
             if early:
                 self.waiting.put([(t, *early[t]) for t in sorted(early)])
             else:
                 self.waiting.clear()
-            yield pd.DataFrame(out, columns=["conv_id", "turn", "n_history", "step"])
+            yield _history_rows(out)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            _, out = self._fold(int(key[0]), self._load(), self._early(), over_gaps=True)
+            self.counters.clear()
+            self.waiting.clear()
+            yield _history_rows(out)
 
         def close(self):
             pass
@@ -211,20 +247,28 @@ def _history_processor(ttl_ms: int | None):
     return HistoryProcessor()
 
 
-def history_state(turns: DataFrame, ttl: str | None = None) -> DataFrame:
+def _history_rows(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["conv_id", "turn", "n_history", "step"])
+
+
+def history_state(turns: DataFrame, ttl: str | None = None, max_waiting: int = 100_000) -> DataFrame:
     """History length and step of every user turn; turns are numbered from 0.
     A turn behind a gap waits for the missing one: what still waits when the
     available input has ended comes from :func:`open_history`.  The text never
-    enters the state: three numbers a conversation, and the turns that wait
-    for an earlier one.
+    enters the state: four numbers a conversation, and the turns that wait
+    for an earlier one, ``max_waiting`` at most.  Beyond that, and when a
+    conversation has been silent for ``ttl``, the gap is given up: what waits
+    is folded in its order and returned, and a turn that comes for the gap
+    later is taken for a repeated delivery.
 
     Turns carry no event time, so expiry goes by processing time: give a
-    ``ttl`` ("7 days") to a stream that runs on.  A run over the available
-    input must not have one (in that mode Spark never runs out of batches)."""
+    ``ttl`` ("7 days") to a stream that runs on, whose conversations end.  A
+    run over the available input must not have one (in that mode Spark never
+    runs out of batches)."""
     ttl_ms = int(pd.Timedelta(ttl).total_seconds() * 1000) if ttl else None
     return (turns.select("conv_id", "turn", "role", F.coalesce("is_reset", F.lit(False)).alias("is_reset"))
             .groupBy("conv_id")
-            .transformWithStateInPandas(statefulProcessor=_history_processor(ttl_ms),
+            .transformWithStateInPandas(statefulProcessor=_history_processor(ttl_ms, max_waiting),
                                         outputStructType=HISTORY_OUT, outputMode="Append",
                                         timeMode="ProcessingTime" if ttl else "None"))
 

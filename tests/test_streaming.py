@@ -90,3 +90,47 @@ def test_history_state_returns_turns_behind_a_gap(spark):
     steps = {(c, t): sum(a == c and b < t and r == "assistant" for a, b, r, *_ in rows) for c, t, *_ in rows}
     want = [(r.conv_id, r.turn, len(r.history), steps[r.conv_id, r.turn]) for r in CV.history_fold(turns).collect()]
     assert sorted(map(tuple, got)) == sorted(want) and len({c for c, *_ in want}) == 6
+
+
+def _gappy_stream(spark, name):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", SM.ROCKSDB)
+    d = tempfile.mkdtemp(prefix=f"arbiter-{name}-")
+    schema = "conv_id long, turn long, role string, text string, is_reset boolean"
+    rows = [(c, t, "assistant" if t % 2 else "user", "x", False) for c in (1, 2, 3) for t in range(6) if (c, t) not in ((1, 2), (2, 0))]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(d, "in", "b1"))
+    return d, spark.readStream.schema(schema).parquet(os.path.join(d, "in", "*")), rows
+
+
+def _expected(rows):
+    want = []
+    for c, t, role, *_ in rows:
+        before = [r for k, u, r, *_ in rows if k == c and u < t]
+        if role == "user":
+            want.append((c, t, len(before), before.count("assistant")))
+    return sorted(want)
+
+
+def test_waiting_turns_are_returned_when_a_silent_conversation_expires(spark):
+    import time
+    d, src, rows = _gappy_stream(spark, "expire")
+    out = os.path.join(d, "out")
+    q = (SM.history_state(src, ttl="3 seconds").writeStream.outputMode("append").format("parquet").option("path", out)
+         .option("checkpointLocation", os.path.join(d, "ck")).trigger(processingTime="1 second").start())
+    try:
+        deadline = time.time() + 90
+        while time.time() < deadline:
+            time.sleep(1)
+            got = sorted(map(tuple, spark.read.schema(SM.HISTORY_OUT).parquet(out).collect())) if os.path.isdir(out) else []
+            if len(got) == len(_expected(rows)):
+                break
+    finally:
+        q.stop()
+    assert got == _expected(rows)
+
+
+def test_waiting_turns_are_bounded(spark):
+    d, src, rows = _gappy_stream(spark, "bound")
+    out = os.path.join(d, "out")
+    (SM.history_state(src, max_waiting=2).writeStream.outputMode("append").format("parquet").option("path", out)
+     .option("checkpointLocation", os.path.join(d, "ck")).trigger(availableNow=True).start().awaitTermination())
+    assert sorted(map(tuple, spark.read.schema(SM.HISTORY_OUT).parquet(out).collect())) == _expected(rows)
