@@ -12,7 +12,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arbiter.functions.text import col
@@ -26,22 +26,67 @@ def split_label(key, seed: str = "s", bounds=(60, 80)) -> Column:
             .otherwise(F.lit("test")))
 
 
+def exact_split(df: DataFrame, key: str, shares: dict[str, float], seed: str = "s") -> DataFrame:
+    """``df`` with ``split``: sizes exact to the row, membership stable.
+
+    Rows are ordered by (md5 of seed and key, key), which is unique where the
+    key is; the first split takes the first share * n of them, rounded, and so
+    on.  The row at each cut is a distributed order statistic: rows are counted
+    by the first 16 bits of the hash, the counts say which of the 65,536 slices
+    holds the cut, and the rows of that slice alone are ranked.  The split is
+    then a comparison with the few cuts: nothing is shuffled or sorted.
+
+    A NULL key counts as an empty one; rows of one key stay together (a cut
+    that meets a repeated key is off by its copies)."""
+    digest, text = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")))), F.coalesce(
+        F.col(key).cast("string"), F.lit(""))
+    x = df.select(digest.alias("h"), text.alias("k"), F.substring(digest, 1, 4).alias("slice"))
+    sizes = {r["slice"]: r["count"] for r in x.groupBy("slice").count().collect()}  # 65,536 numbers at most
+    total, cuts, share = sum(sizes.values()), [], 0.0
+    for name in list(shares)[:-1]:
+        share += shares[name]
+        cuts.append(int(share * total + 0.5))
+    out, at = F.lit(list(shares)[-1]), 0
+    bounds: dict[int, tuple[str, str]] = {}
+    for slice_name in sorted(sizes):
+        inside = [c for c in cuts if at <= c < at + sizes[slice_name]]
+        if inside:
+            w = Window.orderBy("h", "k")
+            ranked = x.where(F.col("slice") == slice_name).select("h", "k", (F.row_number().over(w) - 1 + at).alias("place"))
+            bounds |= {r["place"]: (r["h"], r["k"]) for r in ranked.where(F.col("place").isin(inside)).collect()}
+        at += sizes[slice_name]
+    for name, cut in reversed(list(zip(shares, cuts))):
+        if cut < total:
+            h, k = bounds[cut]
+            out = F.when((digest < h) | ((digest == h) & (text < k)), F.lit(name)).otherwise(out)
+        else:
+            out = F.lit(name)
+    return df.withColumn("split", out)
+
+
 def exact_mse(pred, label, decimals: int = 2) -> Column:
     """Mean squared error of values stored at ``decimals`` places, summed as
     exact integers (DECIMAL(38,0)) and divided once: independent of
-    partitioning and summation order."""
+    partitioning and summation order.  Rows without a prediction or a label
+    count neither above nor below; NULL where no row has both."""
     scale = 10 ** decimals
     err = F.round((col(pred) - col(label)) * F.lit(float(scale))).cast("decimal(38,0)")
     sq = F.sum(err * err)
-    return sq.cast("double") / (F.count(F.lit(1)).cast("double") * F.lit(float(scale * scale)))
+    return F.try_divide(sq.cast("double"), F.count(err).cast("double") * F.lit(float(scale * scale)))
 
 
 def prediction_mse(preds: DataFrame, model_cols: list[str], label: str = "label",
-                   decimals: int = 2) -> DataFrame:
-    """MSE per model from a wide prediction table (one column per model)."""
+                   decimals: int = 2, common: bool = False) -> DataFrame:
+    """MSE per model from a wide prediction table (one column per model), the
+    rows it is the mean of (``n``) and those that lack a prediction or a label
+    (``n_missing``).  ``common`` keeps to the rows that every model predicted,
+    so that models are compared on the same rows."""
+    if common:
+        preds = preds.dropna(subset=[label, *model_cols])
     long = preds.select(label, *model_cols).unpivot([label], model_cols, "model", "prediction")
+    there = F.col("prediction").isNotNull() & F.col(label).isNotNull()
     return long.groupBy("model").agg(exact_mse("prediction", label, decimals).alias("mse"),
-                                     F.count(F.lit(1)).alias("n"))
+                                     F.count_if(there).alias("n"), F.count_if(~there).alias("n_missing"))
 
 
 def align(key: str, tables: list[DataFrame]) -> DataFrame:
