@@ -21,10 +21,15 @@ Equal vectors are collapsed before the search.  Lists and probes are cut into
 blocks of bounded size; a block returns link counts per vector and a spanning
 forest of its links, never the pairs.
 
+Rows are numbered for the search, so ids only name the result.
+
 Defined results: a vector that is null, zero or has null or non-finite
-components, or whose label is null, links with nothing; vectors of different
-lengths never link; repeated rows are separate vectors; an empty table gives
-no rows; extra columns are ignored.
+components, or whose label is null, links with nothing; labels of any type
+are compared as they are; vectors of different lengths never link; repeated
+rows, and other vectors under one id, are separate vectors; a null id is the
+smallest of no group, so only a group that has no other has a null
+``component_id`` (its rows are all ``kept``); an empty table gives no rows;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,13 +42,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arbiter.llm.common import lean, parts_for, prepare, written
 from arbiter.llm.components import connected_components, local_labels
 
-VECTOR = "vec_id long, label long, dim int, vec binary"
-
-
 def _kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
     rng = np.random.default_rng(seed)
     centres = x[rng.choice(len(x), k, replace=False)].copy()
@@ -104,10 +107,14 @@ def vectors(df: DataFrame) -> DataFrame:
     """vec_id, label, dim and unit vector (little-endian doubles) of every
     vector that can link; the norm is taken after scaling by the largest
     component, so no square over- or underflows."""
+    rows = df.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding")
+    schema = T.StructType([rows.schema["vec_id"], rows.schema["label"]]).add("dim", "integer").add("vec", "binary")
+
     def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], []]
-            for vec_id, label, v in zip(*(batch.column(c) for c in range(3))):
+            at: list[int] = []
+            out: list[bytes] = []
+            for i, (label, v) in enumerate(zip(batch.column(1), batch.column(2))):
                 if not label.is_valid or not v.is_valid or v.values.null_count or not len(v.values):
                     continue
                 x = v.values.to_numpy(zero_copy_only=False).astype("<f8")
@@ -115,14 +122,14 @@ def vectors(df: DataFrame) -> DataFrame:
                 if not np.isfinite(top) or top == 0:
                     continue
                 x = x / top
-                for col, value in zip(out, (vec_id.as_py(), label.as_py(), len(x),
-                                            (x / np.sqrt((x * x).sum())).astype("<f8").tobytes())):
-                    col.append(value)
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
-                                             ["vec_id", "label", "dim", "vec"])
+                at.append(i)
+                out.append((x / np.sqrt((x * x).sum())).astype("<f8").tobytes())
+            some = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(some), batch.column(1).take(some),
+                 pa.array([len(v) // 8 for v in out], pa.int32()), pa.array(out, pa.binary())], schema.names)
 
-    return df.select(F.col("vec_id").cast("long"), F.col("label").cast("long"), "embedding").mapInArrow(lean(unit), VECTOR)
+    return rows.mapInArrow(lean(unit), schema)
 
 
 def _matrix(column, width: int) -> np.ndarray:
@@ -137,18 +144,18 @@ def _matrix(column, width: int) -> np.ndarray:
 def fit_index(distinct: DataFrame, sample_rows: int = 8192, rows_per_cell: int = 1024, max_cells: int = 1024,
               subspaces: int = 8) -> tuple[ProductQuantiser, int] | None:
     """Quantiser from at most about ``sample_rows`` vectors (chosen by a hash
-    of the id), and the padded width; None if there are no vectors.  Lists
+    of the vector), and the padded width; None if there are no vectors.  Lists
     are kept per label, so the largest label sets the number of cells."""
     by_label = distinct.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.max("dim").alias("dim"))
     n, largest, widest = by_label.agg(F.sum("n"), F.max("n"), F.max("dim")).first()
     if not n:
         return None
     width = -(-widest // subspaces) * subspaces
-    share = F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < int(min(1.0, sample_rows / n) * (1 << 30))
-    rows = distinct.where(share).select("rep", "vec").toArrow()
+    share = F.pmod(F.xxhash64("vec"), F.lit(1 << 30)) < int(min(1.0, sample_rows / n) * (1 << 30))
+    rows = distinct.where(share).select("vec").toArrow()
     if not rows.num_rows:
-        rows = distinct.select("rep", "vec").limit(1).toArrow()
-    x = _matrix(rows.sort_by("rep").column("vec"), width)
+        rows = distinct.select("vec").limit(1).toArrow()
+    x = _matrix(rows.sort_by("vec").column("vec"), width)
     return ProductQuantiser.fit(x, min(max_cells, parts_for(largest, rows_per_cell)), subspaces), width
 
 
@@ -157,7 +164,8 @@ def link_blocks(distinct: DataFrame, index: ProductQuantiser, width: int, thresh
     """(rep, links, root): link counts of vectors and forests, block by block."""
     radius = math.sqrt(2 - 2 * threshold) + 1e-9
     model = distinct.sparkSession.sparkContext.broadcast(index)
-    placed = "rep long, copies long, label long, dim int, cell int, query boolean, code binary, miss double, vec binary"
+    placed = T.StructType([*(distinct.schema[c] for c in ("rep", "copies", "label", "dim"))]).add("cell", "integer").add(
+        "query", "boolean").add("code", "binary").add("miss", "double").add("vec", "binary")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,7 +182,7 @@ def link_blocks(distinct: DataFrame, index: ProductQuantiser, width: int, thresh
                 [*(batch.column(c).take(pa.array(at)) for c in ("rep", "copies", "label", "dim")),
                  pa.array(np.concatenate((cell, probe)).astype(np.int32)), pa.array(query), codes,
                  pa.array(miss[at]), batch.column("vec").take(pa.array(at))],
-                [c.split()[0] for c in placed.split(", ")])
+                placed.names)
 
     key = ["label", "dim", "cell"]
     rows = written(distinct.select("rep", "copies", "label", "dim", "vec").mapInArrow(lean(place), placed), "placed")
@@ -221,25 +229,26 @@ def near_duplicates(df: DataFrame, threshold: float = 0.98, sample_rows: int = 8
     prepare(df.sparkSession)
     rows = written(vectors(df), "vectors")
     same = ["label", "dim", "vec"]
-    distinct = written(rows.groupBy(*same).agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")),
-                       "distinct-vectors")
-    everything = df.select(F.col("vec_id").cast("long").alias("vec_id"))
-    fitted = fit_index(distinct, sample_rows)
-    if fitted is None:
-        return everything.select("vec_id", F.lit(0).cast("long").alias("n_links"),
-                                 F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    found = written(link_blocks(distinct, *fitted, threshold, margin=margin), "links")
-    n_links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    groups = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    per_rep = (distinct.join(n_links, "rep", "left")
-               .join(groups, F.col("rep") == F.col("node"), "left")
-               .select(*same, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                       F.coalesce("component", "rep").alias("component_id")))
-    linked = rows.join(per_rep, same).select("vec_id", "n_links", "component_id")
+    distinct = written(rows.groupBy(*same).agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("copies"))
+                       .withColumn("rep", F.monotonically_increasing_id()), "distinct-vectors")
     # rows that can't link come back from the table itself
     loose = _unlinkable(df).select("vec_id", F.lit(0).cast("long").alias("n_links"),
                                    F.col("vec_id").alias("component_id"))
-    return linked.union(loose).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    out = loose
+    fitted = fit_index(distinct, sample_rows)
+    if fitted is not None:
+        found = written(link_blocks(distinct, *fitted, threshold, margin=margin), "links")
+        n_links = found.groupBy("rep").agg(F.sum("links").alias("links"))
+        groups = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
+        lowest = (groups.join(distinct.select("rep", "low"), F.col("node") == F.col("rep"))
+                  .groupBy("component").agg(F.min("low").alias("lowest")))
+        named = groups.join(lowest, "component").select("node", "lowest", F.lit(True).alias("grouped"))
+        per_rep = (distinct.join(n_links, "rep", "left")
+                   .join(named, F.col("rep") == F.col("node"), "left")
+                   .select(*same, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+                           F.when(F.col("grouped"), F.col("lowest")).otherwise(F.col("low")).alias("component_id")))
+        out = rows.join(per_rep, same).select("vec_id", "n_links", "component_id").union(loose)
+    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 def _unlinkable(df: DataFrame) -> DataFrame:

@@ -184,20 +184,21 @@ def shard_bits(keys: int) -> int:
     return max(LEAST_SHARDS, -(-keys // KEYS_PER_SHARD) - 1).bit_length()
 
 
-def cells_of(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def cells_of(h: np.ndarray, bits: int, cell_bits: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sort hashes into cells: (permutation, group starts, distinct cells);
-    a cell is the hash's first ``32 + bits`` bits."""
-    cell = h >> np.uint64(32 - bits)
+    a cell is the hash's first ``cell_bits + bits`` bits."""
+    cell = h >> np.uint64(64 - cell_bits - bits)
     at, first = group(cell)
     return at, first, cell[at][first]
 
 
-def cell_rows(seg: int, h: np.ndarray, bits: int) -> Iterator[tuple]:
-    at, first, cell = cells_of(h, bits)
+def cell_rows(seg: int, h: np.ndarray, bits: int, cell_bits: int = 32, first_shard: int = 0) -> Iterator[tuple]:
+    at, first, cell = cells_of(h, bits, cell_bits)
     many = np.diff(first, append=len(at)) > 1
-    shard = (cell >> np.uint64(32)).astype(np.int64)
+    shard = (cell >> np.uint64(cell_bits)).astype(np.int64) + first_shard
+    cell = (cell & np.uint64((1 << cell_bits) - 1)).astype(np.uint32)
     for a, b in _runs(shard):
-        yield seg, int(shard[a]), None, _delta(cell[a:b].astype(np.uint32)), None, pack_bits(many[a:b])
+        yield seg, int(shard[a]), None, _delta(cell[a:b]), None, pack_bits(many[a:b])
 
 
 def name_rows(seg: int, order: np.ndarray, tie: np.ndarray, shard: np.ndarray, many: np.ndarray | None) -> Iterator[tuple]:

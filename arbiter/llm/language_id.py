@@ -14,27 +14,32 @@ For prediction an embedding and a filter tap fold into one table per byte
 byte and no multiplication.
 
 Defined results: ``und`` with score 0 for a null text, one without a letter,
-or when there is nothing to learn from; a text shorter than a window is
-padded; repeated rows are predicted one by one; extra columns are ignored.
+or when there is nothing to learn from (a letter is a code point of Unicode's
+category L); a text shorter than a window is padded; repeated rows are
+predicted one by one; a null ``doc_id`` has a null ``held_out`` and is not
+learned from; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arbiter.llm.common import lean, prepare
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 PAD = 0
 UNDETERMINED = "und"
+# The filter takes a text of so many letters for none of the languages if no
+# language has this score; a shorter one gives too little to judge by.
+LEAST_SCORE, ENOUGH_LETTERS = 0.4, 20
 
 
 def encode(text: str) -> np.ndarray:
@@ -162,18 +167,34 @@ class Predictor:
             out.append(total.reshape(n, size, -1).max(1))
         return np.concatenate(out, 1)
 
-    def predict(self, text: str | None, chunk: int = 64) -> tuple[str, float]:
-        if not text or not self.net.languages or not LETTER.search(text):
-            return UNDETERMINED, 0.0
-        windows = self.net.windows(encode(text))
-        total = np.zeros(len(self.net.languages))
-        for a in range(0, len(windows), chunk):
-            x = windows[a:a + chunk]
-            letters = ((x >= 0x61) & (x <= 0x7A) | (x >= 0x80)).sum(1)
-            total += (letters + 1e-6) @ self.net.probabilities(self.pooled(x))
-        total /= total.sum()
-        best = int(total.argmax())
-        return self.net.languages[best], min(1.0, float(total[best]))
+    def predict(self, texts: list[str | None], chunk: int = 64) -> list[tuple[str, float]]:
+        """(language, score) of each text.  Windows of all texts go through
+        the network together, ``chunk`` at a time."""
+        total = np.zeros((len(texts), max(1, len(self.net.languages))))
+        held: list[np.ndarray] = []
+        of: list[int] = []
+
+        def score(windows: np.ndarray, text: np.ndarray) -> None:
+            letters = ((windows >= 0x61) & (windows <= 0x7A) | (windows >= 0x80)).sum(1)
+            np.add.at(total, text, (letters + 1e-6)[:, None] * self.net.probabilities(self.pooled(windows)))
+
+        known = [i for i, t in enumerate(texts) if t and self.net.languages and LETTER.search(t)]
+        for i in known:
+            windows = self.net.windows(encode(texts[i]))
+            for a in range(0, len(windows), chunk):
+                held.append(windows[a:a + chunk])
+                of += [i] * len(held[-1])
+                if len(of) >= chunk:
+                    score(np.concatenate(held), np.array(of))
+                    held, of = [], []
+        if of:
+            score(np.concatenate(held), np.array(of))
+        found = [(UNDETERMINED, 0.0)] * len(texts)
+        for i in known:
+            share = total[i] / total[i].sum()
+            best = int(share.argmax())
+            found[i] = (self.net.languages[best], min(1.0, float(share[best])))
+        return found
 
 
 def held_out(doc_id: Column) -> Column:
@@ -208,21 +229,26 @@ def identify(docs: DataFrame, sample_rows: int = 8000) -> DataFrame:
     return predict(docs, net)
 
 
-def keep_identified(docs: DataFrame, sample_rows: int = 8000) -> DataFrame:
-    """The rows of ``docs`` whose text has a language, all columns as they are.
-    Without a labelled row to learn from these are the texts with a letter."""
+def keep_identified(docs: DataFrame, sample_rows: int = 8000, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` whose text has a language, all columns as they are:
+    it has a letter, and a score of at least ``least_score`` unless it is
+    shorter than ``ENOUGH_LETTERS``.  Without a labelled row to learn from
+    these are the texts with a letter."""
     prepare(docs.sparkSession)
     rows = training_windows(docs, sample_rows)
     model = docs.sparkSession.sparkContext.broadcast(train([r[2] for r in rows], [r[1] for r in rows]) if rows else None)
 
-    @F.pandas_udf("string")
-    def language(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("boolean")
+    def identified(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predictor = Predictor(model.value) if model.value else None
-        named = lambda t: predictor.predict(t)[0] if predictor else "" if t and LETTER.search(t) else UNDETERMINED
         for texts in parts:
-            yield pd.Series([named(t) for t in texts], dtype="str")
+            if predictor:
+                yield pd.Series([lang != UNDETERMINED and (score >= least_score or len(LETTER.findall(t)) < ENOUGH_LETTERS)
+                                 for t, (lang, score) in zip(texts, predictor.predict(texts.tolist()))], dtype=bool)
+            else:
+                yield pd.Series([bool(t and LETTER.search(t)) for t in texts], dtype=bool)
 
-    return docs.where(language("text") != UNDETERMINED)
+    return docs.where(identified("text"))
 
 
 def predict(docs: DataFrame, net: ByteCnn | None) -> DataFrame:
@@ -231,7 +257,8 @@ def predict(docs: DataFrame, net: ByteCnn | None) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = Predictor(model.value) if model.value else None
         for batch in batches:
-            found = [predictor.predict(t.as_py()) if predictor else (UNDETERMINED, 0.0) for t in batch.column(2)]
+            texts = batch.column(2).to_pylist()
+            found = predictor.predict(texts) if predictor else [(UNDETERMINED, 0.0)] * len(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])

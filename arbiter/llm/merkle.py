@@ -4,14 +4,19 @@ A text is cut into sections (at blank lines) and these into paragraphs (at
 line ends).  A paragraph's digest is the SHA-256 of its text, a section's of
 its paragraphs' digests, the root of the sections' digests: equal texts have
 equal roots, and from two unequal roots the differing branches lead to the
-edited paragraphs (:func:`locate_edits`).  Under the paragraphs hang the
-64-bit hashes of their sentences, on which :func:`likeness` compares two
-trees: twice the common sentences over the sentences of both, 1 for equal
-texts.
+edited paragraphs (:func:`locate_edits`).  Under a paragraph hang its leaves,
+pieces of up to ``LEAF_WORDS`` words of a sentence.
+
+:func:`likeness` compares two trees.  A node's digest stands for all that is
+below it, so the nodes that two trees share (the same level and digest) are
+the branches that a walk from both roots need not enter and, inside those it
+does enter, what it finds again.  Twice the shared nodes over the nodes of
+both is 1 for equal roots and only for them, as a changed leaf changes every
+node above it; half a text replaced leaves about the nodes of the other half.
 
 Defined results: a null text is empty; an empty text is one empty paragraph;
-repeated rows are fingerprinted one by one; an empty table gives no rows;
-extra columns are ignored.
+repeated rows are fingerprinted one by one; rows without an id come first in
+the order of ids; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,11 +24,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arbiter.llm.common import parts_for, prepare
+from arbiter.llm.common import prepare
 
 SECTION_BREAK = r"\n\n"
 PARAGRAPH_BREAK = r"\n"
 SENTENCE_BREAK = r"(?<=[.!?]) |\n"
+LEAF_WORDS = 2
+LEAF = r"(?:\S+\s*){1,%d}" % LEAF_WORDS
 
 
 def _digest(parts: Column) -> Column:
@@ -43,21 +50,28 @@ def root(tree_col: Column) -> Column:
     return _digest(tree_col["digest"])
 
 
-def sentence_hashes(text: Column) -> Column:
-    return F.array_distinct(F.transform(F.split(text, SENTENCE_BREAK, -1), lambda s: F.xxhash64(s)))
+def nodes(text: Column) -> Column:
+    """64-bit names of the distinct nodes of a text's tree: root, sections,
+    paragraphs and leaves, each level with a mark of its own."""
+    tree_col = tree(text)
+    named = lambda level, digest: F.xxhash64(F.lit(level), digest)
+    paragraphs = F.flatten(F.transform(tree_col, lambda s: F.transform(s["paragraphs"], lambda p: named(2, p))))
+    sections = F.transform(tree_col, lambda s: named(1, s["digest"]))
+    leaves = F.flatten(F.transform(F.split(text, SENTENCE_BREAK, -1), lambda s: F.transform(
+        F.regexp_extract_all(s, F.lit(LEAF), F.lit(0)), lambda leaf: named(3, leaf))))
+    return F.array_distinct(F.concat(F.array(named(0, root(tree_col))), sections, paragraphs, leaves))
 
 
 def likeness(left: Column, right: Column) -> Column:
-    """Of two arrays of sentence hashes, 0 to 1."""
+    """Of two arrays of node names, 0 to 1."""
     return 2.0 * F.size(F.array_intersect(left, right)) / (F.size(left) + F.size(right))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, text, n_chars, sentences, fingerprint."""
+    """doc_id, text, n_chars, fingerprint."""
     text = F.coalesce("text", F.lit(""))
     return (docs.select("doc_id", text.alias("text"))
             .withColumn("n_chars", F.length("text").cast("long"))
-            .withColumn("sentences", sentence_hashes(F.col("text")))
             .withColumn("fingerprint", root(tree(F.col("text")))))
 
 
@@ -87,19 +101,19 @@ def id_buckets(docs: DataFrame, rows_per_bucket: int = 64, max_cells: int = 1 <<
     """Consecutive ranges of ``doc_id``: the cell of a row, and the table
     cell, bucket, first_id, before (the bucket that comes before, in a ring).
 
-    Cells are equal slices of the id range, at most ``max_cells``, so the
-    table stays small enough to broadcast whatever the input; neighbouring
-    cells make a bucket of about ``rows_per_bucket`` rows."""
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    low, high = low or 0, high or 0
-    cells = min(max_cells, parts_for(n, 64, 1024))
-    width = (high - low) // cells + 1
-    cell = F.coalesce(F.expr(f"(doc_id - {low}L) div {width}L"), F.lit(-1).cast("long"))
+    Cells are slices of one width, the smallest (a power of four) that leaves
+    at most ``max_cells`` of them with rows, so a few ids far off do not widen
+    the others' and the table stays small enough to broadcast whatever the
+    input; neighbouring cells make a bucket of about ``rows_per_bucket`` rows."""
+    widths = [4 ** i for i in range(32)]
+    found = docs.agg(*[F.approx_count_distinct(F.expr(f"doc_id div {w}L"), 0.02) for w in widths]).first()
+    width = next((w for w, n in zip(widths, found) if n <= 0.9 * max_cells), widths[-1])
+    cell = F.coalesce(F.expr(f"doc_id div {width}L"), F.lit(-(1 << 62)))   # rows without an id first
     counts = docs.select("doc_id", cell.alias("cell")).groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"))
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id")).alias("first"))   # in a struct a null is the smallest
     running = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = counts.withColumn("bucket", F.floor((F.sum("n").over(running) - F.col("n")) / rows_per_bucket))
-    firsts = numbered.groupBy("bucket").agg(F.min("first_id").alias("first_id"))
+    firsts = numbered.groupBy("bucket").agg(F.min("first")["doc_id"].alias("first_id"))
     ring = Window.orderBy("bucket")
     last = F.max("bucket").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     firsts = firsts.withColumn("before", F.coalesce(F.lag("bucket").over(ring), last))
@@ -107,7 +121,7 @@ def id_buckets(docs: DataFrame, rows_per_bucket: int = 64, max_cells: int = 1 <<
 
 
 def with_next(prints: DataFrame, docs: DataFrame) -> DataFrame:
-    """Adds ``next_text`` and ``next_sentences`` of the document with the next
+    """Adds ``next_text``, the text of the document with the next
     larger id (the last one: of the first; of equal ids, by size and root).
 
     Texts move once: a bucket of consecutive ids is one window, and the first
@@ -122,7 +136,6 @@ def with_next(prints: DataFrame, docs: DataFrame) -> DataFrame:
         *prints.columns, F.col("seat.bucket").alias("bucket"), F.col("seat.guest").alias("guest"))
     order = Window.partitionBy("bucket").orderBy("guest", "doc_id", "n_chars", "fingerprint")
     return (rows.withColumn("next_text", F.lead("text").over(order))
-            .withColumn("next_sentences", F.lead("sentences").over(order))
             .where(~F.col("guest")).drop("bucket", "guest"))
 
 
@@ -135,8 +148,10 @@ def edit_likeness(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("edited", F.concat(
         F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")),
         F.substring("next_text", F.lit(1), half)))
+    # trees are built where the texts have met: their nodes need not travel
+    rows = rows.withColumn("nodes", nodes(F.col("text")))
     return rows.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
         root(tree(F.col("edited"))).alias("edited_fingerprint"),
-        likeness(F.col("sentences"), sentence_hashes(F.col("edited"))).alias("near_edited"),
-        likeness(F.col("sentences"), F.col("next_sentences")).alias("near_next"))
+        likeness(F.col("nodes"), nodes(F.col("edited"))).alias("near_edited"),
+        likeness(F.col("nodes"), nodes(F.col("next_text"))).alias("near_next"))

@@ -159,10 +159,11 @@ def pack(piece_rows: DataFrame, window: int = 1024, shards: int | None = None) -
 
 def pack_documents(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None,
                    window: int = 1024, rows_per_shard: int = 20_000, with_ids: bool = False) -> DataFrame:
-    """Tokenise, cut and pack ``docs``; see the module text.  Shards grow in
-    number with the documents, up to the session's shuffle partitions."""
+    """Tokenise, cut and pack ``docs``; see the module text.  The number of
+    shards follows the documents alone, so a shard and its tree of open
+    windows stay the same size however large the corpus is."""
     prepare(docs.sparkSession)
-    shards = min(shuffle_partitions(docs.sparkSession), parts_for(docs.count(), rows_per_shard))
+    shards = parts_for(docs.count(), rows_per_shard)
     return pack(pieces(docs, tokenizer, ranks, pattern, window, with_ids=with_ids), window, shards)
 
 

@@ -175,11 +175,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, blocks
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """One row of ``docs`` of each group of near duplicates, all columns as
     they are: the smallest id (a null one last), of equal ids the smallest hash
-    of the text, of equal rows any one."""
+    of the text, of these the smallest hash of the whole row, and of rows that
+    are equal in every column one."""
     prints, groups = grouped(docs, shingle, max_bits)
     first = (prints.join(groups, "fp").groupBy("group")
              .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("k"))
              .select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash")))
+    whole = F.sha2(F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"}), 256)
     hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
-    return (hashed.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
-            .dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash"))
+    kept = hashed.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
+    # one row per (id, text): the smallest by a hash of everything in it
+    return (kept.groupBy("doc_id", "_text_hash").agg(F.min_by(F.struct(*docs.columns), whole).alias("row"))
+            .select("row.*"))

@@ -1,16 +1,23 @@
 """Exact removal of repeated word windows, behind a count-min prefilter.
 
-Pass 1 sketches the windows: every segment sends its distinct window cells
-(a sparse count-min row: 32 bits inside a shard, more shards as the corpus
-grows, counts saturated at two), a shard merges the sketches of all segments
-and tells each segment which cells are estimated at two or more.  Estimates
-are never too low.  Pass 2 groups exactly, by 128-bit names, only the windows
-so estimated; a window whose name occurs twice or more, in one document or in
+Pass 1 sketches the windows: a count-min sketch of ``SKETCH_ROWS`` rows, each
+with a hash of its own and counters saturated at two.  A segment sends its
+counters that are not zero, a shard (a range of cells of one row) merges the
+sketches of all segments, and each segment gets back which of its cells are
+at two or more.  A window's estimate is the least of its rows', so it is
+never too low: a window whose cell is below two in any row occurs once.  Rows
+have ``2 ** CELL_BITS`` cells a shard and more shards as the corpus grows, so
+the load of a row, and with it the share of windows passed on for nothing,
+stays the same at every size.
+
+Pass 2 groups exactly only the windows so estimated, by 128 bits of BLAKE2 of
+their words; a window that occurs twice or more, in one document or in
 several, is a repeat, and all words it covers go.
 
 Defined results: a null text has no words; a document shorter than a window
 loses nothing; repeated rows are separate documents, so they repeat each
-other; an empty table gives no rows; extra columns are ignored.
+other; null ids stay null; an empty table gives no rows; extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +33,7 @@ from pyspark.sql import functions as F
 from arbiter.llm import exchange as X
 from arbiter.llm.common import lean, prepare, written
 
-SKETCH_SEED, TIE_SEED = 3, 4
+SKETCH_SEED, SKETCH_ROWS, CELL_BITS = 3, 2, 26
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
@@ -50,17 +57,34 @@ class WordWindows:
         self.at = np.flatnonzero(self.doc[:n] == self.doc[size - 1:size - 1 + n])
         self.size = size
 
-    def hashes(self, seed: int) -> np.ndarray:
-        return X.RollingHash(self.s.bytes, seed)(self.begin[self.at], self.end[self.at + self.size - 1])
+    def hashes(self) -> list[np.ndarray]:
+        """A hash of every window for each row of the sketch."""
+        h = X.RollingHash(self.s.bytes, SKETCH_SEED)(self.begin[self.at], self.end[self.at + self.size - 1])
+        rows = [h]
+        for r in range(1, SKETCH_ROWS):
+            g = (h ^ np.uint64(0x9E3779B97F4A7C15 * r % (1 << 64))) * np.uint64(0xD6E8FEB86659FD93)
+            g ^= g >> np.uint64(32)
+            rows.append(g * np.uint64(0xD6E8FEB86659FD93))
+        return rows
+
+    def sketch(self, bits: int) -> Iterator[tuple]:
+        for r, h in enumerate(self.hashes()):
+            yield from X.cell_rows(self.s.seg, h, bits, CELL_BITS, r << bits)
 
     def estimated(self, bits: int, answer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(windows estimated repeated, their order, their tie)."""
-        h = self.hashes(SKETCH_SEED)
-        at, first, cell = X.cells_of(h, bits)
-        flags = X.flags_of(answer, (cell >> np.uint64(32)).astype(np.int64))
-        some = np.sort(at[np.repeat(flags, np.diff(first, append=len(at)))])
-        self.at = self.at[some]
-        return self.at, h[some], self.hashes(TIE_SEED)
+        """(windows estimated repeated, their order, their tie): both halves
+        of a digest of the window's words."""
+        often = np.ones(len(self.at), bool)
+        for r, h in enumerate(self.hashes()):
+            at, first, cell = X.cells_of(h, bits, CELL_BITS)
+            flags = X.flags_of(answer, (cell >> np.uint64(CELL_BITS)).astype(np.int64) + (r << bits))
+            often[at] &= np.repeat(flags, np.diff(first, append=len(at)))
+        self.at = self.at[often]
+        raw, blake = self.s.raw, hashlib.blake2b
+        digests = b"".join([blake(raw[a:b], digest_size=16).digest() for a, b in zip(
+            self.begin[self.at].tolist(), self.end[self.at + self.size - 1].tolist())])
+        names = np.frombuffer(digests, "<u8").reshape(-1, 2)
+        return self.at, names[:, 0].copy(), names[:, 1].copy()
 
 
 def _shard_of(order: np.ndarray, bits: int) -> np.ndarray:
@@ -79,7 +103,7 @@ def repeated_words(docs: DataFrame, window: int = 35) -> tuple[DataFrame, int]:
         yield from X.key_batches(
             row for batch in batches for i in range(batch.num_rows)
             for s in [X.Segment(batch, i)]
-            for row in X.cell_rows(s.seg, WordWindows(s, window).hashes(SKETCH_SEED), bits))
+            for row in WordWindows(s, window).sketch(bits))
 
     estimate = written(X.answers(segs.mapInArrow(lean(sketch), X.KEYS), X.repeated_cells), "sketch-answers")
 
