@@ -72,9 +72,27 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(key)
 
 
+_OVERRIDDEN: dict[str, str | None] = {}
+
+
+def override_conf(spark: SparkSession, values: dict[str, str]) -> None:
+    """Settings for the jobs that follow, until :func:`apply_runtime_conf`
+    puts back what was there before."""
+    for key, value in values.items():
+        _OVERRIDDEN.setdefault(key, spark.conf.get(key, None))
+        spark.conf.set(key, value)
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Runtime SQL settings that are safe to set on an existing session."""
+    """Runtime SQL settings that are safe to set on an existing session;
+    those that another job overrode are put back."""
     ship_package(spark)
+    while _OVERRIDDEN:
+        key, value = _OVERRIDDEN.popitem()
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.skewJoin.enabled"):
         try:

@@ -35,3 +35,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) >= 1 and "composite" in df.columns
+
+
+def test_settings_of_one_query_do_not_stay(spark):
+    from arbiter.session import apply_runtime_conf, override_conf
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    apply_runtime_conf(spark)
+    before = spark.conf.get(key)
+    override_conf(spark, {key: "7"})
+    override_conf(spark, {key: "9"})
+    assert spark.conf.get(key) == "9"
+    apply_runtime_conf(spark)
+    assert spark.conf.get(key) == before
