@@ -9,20 +9,21 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbiter.session import apply_runtime_conf, scratch_path
+from arbiter.session import apply_runtime_conf, override_conf, scratch_path
 
 # Words of the text contracts: runs of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings of these jobs: Arrow batches small enough for a
-    Python worker, and shuffle files dropped once their query has ended
-    (an operator that writes several tables holds one shuffle at a time)."""
+    """Session settings of these jobs, until the next query's: Arrow batches
+    small enough for a Python worker, and shuffle files dropped once their
+    query has ended (an operator that writes several tables holds one shuffle
+    at a time)."""
     apply_runtime_conf(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    override_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+                          "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+                          "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
 
 
 def lean(work):
