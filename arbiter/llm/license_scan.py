@@ -4,14 +4,18 @@ Two layers:
 
 * base phrases: the places where the words of a short phrase stand one after
   the other (only words count, whatever stands between them);
-* signature rules: some hundred regular expressions, generated from families
-  of licenses, their versions and the usual ways of naming them.  They are
+* signature rules: hundreds of regular expressions, most written by hand
+  (``license_rules``: notices, sentences of the licenses, names, short forms)
+  and some by family (names with a version, Creative Commons kinds).  They are
   ordered: a smaller priority number is more specific.  A rule runs only on a
   text that holds all its key words, wherever they stand (prefilter, one
   Aho-Corasick pass; every match holds each of them as it is written), and
   a detection whose interval lies inside one that ranks before it (priority,
   then length, then start) is suppressed.
 
+In a license expression (``SPDX-License-Identifier: (MIT OR Apache-2.0)``)
+every known identifier is a detection of its own; a ``+`` is ``-or-later``.
+
 Defined results: a null text is empty: no words, no labels, score 0; repeated
 rows are scanned one by one; extra columns are ignored.  One narrow pass.
 
@@ -32,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arbiter.llm import license_rules as LR
 from arbiter.llm.common import lean, prepare
 
 # The base phrases and their labels.
@@ -50,6 +55,7 @@ class Rule:
     priority: int
     keyword: str  # one or more words, each a literal part of every match
     pattern: str
+    group: str | int = 0  # what of the match is the detection
 
 
 # Families: label stem, key words, names as regular expressions, versions.
@@ -100,15 +106,17 @@ PLAIN = [
     ("proprietary", "proprietary", r"proprietary (?:and confidential|licen[cs]e)"),
     ("copyright-notice", "copyright", r"copyright (?:\(c\) |© )?(?:19|20)\d\d"),
 ]
-# Labels of PLAIN that are identifiers as well.
-IDENTIFIERS = ["mit", "isc", "bsd-2-clause", "bsd-3-clause", "bsd-4-clause", "zlib", "unlicense", "wtfpl", "cc0-1.0"]
+# Labels that are no license.
+NO_LICENSE = {"proprietary", "copyright-notice", "public-domain", "commons-clause"}
+# What may stand before an identifier in its expression, on one line.
+EXPRESSION = r"spdx-license-identifier:[ \t]*(?:[ \t(]*[\w.+-]+[ \t)]+(?:or|and|with)[ \t]+)*[ \t(]*"
 
 
 def build_rules() -> list[Rule]:
     """All signature rules, most specific first: identifier lines, names with
     a version, creative-commons kinds with and without one, bare names."""
     rules = []
-    joined = lambda name: name.replace(" ", r"\s+")  # noqa: E731 - lines may break in a name
+    joined = lambda name: name.replace(" ?", r"\s*").replace(" ", r"\s+")  # noqa: E731 - lines may break in a name
     for stem, key, names, versions in FAMILIES:
         for v in versions:
             number = re.escape(v.removesuffix(".0")) + (r"(?:\.0)?" if v.endswith(".0") else "") + r"(?![\d.]*\d)"
@@ -116,8 +124,6 @@ def build_rules() -> list[Rule]:
                                  ("-only", r"[\s,]+only"), ("", "")):
                 if suffix and stem not in ("gpl", "lgpl", "agpl", "gfdl"):
                     continue
-                rules.append(Rule(f"{stem}-{v}{suffix}", 0, "spdx-license-identifier",
-                                  rf"spdx-license-identifier:\s*{stem}-{re.escape(v)}{suffix}(?![\w.-])"))
                 for name in names:
                     rules.append(Rule(f"{stem}-{v}{suffix}", 1 if suffix else 2, key,
                                       rf"\b{joined(name)}[\s,(]*(?:version|v\.?)?\s*{number}{tail}"))
@@ -130,12 +136,17 @@ def build_rules() -> list[Rule]:
             rules.append(Rule(f"cc-{kind}-{v}", 1, "cc", rf"\bcc[\s-]{short}{number}"))
             rules.append(Rule(f"cc-{kind}-{v}", 1, "creative commons",
                               rf"creative\s+commons\s+{long.replace(' ', '[ -]?')}{number}"))
+            rules.append(Rule(f"cc-{kind}-{v}", 1, "creativecommons",
+                              rf"creativecommons\.org/licen[cs]es/{kind}/{re.escape(v)}"))
         rules.append(Rule(f"cc-{kind}", 4, "cc", rf"\bcc[\s-]{short}\b"))
         rules.append(Rule(f"cc-{kind}", 4, "creative commons", rf"creative\s+commons\s+{long.replace(' ', '[ -]?')}\b"))
-    for label in IDENTIFIERS:
-        rules.append(Rule(label, 0, "spdx-license-identifier", rf"spdx-license-identifier:\s*{re.escape(label)}(?![\w.-])"))
     for label, key, expression in PLAIN:
         rules.append(Rule(label, 3, key, rf"(?<!\w){joined(expression)}"))
+    for priority, table in ((1, LR.NOTICES), (3, LR.SENTENCES), (3, LR.NAMES), (4, LR.SHORT)):
+        rules += [Rule(label, priority, key, rf"(?<!\w)(?:{joined(expression)})") for label, key, expression in table]
+    for label in sorted({r.label for r in rules} - NO_LICENSE | set(LR.MORE_IDENTIFIERS)):
+        name = re.escape(label).removesuffix(r"\-or\-later") + (r"(?:\+|\-or\-later)" if label.endswith("-or-later") else "")
+        rules.append(Rule(label, 0, "spdx-license-identifier", rf"{EXPRESSION}(?P<id>{name})(?![\w.+-])", "id"))
     return sorted(rules, key=lambda r: r.priority)
 
 
@@ -165,8 +176,9 @@ class Scanner:
 
     def detections(self, text: str, present: set[str]) -> list[tuple[str, int, int]]:
         """Signature detections that no better one contains."""
-        hits = [(r.priority, m.start() - m.end(), m.start(), m.end(), r.label)
-                for r, keys, pattern in self.rules if keys <= present for m in pattern.finditer(text)]
+        hits = [(r.priority, a - b, a, b, r.label)
+                for r, keys, pattern in self.rules if keys <= present
+                for m in pattern.finditer(text) for a, b in [m.span(r.group)]]
         kept: list[tuple[str, int, int]] = []
         starts: list[int] = []   # kept intervals by start; ends run with them
         ends: list[int] = []     # (none contains another, so both ascend)
