@@ -73,7 +73,26 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-@query("op8_merkle")
+@query("op8_merkle", sql=r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+after AS (SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS next_text FROM d),
+edited AS (SELECT *, left(text, n - n // 2) || left(next_text, n // 2) AS edited FROM after),
+texts AS (SELECT doc_id, 'own' AS which, text AS t FROM edited UNION ALL SELECT doc_id, 'edited', edited FROM edited
+          UNION ALL SELECT doc_id, 'next', next_text FROM edited),
+trees AS (SELECT *, list_transform(string_split(t, chr(10) || chr(10)), lambda s:
+                    list_transform(string_split(s, chr(10)), lambda p: sha256(p))) AS paragraphs FROM texts),
+digests AS (SELECT *, list_transform(paragraphs, lambda ps: sha256(array_to_string(ps, ''))) AS sections FROM trees),
+nodes AS (SELECT doc_id, which, t, sha256(array_to_string(sections, '')) AS root, list_distinct(
+            ['0' || sha256(array_to_string(sections, ''))] || list_transform(sections, lambda s: '1' || s)
+            || list_transform(flatten(paragraphs), lambda p: '2' || p)
+            || list_transform(flatten(list_transform(string_split(regexp_replace(t, '([.!?]) ', '\1' || chr(10), 'g'), chr(10)),
+                 lambda s: regexp_extract_all(s, '(?:[^ \t\n\x0b\f\r]+[ \t\n\x0b\f\r]*){1,2}'))), lambda leaf: '3' || leaf)) AS k
+          FROM digests)
+SELECT o.doc_id, length(o.t) AS n_chars, sha256(e.t) AS edited_sha256, o.root AS fingerprint, e.root AS edited_fingerprint,
+       2.0::DOUBLE * len(list_intersect(o.k, e.k)) / (len(o.k) + len(e.k)) AS near_edited,
+       2.0::DOUBLE * len(list_intersect(o.k, x.k)) / (len(o.k) + len(x.k)) AS near_next
+FROM nodes o JOIN nodes e ON e.doc_id = o.doc_id AND e.which = 'edited' JOIN nodes x ON x.doc_id = o.doc_id AND x.which = 'next'
+WHERE o.which = 'own'""")
 def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edit_likeness(table(spark, sf_dir, "documents"))
 
@@ -173,7 +192,39 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (c["n_hit"] > 0).alias("contaminated"))
 
 
-@query("op12_spelling_variants")
+# CRC-32 bit by bit over the UTF-8 bytes of ASCII and Latin-1 characters.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({0}, ''),
+            lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT] ELSE [195::BIGINT, unicode(ch)::BIGINT - 64] END))),
+          lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda x, r: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+
+@query("op12_spelling_variants", sql=rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS k FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{{C0}}-\x{{FF}}]{{7,}}')) AS run FROM documents)
+  GROUP BY ALL),
+hashed AS (SELECT run, k, {_CRC.format("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM runs),
+words AS (SELECT word, sum(k)::BIGINT AS n FROM (
+            SELECT k, CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2)
+                      ELSE run END AS word FROM hashed)
+          WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+cut AS (SELECT word, n, i, left(word, i::INTEGER - 1) || substr(word, i::INTEGER + 1) AS rest
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (SELECT DISTINCT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+         UNION SELECT DISTINCT c.word, w.word, w.n FROM cut c JOIN words w ON w.word = c.rest
+         UNION SELECT DISTINCT w.word, c.word, c.n FROM cut c JOIN words w ON w.word = c.rest),
+best AS (SELECT word, other, n AS other_n, count(*) OVER (PARTITION BY word) AS n_near FROM near
+         QUALIFY row_number() OVER (PARTITION BY word ORDER BY n DESC, other) = 1),
+forms AS (SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+                 CASE WHEN other_n >= 10 * words.n THEN other END AS form,
+                 CASE WHEN other_n >= 10 * words.n THEN other_n END AS form_n
+          FROM words LEFT JOIN best USING (word)),
+chain(word, root) AS (SELECT word, form FROM forms WHERE form IS NOT NULL
+                      UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL),
+roots AS (SELECT c.word, c.root FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NULL)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM forms LEFT JOIN roots USING (word)""")
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_spellings(table(spark, sf_dir, "documents"), shortest=7, least=2, ratio=10, noise=31)
 
