@@ -187,16 +187,23 @@ def search_topk(table: DataFrame, id_col: str, vec: str, queries: DataFrame, qid
             q = _matrix(batch.column("v"), dim)
             score = q @ s.T
             bound = (_chord(np.partition(score, -k, axis=1)[:, -k]) if len(s) >= k else np.full(len(q), 2.0)) + SLACK
+            found: list[tuple] = []   # (query, places of its blocks, distances, gaps, own block)
+            held = 0
             for i, to_pivots in enumerate(_chord(q @ c.T)):
                 d = to_pivots[ball]
                 gap = np.maximum(np.maximum(low - d, d - high), 0.0)
                 at = np.flatnonzero(gap <= bound[i])
                 home = at[np.lexsort((d[at], gap[at]))[0]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column("qid")[i].as_py()] * len(at), batch.schema.field("qid").type),
-                     *(pa.array(x[at].astype(np.int32)) for x in (ball, ring, parts)), pa.array(d[at]), pa.array(gap[at]),
-                     pa.array(np.full(len(at), bound[i])), pa.array(at == home)],
-                    ["qid", "ball", "ring", "parts", "d", "gap", "bound", "home"])
+                found.append((np.full(len(at), i), at, d[at], gap[at], at == home))
+                held += len(at)
+                if held >= 1 << 16 or i == len(q) - 1:
+                    query, at, d, gap, home = (np.concatenate(x) for x in zip(*found))
+                    found, held = [], 0
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("qid").take(pa.array(query)),
+                         *(pa.array(x[at].astype(np.int32)) for x in (ball, ring, parts)), pa.array(d), pa.array(gap),
+                         pa.array(bound[query]), pa.array(home)],
+                        ["qid", "ball", "ring", "parts", "d", "gap", "bound", "home"])
 
     visits = checkpointed(asked.mapInArrow(aim, T.StructType([
         T.StructField("qid", q_type), *(T.StructField(c, T.IntegerType()) for c in ("ball", "ring", "parts")),
