@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arbiter.llm.common import lean, release_memory
+from arbiter.llm.common import lean, release_memory, shuffle_partitions
 
 SEGMENT = "seg long, doc_ids array<long>, sizes array<int>, blob binary"
 KEYS = "seg long, shard int, high binary, low binary, tie binary, many binary"
@@ -48,8 +48,9 @@ def segments(docs: DataFrame, ordered: bool, clean: Callable[[bytes], bytes] | N
     schema = T._parse_datatype_string(SEGMENT)
     if carry:
         schema.add("rest", T.ArrayType(rows.schema["rest"].dataType))
-    if ordered:
-        rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    if ordered:  # ranges of the whole order, so an id that many rows share is cut as well
+        order = ["doc_id", F.xxhash64("text")]
+        rows = by_range(rows, docs, order).sortWithinPartitions(*order)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -86,6 +87,15 @@ def segments(docs: DataFrame, ordered: bool, clean: Callable[[bytes], bytes] | N
     return rows.mapInArrow(lean(gather), schema)
 
 
+def by_range(rows: DataFrame, source: DataFrame, order: list, bytes_per_part: int = 256 << 20) -> DataFrame:
+    """Ranges of ``order``: as many as the session's shuffle partitions, more
+    where the planner's size of ``source`` would make one larger than
+    ``bytes_per_part``."""
+    size = int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    parts = size // bytes_per_part
+    return rows.repartitionByRange(parts, *order) if parts > shuffle_partitions(rows.sparkSession) else rows.repartitionByRange(*order)
+
+
 class Segment:
     """A row of :data:`SEGMENT`: bytes, document starts and sizes."""
 
