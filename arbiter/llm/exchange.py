@@ -87,11 +87,10 @@ def segments(docs: DataFrame, ordered: bool, clean: Callable[[bytes], bytes] | N
     return rows.mapInArrow(lean(gather), schema)
 
 
-def by_range(rows: DataFrame, source: DataFrame, order: list, bytes_per_part: int = 256 << 20) -> DataFrame:
+def by_range(rows: DataFrame, docs: DataFrame, order: list, bytes_per_part: int = 512 << 20) -> DataFrame:
     """Ranges of ``order``: as many as the session's shuffle partitions, more
-    where the planner's size of ``source`` would make one larger than
-    ``bytes_per_part``."""
-    size = int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    where a range would hold over ``bytes_per_part`` of the texts."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = size // bytes_per_part
     return rows.repartitionByRange(parts, *order) if parts > shuffle_partitions(rows.sparkSession) else rows.repartitionByRange(*order)
 
