@@ -50,10 +50,9 @@ def root(tree_col: Column) -> Column:
     return _digest(tree_col["digest"])
 
 
-def nodes(text: Column) -> Column:
+def nodes(text: Column, tree_col: Column) -> Column:
     """64-bit names of the distinct nodes of a text's tree: root, sections,
     paragraphs and leaves, each level with a mark of its own."""
-    tree_col = tree(text)
     named = lambda level, digest: F.xxhash64(F.lit(level), digest)
     paragraphs = F.flatten(F.transform(tree_col, lambda s: F.transform(s["paragraphs"], lambda p: named(2, p))))
     sections = F.transform(tree_col, lambda s: named(1, s["digest"]))
@@ -101,13 +100,18 @@ def id_buckets(docs: DataFrame, rows_per_bucket: int = 64, max_cells: int = 1 <<
     """Consecutive ranges of ``doc_id``: the cell of a row, and the table
     cell, bucket, first_id, before (the bucket that comes before, in a ring).
 
-    Cells are slices of one width, the smallest (a power of four) that leaves
-    at most ``max_cells`` of them with rows, so a few ids far off do not widen
-    the others' and the table stays small enough to broadcast whatever the
-    input; neighbouring cells make a bucket of about ``rows_per_bucket`` rows."""
-    widths = [4 ** i for i in range(32)]
-    found = docs.agg(*[F.approx_count_distinct(F.expr(f"doc_id div {w}L"), 0.02) for w in widths]).first()
-    width = next((w for w, n in zip(widths, found) if n <= 0.9 * max_cells), widths[-1])
+    Cells are slices of one width.  Where slices of the whole range would do,
+    smaller ones (64 times at a step) are tried by counting those that have
+    rows, so a few ids far off do not widen the others'; there are at most
+    ``max_cells`` of them, so the table stays small enough to broadcast
+    whatever the input.  Neighbouring cells make a bucket of about
+    ``rows_per_bucket`` rows."""
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    width = 1 if low is None else (high - low) // max_cells + 1
+    finer = [width // 64 ** i for i in range(1, 11) if width >= 64 ** i]
+    if finer:
+        found = docs.agg(*[F.approx_count_distinct(F.expr(f"doc_id div {w}L")) for w in finer]).first()
+        width = min([width, *(w for w, n in zip(finer, found) if n <= 0.8 * max_cells)])
     cell = F.coalesce(F.expr(f"doc_id div {width}L"), F.lit(-(1 << 62)))   # rows without an id first
     counts = docs.select("doc_id", cell.alias("cell")).groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id")).alias("first"))   # in a struct a null is the smallest
@@ -148,10 +152,14 @@ def edit_likeness(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("edited", F.concat(
         F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")),
         F.substring("next_text", F.lit(1), half)))
-    # trees are built where the texts have met: their nodes need not travel
-    rows = rows.withColumn("nodes", nodes(F.col("text")))
+    # trees are built where the texts have met: their nodes need not travel.
+    # Each is a column of its own, or every use would build it again
+    for name, text in (("own", "text"), ("new", "edited"), ("after", "next_text")):
+        rows = rows.withColumn(f"{name}_tree", tree(F.col(text)))
+    for name, text in (("own", "text"), ("new", "edited"), ("after", "next_text")):
+        rows = rows.withColumn(f"{name}_nodes", nodes(F.col(text), F.col(f"{name}_tree")))
     return rows.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
-        root(tree(F.col("edited"))).alias("edited_fingerprint"),
-        likeness(F.col("nodes"), nodes(F.col("edited"))).alias("near_edited"),
-        likeness(F.col("nodes"), nodes(F.col("next_text"))).alias("near_next"))
+        root(F.col("new_tree")).alias("edited_fingerprint"),
+        likeness(F.col("own_nodes"), F.col("new_nodes")).alias("near_edited"),
+        likeness(F.col("own_nodes"), F.col("after_nodes")).alias("near_next"))
