@@ -102,16 +102,17 @@ def id_buckets(docs: DataFrame, rows_per_bucket: int = 64, max_cells: int = 1 <<
 
     Cells are slices of one width.  Where slices of the whole range would do,
     smaller ones (64 times at a step) are tried by counting those that have
-    rows, so a few ids far off do not widen the others'; there are at most
-    ``max_cells`` of them, so the table stays small enough to broadcast
-    whatever the input.  Neighbouring cells make a bucket of about
+    rows, so a few ids far off do not widen the others'; there is one for
+    64 rows, and at most ``max_cells`` of them, so the table stays small
+    enough to broadcast whatever the input.  Neighbouring cells make a bucket of about
     ``rows_per_bucket`` rows."""
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    width = 1 if low is None else (high - low) // max_cells + 1
+    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
+    cells = min(max_cells, max(1024, n // 64))
+    width = 1 if low is None else (high - low) // cells + 1
     finer = [width // 64 ** i for i in range(1, 11) if width >= 64 ** i]
     if finer:
         found = docs.agg(*[F.approx_count_distinct(F.expr(f"doc_id div {w}L")) for w in finer]).first()
-        width = min([width, *(w for w, n in zip(finer, found) if n <= 0.8 * max_cells)])
+        width = min([width, *(w for w, n in zip(finer, found) if n <= 0.8 * cells)])
     cell = F.coalesce(F.expr(f"doc_id div {width}L"), F.lit(-(1 << 62)))   # rows without an id first
     counts = docs.select("doc_id", cell.alias("cell")).groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id")).alias("first"))   # in a struct a null is the smallest
