@@ -7,9 +7,10 @@ stable under repartitioning and re-execution (``randomSplit`` is not).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
@@ -152,18 +153,51 @@ def feature_stages(features: list[str]) -> list:
             VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="error")]
 
 
+ROWS_PER_PARTITION = 250_000   # of a training frame
+TREES_PER_FIT = 50             # of a forest
+
+
 def fit_regressor(train: DataFrame, features: list[str], kind: str = "gbt", label: str = "label",
                   seed: int = 123, num_trees: int = 300, max_iter: int = 20) -> PipelineModel:
-    if kind == "gbt":
-        est = GBTRegressor(labelCol=label, maxIter=max_iter, seed=seed)
-    elif kind == "rf":
-        est = RandomForestRegressor(labelCol=label, numTrees=num_trees, seed=seed)
-    elif kind == "linear":
-        est = LinearRegression(labelCol=label)
-    else:
-        raise ValueError(kind)
     # a row without a label can't train; regression_report counts those left out
-    return Pipeline(stages=[*feature_stages(features), est]).fit(train.where(F.col(label).isNotNull()))
+    labelled = train.where(F.col(label).isNotNull())
+    if kind == "linear":
+        return Pipeline(stages=[*feature_stages(features), LinearRegression(labelCol=label)]).fit(labelled)
+    if kind not in ("gbt", "rf"):
+        raise ValueError(kind)
+    prepared = Pipeline(stages=feature_stages(features)).fit(labelled)
+    # trees pass over their input again and again: it is derived once, on disk
+    # (memory is for the trees' own points), in even partitions
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    waves = max(1, -(-labelled.count() // (ROWS_PER_PARTITION * cores)))
+    points = labelled.select(*features, label).repartition(cores * waves).persist(StorageLevel.DISK_ONLY)
+    try:
+        x = prepared.transform(points).select("features", label)
+        stages = fit_forest(x, label, seed, num_trees) if kind == "rf" else [
+            GBTRegressor(labelCol=label, maxIter=max_iter, seed=seed).fit(x)]
+    finally:
+        points.unpersist()
+    return PipelineModel(stages=[*prepared.stages, *stages])
+
+
+def fit_forest(x: DataFrame, label: str, seed: int, num_trees: int) -> list:
+    """The stages of a random forest that is trained some trees at a time.
+
+    A fit holds, per row, the row's count in each tree's bootstrap sample, and
+    the statistics of all nodes of a level: with hundreds of trees at once
+    neither fits in memory or cache.  Trees of a forest are independent, so
+    smaller forests of other seeds, weighed by their trees, are the same one."""
+    fits = max(1, -(-num_trees // TREES_PER_FIT))
+    sizes = [num_trees // fits + (i < num_trees % fits) for i in range(fits)]
+    if fits == 1:
+        return [RandomForestRegressor(labelCol=label, numTrees=num_trees, seed=seed).fit(x)]
+    names = [f"_forest_{i}" for i in range(fits)]
+    # Spark adds the partition's number to the seed
+    forests = [RandomForestRegressor(labelCol=label, numTrees=n, seed=seed + 1_000_003 * i, predictionCol=name).fit(x)
+               for i, (n, name) in enumerate(zip(sizes, names))]
+    mean = " + ".join(f"{n} * {name}" for n, name in zip(sizes, names))
+    return [*forests, SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(names)}), ({mean}) / {num_trees} AS prediction "
+                                               "FROM __THIS__")]
 
 
 def fit_logreg(train: DataFrame, vector_col: str, label: str = "label",
