@@ -10,6 +10,7 @@ from arbiter.operators import vectors as VX
 from arbiter.plans.catalog import finalize, query
 from arbiter.plans.oracle_views import register_view, with_views
 from arbiter.sources import fixtures as FX
+from arbiter.sources.materialize import checkpointed
 from arbiter.sources.tables import read_table
 
 register_view("tabular", (), """
@@ -173,7 +174,8 @@ SIGNAL = "CASE WHEN label IS NOT NULL THEN 900 * quantity * (1 - 4 * discount) +
 def _report(spark, sf_dir, kind, **kw):
     """Row counts of the split, and how much of the variance the model
     explains on rows it has not seen."""
-    s = with_split(spark, sf_dir).withColumn("label", F.expr(SIGNAL))
+    s = with_split(spark, sf_dir).withColumn("label", F.expr(SIGNAL)).select(*FX.TABULAR_FEATURES, "label", "split")
+    s = checkpointed(s, "training", ["split"])  # key and hash of each row once, not once a pass
     train = s.where(F.col("split") == "train")
     val = s.where(F.col("split") == "val")
     model = ML.fit_regressor(train, FX.TABULAR_FEATURES, kind, **kw)

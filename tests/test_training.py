@@ -25,3 +25,18 @@ def test_a_large_forest_is_trained_in_bounded_fits(spark):
         want = sum(t.predict(r.features) for f in forests for t in f.trees) / trees
         assert abs(r.prediction - want) < 1e-9
     assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_a_training_report_derives_its_rows_once(spark, monkeypatch):
+    from arbiter.plans import ml_plans as P
+    from conftest import SF_SMALL
+    plans, fit = [], ML.fit_regressor
+
+    def watched(train, *args, **kw):
+        plans.append(train._jdf.queryExecution().optimizedPlan().toString())
+        return fit(train, *args, **kw)
+
+    monkeypatch.setattr(ML, "fit_regressor", watched)
+    [row] = P._report(spark, SF_SMALL, "gbt", max_iter=2).collect()
+    assert row.n_train > row.n_val > 0 and row.n_unlabelled == 0
+    assert len(plans) == 1 and "md5" not in plans[0]
