@@ -33,6 +33,7 @@ register_view("segs", ("turns",), """
 register_view("hist", ("segs",), """
     SELECT conv_id, turn, segment, text,
            coalesce(len(history), 0) AS n_history,
+           coalesce(array_to_string(list_transform(history, lambda m: m.role), ','), '') AS roles,
            coalesce(len(list_filter(history, lambda m: m.role = 'user')), 0) AS n_user_messages,
            coalesce(list_sum(list_transform(history, lambda m: length(m.content))), 0) AS history_chars
     FROM (SELECT *, list(struct_pack(role := role, content := text)) OVER (
@@ -42,10 +43,12 @@ register_view("hist", ("segs",), """
     WHERE role = 'user'""")
 _FS = FX.FEW_SHOTS
 FEW_SHOT_CHARS = sum(len(c) for _, c in _FS)
+FEW_SHOT_ROLES = ",".join(r for r, _ in _FS)
 FEW_SHOT_USERS = sum(r == "user" for r, _ in _FS)
 CHUNK = 4   # of messages; small, so that most conversations have several
 register_view("assembled", ("hist",), f"""
     SELECT h.conv_id, h.turn, CAST(1 + {len(_FS)} + h.n_history + 1 AS BIGINT) AS n_messages,
+           concat_ws(',', 'system', '{FEW_SHOT_ROLES}', nullif(h.roles, ''), 'user') AS roles,
            CAST({FEW_SHOT_USERS} + h.n_user_messages + 1 AS BIGINT) AS n_user_messages,
            CAST(length(coalesce(s.text, '{DEFAULT_SYSTEM}')) + {FEW_SHOT_CHARS} + h.history_chars
                 + length(h.text) AS BIGINT) AS content_chars
@@ -67,18 +70,21 @@ def messages(spark, sf_dir):
 
 
 def assembled(spark, sf_dir):
-    """Every request as [system] + few shots + pointer to the history + [user]
-    with the number and size of its messages; no history is copied."""
+    """Every request whole: [system] + few shots + history + [user]."""
     t = turns(spark, sf_dir)
     # the system turn that opens the conversation; a second one must not double the rows
     sys = t.where(F.col("role") == "system").groupBy("conv_id").agg(F.min_by("text", "turn").alias("_sys"))
-    h = CV.history_pointers(messages(spark, sf_dir)).join(sys, "conv_id", "left")
-    system = F.coalesce(F.col("_sys"), F.lit(DEFAULT_SYSTEM))
-    return h.select(
-        "conv_id", "turn", "segment", "chunk", "chunk_offset",
-        (F.col("n_history") + 2 + len(_FS)).alias("n_messages"),
-        (F.col("n_user_messages") + 1 + FEW_SHOT_USERS).alias("n_user_messages"),
-        (F.col("history_chars") + F.length(system) + FEW_SHOT_CHARS + F.length("text")).cast("bigint").alias("content_chars"))
+    h = CV.history_fold(t).join(sys, "conv_id", "left")
+    return CV.message_assembly(h, F.coalesce(F.col("_sys"), F.lit(DEFAULT_SYSTEM)), FX.few_shots_col())
+
+
+def _msg_stats(arr):
+    """Number, roles, user messages and characters of an array of messages."""
+    return (F.size(arr).cast("bigint"),
+            F.array_join(F.transform(arr, lambda m: m["role"]), ","),
+            F.size(F.filter(arr, lambda m: m["role"] == "user")).cast("bigint"),
+            F.aggregate(arr, F.lit(0).cast("bigint"),
+                        lambda a, m: a + F.coalesce(F.length(m["content"]).cast("bigint"), F.lit(0))))
 
 
 @query("turn_pair_asof", with_views("""
@@ -110,12 +116,15 @@ def q_reset_segments(spark, sf_dir):
 
 
 @query("history_fold", with_views(f"""
-    SELECT conv_id, turn, segment, CAST(n_history AS BIGINT) AS n_history, CAST(n_user_messages AS BIGINT) AS n_user_messages,
-           CAST(history_chars AS BIGINT) AS history_chars, CAST(n_history // {CHUNK} AS BIGINT) AS chunk,
+    SELECT conv_id, turn, segment, CAST(n_history AS BIGINT) AS n_history, roles,
+           CAST(history_chars AS BIGINT) AS history_chars, CAST(n_user_messages AS BIGINT) AS n_user_messages, CAST(n_history // {CHUNK} AS BIGINT) AS chunk,
            CAST(n_history % {CHUNK} AS BIGINT) AS chunk_offset FROM hist""", "hist"))
 def q_history_fold(spark, sf_dir):
-    return CV.history_pointers(messages(spark, sf_dir)).select(
-        "conv_id", "turn", "segment", "n_history", "n_user_messages", "history_chars", "chunk", "chunk_offset")
+    h = CV.history_fold(turns(spark, sf_dir))
+    n, roles, users, chars = _msg_stats(F.col("history"))
+    return h.select("conv_id", "turn", "segment", n.alias("n_history"), roles.alias("roles"), chars.alias("history_chars"),
+                    users.alias("n_user_messages")).select(
+        "*", F.expr(f"n_history div {CHUNK}L").alias("chunk"), (F.col("n_history") % CHUNK).alias("chunk_offset"))
 
 
 @query("history_chunks", with_views(f"""
@@ -131,10 +140,12 @@ def q_history_chunks(spark, sf_dir):
                     F.array_join(each("role"), ",").alias("roles"), F.md5(F.array_join(each("content"), "")).alias("content_md5"))
 
 
-@query("message_assembly", with_views("SELECT conv_id, turn, n_messages, n_user_messages, content_chars FROM assembled",
+@query("message_assembly", with_views("SELECT conv_id, turn, n_messages, roles, content_chars, n_user_messages FROM assembled",
                                       "assembled"))
 def q_message_assembly(spark, sf_dir):
-    return assembled(spark, sf_dir).select("conv_id", "turn", "n_messages", "n_user_messages", "content_chars")
+    n, roles, users, chars = _msg_stats(F.col("messages"))
+    return assembled(spark, sf_dir).select("conv_id", "turn", n.alias("n_messages"), roles.alias("roles"),
+                                           chars.alias("content_chars"), users.alias("n_user_messages"))
 
 
 @query("session_totals", with_views(f"""
@@ -189,7 +200,7 @@ def q_parent_child_runs(spark, sf_dir):
       ON r.conv_id = a.conv_id AND r.turn = a.turn""", "assembled", "turns"))
 def q_batch_generate(spark, sf_dir):
     # default responder = replay of the recorded assistant turn that follows
-    req = assembled(spark, sf_dir).select("conv_id", "turn", "n_messages")
+    req = assembled(spark, sf_dir).select("conv_id", "turn", F.size("messages").cast("bigint").alias("n_messages"))
     rec = turns(spark, sf_dir).where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"), "latency_ms")
     out = SC.replay(req, rec, ["conv_id", "turn"])
