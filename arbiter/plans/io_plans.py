@@ -100,7 +100,7 @@ def lineitem_csv(spark, sf_dir):
                   "l_tax", "l_extendedprice").write.option("header", True).csv(path)
 
     path = materialized_path(spark, "lineitem_csv", [table_path(sf_dir, "lineitem")], write)
-    return scan_csv(spark, path, tolerance=0.02)
+    return scan_csv(spark, path, tolerance=0.02, carry=("l_orderkey", "l_linenumber"))
 
 
 @query("csv_scan", f"""
@@ -119,9 +119,8 @@ def q_csv_scan(spark, sf_dir):
            'l_discount' AS column_name, {_BAD_TEXT} AS cell, 'double' AS expected
     FROM lineitem WHERE {BAD_DISCOUNT}""")
 def q_csv_rejects(spark, sf_dir):
-    scan = lineitem_csv(spark, sf_dir)
-    keys = scan.rows.select("file", "line", "l_orderkey", "l_linenumber")
-    return scan.rejects.join(keys, ["file", "line"]).select("l_orderkey", "l_linenumber", "column_name", "cell", "expected")
+    rejects = lineitem_csv(spark, sf_dir).rejects
+    return rejects.select("l_orderkey", "l_linenumber", "column_name", "cell", "expected")
 
 
 @query("csv_types", f"""

@@ -13,7 +13,11 @@ A scan has three results:
   ``rejected``: the cells that did not fit, which are NULL.  No row is dropped.
 * ``rejects``: one row per cell that does not fit, with file, line, column,
   text and the type it missed; a line with another number of cells than the
-  header is one reject with no column.
+  header is one reject with no column.  ``carry`` names columns whose typed
+  cells a reject takes along, so that no join is needed to say what it is of.
+
+Lines are numbered and cut into cells once and written; types, rows and
+rejects are read from the cells.
 
 Lines are numbered without a shuffle: a file is read in blocks, rows of a
 block come in order, and the number of lines of earlier blocks is added (one
@@ -30,6 +34,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from arbiter.sources.materialize import checkpointed
+
 # Chains of the lattice: kinds of a chain join to the type of the widest one.
 CHAINS = ((("integer", "bigint"), ("number", "double")), (("boolean", "boolean"),),
           (("date", "date"), ("timestamp", "timestamp")))
@@ -63,11 +69,15 @@ def join_kinds(counts: dict[str, int], tolerance: float = 0.0) -> tuple[str, int
     return best
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, line (from 1), value of every line below ``path``."""
-    raw = spark.read.text(path).select(
+def _raw_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"))
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, line (from 1), value of every line below ``path``."""
+    raw = _raw_lines(spark, path)
     blocks = raw.groupBy("file", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("file", "block", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
@@ -84,8 +94,9 @@ class CsvScan:
     rejects: DataFrame
 
 
-def _header(spark: SparkSession, lines: DataFrame, sep: str) -> list[str]:
-    first = [r[0] for r in lines.where("line = 1").select("value").distinct().limit(2).collect()]
+def _header(spark: SparkSession, path: str, sep: str) -> list[str]:
+    tops = _raw_lines(spark, path).where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("value"))
+    first = [r[0] for r in tops.select("value").distinct().limit(2).collect()]
     if len(first) > 1:
         raise ValueError(f"files with different headers: {first}")
     if not first:
@@ -98,23 +109,16 @@ def _header(spark: SparkSession, lines: DataFrame, sep: str) -> list[str]:
 
 
 def scan_csv(spark: SparkSession, path: str, columns: list[str] | None = None, types: dict[str, str] | None = None,
-             tolerance: float = 0.0, sep: str = ",") -> CsvScan:
+             tolerance: float = 0.0, sep: str = ",", carry: tuple[str, ...] = ()) -> CsvScan:
     """Scan the files below ``path``; ``columns`` picks some, ``types`` states
     the types of some (the others are inferred from all their cells)."""
-    lines = numbered_lines(spark, path)
-    header = _header(spark, lines, sep)
+    header = _header(spark, path, sep)
     columns = header if columns is None else columns
     missing = [c for c in [*columns, *(types or {})] if c not in header]
     if missing:
         raise ValueError(f"columns {missing} are not in the header {header}")
-    fields = ", ".join(f"c{i} string" for i in range(len(header)))
-    parsed = lines.where((F.col("line") > 1) & (F.col("value") != "")).select(
-        "file", "line", "value",
-        F.from_csv("value", f"{fields}, broken string" if fields else "broken string",
-                   {"sep": sep, "columnNameOfCorruptRecord": "broken"}).alias("r"))
-    # a line with other cells than the header's is broken as a whole
-    whole = F.col("r.broken").isNull()
-    cell = {c: F.when(whole, F.col(f"r.c{header.index(c)}")) for c in columns}
+    parsed = _cells(spark, path, header, columns, sep)
+    cell = {c: F.col(f"c{header.index(c)}") for c in columns}
     counts = _kind_counts(parsed, cell, [c for c in columns if c not in (types or {})])
     inferred = {c: join_kinds(counts[c], tolerance)[0] for c in counts}
     final = {c: (types or {}).get(c) or inferred[c] for c in columns}
@@ -129,22 +133,37 @@ def scan_csv(spark: SparkSession, path: str, columns: list[str] | None = None, t
         return F.struct(column.cast("string").alias("column_name"), text.alias("cell"), F.lit(expected).alias("expected"))
 
     bad = [F.when(misfit(c), reject(F.lit(c), cell[c], final[c])) for c in columns if final[c] != "string"]
-    bad.append(F.when(~whole, reject(F.lit(None), F.col("value"), f"{len(header)} cells")))
+    bad.append(F.when(F.col("broken").isNotNull(), reject(F.lit(None), F.col("broken"), f"{len(header)} cells")))
     rows = parsed.select(
         "file", "line", *[F.when(~misfit(c), cell[c].try_cast(final[c])).alias(c) if final[c] != "string"
                           else cell[c].alias(c) for c in columns],
         F.filter(F.array(*bad), lambda x: x.isNotNull()).alias("rejected"))
-    rejects = rows.where(F.size("rejected") > 0).select("file", "line", F.explode("rejected").alias("r")).select(
-        "file", "line", "r.*")
+    rejects = rows.where(F.size("rejected") > 0).select("file", "line", *carry, F.explode("rejected").alias("r")).select(
+        "file", "line", *carry, "r.*")
     return CsvScan(final, counts, rows, rejects)
 
 
+def _cells(spark: SparkSession, path: str, header: list[str], columns: list[str], sep: str) -> DataFrame:
+    """file, line, the cells of ``columns`` (``c`` and their place in the
+    header) and ``broken``: the text of a line with other cells than the
+    header's, which is broken as a whole.  Written, for each later pass and
+    each use of a cell would number and parse the lines again."""
+    fields = ", ".join([*[f"c{i} string" for i in range(len(header))], "broken string"])
+    lines = numbered_lines(spark, path).where((F.col("line") > 1) & (F.col("value") != ""))
+    parsed = lines.select("file", "line", "value", F.from_csv(
+        "value", fields, {"sep": sep, "columnNameOfCorruptRecord": "broken"}).alias("r"))
+    whole = F.col("r.broken").isNull()
+    places = sorted({header.index(c) for c in columns})
+    return checkpointed(parsed.select("file", "line", *[F.when(whole, F.col(f"r.c{i}")).alias(f"c{i}") for i in places],
+                                      F.when(~whole, F.col("value")).alias("broken")), "csv-cells")
+
+
 def _kind_counts(parsed: DataFrame, cell: dict[str, Column], columns: list[str]) -> dict[str, dict[str, int]]:
     """Cells of each kind per column: partial counts, one row per (column,
     kind) at the end."""
     if not columns:
         return {}
-    kinds = parsed.where(F.col("r.broken").isNull()).select(
+    kinds = parsed.where(F.col("broken").isNull()).select(
         F.posexplode(F.array(*[cell_kind(cell[c]) for c in columns])).alias("at", "kind"))
     found = kinds.groupBy("at", "kind").count().collect()
     out: dict[str, dict[str, int]] = {c: {} for c in columns}

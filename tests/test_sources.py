@@ -156,3 +156,13 @@ def test_agrees_with_the_csv_module(spark, csv_folder):
     with open(f"{path}/a.csv") as f:
         want = {int(r["k"]): r["text"] for r in csv.DictReader(f)}
     assert {k: v or "" for k, v in got.items()} == {**want, 1: got[1]}
+
+
+def test_lines_are_cut_into_cells_once(spark, csv_folder):
+    path = csv_folder(a=["id,v,w", *[f"{i},{i}.5,ok" for i in range(200)], "200,n/a,ok", "201,1"])
+    scan = scan_csv(spark, path, tolerance=0.02, carry=("id", "w"))
+    for df in (scan.rows, scan.rejects):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "from_csv" not in plan.lower() and "csvtostructs" not in plan.lower() and "Join" not in plan
+    got = {(r.line, r.id, r.w, r.column_name, r.cell) for r in scan.rejects.collect()}
+    assert got == {(202, 200, "ok", "v", "n/a"), (203, None, None, None, "201,1")}
