@@ -162,8 +162,9 @@ def request_payload(df: DataFrame, key: str, cols: list[str], batch_size: int,
 # --- SQL-registered vectorised scorer -----------------------------------------
 
 def word_score(texts: pd.Series) -> pd.Series:
-    """Offline default scorer: whitespace word count as a double."""
-    return texts.fillna("").str.split().str.len().astype("float64")
+    """Offline default scorer: whitespace word count as a double.  The words
+    of one text at a time are held, not those of the batch."""
+    return texts.fillna("").map(lambda t: len(t.split())).astype("float64")
 
 
 def register_score_udf(spark: SparkSession, name: str = "score_model",

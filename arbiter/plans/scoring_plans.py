@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from arbiter.operators import scoring as SC
 from arbiter.plans.catalog import query
 from arbiter.plans.oracle_views import with_views
+from arbiter.session import override_conf
 from arbiter.sources import fixtures as FX
 from arbiter.sources.tables import read_table
 
@@ -16,6 +17,9 @@ from arbiter.sources.tables import read_table
 @query("score_udf_sql", """
     SELECT doc_id, CAST(len(regexp_extract_all(text, '\\S+')) AS DOUBLE) AS score FROM documents""")
 def q_score_udf_sql(spark, sf_dir):
+    # a worker holds a few batches of whole texts
+    override_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+                          "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)})
     SC.register_score_udf(spark, "score_model")
     view = f"arbiter_documents_{uuid.uuid4().hex[:8]}"
     read_table(spark, sf_dir, "documents", ["doc_id", "text"]).createOrReplaceTempView(view)

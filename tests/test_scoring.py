@@ -173,3 +173,18 @@ def test_ledger_asks_only_what_is_not_recorded(spark, tmp_path):
     assert got == {i: f"r{i % 40}" for i in range(50)}
     lost = ledger.answer(spark.createDataFrame([(1, 777)], "id long, q long"), ["q"]).first()
     assert lost.missing_response and lost.reply is None
+
+
+def test_a_scorer_holds_the_words_of_one_text(spark):
+    import tracemalloc
+
+    import pandas as pd
+
+    from arbiter.operators.scoring import word_score
+    texts = pd.Series([f"a{i} " * 2000 for i in range(300)] + [None, "", " \t", "one\u00a0two  three"])
+    tracemalloc.start()
+    got = word_score(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.dtype == "float64" and list(got) == [2000.0] * 300 + [0.0, 0.0, 0.0, 3.0]
+    assert peak < 5 << 20
