@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arbiter.functions.text import col
+from arbiter.operators import trees as TR
 from arbiter.operators.ranking import hash_bucket
 
 
@@ -153,8 +154,7 @@ def feature_stages(features: list[str]) -> list:
             VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="error")]
 
 
-ROWS_PER_PARTITION = 250_000   # of a training frame
-TREES_PER_FIT = 50             # of a forest
+TREES_PER_FIT = 50             # of a forest's models
 
 
 def fit_regressor(train: DataFrame, features: list[str], kind: str = "gbt", label: str = "label",
@@ -166,35 +166,37 @@ def fit_regressor(train: DataFrame, features: list[str], kind: str = "gbt", labe
     if kind not in ("gbt", "rf"):
         raise ValueError(kind)
     prepared = Pipeline(stages=feature_stages(features)).fit(labelled)
-    # trees pass over their input again and again: it is derived once, on disk
-    # (memory is for the trees' own points), in even partitions
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    waves = max(1, -(-labelled.count() // (ROWS_PER_PARTITION * cores)))
-    points = labelled.select(*features, label).repartition(cores * waves).persist(StorageLevel.DISK_ONLY)
-    try:
-        x = prepared.transform(points).select("features", label)
-        stages = fit_forest(x, label, seed, num_trees) if kind == "rf" else [
-            GBTRegressor(labelCol=label, maxIter=max_iter, seed=seed).fit(x)]
-    finally:
-        points.unpersist()
-    return PipelineModel(stages=[*prepared.stages, *stages])
-
-
-def fit_forest(x: DataFrame, label: str, seed: int, num_trees: int) -> list:
-    """The stages of a random forest that is trained some trees at a time.
-
-    A fit holds, per row, the row's count in each tree's bootstrap sample, and
-    the statistics of all nodes of a level: with hundreds of trees at once
-    neither fits in memory or cache.  Trees of a forest are independent, so
-    smaller forests of other seeds, weighed by their trees, are the same one."""
+    # trees pass over their input again and again
+    if kind == "gbt":
+        cores = train.sparkSession.sparkContext.defaultParallelism
+        waves = max(1, -(-labelled.count() // (TR.POINTS_PER_PARTITION * cores)))
+        held = labelled.select(*features, label).repartition(cores * waves).persist(StorageLevel.DISK_ONLY)
+        try:
+            x = prepared.transform(held).select("features", label)
+            return PipelineModel(stages=[*prepared.stages, GBTRegressor(labelCol=label, maxIter=max_iter, seed=seed).fit(x)])
+        finally:
+            held.unpersist()
+    # rows that no tree can tell apart are counted once
+    filled = [f"_filled_{c}" for c in features]
+    rows = prepared.stages[0].transform(labelled).select(
+        *[F.col(c).cast("double").alias(c) for c in filled], F.col(label).cast("double").alias(label))
+    cuts = TR.thresholds(rows, filled)
+    points = TR.binned(rows, filled, cuts, label)
+    return PipelineModel(stages=[*prepared.stages, *fit_forest(points, cuts, label, seed, num_trees)])
+
+
+def fit_forest(points: DataFrame, cuts: list[list[float]], label: str, seed: int, num_trees: int) -> list:
+    """The stages of a random forest: models of some of the trees each, averaged
+    by their number."""
     fits = max(1, -(-num_trees // TREES_PER_FIT))
     sizes = [num_trees // fits + (i < num_trees % fits) for i in range(fits)]
-    if fits == 1:
-        return [RandomForestRegressor(labelCol=label, numTrees=num_trees, seed=seed).fit(x)]
-    names = [f"_forest_{i}" for i in range(fits)]
-    # Spark adds the partition's number to the seed
-    forests = [RandomForestRegressor(labelCol=label, numTrees=n, seed=seed + 1_000_003 * i, predictionCol=name).fit(x)
+    trees = TR.grow(TR.shards(points, cuts, label), len(cuts), seed, num_trees)
+    names = [f"_forest_{i}" for i in range(fits)] if fits > 1 else ["prediction"]
+    forests = [TR.forest_model(RandomForestRegressor(labelCol=label, numTrees=n, seed=seed, predictionCol=name),
+                               trees[sum(sizes[:i]):sum(sizes[:i + 1])], cuts)
                for i, (n, name) in enumerate(zip(sizes, names))]
+    if fits == 1:
+        return forests
     mean = " + ".join(f"{n} * {name}" for n, name in zip(sizes, names))
     return [*forests, SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(names)}), ({mean}) / {num_trees} AS prediction "
                                                "FROM __THIS__")]
@@ -212,12 +214,18 @@ def regression_report(model: PipelineModel, train: DataFrame, val: DataFrame,
                       name: str, label: str = "label") -> DataFrame:
     """Validation MSE of the model next to the mean predictor's (from train),
     and the training rows with and without a label."""
-    pv = model.transform(val).select(F.col(label), F.col("prediction"))
+    # one answer for the rows that the model can't tell apart
+    pv = model.transform(TR.alike(model, val, label))
     m, n_train, n_all = train.agg(F.avg(label), F.count(label), F.count(F.lit(1))).first()
+
+    def mse(answer):
+        error = F.col("_labelled") * (F.pow(answer - F.col("_mean"), 2) + F.col("_spread"))
+        return F.try_divide(F.sum(error), F.sum("_labelled").cast("double"))
+
     return pv.agg(
         F.lit(name).alias("model"),
         F.lit(n_train).cast("bigint").alias("n_train"),
         F.lit(n_all - n_train).cast("bigint").alias("n_unlabelled"),
-        F.count(F.lit(1)).alias("n_val"),
-        F.avg(F.pow(F.col("prediction") - F.col(label), 2)).alias("val_mse"),
-        F.avg(F.pow(F.lit(float(m)) - F.col(label), 2)).alias("baseline_mse"))
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_val"),
+        mse(F.col("prediction")).alias("val_mse"),
+        mse(F.lit(float(m))).alias("baseline_mse"))
