@@ -166,23 +166,28 @@ def fit_regressor(train: DataFrame, features: list[str], kind: str = "gbt", labe
     if kind not in ("gbt", "rf"):
         raise ValueError(kind)
     prepared = Pipeline(stages=feature_stages(features)).fit(labelled)
-    # trees pass over their input again and again
-    if kind == "gbt":
-        cores = train.sparkSession.sparkContext.defaultParallelism
-        waves = max(1, -(-labelled.count() // (TR.POINTS_PER_PARTITION * cores)))
-        held = labelled.select(*features, label).repartition(cores * waves).persist(StorageLevel.DISK_ONLY)
-        try:
-            x = prepared.transform(held).select("features", label)
-            return PipelineModel(stages=[*prepared.stages, GBTRegressor(labelCol=label, maxIter=max_iter, seed=seed).fit(x)])
-        finally:
-            held.unpersist()
-    # rows that no tree can tell apart are counted once
+    # trees pass over their input again and again: rows that no tree can tell
+    # apart are counted once
     filled = [f"_filled_{c}" for c in features]
     rows = prepared.stages[0].transform(labelled).select(
         *[F.col(c).cast("double").alias(c) for c in filled], F.col(label).cast("double").alias(label))
     cuts = TR.thresholds(rows, filled)
     points = TR.binned(rows, filled, cuts, label)
-    return PipelineModel(stages=[*prepared.stages, *fit_forest(points, cuts, label, seed, num_trees)])
+    stages = fit_forest(points, cuts, label, seed, num_trees) if kind == "rf" else [
+        fit_boosted(points, cuts, label, seed, max_iter)]
+    return PipelineModel(stages=[*prepared.stages, *stages])
+
+
+def fit_boosted(points: DataFrame, cuts: list[list[float]], label: str, seed: int, max_iter: int):
+    """Gradient boosting on the cells of ``points``: a tree of squared errors
+    splits by means and numbers of rows, so it is the one that the rows give."""
+    boosting = GBTRegressor(labelCol=label, maxIter=max_iter, seed=seed)
+    x = VectorAssembler(inputCols=TR.bin_names(cuts), outputCol="features").transform(
+        TR.cells(points, cuts, label)).select("features", label, "_weight").persist(StorageLevel.DISK_ONLY)
+    try:
+        return TR.boosted_model(boosting, boosting.copy({boosting.weightCol: "_weight"}).fit(x), cuts)
+    finally:
+        x.unpersist()
 
 
 def fit_forest(points: DataFrame, cuts: list[list[float]], label: str, seed: int, num_trees: int) -> list:

@@ -52,6 +52,21 @@ def noisy(spark, n=6000):
                                  ((F.col("id") % 7) * (F.col("id") % 11) + F.sin(F.col("id"))).alias("label"))
 
 
+def test_boosting_trains_on_cells_and_gives_the_trees_of_the_rows(spark, monkeypatch):
+    df, seen = noisy(spark), []
+    fit = GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, x, *a: (seen.append(x.count()), fit(self, x, *a))[1])
+    model = ML.fit_regressor(df, ["a", "b"], "gbt", max_iter=4)
+    monkeypatch.undo()
+    assert seen == [77]  # 7 x 11, not 6000
+    x = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    plain = GBTRegressor(maxIter=4, seed=123).fit(x)
+    [mine] = [m for m in model.stages if isinstance(m, GBTRegressionModel)]
+    assert mine.getMaxIter() == 4 and mine.numFeatures == 2 and mine.treeWeights == plain.treeWeights
+    for r in x.limit(77).collect():
+        assert abs(mine.predict(r.features) - plain.predict(r.features)) < 1e-6
+
+
 def test_a_grown_tree_is_the_one_of_its_sample(spark):
     """The only tree of a forest against MLlib's on the same drawn weights."""
     points = TR.binned(noisy(spark).select("a", "b", "label"), ["a", "b"], [[x + 0.5 for x in range(6)],
